@@ -16,7 +16,9 @@ from trawl.functions.html import clean_text, first_title, page_title
 from trawl.functions.text import analyze
 from trawl.operators import index as ix
 from trawl.operators import search as srch
-from trawl.plans.inputs import queries_table
+from trawl.functions.urls import is_valid_url, normalize_url
+from trawl.operators import crawl as cr
+from trawl.plans.inputs import crawl_log, queries_table, robots_table, visited_urls
 from trawl.session import scratch_path
 from trawl.sources.corpus import load_corpus, read_table
 from trawl.sources.index_store import read_index, write_index
@@ -131,6 +133,60 @@ def q_search_response(spark, sf):
     return srch.search_response(stored_index(spark, sf, "pages"), queries_table(spark, sf), 5, 5)
 
 
+def q_normalize_url(spark, sf):
+    return read_table(spark, sf, "pages").select("page_id", normalize_url(F.col("url")).alias("url"))
+
+
+def q_valid_url(spark, sf):
+    return read_table(spark, sf, "pages").select("page_id", "url", is_valid_url(F.col("url")).alias("valid"))
+
+
+def q_page_links(spark, sf):
+    return cr.page_links(read_table(spark, sf, "pages"))
+
+
+def q_pages_by_domain(spark, sf):
+    return cr.pages_by_domain(read_table(spark, sf, "pages"))
+
+
+def q_robots_policy(spark, sf):
+    return cr.robots_policy(robots_table(spark, sf))
+
+
+def _crawl_round(spark, sf):
+    links = cr.page_links(read_table(spark, sf, "pages"))
+    return links, visited_urls(links), cr.robots_policy(robots_table(spark, sf))
+
+
+# Page budget of the reference crawler and pages already crawled in this round.
+MAX_PAGES = 12000
+
+
+def q_frontier_step(spark, sf):
+    links, visited, policy = _crawl_round(spark, sf)
+    return cr.frontier_step(links, visited, policy, MAX_PAGES, crawled=0)
+
+
+def q_frontier_allowed(spark, sf):
+    return cr.frontier_allowed(*_crawl_round(spark, sf))
+
+
+def q_frontier_sizes(spark, sf):
+    return cr.frontier_sizes(*_crawl_round(spark, sf))
+
+
+def q_crawl_stats(spark, sf):
+    return cr.crawl_stats(crawl_log(spark, sf))
+
+
+def q_worker_stats(spark, sf):
+    return cr.worker_stats(crawl_log(spark, sf))
+
+
+def q_crawl_throughput(spark, sf):
+    return cr.crawl_throughput(crawl_log(spark, sf))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tokenize": q_tokenize,
     "postings": q_postings,
@@ -154,4 +210,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "suggestions_pages": q_suggestions_pages,
     "search_tf": q_search_tf,
     "search_response": q_search_response,
+    "normalize_url": q_normalize_url,
+    "valid_url": q_valid_url,
+    "page_links": q_page_links,
+    "pages_by_domain": q_pages_by_domain,
+    "robots_policy": q_robots_policy,
+    "frontier_step": q_frontier_step,
+    "frontier_allowed": q_frontier_allowed,
+    "frontier_sizes": q_frontier_sizes,
+    "crawl_stats": q_crawl_stats,
+    "worker_stats": q_worker_stats,
+    "crawl_throughput": q_crawl_throughput,
 }

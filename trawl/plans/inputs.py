@@ -34,3 +34,48 @@ def queries_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(QUERY_ID_OFFSET) + F.col("item_id")).cast("bigint").alias("query_id"),
         F.col("text").alias("query"))
     return lits.unionByName(bench)
+
+
+# Robots bodies (fixed values): the test rows of the robots parser. The crawl has no
+# fetched robots.txt files, so each domain of `pages` is given one of these bodies,
+# picked by a simple rule on the domain string.
+ROBOTS_BODIES = (
+    "User-agent: *\nCrawl-delay: 3\nDisallow: /",
+    "User-agent: bot\nDisallow: /",
+    "User-agent: *\nDisallow: /private",
+    "USER-AGENT: *\nCrawl-delay: 1.5\nCrawl-delay: 7",
+    "User-agent: *\nUser-agent: bot\nDisallow: /",
+    "# none\n\nno colon here",
+    "User-agent: *\nDisallow: /\nAllow: /",
+    "User-agent: *\nDisallow: / # all",
+)
+# Crawl-log actions from event types (fixed mapping); other types stay as unknown actions.
+EVENT_ACTIONS = (("view", "crawled"), ("purchase", "indexed"), ("error", "failed"))
+# Number of crawl workers of the reference crawler.
+CRAWL_WORKERS = 80
+
+
+def robots_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """domain, body: one robots.txt body per distinct domain of `pages`."""
+    from trawl.functions.urls import domain_key
+
+    domains = read_table(spark, sf_dir, "pages").select(domain_key(F.col("url")).alias("domain")).distinct()
+    bodies = F.array(*[F.lit(b) for b in ROBOTS_BODIES])
+    pick = (F.pmod(F.length("domain") + F.ascii(F.right("domain", F.lit(3))), F.lit(len(ROBOTS_BODIES))) + 1).cast("int")
+    return domains.select("domain", F.element_at(bodies, pick).alias("body"))
+
+
+def crawl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ts, worker_id, action, processing_time: `events` read as a crawl action log."""
+    ev = read_table(spark, sf_dir, "events")
+    mapped = F.when(F.col("event_type") == EVENT_ACTIONS[0][0], F.lit(EVENT_ACTIONS[0][1]))
+    for src, dst in EVENT_ACTIONS[1:]:
+        mapped = mapped.when(F.col("event_type") == src, F.lit(dst))
+    return ev.select("ts", F.pmod(F.col("user_id"), F.lit(CRAWL_WORKERS)).alias("worker_id"),
+                     mapped.otherwise(F.col("event_type")).alias("action"),
+                     F.col("value").alias("processing_time"))
+
+
+def visited_urls(links: DataFrame) -> DataFrame:
+    """url: the links at even positions of each page's link list count as visited."""
+    return links.filter(F.col("link_pos") % 2 == 0).select(F.col("dst_url").alias("url"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from trawl.functions.html import NAMED_ENTITIES
 from trawl.functions.text import PUNCT_CUTSET, STOP_WORDS, WS
 from trawl.plans.inputs import LITERAL_QUERIES, QUERY_ID_OFFSET
+from trawl.plans.oracle_crawl import crawl_sql
 
 CUT = PUNCT_CUTSET.replace("'", "''")
 STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -239,4 +240,5 @@ SELECT DISTINCT q.query_id, p.doc_id FROM qterms q JOIN postings p ON p.term = q
         "suggestions_pages": _suggestions("pages"),
         "search_tf": _search_tf("documents"),
     }
+    q.update(crawl_sql(_with, _strip_raw, _decode_named, _trim_ws))
     return q
