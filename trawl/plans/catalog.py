@@ -18,7 +18,10 @@ from trawl.operators import index as ix
 from trawl.operators import search as srch
 from trawl.functions.urls import is_valid_url, normalize_url
 from trawl.operators import crawl as cr
-from trawl.plans.inputs import crawl_log, queries_table, robots_table, visited_urls
+from trawl.plans.inputs import crawl_log, fetched_pages, queries_table, robots_table, visited_urls
+from trawl.sources import crawl_files as cf
+from trawl.streaming.ingest import read_streamed_index, stream_index
+from trawl.streaming.stats import stream_worker_stats
 from trawl.session import scratch_path
 from trawl.sources.corpus import load_corpus, read_table
 from trawl.sources.index_store import read_index, write_index
@@ -187,6 +190,43 @@ def q_crawl_throughput(spark, sf):
     return cr.crawl_throughput(crawl_log(spark, sf))
 
 
+def q_to_crawl_output(spark, sf):
+    return cf.flatten(cf.crawl_envelope(fetched_pages(spark, sf)))
+
+
+def q_scan_crawl_output(spark, sf):
+    d = scratch_path(spark, "crawl-files")
+    cf.write_crawl_files(cf.crawl_envelope(fetched_pages(spark, sf)), d)
+    good, _ = cf.split_bad(cf.read_crawl_output(spark, d))
+    return cf.flatten(good)
+
+
+def q_index_roundtrip(spark, sf):
+    return _postings_out(stored_index(spark, sf, "documents").postings)
+
+
+STREAM_TIMEOUT_S = 900
+
+
+def q_stream_index(spark, sf):
+    """Pages dumped as raw_* files, indexed by the streaming ingest, read back."""
+    root = scratch_path(spark, "stream-index")
+    cf.write_crawl_files(cf.crawl_envelope(fetched_pages(spark, sf)), f"{root}/in")
+    q = stream_index(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt")
+    q.awaitTermination(STREAM_TIMEOUT_S)
+    idx = read_streamed_index(spark, f"{root}/out")
+    return _postings_out(idx.postings).join(idx.docs.select("doc_id", "url"), "doc_id").drop("doc_id")
+
+
+def q_stream_worker_stats(spark, sf):
+    """The crawl log written as JSON files, aggregated by a streaming query, read back."""
+    root = scratch_path(spark, "stream-stats")
+    crawl_log(spark, sf).write.json(f"{root}/log")
+    q = stream_worker_stats(spark, f"{root}/log", f"{root}/out", f"{root}/ckpt")
+    q.awaitTermination(STREAM_TIMEOUT_S)
+    return spark.read.parquet(f"{root}/out")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tokenize": q_tokenize,
     "postings": q_postings,
@@ -221,4 +261,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "crawl_stats": q_crawl_stats,
     "worker_stats": q_worker_stats,
     "crawl_throughput": q_crawl_throughput,
+    "to_crawl_output": q_to_crawl_output,
+    "scan_crawl_output": q_scan_crawl_output,
+    "index_roundtrip": q_index_roundtrip,
+    "stream_index": q_stream_index,
+    "stream_worker_stats": q_stream_worker_stats,
 }

@@ -79,3 +79,21 @@ def crawl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def visited_urls(links: DataFrame) -> DataFrame:
     """url: the links at even positions of each page's link list count as visited."""
     return links.filter(F.col("link_pos") % 2 == 0).select(F.col("dst_url").alias("url"))
+
+
+# Fetch metadata of the stand-in crawl (fixed values): every page answered 200 with HTML,
+# fetched one second apart from a fixed start, by worker page_id mod 80.
+FETCH_START = "2024-01-01 00:00:00"
+CONTENT_TYPE = "text/html; charset=utf-8"
+
+
+def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, status_code, content, content_type, headers, fetch_time, worker_id."""
+    pages = read_table(spark, sf_dir, "pages")
+    return pages.select(
+        "page_id", "url", F.lit(200).alias("status_code"), F.col("html").alias("content"),
+        F.lit(CONTENT_TYPE).alias("content_type"),
+        F.create_map(F.lit("Content-Type"), F.lit(CONTENT_TYPE)).alias("headers"),
+        (F.to_timestamp(F.lit(FETCH_START)) + F.make_dt_interval(secs=F.col("page_id").cast("decimal(18,6)")))
+        .alias("fetch_time"),
+        F.pmod(F.col("page_id"), F.lit(CRAWL_WORKERS)).cast("int").alias("worker_id"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from trawl.functions.html import NAMED_ENTITIES
 from trawl.functions.text import PUNCT_CUTSET, STOP_WORDS, WS
-from trawl.plans.inputs import LITERAL_QUERIES, QUERY_ID_OFFSET
+from trawl.plans.inputs import CONTENT_TYPE, CRAWL_WORKERS, FETCH_START, LITERAL_QUERIES, QUERY_ID_OFFSET
 from trawl.plans.oracle_crawl import crawl_sql
 
 CUT = PUNCT_CUTSET.replace("'", "''")
@@ -241,4 +241,23 @@ SELECT DISTINCT q.query_id, p.doc_id FROM qterms q JOIN postings p ON p.term = q
         "search_tf": _search_tf("documents"),
     }
     q.update(crawl_sql(_with, _strip_raw, _decode_named, _trim_ws))
+    q["index_roundtrip"] = q["postings"]
+    q["stream_index"] = base_p + """
+SELECT p.term, p.frequency, p.first_pos, array_to_string(p.positions, ',') AS positions, c.url
+FROM postings p JOIN corpus c USING (doc_id)"""
+    q["stream_worker_stats"] = q["worker_stats"]
+    q["to_crawl_output"] = q["scan_crawl_output"] = _crawl_output()
     return q
+
+
+def _crawl_output() -> str:
+    ts = "strftime(TIMESTAMP '{start}' + to_seconds(page_id), '%Y%m%d_%H%M%S')".format(start=FETCH_START)
+    w = f"CAST(page_id % {CRAWL_WORKERS} AS INTEGER)"
+    return f"""
+SELECT url, {ts} AS timestamp, {w} AS worker_id,
+       'crawl_output/raw_' || CAST({w} AS VARCHAR) || '_' || {ts} || '_' || CAST(page_id AS VARCHAR) || '.json'
+         AS file_path,
+       false AS processed, CAST(200 AS INTEGER) AS status_code, '{CONTENT_TYPE}' AS content_type,
+       CAST(strlen(html) AS INTEGER) AS content_length, md5(html) AS content_md5, true AS success,
+       {w} AS result_worker_id, 'pending' AS content_hash
+FROM pages"""
