@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from trawl.functions.expr import let as _let
 from trawl.functions.html import decode_entities, strip_raw_text
 
 _URL_RE = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
@@ -57,12 +58,6 @@ def escaped_fragment(f: Column) -> Column:
     return F.when(f.rlike(_FRAG_VALID), f).otherwise(_re_escape(f, _FRAG_KEEP))
 
 
-def _let(value: Column, fn) -> Column:
-    """Bind ``value`` to a lambda variable so ``fn`` can use it many times without
-    copying its expression tree (keeps nested URL expressions linear in size)."""
-    return F.get(F.transform(F.array(value), fn), 0)
-
-
 def parse_url(c: Column) -> Column:
     """struct(ok, scheme, auth, userinfo, host, path, query, frag, opaque).
 

@@ -14,7 +14,7 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app: str = "trawl") -> SparkSession:
+              app: str = "trawl", driver_memory: str | None = None) -> SparkSession:
     """A session tuned for the engine: AQE on (coalescing + skew joins), UTC, no UI."""
     builder = SparkSession.builder.appName(app)
     if master:
@@ -28,6 +28,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
     )
+    if driver_memory:  # only takes effect when this call starts the JVM (local mode)
+        builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
