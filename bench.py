@@ -15,12 +15,11 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from trawl.operators import crawl as cr  # noqa: E402
-from trawl.operators import index as ix  # noqa: E402
 from trawl.operators import search as srch  # noqa: E402
 from trawl.plans.inputs import queries_table, robots_table, visited_urls  # noqa: E402
 from trawl.session import get_spark, scratch_path  # noqa: E402
 from trawl.sources.corpus import load_corpus, read_table  # noqa: E402
-from trawl.sources.index_store import read_index, write_index  # noqa: E402
+from trawl.sources.index_store import build_and_write_index, read_index  # noqa: E402
 
 
 def run(df) -> None:
@@ -42,9 +41,9 @@ def main() -> None:
 
     paths = {k: scratch_path(spark, f"bench-index-{k}") for k in ("documents", "pages")}
     timed("index_build_documents",
-          lambda: write_index(ix.build_index(load_corpus(spark, sf_dir, "documents")), paths["documents"]))
+          lambda: build_and_write_index(load_corpus(spark, sf_dir, "documents"), paths["documents"]))
     timed("index_build_pages",
-          lambda: write_index(ix.build_index(load_corpus(spark, sf_dir, "pages")), paths["pages"]))
+          lambda: build_and_write_index(load_corpus(spark, sf_dir, "pages"), paths["pages"]))
     docs_idx = read_index(spark, paths["documents"])
     pages_idx = read_index(spark, paths["pages"])
     q = queries_table(spark, sf_dir).cache()

@@ -24,7 +24,7 @@ from trawl.streaming.ingest import read_streamed_index, stream_index
 from trawl.streaming.stats import stream_worker_stats
 from trawl.session import scratch_path
 from trawl.sources.corpus import load_corpus, read_table
-from trawl.sources.index_store import read_index, write_index
+from trawl.sources.index_store import build_and_write_index, read_index
 
 _STORED: dict[tuple[str, str, str], str] = {}
 
@@ -34,7 +34,7 @@ def stored_index(spark: SparkSession, sf_dir: str, kind: str) -> ix.Index:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
     if key not in _STORED:
         path = scratch_path(spark, f"index-{kind}")
-        write_index(ix.build_index(load_corpus(spark, sf_dir, kind)), path)
+        build_and_write_index(load_corpus(spark, sf_dir, kind), path)
         _STORED[key] = path
     return read_index(spark, _STORED[key])
 

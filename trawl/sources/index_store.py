@@ -1,29 +1,41 @@
 """Index sink and source: Parquet tables docs / postings / term_stats.
 
-postings are range-partitioned and sorted by (term, doc_id), so each file holds a
-contiguous term range and Parquet min/max statistics let a term filter skip row
-groups; a hot term still spans several files because the range key includes doc_id.
-docs are sorted by doc_id. Writes replace the whole index directory (overwrite); the
-incremental path is the streaming ingest, which appends per micro-batch.
+postings keep the hash partitioning of their aggregation on (term, doc_id) - no extra
+shuffle and no range-sampling pass - and are sorted by (term, doc_id) inside each file,
+so Parquet row-group min/max statistics let a term filter skip row groups, while a
+term found in a third of all documents is still spread over every file. docs are sorted
+by doc_id. Writes replace the whole index directory (overwrite); the incremental path
+is the streaming ingest, which writes per micro-batch.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from trawl.operators.index import Index, term_stats
+from trawl.operators.index import Index, docs_table, postings_table, term_stats
+
+
+def _write_postings(postings: DataFrame, path: str, mode: str) -> None:
+    postings.sortWithinPartitions("term", "doc_id").write.mode(mode).parquet(f"{path}/postings")
+    stored = postings.sparkSession.read.parquet(f"{path}/postings")
+    term_stats(stored).sortWithinPartitions("term").write.mode(mode).parquet(f"{path}/term_stats")
 
 
 def write_index(index: Index, path: str, mode: str = "overwrite") -> None:
+    """Write an (already built) index: docs, postings, term_stats."""
     path = path.rstrip("/")
     index.docs.sortWithinPartitions("doc_id").write.mode(mode).parquet(f"{path}/docs")
-    (index.postings.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id")
-     .write.mode(mode).parquet(f"{path}/postings"))
-    spark = index.docs.sparkSession
-    stored = spark.read.parquet(f"{path}/postings")
-    term_stats(stored).sortWithinPartitions("term").write.mode(mode).parquet(f"{path}/term_stats")
+    _write_postings(index.postings, path, mode)
+
+
+def build_and_write_index(corpus: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Index a corpus in two passes with the lineage cut between them: docs (with the
+    cleaned text) are written first, then postings are built from the stored docs, so
+    HTML is cleaned once."""
+    path = path.rstrip("/")
+    docs_table(corpus).sortWithinPartitions("doc_id").write.mode(mode).parquet(f"{path}/docs")
+    stored = corpus.sparkSession.read.parquet(f"{path}/docs").select("doc_id", "title", "clean_text")
+    _write_postings(postings_table(stored), path, mode)
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
@@ -31,53 +43,3 @@ def read_index(spark: SparkSession, path: str) -> Index:
     return Index(docs=spark.read.parquet(f"{path}/docs"),
                  postings=spark.read.parquet(f"{path}/postings"),
                  _term_stats=spark.read.parquet(f"{path}/term_stats"))
-
-
-# Legacy layout: one JSON object per file,
-#   terms.json: {term: {term, doc_count, documents: {doc_key: {frequency, positions}}}}
-#   docs.json:  {doc_key: {id, url, title, length, timestamp}}
-LEGACY_TERMS = T.MapType(T.StringType(), T.StructType([
-    T.StructField("term", T.StringType()),
-    T.StructField("doc_count", T.LongType()),
-    T.StructField("documents", T.MapType(T.StringType(), T.StructType([
-        T.StructField("frequency", T.IntegerType()),
-        T.StructField("positions", T.ArrayType(T.IntegerType())),
-    ]))),
-]))
-LEGACY_DOCS = T.MapType(T.StringType(), T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("url", T.StringType()),
-    T.StructField("title", T.StringType()),
-    T.StructField("length", T.IntegerType()),
-    T.StructField("timestamp", T.StringType()),
-]))
-
-
-def read_legacy_index(spark: SparkSession, index_dir: str) -> Index:
-    """Import an index saved as terms.json + docs.json (one whole JSON object each).
-
-    That layout is a single object per file, so each file parses in one task: use it
-    once to migrate, then `write_index` to Parquet. Document keys ("doc_<n>") become
-    doc_id n; postings are exploded to long format right after parsing.
-    """
-    d = index_dir.rstrip("/")
-    terms = (spark.read.text(f"{d}/terms.json", wholetext=True)
-             .select(F.explode(F.from_json("value", LEGACY_TERMS)).alias("term", "e"))
-             .select("term", F.explode("e.documents").alias("doc_key", "o")))
-    postings = terms.select(
-        "term",
-        F.regexp_extract("doc_key", r"(\d+)$", 1).cast("bigint").alias("doc_id"),
-        F.col("o.frequency").alias("frequency"),
-        F.get("o.positions", 0).alias("first_pos"),
-        F.col("o.positions").alias("positions"),
-        F.lit(None).cast("boolean").alias("in_title"),
-    )
-    docs = (spark.read.text(f"{d}/docs.json", wholetext=True)
-            .select(F.explode(F.from_json("value", LEGACY_DOCS)).alias("k", "v"))
-            .select(F.regexp_extract("k", r"(\d+)$", 1).cast("bigint").alias("doc_id"),
-                    "v.url", "v.title", "v.length", F.lit("").alias("clean_text")))
-    # in_title is recomputed from the imported titles.
-    from trawl.functions.text import go_lower
-    postings = (postings.drop("in_title").join(docs.select("doc_id", "title"), "doc_id")
-                .withColumn("in_title", F.instr(go_lower(F.col("title")), F.col("term")) > 0).drop("title"))
-    return Index(docs=docs, postings=postings)
