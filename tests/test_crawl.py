@@ -44,3 +44,15 @@ def test_worker_stats(spark):
     th = cr.crawl_throughput(log).first()
     assert (th.pages_crawled, th.elapsed_s, th.pages_per_second) == (1, 10.0, 0.1)
     assert cr.crawl_throughput(log.filter(F.col("action") != "crawled")).count() == 0
+
+
+def test_seeds_join_the_frontier(spark):
+    from trawl.plans.inputs import SEED_URLS
+
+    links = spark.createDataFrame([], "page_id long, src_url string, link_pos int, dst_url string")
+    visited = spark.createDataFrame([("https://www.reddit.com",)], "url string")
+    seeds = spark.createDataFrame([(u,) for u in SEED_URLS] + [("HTTPS://EN.wikipedia.org/wiki/Astronomy",), (":bad",)],
+                                  "url string")
+    policy = spark.createDataFrame([], "domain string, allowed boolean, crawl_delay_s long")
+    got = cr.frontier_step(links, visited, policy, 5, crawled=1, seeds=seeds).collect()
+    assert [r.url for r in got] == sorted(u for u in SEED_URLS if "reddit" not in u)[:4]

@@ -13,7 +13,7 @@ FAST = ["tokenize", "postings", "postings_pages", "term_doc_count", "doc_lengths
         "search_scores", "search_topk", "search_topk_pages", "search_snippets", "matching_docs", "suggestions",
         "suggestions_pages", "search_tf", "normalize_url", "valid_url", "page_links", "pages_by_domain",
         "robots_policy", "frontier_step", "frontier_allowed", "frontier_sizes", "crawl_stats", "worker_stats",
-        "crawl_throughput", "to_crawl_output", "scan_crawl_output", "index_roundtrip"]
+        "crawl_throughput", "to_crawl_output", "scan_crawl_output", "index_roundtrip", "header_counts"]
 
 
 def _rows(pdf):

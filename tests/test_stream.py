@@ -8,7 +8,7 @@ from trawl.operators import index as ix
 from trawl.plans.inputs import fetched_pages
 from trawl.session import scratch_path
 from trawl.sources import crawl_files as cf
-from trawl.streaming.ingest import read_streamed_index, stream_index
+from trawl.streaming.ingest import batch_stats, read_streamed_index, stream_index
 
 
 def test_stream_equals_batch_and_quarantines(spark, sf, tmp_path):
@@ -37,6 +37,9 @@ def test_stream_equals_batch_and_quarantines(spark, sf, tmp_path):
     quarantine = spark.read.parquet(f"{root}/out/quarantine")
     assert quarantine.count() == 2  # truncated + null page_data; "other.json" is not a raw_ file
 
+    stats = batch_stats(spark, f"{root}/out").agg(F.sum("docs"), F.sum("quarantined"), F.sum("postings")).first()
+    assert tuple(stats) == (n, 2, a.count())
+
     # A restart from the checkpoint finds nothing new: no duplicates.
     q2 = stream_index(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt")
     q2.awaitTermination(600)

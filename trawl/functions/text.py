@@ -122,6 +122,24 @@ def _guarded(step):
     return apply
 
 
+def with_stem(df, word: str, out: str):
+    """Add column ``out`` = stem of string column ``word`` as scalar projections.
+
+    One projection per step, so each step reads the previous one as a column and whole-
+    stage codegen compiles the chain (used on exploded tokens at index build)."""
+    from pyspark.sql import DataFrame  # noqa: F401  (type of df)
+
+    keep = F.octet_length(F.col(word)) < STEM_MIN_BYTES
+    cur = word
+    for i, step in enumerate((_step1a, _step1b, _step2, _step3)):
+        nxt = out if i == 3 else f"_{out}_s{i}"
+        df = df.withColumn(nxt, F.when(keep, F.col(word)).otherwise(step(F.col(cur))))
+        if cur != word:
+            df = df.drop(cur)
+        cur = nxt
+    return df
+
+
 def stem(word: Column) -> Column:
     """Stem a single word (scalar form of `stem_words`)."""
     return F.element_at(stem_words(F.array(word)), 1)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.html import trim_ws
-from trawl.functions.urls import domain_key, extract_links
+from trawl.functions.urls import domain_key, extract_links, normalize_url
 
 # Crawl-log actions that count (fixed values); other actions count nothing.
 CRAWLED, INDEXED, FAILED = "crawled", "indexed", "failed"
@@ -66,8 +66,17 @@ def robots_policy(robots: DataFrame) -> DataFrame:
         "domain", F.col("r.allowed").alias("allowed"), F.col("r.delay").alias("crawl_delay_s"))
 
 
-def _candidates(links: DataFrame, visited: DataFrame, in_progress: DataFrame | None) -> DataFrame:
-    cand = links.select(F.col("dst_url").alias("url")).distinct()
+def seed_urls(seeds: DataFrame) -> DataFrame:
+    """Seed list (url) -> normalised URLs; unparseable seeds are dropped."""
+    return seeds.select(normalize_url(F.col("url")).alias("url")).filter(F.col("url").isNotNull())
+
+
+def _candidates(links: DataFrame, visited: DataFrame, in_progress: DataFrame | None,
+                seeds: DataFrame | None = None) -> DataFrame:
+    cand = links.select(F.col("dst_url").alias("url"))
+    if seeds is not None:
+        cand = cand.unionByName(seed_urls(seeds))
+    cand = cand.distinct()
     seen = visited.select("url")
     if in_progress is not None:
         seen = seen.unionByName(in_progress.select("url"))
@@ -75,26 +84,28 @@ def _candidates(links: DataFrame, visited: DataFrame, in_progress: DataFrame | N
 
 
 def frontier_allowed(links: DataFrame, visited: DataFrame, policy: DataFrame,
-                     in_progress: DataFrame | None = None) -> DataFrame:
+                     in_progress: DataFrame | None = None, seeds: DataFrame | None = None) -> DataFrame:
     """New URLs (not visited, not in progress) that robots allow: url, domain, crawl_delay_s.
 
-    URLs of domains without a policy row are allowed with delay 0.
+    Candidates are the link targets plus the normalised seed URLs, if given. URLs of
+    domains without a policy row are allowed with delay 0.
     """
-    cand = _candidates(links, visited, in_progress).withColumn("domain", domain_key(F.col("url")))
+    cand = _candidates(links, visited, in_progress, seeds).withColumn("domain", domain_key(F.col("url")))
     j = cand.join(policy.select("domain", "allowed", "crawl_delay_s"), "domain", "left")
     return (j.filter(F.coalesce(F.col("allowed"), F.lit(True)))
             .select("url", "domain", F.coalesce("crawl_delay_s", F.lit(0).cast("bigint")).alias("crawl_delay_s")))
 
 
 def frontier_step(links: DataFrame, visited: DataFrame, policy: DataFrame, max_pages: int,
-                  crawled: int = 0, in_progress: DataFrame | None = None) -> DataFrame:
+                  crawled: int = 0, in_progress: DataFrame | None = None,
+                  seeds: DataFrame | None = None) -> DataFrame:
     """One crawl round: the allowed new URLs within the page budget, in URL order.
 
     The budget (max_pages - crawled) is the feature here: a top-k by url, which Spark
     runs as a per-task top-k followed by a final merge.
     """
     budget = max(max_pages - crawled, 0)
-    return frontier_allowed(links, visited, policy, in_progress).orderBy("url").limit(budget)
+    return frontier_allowed(links, visited, policy, in_progress, seeds).orderBy("url").limit(budget)
 
 
 def frontier_sizes(links: DataFrame, visited: DataFrame, policy: DataFrame,

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.functions.text import analyze, go_lower, term_count
+from trawl.functions.text import go_lower, kept_words, term_count, with_stem
 
 
 def docs_table(corpus: DataFrame) -> DataFrame:
@@ -32,20 +32,17 @@ def postings_table(corpus: DataFrame) -> DataFrame:
     substring of the lower-cased title; it is computed here, where title and tokens
     share a row, so ranked search needs no docs join before its top-k.
     """
-    title_lc = go_lower(F.col("title"))
-    analyzed = corpus.select("doc_id", "title", analyze(F.col("clean_text")).alias("terms"))
-    tok = analyzed.select(
-        "doc_id",
-        F.posexplode(F.arrays_zip(
-            F.col("terms").alias("term"),
-            F.transform("terms", lambda t: F.instr(title_lc, t) > 0).alias("in_title"),
-        )).alias("pos", "t"),
-    )
-    return (tok.groupBy(F.col("t.term").alias("term"), "doc_id")
+    # Stemming never changes how many tokens are kept, so positions are taken from the
+    # kept (unstemmed) words; each token is then stemmed by codegen'd scalar projections.
+    tok = corpus.select("doc_id", go_lower(F.col("title")).alias("title_lc"),
+                        F.posexplode(kept_words(F.col("clean_text"))).alias("pos", "word"))
+    tok = with_stem(tok, "word", "term")
+    tok = tok.select("doc_id", "pos", "term", (F.instr(F.col("title_lc"), F.col("term")) > 0).alias("in_title"))
+    return (tok.groupBy("term", "doc_id")
             .agg(F.count(F.lit(1)).cast("int").alias("frequency"),
                  F.min("pos").alias("first_pos"),
                  F.array_sort(F.collect_list("pos")).alias("positions"),
-                 F.bool_or("t.in_title").alias("in_title")))
+                 F.bool_or("in_title").alias("in_title")))
 
 
 def term_stats(postings: DataFrame) -> DataFrame:

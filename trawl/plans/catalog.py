@@ -201,6 +201,10 @@ def q_scan_crawl_output(spark, sf):
     return cf.flatten(good)
 
 
+def q_header_counts(spark, sf):
+    return cf.header_counts(cf.crawl_envelope(fetched_pages(spark, sf)))
+
+
 def q_index_roundtrip(spark, sf):
     return _postings_out(stored_index(spark, sf, "documents").postings)
 
@@ -264,6 +268,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "to_crawl_output": q_to_crawl_output,
     "scan_crawl_output": q_scan_crawl_output,
     "index_roundtrip": q_index_roundtrip,
+    "header_counts": q_header_counts,
     "stream_index": q_stream_index,
     "stream_worker_stats": q_stream_worker_stats,
 }

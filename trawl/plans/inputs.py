@@ -97,3 +97,19 @@ def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.to_timestamp(F.lit(FETCH_START)) + F.make_dt_interval(secs=F.col("page_id").cast("decimal(18,6)")))
         .alias("fetch_time"),
         F.pmod(F.col("page_id"), F.lit(CRAWL_WORKERS)).cast("int").alias("worker_id"))
+
+
+# Seed URLs of the reference crawler (fixed values).
+SEED_URLS = (
+    "https://en.wikipedia.org/wiki/Web_crawler",
+    "https://en.wikipedia.org/wiki/World_War_II",
+    "https://en.wikipedia.org/wiki/Halogen",
+    "https://en.wikipedia.org/wiki/Taylor_Swift",
+    "https://en.wikipedia.org/wiki/Heartburn",
+    "https://en.wikipedia.org/wiki/Michael_Jackson",
+    "https://en.wikipedia.org/wiki/Michelangelo",
+    "https://en.wikipedia.org/wiki/Middle_East",
+    "https://en.wikipedia.org/wiki/Astronomy",
+    "https://www.reddit.com",
+    "https://store.steampowered.com/app/1262350/SIGNALIS/",
+)

@@ -247,6 +247,8 @@ SELECT p.term, p.frequency, p.first_pos, array_to_string(p.positions, ',') AS po
 FROM postings p JOIN corpus c USING (doc_id)"""
     q["stream_worker_stats"] = q["worker_stats"]
     q["to_crawl_output"] = q["scan_crawl_output"] = _crawl_output()
+    q["header_counts"] = """
+SELECT 'Content-Type' AS header, count(*) AS pages, count(DISTINCT 1) AS distinct_values FROM pages"""
     return q
 
 

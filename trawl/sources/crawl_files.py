@@ -141,3 +141,10 @@ def crawl_corpus(envelopes: DataFrame) -> DataFrame:
         F.xxhash64("url").alias("doc_id"), F.col("url"),
         page_title(F.col("page_data.content")).alias("title"),
         clean_text(F.col("page_data.content")).alias("clean_text"))
+
+
+def header_counts(envelopes: DataFrame) -> DataFrame:
+    """header, pages (envelopes carrying it), distinct_values: over the fetched headers map."""
+    h = envelopes.select(F.explode(F.map_entries("page_data.headers")).alias("h"))
+    return h.groupBy(F.col("h.key").alias("header")).agg(
+        F.count(F.lit(1)).alias("pages"), F.count_distinct("h.value").alias("distinct_values"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trawl.operators.index import Index, docs_table, postings_table
-from trawl.sources.crawl_files import CORRUPT, CRAWL_OUTPUT_READ, FILE_PREFIX, crawl_corpus, split_bad
+from trawl.sources.crawl_files import CORRUPT, CRAWL_OUTPUT_READ, FILE_PREFIX, crawl_corpus, is_good, split_bad
 
 MAX_FILES_PER_TRIGGER = 100
 
@@ -39,6 +39,14 @@ def index_batch(out_dir: str):
             _write(postings_table(corpus), f"{out}/postings", batch_id)
             _write(bad.select("url", "file_path", CORRUPT, F.input_file_name().alias("source_file")),
                    f"{out}/quarantine", batch_id)
+            # Running index stats per tick: one row per micro-batch.
+            written = batch.sparkSession.read.parquet(f"{out}/postings").filter(F.col("batch_id") == batch_id)
+            counts = batch.agg(F.count_if(is_good(batch)).alias("docs"),
+                               F.count_if(~is_good(batch)).alias("quarantined"))
+            _write(counts.select("docs", "quarantined",
+                                 written.select(F.count(F.lit(1))).scalar().alias("postings"),
+                                 written.select(F.count_distinct("term")).scalar().alias("terms")),
+                   f"{out}/batch_stats", batch_id)
         finally:
             batch.unpersist()
 
@@ -63,6 +71,11 @@ def stream_index(spark: SparkSession, input_dir: str, out_dir: str, checkpoint:
     return writer.start()
 
 
+def batch_stats(spark: SparkSession, out_dir: str) -> DataFrame:
+    """batch_id, docs, quarantined, postings, terms (distinct within the batch)."""
+    return spark.read.parquet(f"{out_dir.rstrip('/')}/batch_stats")
+
+
 def read_streamed_index(spark: SparkSession, out_dir: str) -> Index:
     out = out_dir.rstrip("/")
     return Index(docs=spark.read.parquet(f"{out}/docs").drop("batch_id"),
