@@ -74,3 +74,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tupl
     if n <= max_rows:
         return F.broadcast(df), n
     return df, None
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a CPU-heavy stage at least one task per core.
+
+    Text cleaning and tokenising cost far more per byte than reading, and a small input
+    may come in fewer splits (Parquet row groups) than there are cores. Only then is the
+    input redistributed round-robin; large inputs already have more splits than cores
+    and are left as they are (no extra shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

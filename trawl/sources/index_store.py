@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from trawl.operators.index import Index, docs_table, postings_table, term_stats
+from trawl.session import spread
 
 
 def _write_postings(postings: DataFrame, path: str, mode: str) -> None:
@@ -33,8 +34,8 @@ def build_and_write_index(corpus: DataFrame, path: str, mode: str = "overwrite")
     cleaned text) are written first, then postings are built from the stored docs, so
     HTML is cleaned once."""
     path = path.rstrip("/")
-    docs_table(corpus).sortWithinPartitions("doc_id").write.mode(mode).parquet(f"{path}/docs")
-    stored = corpus.sparkSession.read.parquet(f"{path}/docs").select("doc_id", "title", "clean_text")
+    docs_table(spread(corpus)).sortWithinPartitions("doc_id").write.mode(mode).parquet(f"{path}/docs")
+    stored = spread(corpus.sparkSession.read.parquet(f"{path}/docs").select("doc_id", "title", "clean_text"))
     _write_postings(postings_table(stored), path, mode)
 
 
