@@ -47,7 +47,18 @@ def postings_table(corpus: DataFrame) -> DataFrame:
 
 def term_stats(postings: DataFrame) -> DataFrame:
     """Document frequency per term: term, doc_count (postings hold one row per doc)."""
-    return postings.groupBy("term").agg(F.count(F.lit(1)).alias("doc_count"))
+    keys = ["term", BUCKET] if BUCKET in postings.columns else ["term"]
+    return postings.groupBy(*keys).agg(F.count(F.lit(1)).alias("doc_count"))
+
+
+# Stored indexes split postings and term_stats into this many hash buckets of the term
+# (a Parquet partition column), so joins on the term can prune whole buckets.
+TERM_BUCKETS = 64
+BUCKET = "term_bucket"
+
+
+def term_bucket(term):
+    return F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS)).cast("int")
 
 
 @dataclass
@@ -62,10 +73,22 @@ class Index:
     def term_stats(self) -> DataFrame:
         return self._term_stats if self._term_stats is not None else term_stats(self.postings)
 
+    @property
+    def bucketed(self) -> bool:
+        return BUCKET in self.postings.columns
+
+    @property
+    def term_keys(self) -> list[str]:
+        return ["term", BUCKET] if self.bucketed else ["term"]
+
+    def keyed(self, small: DataFrame) -> DataFrame:
+        """Add the bucket column to a small term-keyed frame when the index is bucketed."""
+        return small.withColumn(BUCKET, term_bucket(F.col("term"))) if self.bucketed else small
+
     @property
     def doc_terms(self) -> DataFrame:
         """(doc_id, term) pairs: postings without positions, for suggestions."""
-        return self.postings.select("doc_id", "term")
+        return self.postings.select("doc_id", *self.term_keys)
 
     def doc_count(self):
         """N as a scalar subquery column (no driver round trip, no cross join)."""

@@ -1,9 +1,10 @@
 """Index sink and source: Parquet tables docs / postings / term_stats.
 
-postings keep the hash partitioning of their aggregation on (term, doc_id) - no extra
-shuffle and no range-sampling pass - and are sorted by (term, doc_id) inside each file,
-so Parquet row-group min/max statistics let a term filter skip row groups, while a
-term found in a third of all documents is still spread over every file. docs are sorted
+postings and term_stats are partitioned by term_bucket = hash(term) mod 64 and sorted
+by term inside each file. Search joins on (term, term_bucket), so dynamic partition
+pruning reads only the buckets of the batch's query terms, and Parquet row-group
+min/max statistics skip row groups inside them. Writing goes through a rebalance on
+the bucket: AQE splits a bucket that holds a hot term into several files. docs are sorted
 by doc_id. Writes replace the whole index directory (overwrite); the incremental path
 is the streaming ingest, which writes per micro-batch.
 """
@@ -12,14 +13,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.operators.index import Index, docs_table, postings_table, term_stats
+from pyspark.sql import functions as F
+
+from trawl.operators.index import BUCKET, Index, docs_table, postings_table, term_bucket, term_stats
 from trawl.session import spread
 
 
+def _bucketed_write(df: DataFrame, path: str, mode: str, order: list[str]) -> None:
+    """Write partitioned by term bucket. The rebalance hint shuffles by bucket and lets
+    AQE split a bucket that holds a hot term into several files and merge small ones."""
+    (df.withColumn(BUCKET, term_bucket(F.col("term"))).hint("rebalance", BUCKET)
+     .sortWithinPartitions(BUCKET, *order).write.mode(mode).partitionBy(BUCKET).parquet(path))
+
+
 def _write_postings(postings: DataFrame, path: str, mode: str) -> None:
-    postings.sortWithinPartitions("term", "doc_id").write.mode(mode).parquet(f"{path}/postings")
-    stored = postings.sparkSession.read.parquet(f"{path}/postings")
-    term_stats(stored).sortWithinPartitions("term").write.mode(mode).parquet(f"{path}/term_stats")
+    _bucketed_write(postings, f"{path}/postings", mode, ["term", "doc_id"])
+    stored = postings.sparkSession.read.parquet(f"{path}/postings").drop(BUCKET)
+    _bucketed_write(term_stats(stored), f"{path}/term_stats", mode, ["term"])
 
 
 def write_index(index: Index, path: str, mode: str = "overwrite") -> None:
