@@ -56,3 +56,13 @@ def test_seeds_join_the_frontier(spark):
     policy = spark.createDataFrame([], "domain string, allowed boolean, crawl_delay_s long")
     got = cr.frontier_step(links, visited, policy, 5, crawled=1, seeds=seeds).collect()
     assert [r.url for r in got] == sorted(u for u in SEED_URLS if "reddit" not in u)[:4]
+
+
+def test_ordered_head_distributed_equals_single_task(spark):
+    from trawl.session import ordered_head
+
+    df = spark.range(0, 5000, 1, 7).selectExpr("format_string('u%05d', (id * 7919) % 5000) AS url", "id")
+    for k in (0, 1, 13, 4999, 5000, 6000):
+        a = [r.url for r in ordered_head(df, "url", k, distributed=False).collect()]
+        b = sorted(r.url for r in ordered_head(df, "url", k, distributed=True).collect())
+        assert a == b == sorted(f"u{i:05d}" for i in range(5000))[:k]

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.html import trim_ws
+from trawl.session import ordered_head
 from trawl.functions.urls import domain_key, extract_links, normalize_url
 
 # Crawl-log actions that count (fixed values); other actions count nothing.
@@ -101,11 +102,12 @@ def frontier_step(links: DataFrame, visited: DataFrame, policy: DataFrame, max_p
                   seeds: DataFrame | None = None) -> DataFrame:
     """One crawl round: the allowed new URLs within the page budget, in URL order.
 
-    The budget (max_pages - crawled) is the feature here: a top-k by url, which Spark
-    runs as a per-task top-k followed by a final merge.
+    The budget (max_pages - crawled) is the feature here: the first `budget` URLs in
+    order (`session.ordered_head`: a per-task top-k for small budgets, a range-
+    partitioned exact prefix when one merge task would be too big).
     """
     budget = max(max_pages - crawled, 0)
-    return frontier_allowed(links, visited, policy, in_progress, seeds).orderBy("url").limit(budget)
+    return ordered_head(frontier_allowed(links, visited, policy, in_progress, seeds), "url", budget)
 
 
 def frontier_sizes(links: DataFrame, visited: DataFrame, policy: DataFrame,

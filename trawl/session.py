@@ -88,3 +88,38 @@ def spread(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
+
+
+# Most rows the single merge task of a plain orderBy().limit() may receive
+# (partitions x limit); larger prefixes use `ordered_head`'s distributed path.
+SINGLE_TASK_TOPK_ROWS = 5_000_000
+
+
+def ordered_head(df: DataFrame, col: str, k: int, distributed: bool | None = None) -> DataFrame:
+    """The first k rows of df in ascending, unique `col` order - exact, for any k.
+
+    Small prefixes use orderBy().limit() (each task keeps its top k, one task merges
+    partitions x k rows). When that merge would exceed SINGLE_TASK_TOPK_ROWS, the frame is
+    range-partitioned and sorted by `col`, checkpointed to the shared checkpoint folder
+    (so both passes read one materialisation), its rows are counted per partition (one
+    row per partition), partition offsets are summed, and each row keeps its global
+    position from offset + position within its partition. No task sees more than its
+    own range.
+    """
+    if k <= 0:
+        return df.limit(0)
+    if distributed is None:
+        distributed = df.rdd.getNumPartitions() * k > SINGLE_TASK_TOPK_ROWS
+    if not distributed:
+        return df.orderBy(col).limit(k)
+    from pyspark.sql import Window
+
+    checkpoint_root(df.sparkSession)
+    ranged = df.repartitionByRange(col).sortWithinPartitions(col).checkpoint()
+    ided = ranged.select("*", F.spark_partition_id().alias("_pid"),
+                         (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).alias("_pos"))
+    counts = ided.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per partition: a window over the whole (tiny) table is fine here.
+    offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
+    return (ided.join(F.broadcast(offsets), "_pid")
+            .filter(F.col("_off") + F.col("_pos") < k).drop("_pid", "_pos", "_off"))
