@@ -71,3 +71,12 @@ def test_search_response_one_row_per_query(spark, sf, idx):
     q = queries_table(spark, sf)
     r = srch.search_response(idx, q)
     assert r.count() == q.count()
+
+
+def test_partitioning_does_not_change_postings(spark, sf):
+    from trawl.sources.corpus import load_corpus
+
+    c = load_corpus(spark, sf, "documents")
+    a = ix.postings_table(c)
+    b = ix.postings_table(c.repartition(7, F.rand(3)).sortWithinPartitions(F.rand(5)))
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trawl.functions.html import clean_text, page_title
+from trawl.functions.text import term_count
 
 PAGE_DATA = T.StructType([
     T.StructField("url", T.StringType()),
@@ -52,9 +53,12 @@ FILE_PREFIX = "raw_"
 DUMP_DIR = "crawl_output"
 
 
-def crawl_envelope(fetched: DataFrame, dump_dir: str = DUMP_DIR) -> DataFrame:
+def crawl_envelope(fetched: DataFrame, dump_dir: str = DUMP_DIR, with_word_count: bool = False) -> DataFrame:
     """Fetched pages (url, status_code, content, content_type, headers, fetch_time,
-    worker_id, page_id) -> envelopes + file_name (raw_<worker>_<timestamp>_<page_id>.json)."""
+    worker_id, page_id) -> envelopes + file_name (raw_<worker>_<timestamp>_<page_id>.json).
+
+    index_result.word_count is 0 as the crawler writes it; with_word_count=True fills it
+    with the page's index-term count instead."""
     ts = F.date_format("fetch_time", "yyyyMMdd_HHmmss")
     name = F.concat(F.lit(FILE_PREFIX), F.col("worker_id").cast("string"), F.lit("_"), ts, F.lit("_"),
                     F.col("page_id").cast("string"), F.lit(".json"))
@@ -66,7 +70,8 @@ def crawl_envelope(fetched: DataFrame, dump_dir: str = DUMP_DIR) -> DataFrame:
                  F.col("headers"), F.col("fetch_time")).alias("page_data"),
         F.struct(F.lit(True).alias("success"), F.lit(0.0).alias("processing_time"),
                  F.col("worker_id").cast("int").alias("worker_id"), F.lit("").alias("title"),
-                 F.lit(0).alias("word_count"), F.lit("pending").alias("content_hash"),
+                 (term_count(clean_text(F.col("content"))) if with_word_count else F.lit(0)).alias("word_count"),
+                 F.lit("pending").alias("content_hash"),
                  F.lit(None).cast("string").alias("error")).alias("index_result"),
         name.alias("file_name"),
     )
