@@ -8,7 +8,7 @@ from trawl.operators import index as ix
 from trawl.plans.inputs import fetched_pages
 from trawl.session import scratch_path
 from trawl.sources import crawl_files as cf
-from trawl.streaming.ingest import batch_stats, read_streamed_index, stream_index
+from trawl.streaming.ingest import batch_stats, compact_streamed_index, read_streamed_index, stream_index
 
 
 def test_stream_equals_batch_and_quarantines(spark, sf, tmp_path):
@@ -40,6 +40,11 @@ def test_stream_equals_batch_and_quarantines(spark, sf, tmp_path):
     stats = batch_stats(spark, f"{root}/out").agg(F.sum("docs"), F.sum("quarantined"), F.sum("postings")).first()
     assert tuple(stats) == (n, 2, a.count())
 
+    compacted = compact_streamed_index(spark, f"{root}/out", f"{root}/index")
+    assert compacted.bucketed
+    c = compacted.postings.select(cols)
+    assert c.count() == b.count() and c.exceptAll(b).count() == 0
+
     # A restart from the checkpoint finds nothing new: no duplicates.
     q2 = stream_index(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt")
     q2.awaitTermination(600)
@@ -71,3 +76,23 @@ def test_envelope_word_count_option(spark, sf):
     got = {r.url: r.wc for r in env.select("url", F.col("index_result.word_count").alias("wc")).collect()}
     want = {r.url: r.length for r in docs_table(pages_corpus(read_table(spark, sf, "pages"))).collect()}
     assert got == want
+
+
+def test_recrawled_page_replaces_older_version(spark, sf):
+    root = scratch_path(spark, "test-stream-recrawl")
+    env = cf.crawl_envelope(fetched_pages(spark, sf)).limit(3)
+    cf.write_crawl_files(env, f"{root}/in")
+    stream_index(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt").awaitTermination(600)
+    # The first page is fetched again with new content and lands in a later batch.
+    again = (env.limit(1).withColumn("page_data", F.struct(
+        *[F.lit("<title>New</title>fresh words").alias("content") if f == "content" else F.col(f"page_data.{f}")
+          for f in cf.PAGE_DATA.fieldNames()]))
+        .withColumn("file_name", F.concat(F.lit("raw_again_"), F.col("file_name"))))
+    cf.write_crawl_files(again, f"{root}/in")
+    stream_index(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt").awaitTermination(600)
+    idx = read_streamed_index(spark, f"{root}/out")
+    assert idx.docs.count() == 3
+    url = again.first().url
+    assert idx.docs.filter(F.col("url") == url).first().title == "New"
+    terms = {r.term for r in idx.postings.join(idx.docs.filter(F.col("url") == url), "doc_id").collect()}
+    assert terms == {"new", "fresh", "word"}

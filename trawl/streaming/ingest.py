@@ -77,6 +77,20 @@ def batch_stats(spark: SparkSession, out_dir: str) -> DataFrame:
 
 
 def read_streamed_index(spark: SparkSession, out_dir: str) -> Index:
+    """The index the ingest has written so far. A page crawled again in a later batch
+    replaces its earlier version: only each document's latest batch is kept."""
     out = out_dir.rstrip("/")
-    return Index(docs=spark.read.parquet(f"{out}/docs").drop("batch_id"),
-                 postings=spark.read.parquet(f"{out}/postings").drop("batch_id"))
+    docs = spark.read.parquet(f"{out}/docs")
+    latest = docs.groupBy("doc_id").agg(F.max("batch_id").alias("batch_id"))
+    keep = ["doc_id", "batch_id"]
+    return Index(docs=docs.join(latest, keep, "left_semi").drop("batch_id"),
+                 postings=spark.read.parquet(f"{out}/postings").join(latest, keep, "left_semi").drop("batch_id"))
+
+
+def compact_streamed_index(spark: SparkSession, out_dir: str, index_path: str) -> Index:
+    """Periodic compaction: rewrite the per-batch output as one bucketed index (docs,
+    postings and term stats partitioned for pruning), then read it back."""
+    from trawl.sources.index_store import read_index, write_index
+
+    write_index(read_streamed_index(spark, out_dir), index_path)
+    return read_index(spark, index_path)
