@@ -80,3 +80,25 @@ def test_partitioning_does_not_change_postings(spark, sf):
     a = ix.postings_table(c)
     b = ix.postings_table(c.repartition(7, F.rand(3)).sortWithinPartitions(F.rand(5)))
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_over_the_broadcast_bound_falls_back_to_shuffle_joins(spark, sf, idx, monkeypatch):
+    from trawl import session
+
+    q = queries_table(spark, sf)
+    want = {
+        "topk": sorted(map(tuple, srch.search_topk(idx, q, 3).collect())),
+        "sugg": sorted(map(tuple, srch.suggestions(idx, q, 3).collect())),
+        "tf": sorted(map(tuple, srch.search_tf(idx, q).collect())),
+    }
+    monkeypatch.setattr(session, "BROADCAST_MAX_ROWS", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        topk = srch.search_topk(idx, q, 3)
+        plan = topk._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        assert sorted(map(tuple, topk.collect())) == want["topk"]
+        assert sorted(map(tuple, srch.suggestions(idx, q, 3).collect())) == want["sugg"]
+        assert sorted(map(tuple, srch.search_tf(idx, q).collect())) == want["tf"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

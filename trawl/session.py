@@ -63,13 +63,14 @@ def local_path(path: str) -> str | None:
     return os.path.abspath(path)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, int | None]:
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, int | None]:
     """Broadcast ``df`` only when it has at most ``max_rows`` rows.
 
     The check is a bounded job (``limit(max_rows + 1).count()``), so it never reads
     more than ``max_rows + 1`` rows. Beyond the bound the frame is returned as is
     and the planner falls back to a shuffle join. Returns ``(frame, rows or None)``.
     """
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     n = df.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(df), n
