@@ -208,15 +208,20 @@ def domain_key(url: Column) -> Column:
     return _let(parse_url(url), lambda u: F.when(u["ok"] & u["auth"], F.concat(u["scheme"], F.lit("://"), u["host"])))
 
 
+def raw_hrefs(html: Column) -> Column:
+    """First href value of every <a> tag, unquoted and entity-decoded, in document order."""
+    raw = F.regexp_extract_all(strip_raw_text(html), F.lit(_A_HREF), 1)
+    return F.transform(raw, lambda v: decode_entities(
+        F.when(v.rlike(r"""^(".*"|'.*')$"""), F.substring(v, 2, F.length(v) - 2)).otherwise(v)))
+
+
 def extract_links(html: Column, page_url: Column) -> Column:
     """Distinct resolved, valid, normalised <a href> targets in document order.
 
     The first href of each <a> tag counts; comments and script/style/noscript raw text
     hold no links; attribute values are entity-decoded before resolution.
     """
-    raw = F.regexp_extract_all(strip_raw_text(html), F.lit(_A_HREF), 1)
-    vals = F.transform(raw, lambda v: decode_entities(
-        F.when(v.rlike(r"""^(".*"|'.*')$"""), F.substring(v, 2, F.length(v) - 2)).otherwise(v)))
+    vals = raw_hrefs(html)
     return _let(parse_url(page_url), lambda base: F.array_distinct(F.filter(
         F.transform(vals, lambda h: _let(resolve(base, parse_url(h)), _http_string)),
         lambda x: x.isNotNull())))

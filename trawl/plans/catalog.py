@@ -16,7 +16,7 @@ from trawl.functions.html import clean_text, first_title, page_title
 from trawl.functions.text import analyze
 from trawl.operators import index as ix
 from trawl.operators import search as srch
-from trawl.functions.urls import is_valid_url, normalize_url
+from trawl.functions.urls import is_valid_url, normalize_url, raw_hrefs
 from trawl.operators import crawl as cr
 from trawl.plans.inputs import crawl_log, fetched_pages, queries_table, robots_table, visited_urls
 from trawl.sources import crawl_files as cf
@@ -141,7 +141,12 @@ def q_normalize_url(spark, sf):
 
 
 def q_valid_url(spark, sf):
-    return read_table(spark, sf, "pages").select("page_id", "url", is_valid_url(F.col("url")).alias("valid"))
+    """The predicate on every page URL (href_pos -1) and on every raw href as written."""
+    pages = read_table(spark, sf, "pages")
+    own = pages.select("page_id", F.lit(-1).alias("href_pos"), "url")
+    hrefs = pages.select("page_id", F.posexplode(raw_hrefs(F.col("html"))).alias("href_pos", "url"))
+    return own.unionByName(hrefs).select("page_id", F.col("href_pos").cast("int").alias("href_pos"), "url",
+                                         is_valid_url(F.col("url")).alias("valid"))
 
 
 def q_page_links(spark, sf):

@@ -102,8 +102,10 @@ def crawl_sql(with_, strip_raw, decode_named, trim_ws) -> dict[str, str]:
 SELECT page_id, {ORIGIN.format(u='url')} || {path}
        || regexp_extract(url, '^[^?#]*(\\?[^#]*)?', 1) || regexp_extract(url, '^[^#]*(#.*)?', 1) AS url
 FROM pages""",
-        "valid_url": """
-SELECT page_id, url, coalesce(regexp_matches(url, '^(?i:https?):'), false) AS valid FROM pages""",
+        "valid_url": with_(links) + """
+, v_all AS (SELECT page_id, -1 AS i, url FROM pages UNION ALL SELECT page_id, i - 1, href FROM l_vals)
+SELECT page_id, CAST(i AS INTEGER) AS href_pos, url,
+       coalesce(regexp_matches(url, '^(?i:https?)://[^/?#]*(/|$)'), false) AS valid FROM v_all""",
         "page_links": with_(links) + "SELECT page_id, src_url, link_pos, dst_url FROM links",
         "pages_by_domain": f"SELECT {DOMAIN.format(u='url')} AS domain, count(*) AS pages FROM pages GROUP BY 1",
         "robots_policy": with_(robots) + "SELECT domain, allowed, crawl_delay_s FROM policy",
