@@ -102,3 +102,17 @@ def test_over_the_broadcast_bound_falls_back_to_shuffle_joins(spark, sf, idx, mo
         assert sorted(map(tuple, srch.search_tf(idx, q).collect())) == want["tf"]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_suggestions_equal_exhaustive_with_a_narrow_query(spark, sf, idx):
+    rare = idx.term_stats.filter("doc_count = 1 AND term rlike '^[a-z]+$'").orderBy("term").first().term
+    q = queries_table(spark, sf).unionByName(spark.createDataFrame([(99, rare)], "query_id long, query string"))
+    got = sorted(map(tuple, srch.suggestions(idx, q, 5).collect()))
+    qd = srch.query_terms(q).select("query_id", "term").distinct()
+    m = idx.postings.select("term", "doc_id").join(qd, "term").select("query_id", "doc_id").distinct()
+    co = (m.join(idx.postings.select("doc_id", "term"), "doc_id").groupBy("query_id", "term")
+          .agg(F.count(F.lit(1)).alias("doc_count")).join(qd, ["query_id", "term"], "left_anti"))
+    top = srch._top_per_query(co, 5, [F.col("doc_count").desc(), F.col("term").asc()])
+    want = sorted(map(tuple, top.select("query_id", F.col("rank").cast("int"), "term",
+                                        F.col("doc_count").cast("bigint")).collect()))
+    assert got == want and any(r[0] == 99 for r in got)
