@@ -61,6 +61,16 @@ def term_bucket(term):
     return F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS)).cast("int")
 
 
+# Stored docs are split the same way by document, so looking up the top-k documents of a
+# batch reads only their buckets (url/title, and clean_text for snippets).
+DOC_BUCKETS = 64
+DOC_BUCKET = "doc_bucket"
+
+
+def doc_bucket(doc_id):
+    return F.pmod(F.xxhash64(doc_id), F.lit(DOC_BUCKETS)).cast("int")
+
+
 @dataclass
 class Index:
     """An inverted index: document table + postings (+ derived term statistics)."""
@@ -85,6 +95,14 @@ class Index:
         """Add the bucket column to a small term-keyed frame when the index is bucketed."""
         return small.withColumn(BUCKET, term_bucket(F.col("term"))) if self.bucketed else small
 
+    def docs_for(self, small: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+        """(docs columns, small frame, join keys) for looking up the docs of a small frame
+        keyed by doc_id; with bucketed docs the join also matches the bucket."""
+        if DOC_BUCKET in self.docs.columns:
+            return (self.docs.select("doc_id", DOC_BUCKET, *cols),
+                    small.withColumn(DOC_BUCKET, doc_bucket(F.col("doc_id"))), ["doc_id", DOC_BUCKET])
+        return self.docs.select("doc_id", *cols), small, ["doc_id"]
+
     @property
     def doc_terms(self) -> DataFrame:
         """(doc_id, term) pairs: postings without positions, for suggestions."""

@@ -1,7 +1,8 @@
 """Index sink and source: Parquet tables docs / postings / term_stats.
 
 postings and term_stats are partitioned by term_bucket = hash(term) mod 64 and sorted
-by term inside each file. Search joins on (term, term_bucket), so dynamic partition
+by term inside each file; docs are partitioned by doc_bucket = hash(doc_id) mod 64 the
+same way, for top-k lookups. Search joins on (term, term_bucket), so dynamic partition
 pruning reads only the buckets of the batch's query terms, and Parquet row-group
 min/max statistics skip row groups inside them. Writing goes through a rebalance on
 the bucket: AQE splits a bucket that holds a hot term into several files. docs are sorted
@@ -15,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from trawl.operators.index import BUCKET, Index, docs_table, postings_table, term_bucket, term_stats
+from trawl.operators.index import (BUCKET, DOC_BUCKET, Index, doc_bucket, docs_table, postings_table, term_bucket,
+                                  term_stats)
 from trawl.session import spread
 
 
@@ -32,11 +34,16 @@ def _write_postings(postings: DataFrame, path: str, mode: str) -> None:
     _bucketed_write(term_stats(stored), f"{path}/term_stats", mode, ["term"])
 
 
+def _write_docs(docs: DataFrame, path: str, mode: str) -> None:
+    (docs.drop(DOC_BUCKET).withColumn(DOC_BUCKET, doc_bucket(F.col("doc_id"))).hint("rebalance", DOC_BUCKET)
+     .sortWithinPartitions(DOC_BUCKET, "doc_id").write.mode(mode).partitionBy(DOC_BUCKET).parquet(f"{path}/docs"))
+
+
 def write_index(index: Index, path: str, mode: str = "overwrite") -> None:
     """Write an (already built) index: docs, postings, term_stats."""
     path = path.rstrip("/")
-    index.docs.sortWithinPartitions("doc_id").write.mode(mode).parquet(f"{path}/docs")
-    _write_postings(index.postings, path, mode)
+    _write_docs(index.docs, path, mode)
+    _write_postings(index.postings.drop(BUCKET), path, mode)
 
 
 def build_and_write_index(corpus: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -44,7 +51,7 @@ def build_and_write_index(corpus: DataFrame, path: str, mode: str = "overwrite")
     cleaned text) are written first, then postings are built from the stored docs, so
     HTML is cleaned once."""
     path = path.rstrip("/")
-    docs_table(spread(corpus)).sortWithinPartitions("doc_id").write.mode(mode).parquet(f"{path}/docs")
+    _write_docs(docs_table(spread(corpus)), path, mode)
     stored = spread(corpus.sparkSession.read.parquet(f"{path}/docs").select("doc_id", "title", "clean_text"))
     _write_postings(postings_table(stored), path, mode)
 
