@@ -31,10 +31,12 @@ def index_batch(out_dir: str):
     out = out_dir.rstrip("/")
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        # A micro-batch is bounded by maxFilesPerTrigger; keeping it (and its cleaned
+        # text) means the files are parsed once and the HTML is cleaned once.
         batch = batch.persist()
+        good, bad = split_bad(batch)
+        corpus = crawl_corpus(good).persist()
         try:
-            good, bad = split_bad(batch)
-            corpus = crawl_corpus(good)
             _write(docs_table(corpus), f"{out}/docs", batch_id)
             _write(postings_table(corpus), f"{out}/postings", batch_id)
             _write(bad.select("url", "file_path", CORRUPT, F.input_file_name().alias("source_file")),
@@ -48,6 +50,7 @@ def index_batch(out_dir: str):
                                  written.select(F.count_distinct("term")).scalar().alias("terms")),
                    f"{out}/batch_stats", batch_id)
         finally:
+            corpus.unpersist()
             batch.unpersist()
 
     return run
