@@ -116,3 +116,11 @@ def test_suggestions_equal_exhaustive_with_a_narrow_query(spark, sf, idx):
     want = sorted(map(tuple, top.select("query_id", F.col("rank").cast("int"), "term",
                                         F.col("doc_count").cast("bigint")).collect()))
     assert got == want and any(r[0] == 99 for r in got)
+
+
+def test_single_query_helpers(spark, idx):
+    q = spark.createDataFrame([(0, "inon ering de")], "query_id long, query string")
+    assert sorted(map(tuple, srch.search(idx, "inon ering de", 4).collect())) == sorted(
+        map(tuple, srch.search_topk(idx, q, 4).drop("query_id").collect()))
+    assert srch.suggest(idx, "inon ering de", 3).count() == 3
+    assert srch.search(idx, "   ").count() == 0 and srch.suggest(idx, "").count() == 0
