@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.html import trim_ws
-from trawl.session import ordered_head
+from trawl.session import ordered_head, spread
 from trawl.functions.urls import domain_key, extract_links, normalize_url
 
 # Crawl-log actions that count (fixed values); other actions count nothing.
@@ -21,9 +21,10 @@ def page_links(pages: DataFrame) -> DataFrame:
     """page_id, src_url, link_pos, dst_url: de-duplicated out-links in document order.
 
     Deduplication happens per page inside its row (array_distinct), before the explode,
-    so it never shuffles.
+    so it never shuffles. HTML parsing is CPU-heavy, so a small input is first spread over
+    all cores (`session.spread`, a no-op when there are more splits than cores).
     """
-    return pages.select(
+    return spread(pages).select(
         "page_id", F.col("url").alias("src_url"),
         F.posexplode(extract_links(F.col("html"), F.col("url"))).alias("link_pos", "dst_url"),
     ).select("page_id", "src_url", F.col("link_pos").cast("int").alias("link_pos"), "dst_url")
