@@ -124,3 +124,19 @@ def test_single_query_helpers(spark, idx):
         map(tuple, srch.search_topk(idx, q, 4).drop("query_id").collect()))
     assert srch.suggest(idx, "inon ering de", 3).count() == 3
     assert srch.search(idx, "   ").count() == 0 and srch.suggest(idx, "").count() == 0
+
+
+def test_bucket_counts_are_recorded(spark, sf):
+    from trawl.session import scratch_path
+    from trawl.sources.corpus import load_corpus
+    from trawl.sources.index_store import build_and_write_index, read_index
+
+    p = scratch_path(spark, "test-buckets")
+    build_and_write_index(load_corpus(spark, sf, "documents"), p, term_buckets=7, doc_buckets=5)
+    i7 = read_index(spark, p)
+    assert (i7.term_buckets, i7.doc_buckets) == (7, 5)
+    assert i7.postings.select("term_bucket").distinct().count() == 7
+    q = spark.createDataFrame([(1, "inon ering de"), (2, "de de la")], "query_id long, query string")
+    ref = stored_index(spark, sf, "documents")
+    assert sorted(map(tuple, srch.search_topk(i7, q, 5).collect())) == sorted(
+        map(tuple, srch.search_topk(ref, q, 5).collect()))

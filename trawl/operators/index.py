@@ -51,24 +51,22 @@ def term_stats(postings: DataFrame) -> DataFrame:
     return postings.groupBy(*keys).agg(F.count(F.lit(1)).alias("doc_count"))
 
 
-# Stored indexes split postings and term_stats into this many hash buckets of the term
-# (a Parquet partition column), so joins on the term can prune whole buckets.
+# Stored indexes split postings and term_stats into hash buckets of the term (a Parquet
+# partition column), so joins on the term can prune whole buckets; docs are split the
+# same way by document, so the top-k documents of a batch are read from their buckets
+# only. Defaults; a stored index records the counts it was written with.
 TERM_BUCKETS = 64
+DOC_BUCKETS = 64
 BUCKET = "term_bucket"
+DOC_BUCKET = "doc_bucket"
 
 
-def term_bucket(term):
-    return F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS)).cast("int")
-
-
-# Stored docs are split the same way by document, so looking up the top-k documents of a
-# batch reads only their buckets (url/title, and clean_text for snippets).
-DOC_BUCKETS = 64
-DOC_BUCKET = "doc_bucket"
+def term_bucket(term, buckets: int = TERM_BUCKETS):
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def doc_bucket(doc_id):
-    return F.pmod(F.xxhash64(doc_id), F.lit(DOC_BUCKETS)).cast("int")
+def doc_bucket(doc_id, buckets: int = DOC_BUCKETS):
+    return F.pmod(F.xxhash64(doc_id), F.lit(buckets)).cast("int")
 
 
 @dataclass
@@ -78,6 +76,8 @@ class Index:
     docs: DataFrame
     postings: DataFrame
     _term_stats: DataFrame | None = None
+    term_buckets: int = TERM_BUCKETS
+    doc_buckets: int = DOC_BUCKETS
 
     @property
     def term_stats(self) -> DataFrame:
@@ -93,14 +93,15 @@ class Index:
 
     def keyed(self, small: DataFrame) -> DataFrame:
         """Add the bucket column to a small term-keyed frame when the index is bucketed."""
-        return small.withColumn(BUCKET, term_bucket(F.col("term"))) if self.bucketed else small
+        return small.withColumn(BUCKET, term_bucket(F.col("term"), self.term_buckets)) if self.bucketed else small
 
     def docs_for(self, small: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
         """(docs columns, small frame, join keys) for looking up the docs of a small frame
         keyed by doc_id; with bucketed docs the join also matches the bucket."""
         if DOC_BUCKET in self.docs.columns:
             return (self.docs.select("doc_id", DOC_BUCKET, *cols),
-                    small.withColumn(DOC_BUCKET, doc_bucket(F.col("doc_id"))), ["doc_id", DOC_BUCKET])
+                    small.withColumn(DOC_BUCKET, doc_bucket(F.col("doc_id"), self.doc_buckets)),
+                    ["doc_id", DOC_BUCKET])
         return self.docs.select("doc_id", *cols), small, ["doc_id"]
 
     @property

@@ -1,7 +1,7 @@
 """Index sink and source: Parquet tables docs / postings / term_stats.
 
-postings and term_stats are partitioned by term_bucket = hash(term) mod 64 and sorted
-by term inside each file; docs are partitioned by doc_bucket = hash(doc_id) mod 64 the
+postings and term_stats are partitioned by term_bucket = hash(term) mod B and sorted
+by term inside each file; docs are partitioned by doc_bucket = hash(doc_id) mod B' the
 same way, for top-k lookups. Search joins on (term, term_bucket), so dynamic partition
 pruning reads only the buckets of the batch's query terms, and Parquet row-group
 min/max statistics skip row groups inside them. Writing goes through a rebalance on
@@ -13,51 +13,65 @@ is the streaming ingest, which writes per micro-batch.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
-from trawl.operators.index import (BUCKET, DOC_BUCKET, Index, doc_bucket, docs_table, postings_table, term_bucket,
-                                  term_stats)
+from trawl.operators.index import (BUCKET, DOC_BUCKET, DOC_BUCKETS, TERM_BUCKETS, Index, doc_bucket, docs_table,
+                                  postings_table, term_bucket, term_stats)
 from trawl.session import spread
 
 
-def _bucketed_write(df: DataFrame, path: str, mode: str, order: list[str]) -> None:
+def _bucketed_write(df: DataFrame, path: str, mode: str, order: list[str], buckets: int) -> None:
     """Write partitioned by term bucket. The rebalance hint shuffles by bucket and lets
     AQE split a bucket that holds a hot term into several files and merge small ones."""
-    (df.withColumn(BUCKET, term_bucket(F.col("term"))).hint("rebalance", BUCKET)
+    (df.withColumn(BUCKET, term_bucket(F.col("term"), buckets)).hint("rebalance", BUCKET)
      .sortWithinPartitions(BUCKET, *order).write.mode(mode).partitionBy(BUCKET).parquet(path))
 
 
-def _write_postings(postings: DataFrame, path: str, mode: str) -> None:
-    _bucketed_write(postings, f"{path}/postings", mode, ["term", "doc_id"])
+def _write_postings(postings: DataFrame, path: str, mode: str, buckets: int) -> None:
+    _bucketed_write(postings, f"{path}/postings", mode, ["term", "doc_id"], buckets)
     stored = postings.sparkSession.read.parquet(f"{path}/postings").drop(BUCKET)
-    _bucketed_write(term_stats(stored), f"{path}/term_stats", mode, ["term"])
+    _bucketed_write(term_stats(stored), f"{path}/term_stats", mode, ["term"], buckets)
+
+
+def _write_docs(docs: DataFrame, path: str, mode: str, buckets: int) -> None:
+    (docs.drop(DOC_BUCKET).withColumn(DOC_BUCKET, doc_bucket(F.col("doc_id"), buckets))
+     .hint("rebalance", DOC_BUCKET).sortWithinPartitions(DOC_BUCKET, "doc_id")
+     .write.mode(mode).partitionBy(DOC_BUCKET).parquet(f"{path}/docs"))
+
 
+def _write_layout(spark: SparkSession, path: str, term_buckets: int, doc_buckets: int) -> None:
+    (spark.createDataFrame([(term_buckets, doc_buckets)], "term_buckets int, doc_buckets int")
+     .coalesce(1).write.mode("overwrite").json(f"{path}/layout"))
 
-def _write_docs(docs: DataFrame, path: str, mode: str) -> None:
-    (docs.drop(DOC_BUCKET).withColumn(DOC_BUCKET, doc_bucket(F.col("doc_id"))).hint("rebalance", DOC_BUCKET)
-     .sortWithinPartitions(DOC_BUCKET, "doc_id").write.mode(mode).partitionBy(DOC_BUCKET).parquet(f"{path}/docs"))
 
+def write_index(index: Index, path: str, mode: str = "overwrite",
+                term_buckets: int = TERM_BUCKETS, doc_buckets: int = DOC_BUCKETS) -> None:
+    """Write an (already built) index: docs, postings, term_stats, layout.
 
-def write_index(index: Index, path: str, mode: str = "overwrite") -> None:
-    """Write an (already built) index: docs, postings, term_stats."""
+    Bucket counts are chosen here; a few hundred MB to a few GB of postings per bucket is
+    a good size (64 for tests, thousands at 100 TB)."""
     path = path.rstrip("/")
-    _write_docs(index.docs, path, mode)
-    _write_postings(index.postings.drop(BUCKET), path, mode)
+    _write_docs(index.docs, path, mode, doc_buckets)
+    _write_postings(index.postings.drop(BUCKET), path, mode, term_buckets)
+    _write_layout(index.docs.sparkSession, path, term_buckets, doc_buckets)
 
 
-def build_and_write_index(corpus: DataFrame, path: str, mode: str = "overwrite") -> None:
+def build_and_write_index(corpus: DataFrame, path: str, mode: str = "overwrite",
+                          term_buckets: int = TERM_BUCKETS, doc_buckets: int = DOC_BUCKETS) -> None:
     """Index a corpus in two passes with the lineage cut between them: docs (with the
     cleaned text) are written first, then postings are built from the stored docs, so
     HTML is cleaned once."""
     path = path.rstrip("/")
-    _write_docs(docs_table(spread(corpus)), path, mode)
+    _write_docs(docs_table(spread(corpus)), path, mode, doc_buckets)
     stored = spread(corpus.sparkSession.read.parquet(f"{path}/docs").select("doc_id", "title", "clean_text"))
-    _write_postings(postings_table(stored), path, mode)
+    _write_postings(postings_table(stored), path, mode, term_buckets)
+    _write_layout(corpus.sparkSession, path, term_buckets, doc_buckets)
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
     path = path.rstrip("/")
+    layout = spark.read.schema("term_buckets int, doc_buckets int").json(f"{path}/layout").first()
     return Index(docs=spark.read.parquet(f"{path}/docs"),
                  postings=spark.read.parquet(f"{path}/postings"),
-                 _term_stats=spark.read.parquet(f"{path}/term_stats"))
+                 _term_stats=spark.read.parquet(f"{path}/term_stats"),
+                 term_buckets=layout.term_buckets, doc_buckets=layout.doc_buckets)
