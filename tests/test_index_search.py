@@ -140,3 +140,17 @@ def test_bucket_counts_are_recorded(spark, sf):
     ref = stored_index(spark, sf, "documents")
     assert sorted(map(tuple, srch.search_topk(i7, q, 5).collect())) == sorted(
         map(tuple, srch.search_topk(ref, q, 5).collect()))
+
+
+def test_check_docs_drops_missing_documents_before_ranking(spark, sf, idx):
+    from trawl.operators.index import Index
+
+    q = spark.createDataFrame([(1, "inon ering de")], "query_id long, query string")
+    full = srch.search_topk(idx, q, 3).collect()
+    missing = full[0].doc_id
+    partial = Index(docs=idx.docs.filter(F.col("doc_id") != missing), postings=idx.postings,
+                    _term_stats=idx.term_stats, term_buckets=idx.term_buckets, doc_buckets=idx.doc_buckets)
+    loose = srch.search_topk(partial, q, 3).collect()
+    strict = srch.search_topk(partial, q, 3, check_docs=True).collect()
+    assert len(loose) == 2 and len(strict) == 3
+    assert [r.doc_id for r in strict][:2] == [r.doc_id for r in full][1:]

@@ -10,7 +10,7 @@ Query side of ranked search and suggestions: lower-case + split only (`query_wor
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
@@ -122,13 +122,11 @@ def _guarded(step):
     return apply
 
 
-def with_stem(df, word: str, out: str):
+def with_stem(df: DataFrame, word: str, out: str) -> DataFrame:
     """Add column ``out`` = stem of string column ``word`` as scalar projections.
 
     One projection per step, so each step reads the previous one as a column and whole-
     stage codegen compiles the chain (used on exploded tokens at index build)."""
-    from pyspark.sql import DataFrame  # noqa: F401  (type of df)
-
     keep = F.octet_length(F.col(word)) < STEM_MIN_BYTES
     cur = word
     for i, step in enumerate((_step1a, _step1b, _step2, _step3)):
