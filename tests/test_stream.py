@@ -96,3 +96,37 @@ def test_recrawled_page_replaces_older_version(spark, sf):
     assert idx.docs.filter(F.col("url") == url).first().title == "New"
     terms = {r.term for r in idx.postings.join(idx.docs.filter(F.col("url") == url), "doc_id").collect()}
     assert terms == {"new", "fresh", "word"}
+
+
+def test_polling_trigger_and_json_lines_sink(spark, sf):
+    root = scratch_path(spark, "test-stream-poll")
+    env = cf.crawl_envelope(fetched_pages(spark, sf))
+    cf.write_crawl_files(env.limit(10), f"{root}/in")
+    q = stream_index(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", available_now=False, poll="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert read_streamed_index(spark, f"{root}/out").docs.count() == 10
+
+    # JSON Lines sink (many envelopes per file) reads back with multiline=False.
+    cf.write_crawl_output(env, f"{root}/jsonl", mode="overwrite")
+    back = spark.read.schema(cf.CRAWL_OUTPUT_READ).json(f"{root}/jsonl")
+    good, bad = cf.split_bad(back)
+    assert good.count() == env.count() and bad.count() == 0
+    assert cf.flatten(good).exceptAll(cf.flatten(env)).count() == 0
+
+
+def test_stream_worker_stats_equals_batch(spark, sf):
+    from trawl.operators.crawl import worker_stats
+    from trawl.plans.inputs import crawl_log
+    from trawl.streaming.stats import stream_worker_stats
+
+    root = scratch_path(spark, "test-stream-stats")
+    log = crawl_log(spark, sf)
+    log.repartition(3).write.json(f"{root}/log")
+    q = stream_worker_stats(spark, f"{root}/log", f"{root}/out", f"{root}/ckpt")
+    q.awaitTermination(600)
+    got = spark.read.parquet(f"{root}/out")
+    want = worker_stats(log)
+    assert got.count() == want.count() and got.exceptAll(want.select(got.columns)).count() == 0
