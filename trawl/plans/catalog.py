@@ -133,7 +133,13 @@ def q_search_tf(spark, sf):
 
 
 def q_search_response(spark, sf):
-    return srch.search_response(stored_index(spark, sf, "pages"), queries_table(spark, sf), 5, 5)
+    """The combined response per query, projected to comparable text: ranked doc ids
+    ("rank:doc_id,...") and suggested terms, in order."""
+    r = srch.search_response(stored_index(spark, sf, "pages"), queries_table(spark, sf), 5, 5)
+    return r.select(
+        "query_id", F.size("results").alias("n_results"),
+        F.array_join(F.transform("results", lambda x: F.concat_ws(":", x["rank"], x["doc_id"])), ",").alias("results"),
+        F.array_join("suggestions", ",").alias("suggestions"))
 
 
 def q_normalize_url(spark, sf):

@@ -173,6 +173,24 @@ SELECT query_id, CAST(rnk AS INTEGER) AS rank, term, CAST(doc_count AS BIGINT) A
 FROM top WHERE rnk <= {n}"""
 
 
+def _response(kind: str, n: int = 5) -> str:
+    return _with(CORPUS[kind], TOKENS, INDEX, _queries_cte(), SCORES) + f"""
+, matching AS (SELECT DISTINCT q.query_id, p.doc_id FROM qterms q JOIN postings p ON p.term = q.term),
+co AS (
+  SELECT m.query_id, p.term, count(*) AS doc_count
+  FROM matching m JOIN postings p ON p.doc_id = m.doc_id
+  WHERE NOT EXISTS (SELECT 1 FROM qterms q WHERE q.query_id = m.query_id AND q.term = p.term)
+  GROUP BY m.query_id, p.term),
+sug AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY doc_count DESC, term) AS rnk FROM co),
+res AS (SELECT query_id, count(*) AS n, string_agg(CAST(rnk AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR), ','
+                                                   ORDER BY rnk) AS s
+        FROM ranked WHERE rnk <= {n} GROUP BY query_id),
+sg AS (SELECT query_id, string_agg(term, ',' ORDER BY rnk) AS s FROM sug WHERE rnk <= {n} GROUP BY query_id)
+SELECT q.query_id, CAST(coalesce(res.n, 0) AS INTEGER) AS n_results, coalesce(res.s, '') AS results,
+       coalesce(sg.s, '') AS suggestions
+FROM queries q LEFT JOIN res USING (query_id) LEFT JOIN sg USING (query_id)"""
+
+
 def _search_tf(kind: str) -> str:
     # The query goes through the document analysis: the same token CTEs run on queries.
     q_corpus = """
@@ -239,6 +257,7 @@ SELECT DISTINCT q.query_id, p.doc_id FROM qterms q JOIN postings p ON p.term = q
         "suggestions": _suggestions("documents"),
         "suggestions_pages": _suggestions("pages"),
         "search_tf": _search_tf("documents"),
+        "search_response": _response("pages"),
     }
     q.update(crawl_sql(_with, _strip_raw, _decode_named, _trim_ws))
     q["index_roundtrip"] = q["postings"]
