@@ -66,3 +66,13 @@ def test_ordered_head_distributed_equals_single_task(spark):
         a = [r.url for r in ordered_head(df, "url", k, distributed=False).collect()]
         b = sorted(r.url for r in ordered_head(df, "url", k, distributed=True).collect())
         assert a == b == sorted(f"u{i:05d}" for i in range(5000))[:k]
+
+
+def test_bounded_broadcast_checks_rows_and_bytes(spark):
+    from trawl.session import bounded_broadcast
+
+    df = spark.range(100).selectExpr("id", "repeat('x', 1000) AS s")
+    assert bounded_broadcast(df)[1] == 100
+    assert bounded_broadcast(df, max_rows=99)[1] is None
+    assert bounded_broadcast(df, max_bytes=50_000)[1] is None
+    assert bounded_broadcast(df, max_bytes=200_000)[1] == 100

@@ -9,8 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Most rows a DataFrame may have to be broadcast by `bounded_broadcast`.
+# Most rows and bytes (as JSON text, an upper bound of the in-memory size) a DataFrame may
+# have to be broadcast by `bounded_broadcast`.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 << 20
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
@@ -63,16 +65,20 @@ def local_path(path: str) -> str | None:
     return os.path.abspath(path)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, int | None]:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
+                      max_bytes: int | None = None) -> tuple[DataFrame, int | None]:
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows and ``max_bytes`` bytes.
 
-    The check is a bounded job (``limit(max_rows + 1).count()``), so it never reads
-    more than ``max_rows + 1`` rows. Beyond the bound the frame is returned as is
-    and the planner falls back to a shuffle join. Returns ``(frame, rows or None)``.
+    The check is one bounded job over ``limit(max_rows + 1)`` (it never reads more rows
+    than that) that counts rows and sums their serialised size. Beyond either bound the
+    frame is returned as is and the planner falls back to a shuffle join. Returns
+    ``(frame, rows)`` with rows None when the frame is not broadcast.
     """
     max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))), F.lit(0))
+    n, nbytes = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
+    if n <= max_rows and nbytes <= max_bytes:
         return F.broadcast(df), n
     return df, None
 
