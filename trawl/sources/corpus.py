@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawl.functions.html import NO_TITLE, clean_text, page_title
+from trawl.session import spread
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,8 +17,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def pages_corpus(pages: DataFrame) -> DataFrame:
-    """Raw web pages (page_id, url, html): cleaned to text and titled."""
-    return pages.select(
+    """Raw web pages (page_id, url, html): cleaned to text and titled.
+
+    HTML cleaning is the CPU-heavy part, so the raw rows are spread over all cores first
+    when they come in fewer splits than cores (`session.spread`; no-op on large inputs).
+    """
+    return spread(pages).select(
         F.col("page_id").cast("bigint").alias("doc_id"),
         F.col("url"),
         page_title(F.col("html")).alias("title"),
