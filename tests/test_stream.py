@@ -130,3 +130,14 @@ def test_stream_worker_stats_equals_batch(spark, sf):
     got = spark.read.parquet(f"{root}/out")
     want = worker_stats(log)
     assert got.count() == want.count() and got.exceptAll(want.select(got.columns)).count() == 0
+
+
+def test_crawl_file_writer_accepts_path_forms(spark, sf, tmp_path):
+    import os
+
+    env = cf.crawl_envelope(fetched_pages(spark, sf)).limit(3)
+    for i, form in enumerate([str(tmp_path / "a"), "file:" + str(tmp_path / "b"), "file://" + str(tmp_path / "c")]):
+        assert cf.write_crawl_files(env, form) == 3
+        d = tmp_path / "abc"[i]
+        assert len([f for f in os.listdir(d) if f.startswith("raw_")]) == 3
+        assert cf.read_crawl_output(spark, form).count() == 3

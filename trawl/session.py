@@ -56,13 +56,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/trawl/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str | None:
-    """The local file system path of ``path`` if it is one, else None."""
-    if path.startswith("file:"):
-        return path[len("file:"):].replace("///", "/", 1) if path.startswith("file:///") else path[5:]
+def fs_uri(path: str) -> str:
+    """A full URI for a path: plain paths and Hadoop-style "file:/x" become "file:///x"."""
     if "://" in path:
-        return None
-    return os.path.abspath(path)
+        return path
+    if path.startswith("file:"):
+        path = path[len("file:"):]
+    return "file://" + os.path.abspath(path)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None,

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from trawl.functions.html import clean_text, page_title
 from trawl.functions.text import term_count
+from trawl.session import fs_uri
 
 PAGE_DATA = T.StructType([
     T.StructField("url", T.StringType()),
@@ -103,6 +104,7 @@ def write_crawl_files(envelopes: DataFrame, directory: str) -> int:
     file system pyarrow can open (local, HDFS, S3, GCS). Returns the number of files.
     """
     body = envelopes.select("file_name", F.to_json(F.struct(*[c.name for c in CRAWL_OUTPUT.fields])).alias("json"))
+    uri = fs_uri(directory)
 
     def write(batches):
         import json
@@ -110,7 +112,7 @@ def write_crawl_files(envelopes: DataFrame, directory: str) -> int:
         import pandas as pd
         import pyarrow.fs as pafs
 
-        fs, root = pafs.FileSystem.from_uri(directory if "://" in directory else "file://" + directory)
+        fs, root = pafs.FileSystem.from_uri(uri)
         fs.create_dir(f"{root}/_incoming", recursive=True)
         for pdf in batches:
             for name, text in zip(pdf["file_name"], pdf["json"]):
