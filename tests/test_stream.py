@@ -141,3 +141,18 @@ def test_crawl_file_writer_accepts_path_forms(spark, sf, tmp_path):
         d = tmp_path / "abc"[i]
         assert len([f for f in os.listdir(d) if f.startswith("raw_")]) == 3
         assert cf.read_crawl_output(spark, form).count() == 3
+
+
+def test_clean_source_archive(spark, sf):
+    import os
+
+    root = scratch_path(spark, "test-stream-archive")
+    n = cf.write_crawl_files(cf.crawl_envelope(fetched_pages(spark, sf)), f"{root}/in")
+    q = stream_index(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", max_files_per_trigger=10,
+                     clean_source="archive", archive_dir=f"{root}/archive")
+    q.awaitTermination(600)
+    assert q.exception() is None
+    archived = sum(len([f for f in fs if f.startswith("raw_")]) for _, _, fs in os.walk(f"{root}/archive".replace("file:", "")))
+    left = len([f for f in os.listdir(f"{root}/in".replace("file:", "")) if f.startswith("raw_")])
+    assert archived > 0 and archived + left == n
+    assert read_streamed_index(spark, f"{root}/out").docs.count() == n

@@ -58,16 +58,22 @@ def index_batch(out_dir: str):
 
 def stream_index(spark: SparkSession, input_dir: str, out_dir: str, checkpoint: str,
                  available_now: bool = True, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
-                 clean_source: str | None = None, poll: str = "1 second") -> StreamingQuery:
+                 clean_source: str | None = None, poll: str = "1 second",
+                 archive_dir: str | None = None) -> StreamingQuery:
     """Start the ingest. available_now processes what is there and stops (tests, batch
-    catch-up); otherwise it polls every `poll`. clean_source="delete"/"archive" removes
-    processed files (lagging one batch behind, as the file source does)."""
+    catch-up); otherwise it polls every `poll`. clean_source="delete" removes processed
+    files, "archive" moves them under archive_dir (both lag one batch behind, as the file
+    source does)."""
     reader = (spark.readStream.schema(CRAWL_OUTPUT_READ).option("multiLine", True)
               .option("pathGlobFilter", f"{FILE_PREFIX}*").option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT)
               .option("maxFilesPerTrigger", max_files_per_trigger))
     if clean_source:
         reader = reader.option("cleanSource", clean_source)
+        if clean_source == "archive":
+            if not archive_dir:
+                raise ValueError("clean_source='archive' needs archive_dir")
+            reader = reader.option("sourceArchiveDir", archive_dir)
     writer = (reader.json(input_dir).writeStream.foreachBatch(index_batch(out_dir))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=poll)
