@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import sharding
+from trawl.llm import packing, sharding
 from trawl.llm.common import table
+from trawl.llm.tokenizers_io import public_path
 
 N_SHARDS = 40
 
@@ -18,5 +19,16 @@ def op10_sharding(spark, sf):
                          "vslot", F.col("version").alias("map_version"))
 
 
-QUERIES = {"op10_sharding": op10_sharding}
+def op8_packing(spark, sf):
+    """Sequences of at most 1024 tokens, filled by BM25 neighbours."""
+    return packing_digest(packing.pack(table(spark, sf, "documents"), public_path("byte_bpe_50k.json"),
+                                       public_path("byte_bpe_50k.tiktoken")))
+
+
+def packing_digest(pieces):
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset", "padded")
+
+
+QUERIES = {"op8_packing": op8_packing, "op10_sharding": op10_sharding}
 ORACLE_SQL: dict[str, str] = {}
