@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import packing, sharding
+from trawl.llm import packing, sharding, token_counts
 from trawl.llm.common import table
 from trawl.llm.tokenizers_io import public_path
 
 N_SHARDS = 40
+TOKEN_LIMIT = 2048
+
+
+def op1_token_counts(spark, sf):
+    """Tokens of every whole text, summed from piece counts of distinct pre-tokens."""
+    counts = token_counts.count_tokens(table(spark, sf, "documents"), public_path("word_bpe_49k.json"))
+    return token_counts.with_limit(counts, TOKEN_LIMIT).select("doc_id", "n_bytes", "n_tokens", "over_limit",
+                                                               "n_pretokens")
 
 
 def op10_sharding(spark, sf):
@@ -30,5 +38,5 @@ def packing_digest(pieces):
                          "offset", "padded")
 
 
-QUERIES = {"op8_packing": op8_packing, "op10_sharding": op10_sharding}
+QUERIES = {"op1_token_counts": op1_token_counts, "op8_packing": op8_packing, "op10_sharding": op10_sharding}
 ORACLE_SQL: dict[str, str] = {}
