@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import packing, sharding, token_counts
+from trawl.llm import packing, sharding, simhash, token_counts
 from trawl.llm.common import table
 from trawl.llm.tokenizers_io import public_path
 
 N_SHARDS = 40
 TOKEN_LIMIT = 2048
+SIMHASH_BITS, SIMHASH_SHINGLE = 3, 3
 
 
 def op1_token_counts(spark, sf):
@@ -27,6 +28,12 @@ def op10_sharding(spark, sf):
                          "vslot", F.col("version").alias("map_version"))
 
 
+def op4_simhash_groups(spark, sf):
+    """Components of 64-bit SimHash fingerprints within 3 bits."""
+    return simhash.groups(table(spark, sf, "documents"), SIMHASH_BITS, SIMHASH_SHINGLE).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op8_packing(spark, sf):
     """Sequences of at most 1024 tokens, filled by BM25 neighbours."""
     return packing_digest(packing.pack(table(spark, sf, "documents"), public_path("byte_bpe_50k.json"),
@@ -38,5 +45,5 @@ def packing_digest(pieces):
                          "offset", "padded")
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op8_packing": op8_packing, "op10_sharding": op10_sharding}
+QUERIES = {"op1_token_counts": op1_token_counts, "op4_simhash_groups": op4_simhash_groups, "op8_packing": op8_packing, "op10_sharding": op10_sharding}
 ORACLE_SQL: dict[str, str] = {}
