@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import packing, sharding, simhash, token_counts
+from trawl.llm import packing, secrets, sharding, simhash, token_counts
 from trawl.llm.common import table
 from trawl.llm.tokenizers_io import public_path
 
@@ -20,6 +20,16 @@ def op1_token_counts(spark, sf):
                                                                "n_pretokens")
 
 
+def op9_secret_scan(spark, sf):
+    """Secrets in every text: base patterns and high-entropy strings."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    base, spans = F.col("secret_base"), F.col("secret_spans")
+    kinds = [secrets.count_kind(base, k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return secrets.scan(docs).select(
+        "doc_id", *kinds, F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(spans).alias("spans"), secrets.count_kind(spans, "entropy").alias("n_entropy"))
+
+
 def op10_sharding(spark, sf):
     """Shards 0 to 39 of near-equal bytes (law `bytes`) by fixed virtual slots."""
     placed = sharding.shard(table(spark, sf, "documents"), N_SHARDS)
@@ -45,5 +55,5 @@ def packing_digest(pieces):
                          "offset", "padded")
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op4_simhash_groups": op4_simhash_groups, "op8_packing": op8_packing, "op10_sharding": op10_sharding}
+QUERIES = {"op1_token_counts": op1_token_counts, "op4_simhash_groups": op4_simhash_groups, "op8_packing": op8_packing, "op9_secret_scan": op9_secret_scan, "op10_sharding": op10_sharding}
 ORACLE_SQL: dict[str, str] = {}
