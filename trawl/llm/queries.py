@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import packing, secrets, sharding, simhash, token_counts
+from trawl.llm import decontamination, packing, secrets, sharding, simhash, token_counts
 from trawl.llm.common import table
 from trawl.llm.tokenizers_io import public_path
 
@@ -38,6 +38,13 @@ def op10_sharding(spark, sf):
                          "vslot", F.col("version").alias("map_version"))
 
 
+def op3_decontamination(spark, sf):
+    """Pairs of a document and a benchmark item that it holds whole, in part, or with replaced words."""
+    found = decontamination.overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "item_id", "matched", "aligned", "doc_start",
+                        (F.col("matched") / F.col("aligned")).alias("share"))
+
+
 def op4_simhash_groups(spark, sf):
     """Components of 64-bit SimHash fingerprints within 3 bits."""
     return simhash.groups(table(spark, sf, "documents"), SIMHASH_BITS, SIMHASH_SHINGLE).select(
@@ -55,5 +62,5 @@ def packing_digest(pieces):
                          "offset", "padded")
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op4_simhash_groups": op4_simhash_groups, "op8_packing": op8_packing, "op9_secret_scan": op9_secret_scan, "op10_sharding": op10_sharding}
+QUERIES = {"op1_token_counts": op1_token_counts, "op3_decontamination": op3_decontamination, "op4_simhash_groups": op4_simhash_groups, "op8_packing": op8_packing, "op9_secret_scan": op9_secret_scan, "op10_sharding": op10_sharding}
 ORACLE_SQL: dict[str, str] = {}
