@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import decontamination, packing, secrets, sharding, simhash, token_counts
+from trawl.llm import decontamination, packing, secrets, sharding, simhash, token_counts, toxicity
 from trawl.llm.common import table
 from trawl.llm.tokenizers_io import public_path
 
@@ -38,6 +38,12 @@ def op10_sharding(spark, sf):
                          "vslot", F.col("version").alias("map_version"))
 
 
+def op2_toxicity(spark, sf):
+    """Toxicity of every whole text; learnt from labelled rows that are not held out."""
+    docs = table(spark, sf, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+
+
 def op3_decontamination(spark, sf):
     """Pairs of a document and a benchmark item that it holds whole, in part, or with replaced words."""
     found = decontamination.overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
@@ -62,5 +68,5 @@ def packing_digest(pieces):
                          "offset", "padded")
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op3_decontamination": op3_decontamination, "op4_simhash_groups": op4_simhash_groups, "op8_packing": op8_packing, "op9_secret_scan": op9_secret_scan, "op10_sharding": op10_sharding}
+QUERIES = {"op1_token_counts": op1_token_counts, "op2_toxicity": op2_toxicity, "op3_decontamination": op3_decontamination, "op4_simhash_groups": op4_simhash_groups, "op8_packing": op8_packing, "op9_secret_scan": op9_secret_scan, "op10_sharding": op10_sharding}
 ORACLE_SQL: dict[str, str] = {}
