@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import decontamination, packing, secrets, sharding, simhash, token_counts, toxicity
+from trawl.llm import decontamination, order_minhash, packing, secrets, sharding, simhash, token_counts, toxicity
 from trawl.llm.common import table
 from trawl.llm.tokenizers_io import public_path
 
@@ -57,6 +57,11 @@ def op4_simhash_groups(spark, sf):
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_order_minhash(spark, sf):
+    """Order min-hash fingerprints of every text and its edited text."""
+    return order_minhash.fingerprints(table(spark, sf, "documents"))
+
+
 def op8_packing(spark, sf):
     """Sequences of at most 1024 tokens, filled by BM25 neighbours."""
     return packing_digest(packing.pack(table(spark, sf, "documents"), public_path("byte_bpe_50k.json"),
@@ -68,5 +73,5 @@ def packing_digest(pieces):
                          "offset", "padded")
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op2_toxicity": op2_toxicity, "op3_decontamination": op3_decontamination, "op4_simhash_groups": op4_simhash_groups, "op8_packing": op8_packing, "op9_secret_scan": op9_secret_scan, "op10_sharding": op10_sharding}
+QUERIES = {"op1_token_counts": op1_token_counts, "op2_toxicity": op2_toxicity, "op3_decontamination": op3_decontamination, "op4_simhash_groups": op4_simhash_groups, "op6_order_minhash": op6_order_minhash, "op8_packing": op8_packing, "op9_secret_scan": op9_secret_scan, "op10_sharding": op10_sharding}
 ORACLE_SQL: dict[str, str] = {}
