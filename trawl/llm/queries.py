@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import decontamination, order_minhash, packing, secrets, sharding, simhash, token_counts, toxicity
+from trawl.llm import chat_format, decontamination, order_minhash, packing, secrets, sharding, simhash, token_counts, toxicity
 from trawl.llm.common import table
 from trawl.llm.tokenizers_io import public_path
 
@@ -57,6 +57,41 @@ def op4_simhash_groups(spark, sf):
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op5_chat_format(spark, sf):
+    """Prefix-target examples of all conversations, read back from the formatted texts."""
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)],
+                                  "conv_id long, turn long, role string, text string")
+    back = chat_format.read_back(chat_format.examples(turns.union(probe)))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+                       F.char_length("loss_text").cast("long").alias("loss_chars"),
+                       F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars")
+
+
+OP5_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, length(regexp_replace(role, '([<\[\]\\])', '\1x', 'g')) + length(regexp_replace(text, '([<\[\]\\])', '\1x', 'g')) + 12 AS n,
+         row_number() OVER w AS nth, count(*) OVER (PARTITION BY conv_id) AS total
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+), summed AS (
+  SELECT *, 3 + sum(n) OVER (PARTITION BY conv_id ORDER BY nth) AS upto FROM sized
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY nth) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (sum(upto) FILTER (role = 'assistant' OR nth = total))::BIGINT AS formatted_chars
+FROM summed GROUP BY conv_id
+"""
+
+
 def op6_order_minhash(spark, sf):
     """Order min-hash fingerprints of every text and its edited text."""
     return order_minhash.fingerprints(table(spark, sf, "documents"))
@@ -73,5 +108,5 @@ def packing_digest(pieces):
                          "offset", "padded")
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op2_toxicity": op2_toxicity, "op3_decontamination": op3_decontamination, "op4_simhash_groups": op4_simhash_groups, "op6_order_minhash": op6_order_minhash, "op8_packing": op8_packing, "op9_secret_scan": op9_secret_scan, "op10_sharding": op10_sharding}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {"op1_token_counts": op1_token_counts, "op2_toxicity": op2_toxicity, "op3_decontamination": op3_decontamination, "op4_simhash_groups": op4_simhash_groups, "op5_chat_format": op5_chat_format, "op6_order_minhash": op6_order_minhash, "op8_packing": op8_packing, "op9_secret_scan": op9_secret_scan, "op10_sharding": op10_sharding}
+ORACLE_SQL: dict[str, str] = {"op5_chat_format": OP5_SQL}
