@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import chat_format, decontamination, order_minhash, packing, secrets, sharding, simhash, token_counts, toxicity
+from trawl.llm import chat_format, decontamination, licence_scan, order_minhash, packing, secrets, sharding, simhash, token_counts, toxicity
 from trawl.llm.common import table
+from trawl.llm.licence_texts import NOTICES, TEXTS
 from trawl.llm.tokenizers_io import public_path
 
 N_SHARDS = 40
@@ -97,6 +98,35 @@ def op6_order_minhash(spark, sf):
     return order_minhash.fingerprints(table(spark, sf, "documents"))
 
 
+def op7_licence_scan(spark, sf):
+    """Known licence texts and notices in all documents, by canonical digest."""
+    return licence_scan.scan(table(spark, sf, "documents"))
+
+
+def _sql_text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_known_sql = ", ".join(f"('{kind}', {_sql_text(name)}, {_sql_text(text)})"
+                       for kind, entries in (("text", TEXTS), ("notice", NOTICES)) for name, text in entries)
+_OP7_FORM = r"regexp_replace({0}, '(^|\n)[\s#*/;-]*(copyright|©|\(c\))[^\n]*', '\1', 'g')"
+for _old, _new in licence_scan.SPELLINGS:
+    _OP7_FORM = f"replace({_OP7_FORM}, '{_old}', '{_new}')"
+_OP7_FORM = r"regexp_replace(" + _OP7_FORM + r", '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
+OP7_SQL = f"""
+WITH known AS (SELECT DISTINCT kind, licence,
+    trim(regexp_replace({_OP7_FORM.format("lower(text)")}, '[ \\n]+', ' ', 'g')) AS form
+  FROM (VALUES {_known_sql}) k(kind, licence, text)
+), docs AS (SELECT doc_id, {_OP7_FORM.format("lower(coalesce(text, ''))")} AS lines FROM documents
+), wholes AS (SELECT doc_id, trim(regexp_replace(lines, '[ \\n]+', ' ', 'g')) AS form FROM docs
+), found AS (SELECT doc_id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS notices, count(*) AS n
+  FROM (SELECT doc_id, trim(unnest(string_split(lines, chr(10)))) AS form FROM docs) x
+  JOIN known USING (form) WHERE kind = 'notice' GROUP BY doc_id)
+SELECT w.doc_id, sha256(w.form) AS digest, k.licence, coalesce(f.notices, '') AS notices, coalesce(f.n, 0) AS n_notice_lines
+FROM wholes w LEFT JOIN found f USING (doc_id) LEFT JOIN known k ON k.kind = 'text' AND k.form = w.form
+"""
+
+
 def op8_packing(spark, sf):
     """Sequences of at most 1024 tokens, filled by BM25 neighbours."""
     return packing_digest(packing.pack(table(spark, sf, "documents"), public_path("byte_bpe_50k.json"),
@@ -108,5 +138,5 @@ def packing_digest(pieces):
                          "offset", "padded")
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op2_toxicity": op2_toxicity, "op3_decontamination": op3_decontamination, "op4_simhash_groups": op4_simhash_groups, "op5_chat_format": op5_chat_format, "op6_order_minhash": op6_order_minhash, "op8_packing": op8_packing, "op9_secret_scan": op9_secret_scan, "op10_sharding": op10_sharding}
-ORACLE_SQL: dict[str, str] = {"op5_chat_format": OP5_SQL}
+QUERIES = {"op1_token_counts": op1_token_counts, "op2_toxicity": op2_toxicity, "op3_decontamination": op3_decontamination, "op4_simhash_groups": op4_simhash_groups, "op5_chat_format": op5_chat_format, "op6_order_minhash": op6_order_minhash, "op7_licence_scan": op7_licence_scan, "op8_packing": op8_packing, "op9_secret_scan": op9_secret_scan, "op10_sharding": op10_sharding}
+ORACLE_SQL: dict[str, str] = {"op5_chat_format": OP5_SQL, "op7_licence_scan": OP7_SQL}
