@@ -36,7 +36,8 @@ def _seed(tokens: Column, start: Column, mask: tuple[int, ...], number: int) ->
 
 def _windows(rows: DataFrame, masks: list[tuple[int, ...]]) -> DataFrame:
     """``rows`` with ``at`` and ``seed`` of every window under every mask."""
-    placed = rows.select("*", F.explode(F.sequence(F.lit(0), F.size("tokens") - 1)).alias("at"))
+    last = F.greatest(F.size("tokens") - 1, F.lit(0))  # an empty array has one position and no seed
+    placed = rows.select("*", F.explode(F.sequence(F.lit(0), last)).alias("at"))
     seeds = F.array(*[_seed(F.col("tokens"), F.col("at"), m, len(m) * 100 + m[-1] + 1000 * k)
                       for k, m in enumerate(masks)])
     return placed.select("*", F.explode(seeds).alias("seed")).where("seed IS NOT NULL")
@@ -93,7 +94,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     text = text_or_empty(text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"),
                        token_hashes(text).alias("tokens"))
-    windows = _windows(rows.where(F.size("tokens") >= SHORTEST), masks)
+    windows = _windows(rows, masks)
     hits = None
     for k in range(passes):
         part = items.where(F.pmod(F.xxhash64("item_id", F.lit(9)), F.lit(passes)) == k)
@@ -109,7 +110,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
         aligned = full.select("doc_id", "text_hash", "item_id", F.size("item").alias("n"),
                               (F.col("shift") + begin).alias("from"), doc.alias("doc"), own.alias("own"))
         hits = aligned if hits is None else hits.unionByName(aligned)
-    judged = hits.select("doc_id", "text_hash", "item_id", "n", "from", best_stretch(F.col("doc"), F.col("own")).alias("b"))
+    # Every seed of an overlap gives the same alignment: each is judged once (collapsed before the shuffle).
+    once = hits.groupBy("doc_id", "text_hash", "item_id", "from", "n").agg(
+        F.first("doc").alias("doc"), F.first("own").alias("own"))
+    judged = once.select("doc_id", "text_hash", "item_id", "n", "from",
+                         F.explode(F.array(best_stretch(F.col("doc"), F.col("own")))).alias("b"))
     kept = judged.where(F.col("b.length") >= F.least(F.lit(OVERLAP), F.col("n")))
     best = F.max(F.struct(F.col("b.same").alias("same"), (-F.col("b.length")).alias("length"),
                           (-(F.col("from") + F.col("b.start"))).alias("start"))).alias("best")
