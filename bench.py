@@ -16,9 +16,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from trawl.operators import crawl as cr  # noqa: E402
 from trawl.operators import search as srch  # noqa: E402
+from trawl.plans.catalog import stored_links  # noqa: E402
 from trawl.plans.inputs import queries_table, robots_table, visited_urls  # noqa: E402
 from trawl.session import get_spark, scratch_path  # noqa: E402
-from trawl.sources.corpus import load_corpus, read_table  # noqa: E402
+from trawl.sources.corpus import load_corpus  # noqa: E402
 from trawl.sources.index_store import build_and_write_index, read_index  # noqa: E402
 
 
@@ -56,7 +57,7 @@ def main() -> None:
     timed("search_snippets", lambda: run(srch.search_snippets(pages_idx, q, 5)))
 
     def crawl_round():
-        links = cr.page_links(read_table(spark, sf_dir, "pages"))
+        links = stored_links(spark, sf_dir)
         run(cr.frontier_step(links, visited_urls(links), cr.robots_policy(robots_table(spark, sf_dir)), 12000))
     timed("frontier_step", crawl_round)
 

@@ -47,32 +47,29 @@ def test_worker_stats(spark):
 
 
 def test_seeds_join_the_frontier(spark):
-    from trawl.plans.inputs import SEED_URLS
-
+    urls = ["https://a.org/x", "https://b.org", "https://c.org/y", "https://d.org/z"]
     links = spark.createDataFrame([], "page_id long, src_url string, link_pos int, dst_url string")
-    visited = spark.createDataFrame([("https://www.reddit.com",)], "url string")
-    seeds = spark.createDataFrame([(u,) for u in SEED_URLS] + [("HTTPS://EN.wikipedia.org/wiki/Astronomy",), (":bad",)],
-                                  "url string")
+    visited = spark.createDataFrame([("https://B.org",)], "url string")
+    seeds = spark.createDataFrame([(u,) for u in urls] + [("HTTPS://C.org/y",), (":bad",)], "url string")
     policy = spark.createDataFrame([], "domain string, allowed boolean, crawl_delay_s long")
-    got = cr.frontier_step(links, visited, policy, 5, crawled=1, seeds=seeds).collect()
-    assert [r.url for r in got] == sorted(u for u in SEED_URLS if "reddit" not in u)[:4]
-
+    got = cr.frontier_step(links, visited, policy, 3, crawled=1, seeds=seeds).collect()
+    assert [r.url for r in got] == ["https://a.org/x", "https://c.org/y"]
+    assert cr.frontier_step(links, visited, policy, 1, crawled=1, seeds=seeds).count() == 0
 
-def test_ordered_head_distributed_equals_single_task(spark):
-    from trawl.session import ordered_head
 
-    df = spark.range(0, 5000, 1, 7).selectExpr("format_string('u%05d', (id * 7919) % 5000) AS url", "id")
-    for k in (0, 1, 13, 4999, 5000, 6000):
-        a = [r.url for r in ordered_head(df, "url", k, distributed=False).collect()]
-        b = sorted(r.url for r in ordered_head(df, "url", k, distributed=True).collect())
-        assert a == b == sorted(f"u{i:05d}" for i in range(5000))[:k]
+def test_host_case_does_not_open_a_closed_domain(spark):
+    links = spark.createDataFrame([(1, "http://q/", 0, "http://ex.com/a"), (1, "http://q/", 1, "http://ok.com/b"),
+                                   (1, "http://q/", 2, "http://seen.com/c")],
+                                  "page_id long, src_url string, link_pos int, dst_url string")
+    visited = spark.createDataFrame([("http://SEEN.com/c",)], "url string")
+    policy = spark.createDataFrame([("http://Ex.COM", False, 0), ("http://ex.com", True, 9), ("http://ok.com", True, 2)],
+                                   "domain string, allowed boolean, crawl_delay_s long")
+    got = cr.frontier_allowed(links, visited, policy).collect()
+    assert [(r.url, r.crawl_delay_s) for r in got] == [("http://ok.com/b", 2)]
 
 
-def test_bounded_broadcast_checks_rows_and_bytes(spark):
-    from trawl.session import bounded_broadcast
+def test_registered_round_cuts_at_its_budget(spark, sf):
+    from trawl.plans.catalog import CRAWLED, MAX_PAGES, QUERIES
 
-    df = spark.range(100).selectExpr("id", "repeat('x', 1000) AS s")
-    assert bounded_broadcast(df)[1] == 100
-    assert bounded_broadcast(df, max_rows=99)[1] is None
-    assert bounded_broadcast(df, max_bytes=50_000)[1] is None
-    assert bounded_broadcast(df, max_bytes=200_000)[1] == 100
+    assert QUERIES["frontier_step"](spark, sf).count() == MAX_PAGES - CRAWLED
+    assert QUERIES["frontier_sizes"](spark, sf).first().in_progress > 0

@@ -33,3 +33,43 @@ def test_null_html(spark):
     df = spark.createDataFrame([(None,)], "html string")
     r = df.select(page_title(F.col("html")), clean_text(F.col("html"))).first()
     assert tuple(r) == ("No Title", "")
+
+
+# Rows derived by hand from the HTML rules: (html, clean text, resolved links against http://h/p).
+PROBES = [
+    ("Canci&oacute;n &Uuml;ber", "Canción Über", []),
+    ("a&ampb &notit; &copy", "a&b ¬it; ©", []),
+    ('<p title="a > b">x</p>', "x", []),
+    ('<a title="a > b" href="/z">k</a>', "k", ["http://h/z"]),
+    ('<a title="see href=/x" href="/y">', "", ["http://h/y"]),
+    ('<a href="/one" href="/two">', "", ["http://h/one"]),
+    ('a <a href="/cut', "a", []),
+    ('x<script>var a = "<!--";</script>y', "x y", []),
+    ("x<!-- open", "x", []),
+    ("x<script>open", "x", []),
+    ("x<!-->y", "x y", []),
+    ("&#0000000000065;&#x1F600 &#99999999999;", "A😀 \ufffd", []),
+    ("<a href=/u?a=1&copy=2>q</a>", "q", ["http://h/u?a=1&copy=2"]),
+    ("<a HREF = '/s t' >", "", ["http://h/s%20t"]),
+    ("<area href=/no><abbr href=/no>", "", []),
+    ("a < b & c", "a < b & c", []),
+]
+
+
+def test_markup_and_reference_probes(spark):
+    from trawl.functions.urls import extract_links
+
+    df = spark.createDataFrame([(h,) for h, _, _ in PROBES], "html string")
+    got = df.select(clean_text(F.col("html")), extract_links(F.col("html"), F.lit("http://h/p"))).collect()
+    assert [tuple(r) for r in got] == [(t, links) for _, t, links in PROBES]
+
+
+def test_long_tags_do_not_exhaust_the_stack(spark):
+    h = "<p " + " ".join(f'a{i}="x{i}>"' for i in range(3000)) + ">k</p>" + "<b>" * 20000 + "z" + "<i " * 5000
+    assert spark.createDataFrame([(h,)], "html string").select(clean_text(F.col("html"))).first()[0] == "k z"
+
+
+def test_references_without_semicolon_in_the_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").where("page_id IN (28, 113, 420)")
+    titles = [r[0] for r in pages.select(page_title(F.col("html"))).collect()]
+    assert len(titles) == 3 and all(t.endswith("&") for t in titles)

@@ -82,37 +82,40 @@ def test_partitioning_does_not_change_postings(spark, sf):
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
 
 
-def test_over_the_broadcast_bound_falls_back_to_shuffle_joins(spark, sf, idx, monkeypatch):
-    from trawl import session
-
+def test_shuffle_joins_give_the_same_rows(spark, sf, idx):
     q = queries_table(spark, sf)
-    want = {
-        "topk": sorted(map(tuple, srch.search_topk(idx, q, 3).collect())),
-        "sugg": sorted(map(tuple, srch.suggestions(idx, q, 3).collect())),
-        "tf": sorted(map(tuple, srch.search_tf(idx, q).collect())),
-    }
-    monkeypatch.setattr(session, "BROADCAST_MAX_ROWS", 1)
+    run = lambda: [sorted(map(tuple, f(idx, q).collect())) for f in (
+        lambda i, x: srch.search_topk(i, x, 3), lambda i, x: srch.suggestions(i, x, 3), srch.search_tf,
+        lambda i, x: srch.search_snippets(i, x, 2))]
+    want = run()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        topk = srch.search_topk(idx, q, 3)
-        plan = topk._jdf.queryExecution().executedPlan().toString()
+        plan = srch.search_topk(idx, q, 3)._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
-        assert sorted(map(tuple, topk.collect())) == want["topk"]
-        assert sorted(map(tuple, srch.suggestions(idx, q, 3).collect())) == want["sugg"]
-        assert sorted(map(tuple, srch.search_tf(idx, q).collect())) == want["tf"]
+        assert run() == want
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_suggestions_equal_exhaustive_with_a_narrow_query(spark, sf, idx):
+def test_many_queries_fill_several_chunks(spark, idx):
+    terms = [r.term for r in idx.term_stats.where("doc_count > 3").orderBy("term").limit(300).collect()]
+    q = spark.createDataFrame([(i, t) for i, t in enumerate(terms)], "query_id long, query string")
+    bits = srch._query_bits(q.select("query_id").distinct())
+    assert bits.select("chunk", "bit").distinct().count() == len(terms)
+    assert 5 <= bits.select("chunk").distinct().count() <= 12
+    assert bits.where("bit NOT BETWEEN 0 AND 63").count() == 0
+
+
+@pytest.mark.parametrize("n", [5, 100])
+def test_suggestions_equal_exhaustive_with_a_narrow_query(spark, sf, idx, n):
     rare = idx.term_stats.filter("doc_count = 1 AND term rlike '^[a-z]+$'").orderBy("term").first().term
     q = queries_table(spark, sf).unionByName(spark.createDataFrame([(99, rare)], "query_id long, query string"))
-    got = sorted(map(tuple, srch.suggestions(idx, q, 5).collect()))
+    got = sorted(map(tuple, srch.suggestions(idx, q, n).collect()))
     qd = srch.query_terms(q).select("query_id", "term").distinct()
     m = idx.postings.select("term", "doc_id").join(qd, "term").select("query_id", "doc_id").distinct()
     co = (m.join(idx.postings.select("doc_id", "term"), "doc_id").groupBy("query_id", "term")
           .agg(F.count(F.lit(1)).alias("doc_count")).join(qd, ["query_id", "term"], "left_anti"))
-    top = srch._top_per_query(co, 5, [F.col("doc_count").desc(), F.col("term").asc()])
+    top = srch._top_per_query(co, n, [F.col("doc_count").desc(), F.col("term").asc()])
     want = sorted(map(tuple, top.select("query_id", F.col("rank").cast("int"), "term",
                                         F.col("doc_count").cast("bigint")).collect()))
     assert got == want and any(r[0] == 99 for r in got)
@@ -142,7 +145,7 @@ def test_bucket_counts_are_recorded(spark, sf):
         map(tuple, srch.search_topk(ref, q, 5).collect()))
 
 
-def test_check_docs_drops_missing_documents_before_ranking(spark, sf, idx):
+def test_missing_documents_are_dropped_before_ranking(spark, sf, idx):
     from trawl.operators.index import Index
 
     q = spark.createDataFrame([(1, "inon ering de")], "query_id long, query string")
@@ -150,7 +153,33 @@ def test_check_docs_drops_missing_documents_before_ranking(spark, sf, idx):
     missing = full[0].doc_id
     partial = Index(docs=idx.docs.filter(F.col("doc_id") != missing), postings=idx.postings,
                     _term_stats=idx.term_stats, term_buckets=idx.term_buckets, doc_buckets=idx.doc_buckets)
-    loose = srch.search_topk(partial, q, 3).collect()
-    strict = srch.search_topk(partial, q, 3, check_docs=True).collect()
-    assert len(loose) == 2 and len(strict) == 3
-    assert [r.doc_id for r in strict][:2] == [r.doc_id for r in full][1:]
+    got = srch.search_topk(partial, q, 3).collect()
+    assert len(got) == 3 and [r.doc_id for r in got][:2] == [r.doc_id for r in full][1:]
+    assert len(srch.search_topk(partial, q, 3, check_docs=False).collect()) == 2
+
+
+def test_large_scores_fit(spark):
+    from trawl.operators.index import Index
+
+    docs = spark.createDataFrame([(1, "u", "t"), (2, "v", "t")], "doc_id long, url string, title string")
+    postings = spark.createDataFrame([("a", 1, 2_000_000_000, 200, False)],
+                                     "term string, doc_id long, frequency int, first_pos int, in_title boolean")
+    q = spark.createDataFrame([(1, "a a")], "query_id long, query string")
+    r = srch.search_topk(Index(docs=docs, postings=postings), q, 1).first()
+    assert r.doc_score == int(r.score * 1000) > 2**31
+
+
+def test_bucket_counts_follow_the_tokens():
+    from trawl.sources.index_store import MIN_BUCKETS, TOKENS_PER_BUCKET, bucket_counts
+
+    assert bucket_counts(0) == (MIN_BUCKETS, 1)
+    assert bucket_counts(100 * TOKENS_PER_BUCKET)[0] == 100
+
+
+def test_stored_texts_keep_their_documents(spark, sf, idx):
+    joined = idx.docs.join(idx._texts.select("doc_id", "text_part", "clean_text"), ["doc_id", "text_part"])
+    assert joined.count() == idx.docs.count() == idx.docs.select("doc_id").distinct().count()
+    assert idx.docs.where("indexed_at IS NULL").count() == 0
+    exact = idx.postings.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    stored = idx.doc_terms.select("doc_id", F.size("terms").alias("n"))
+    assert exact.exceptAll(stored).count() == 0 and stored.exceptAll(exact).count() == 0

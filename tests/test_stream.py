@@ -8,7 +8,8 @@ from trawl.operators import index as ix
 from trawl.plans.inputs import fetched_pages
 from trawl.session import scratch_path
 from trawl.sources import crawl_files as cf
-from trawl.streaming.ingest import batch_stats, compact_streamed_index, read_streamed_index, stream_index
+from trawl.streaming.ingest import (batch_stats, compact_streamed_index, finish, read_streamed_index, stream_index,
+                                    tick_stats)
 
 
 def test_stream_equals_batch_and_quarantines(spark, sf, tmp_path):
@@ -35,7 +36,12 @@ def test_stream_equals_batch_and_quarantines(spark, sf, tmp_path):
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
     assert got.docs.count() == n
     quarantine = spark.read.parquet(f"{root}/out/quarantine")
-    assert quarantine.count() == 2  # truncated + null page_data; "other.json" is not a raw_ file
+    # truncated + null page_data; "other.json" is not a raw_ file
+    assert sorted(r.source_file.rsplit("/", 1)[1] for r in quarantine.collect()) == [
+        "raw_bad_null.json", "raw_bad_truncated.json"]
+    last = tick_stats(spark, f"{root}/out").orderBy(F.desc("batch_id")).first()
+    assert (last.total_documents, last.quarantined) == (n, 2)
+    assert last.total_terms == got.term_stats.count()
 
     stats = batch_stats(spark, f"{root}/out").agg(F.sum("docs"), F.sum("quarantined"), F.sum("postings")).first()
     assert tuple(stats) == (n, 2, a.count())
@@ -120,14 +126,14 @@ def test_polling_trigger_and_json_lines_sink(spark, sf):
 def test_stream_worker_stats_equals_batch(spark, sf):
     from trawl.operators.crawl import worker_stats
     from trawl.plans.inputs import crawl_log
-    from trawl.streaming.stats import stream_worker_stats
+    from trawl.streaming.stats import read_worker_stats, stream_worker_stats
 
     root = scratch_path(spark, "test-stream-stats")
     log = crawl_log(spark, sf)
     log.repartition(3).write.json(f"{root}/log")
     q = stream_worker_stats(spark, f"{root}/log", f"{root}/out", f"{root}/ckpt")
     q.awaitTermination(600)
-    got = spark.read.parquet(f"{root}/out")
+    got = read_worker_stats(spark, f"{root}/out")
     want = worker_stats(log)
     assert got.count() == want.count() and got.exceptAll(want.select(got.columns)).count() == 0
 
@@ -156,3 +162,31 @@ def test_clean_source_archive(spark, sf):
     left = len([f for f in os.listdir(f"{root}/in".replace("file:", "")) if f.startswith("raw_")])
     assert archived > 0 and archived + left == n
     assert read_streamed_index(spark, f"{root}/out").docs.count() == n
+
+
+def test_same_url_twice_in_one_batch(spark, sf):
+    root = scratch_path(spark, "test-stream-twice")
+    env = cf.crawl_envelope(fetched_pages(spark, sf)).limit(4)
+    late = (env.limit(1).withColumn("page_data", F.struct(
+        *[F.lit("<title>Late</title>word word").alias(f) if f == "content"
+          else (F.col("page_data.fetch_time") + F.expr("INTERVAL 1 DAY")).alias(f) if f == "fetch_time"
+          else F.col(f"page_data.{f}") for f in cf.PAGE_DATA.fieldNames()]))
+        .withColumn("file_path", F.lit("a_first_in_name_order")))
+    cf.write_crawl_output(env.unionByName(late), f"{root}/in")
+    finish(stream_index(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", pattern="part-*", multiline=False))
+    idx = read_streamed_index(spark, f"{root}/out")
+    assert idx.docs.count() == 4 and idx.docs.where("title = 'Late'").count() == 1
+    assert idx.postings.where(F.size(F.array_distinct("positions")) != F.col("frequency")).count() == 0
+    assert {r.term for r in idx.postings.join(idx.docs.where("title = 'Late'"), "doc_id").collect()} == {"l", "word"}  # stems
+
+
+def test_an_unfinished_stream_is_an_error(spark, sf):
+    import pytest
+
+    root = scratch_path(spark, "test-stream-timeout")
+    cf.write_crawl_output(cf.crawl_envelope(fetched_pages(spark, sf)).repartition(30), f"{root}/in")
+    q = stream_index(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", max_files_per_trigger=1, pattern="part-*",
+                     multiline=False)
+    with pytest.raises(TimeoutError):
+        finish(q, 1)
+    assert not q.isActive

@@ -1,96 +1,113 @@
 """HTML -> (title, clean text) as native regex / array expressions.
 
+Markup is read from left to right by one pattern, so that a construct hides what stands
+inside it: comments; script, style and noscript elements with their raw text; tags, whose
+quoted attribute values may hold ">"; declarations. An unterminated comment, element or
+tag reaches to the end of the page.
+
 Clean text, in this order:
-  1. comments become a break;
-  2. script, style and noscript elements (with their raw-text content, which may
-     contain tag-like text such as "</p>") become a break;
-  3. every remaining tag becomes a break (each text node is followed by a space);
-  4. character references are decoded in one left-to-right pass, so "&amp;lt;"
-     becomes the text "&lt;" and not "<";
-  5. leftover "&name;" sequences become a break;
-  6. white space runs collapse to one space, ends trimmed.
+  1. every piece of markup becomes a break (each text node is followed by a space);
+  2. character references are decoded in one left-to-right pass, so "&amp;lt;" becomes
+     the text "&lt;" and not "<"; all HTML5 names are known, and the old ones also count
+     without a semicolon;
+  3. leftover "&name;" sequences become a break;
+  4. white space runs collapse to one space, ends trimmed.
 The title text stays part of the body text.
 
 Title (index title): the last <title> element that has any content, decoded and
 trimmed; an empty result (or no title at all) is "No Title". So a blank title after a
 real one yields "No Title", while <title></title> is skipped.
 
-Known limits against a full HTML5 tree builder: "<!--" inside a script string,
-">" inside attribute values, unclosed comments/scripts, tags inside textarea /
-title / iframe raw text, foster-parented table text, and references without ";".
+Known limits against a full HTML5 tree builder: tags inside textarea / title / iframe raw
+text and foster-parented table text.
 """
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from trawl.functions.expr import let
 from trawl.functions.text import WS, collapse_ws
 
 NO_TITLE = "No Title"
 
-# ---------------------------------------------------------------------------
-# Named character references decoded (a common subset of HTML5).
-# ---------------------------------------------------------------------------
-NAMED_ENTITIES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0",
-    "copy": "©", "reg": "®", "trade": "™", "middot": "·",
-    "hellip": "…", "mdash": "—", "ndash": "–", "lsquo": "‘",
-    "rsquo": "’", "ldquo": "“", "rdquo": "”", "laquo": "«",
-    "raquo": "»", "bull": "•", "deg": "°", "euro": "€",
-    "pound": "£", "yen": "¥", "cent": "¢", "sect": "§",
-    "para": "¶", "times": "×", "divide": "÷", "plusmn": "±",
-    "frac12": "½", "frac14": "¼", "frac34": "¾", "iexcl": "¡",
-    "iquest": "¿", "shy": "\u00ad", "ensp": "\u2002", "emsp": "\u2003",
-    "thinsp": "\u2009", "zwnj": "\u200c", "zwj": "\u200d", "eacute": "é",
-    "egrave": "è", "ecirc": "ê", "agrave": "à", "aacute": "á",
-    "acirc": "â", "ccedil": "ç", "ouml": "ö", "uuml": "ü",
-    "auml": "ä", "szlig": "ß", "ntilde": "ñ", "AMP": "&", "LT": "<",
-    "GT": ">", "QUOT": '"',
-}
 # Numeric references 0x80-0x9F map through Windows-1252 (HTML5 rule).
-WIN1252_C1 = {
-    0x80: 0x20AC, 0x82: 0x201A, 0x83: 0x0192, 0x84: 0x201E, 0x85: 0x2026, 0x86: 0x2020,
-    0x87: 0x2021, 0x88: 0x02C6, 0x89: 0x2030, 0x8A: 0x0160, 0x8B: 0x2039, 0x8C: 0x0152,
-    0x8E: 0x017D, 0x91: 0x2018, 0x92: 0x2019, 0x93: 0x201C, 0x94: 0x201D, 0x95: 0x2022,
-    0x96: 0x2013, 0x97: 0x2014, 0x98: 0x02DC, 0x99: 0x2122, 0x9A: 0x0161, 0x9B: 0x203A,
-    0x9C: 0x0153, 0x9E: 0x017E, 0x9F: 0x0178,
-}
-# ---------------------------------------------------------------------------
-
-_COMMENT = r"(?s)<!--.*?-->"
-_RAW_TEXT = r"(?is)<(script|style|noscript)\b[^>]*>.*?</\1\s*>"
-_TAG = r"<!?/?[a-zA-Z][^>]*>|<[?!/][^>]*>"
+_C1 = {c: ord(bytes([c]).decode("cp1252")) for c in range(0x80, 0xA0) if c not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+# Names without their semicolon: all names, and the old ones that count without it.
+_NAMES = {k[:-1]: v for k, v in html5.items() if k.endswith(";")}
+_OLD_NAMES = {k: v for k, v in html5.items() if not k.endswith(";")}
+_OLD_LENGTHS = range(max(map(len, _OLD_NAMES)), min(map(len, _OLD_NAMES)) - 1, -1)
+
+# What follows a tag's name: attributes, whose values may be quoted. Possessive throughout, so a
+# page is read once whatever it holds.
+ATTRS = r"""(?:[^>=]++|=\s*+(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z))?+)*+"""
+_NAME_END = r"(?=[\s/>])"
+_COMMENT = r"<!--(?:-?>|.*?(?:--!?>|\z))"
+_RAW_TEXT = (r"<(script|style|noscript)" + _NAME_END + ATTRS
+             + r"(?:>.*?(?:</\1" + _NAME_END + r"[^>]*+(?:>|\z)|\z)|\z)")
+_TAG = r"</?[a-z]" + ATTRS + r"(?:>|\z)"
+_DECLARATION = r"<[!?/][^>]*+(?:>|\z)"
+MARKUP = f"(?is){_COMMENT}|{_RAW_TEXT}|{_TAG}|{_DECLARATION}"
+_TITLE = (f"(?is){_COMMENT}|{_RAW_TEXT}|<title{_NAME_END}{ATTRS}>(.*?)(?:</title{_NAME_END}[^>]*+(?:>|\\z)|\\z)"
+          f"|{_TAG}|{_DECLARATION}")
+# Group 2 holds the attributes of an <a> tag that is closed.
+A_TAGS = f"(?is){_COMMENT}|{_RAW_TEXT}|<a{_NAME_END}({ATTRS})>|{_TAG}|{_DECLARATION}"
+
 _LEFTOVER_REF = r"&[a-zA-Z]+;"
-_REF_TOKEN = r"&#[0-9]{1,8};|&#[xX][0-9a-fA-F]{1,7};|&[a-zA-Z][a-zA-Z0-9]{0,31};|[^&]+|&"
-_TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
+_REF_TOKEN = r"&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[a-zA-Z][a-zA-Z0-9]*[;=]?|[^&]+|&"
 _TRIM_WS = f"^{WS}|{WS}$"
 
 
-def _map_literal(d: dict) -> Column:
-    return F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
+def _constant_map(d: dict[str, str]) -> Column:
+    """A map that the optimizer folds to one literal (its entries never enter the plan)."""
+    return F.from_json(F.lit(json.dumps(d)), "map<string,string>")
+
+
+def _code_point_to_str(digits: Column, base: int) -> Column:
+    """The digits of a numeric reference -> one-character string, HTML5 rules for bad values."""
+    short = F.regexp_replace(digits, "^0+", "")
+    # More digits than any code point has are out of range.
+    cp = F.when(F.length(short) > 8, F.lit(-1).cast("bigint")).otherwise(
+        F.coalesce(F.conv(short, base, 10).cast("bigint"), F.lit(0)))
 
+    def char(v: Column) -> Column:
+        c1 = _constant_map({str(k): str(x) for k, x in _C1.items()})
+        fixed = (F.when((v >= 0x80) & (v <= 0x9F), F.coalesce(F.try_element_at(c1, v.cast("string")).cast("bigint"), v))
+                 .when((v <= 0) | (v > 0x10FFFF) | ((v >= 0xD800) & (v <= 0xDFFF)), F.lit(0xFFFD))
+                 .otherwise(v))
+        return F.decode(F.unhex(F.lpad(F.hex(fixed), 8, "0")), "UTF-32")
 
-def _code_point_to_str(cp: Column) -> Column:
-    """A code point (bigint) -> one-character string, HTML5 rules for bad values."""
-    c1 = _map_literal(WIN1252_C1)
-    fixed = (F.when((cp >= 0x80) & (cp <= 0x9F), F.coalesce(F.try_element_at(c1, cp.cast("int")).cast("bigint"), cp))
-              .when((cp <= 0) | (cp > 0x10FFFF) | ((cp >= 0xD800) & (cp <= 0xDFFF)), F.lit(0xFFFD))
-              .otherwise(cp))
-    return F.decode(F.unhex(F.lpad(F.hex(fixed), 8, "0")), "UTF-32")
+    return let(cp, char)
 
 
-def decode_entities(c: Column) -> Column:
-    """Decode character references in one pass (named subset + decimal + hex)."""
-    named = _map_literal(NAMED_ENTITIES)
+def decode_entities(c: Column, attribute: bool = False) -> Column:
+    """Decode character references in one pass.
+
+    A name without a semicolon counts if it is an old one; in text also as the longest old
+    name that it starts with, in an attribute value only whole and not before "=".
+    """
+    names, old = _constant_map(_NAMES), _constant_map(_OLD_NAMES)
+
+    def without_semicolon(tok: Column, name: Column) -> Column:
+        if attribute:
+            return F.coalesce(F.when(~F.endswith(tok, F.lit("=")), F.try_element_at(old, name)), tok)
+        tries = [F.when(F.length(name) >= k, F.concat(F.try_element_at(old, F.substring(name, 1, k)),
+                                                     F.substr(tok, F.lit(k + 2)))) for k in _OLD_LENGTHS]
+        return F.coalesce(*tries, tok)
 
     def one(tok: Column) -> Column:
-        dec = F.regexp_extract(tok, r"^&#([0-9]{1,8});$", 1)
-        hx = F.regexp_extract(tok, r"^&#[xX]([0-9a-fA-F]{1,7});$", 1)
-        name = F.regexp_extract(tok, r"^&([a-zA-Z][a-zA-Z0-9]*);$", 1)
-        return (F.when(dec != "", _code_point_to_str(dec.cast("bigint")))
-                .when(hx != "", _code_point_to_str(F.conv(hx, 16, 10).cast("bigint")))
-                .when(name != "", F.coalesce(F.try_element_at(named, name), tok))
+        dec = F.regexp_extract(tok, r"^&#([0-9]+);?$", 1)
+        hx = F.regexp_extract(tok, r"^&#[xX]([0-9a-fA-F]+);?$", 1)
+        name = F.regexp_extract(tok, r"^&([a-zA-Z][a-zA-Z0-9]*)[;=]?$", 1)
+        named = F.when(F.endswith(tok, F.lit(";")), F.try_element_at(names, name))
+        return (F.when(~F.startswith(tok, F.lit("&")), tok)
+                .when(dec != "", _code_point_to_str(dec, 10))
+                .when(hx != "", _code_point_to_str(hx, 16))
+                .when(name != "", F.coalesce(named, without_semicolon(tok, name)))
                 .otherwise(tok))
 
     decoded = F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_REF_TOKEN), 0), one), "")
@@ -102,22 +119,16 @@ def trim_ws(c: Column) -> Column:
     return F.regexp_replace(c, _TRIM_WS, "")
 
 
-def strip_raw_text(html: Column) -> Column:
-    """Remove comments and script/style/noscript elements (steps 1-2)."""
-    h = F.regexp_replace(F.coalesce(html, F.lit("")), _COMMENT, " ")
-    return F.regexp_replace(h, _RAW_TEXT, " ")
-
-
 def clean_text(html: Column) -> Column:
     """Visible text of a page, title included, white space collapsed."""
-    t = F.regexp_replace(strip_raw_text(html), _TAG, " ")
+    t = F.regexp_replace(F.coalesce(html, F.lit("")), MARKUP, " ")
     t = F.regexp_replace(decode_entities(t), _LEFTOVER_REF, " ")
     return collapse_ws(t)
 
 
 def _titles(html: Column) -> Column:
     """Raw contents of every <title> element that has a child, in document order."""
-    return F.filter(F.regexp_extract_all(strip_raw_text(html), F.lit(_TITLE), 1), lambda t: t != "")
+    return F.filter(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(_TITLE), 2), lambda t: t != "")
 
 
 def page_title(html: Column) -> Column:

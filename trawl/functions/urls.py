@@ -21,7 +21,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from trawl.functions.expr import let as _let
-from trawl.functions.html import decode_entities, strip_raw_text
+from trawl.functions.html import A_TAGS, decode_entities
 
 _URL_RE = r"(?s)^(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
 _BAD_ESCAPE = r"%(?![0-9A-Fa-f]{2})"
@@ -33,7 +33,8 @@ _FRAG_VALID = r"^[A-Za-z0-9\-_.~!$&'()*+,;=:@\[\]%/?]*$"
 _PATH_KEEP = r"[A-Za-z0-9\-_.~$&+,/:;=@]"
 _FRAG_KEEP = r"[A-Za-z0-9\-_.~$&+,/:;=?@!()*]"
 _HOST_OK = r"^[A-Za-z0-9\-_.~!$&'()*+,;=:\[\]<>\"%\x{80}-\x{10FFFF}]*$"
-_A_HREF = r"""(?is)<a(?:\s[^>]*?)??[\s"']href\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)"""
+# An attribute: its name and, if it has one, its value (quoted or not).
+_ATTRIBUTE = r"""(?s)([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s>"'][^\s>]*+)?)?"""
 _BIG = 1 << 30
 
 
@@ -104,26 +105,32 @@ def _validate(u: Column) -> Column:
 
 
 def remove_dot_segments(full: Column) -> Column:
-    """Resolve "." and ".." segments; the result starts with "/" (empty stays empty)."""
-    def acc_of(d: Column, first: Column, last: Column, n: Column) -> Column:
-        return F.struct(d.alias("d"), first.alias("first"), last.alias("last"), n.alias("n"))
+    """RFC 3986 section 5.2.4 on whole segments; the result starts with "/" (empty stays empty).
 
-    def step(acc: Column, e: Column) -> Column:
-        d, first, n = acc["d"], acc["first"], acc["n"] + 1
-        rest = F.substring(d, 2, _BIG)
-        ri = F.instr(F.reverse(rest), "/")
-        return (F.when(e == ".", acc_of(d, F.lit(False), e, n))
-                .when((e == "..") & (ri == 0), acc_of(F.lit("/"), F.lit(True), e, n))
-                .when(e == "..", acc_of(F.concat(F.lit("/"), F.left(rest, F.length(rest) - ri)), first, e, n))
-                .otherwise(acc_of(F.concat(d, F.when(first, F.lit("")).otherwise(F.lit("/")), e), F.lit(False), e, n)))
-
-    def finish(acc: Column) -> Column:
-        t = F.when(acc["last"].isin(".", ".."), F.concat(acc["d"], F.lit("/"))).otherwise(acc["d"])
-        return _let(t, lambda r: F.when((acc["n"] == 1) & (acc["last"] == ""), F.lit("")).when(
-            (F.length(r) > 1) & (F.substring(r, 2, 1) == "/"), F.substring(r, 2, _BIG)).otherwise(r))
-
-    init = acc_of(F.lit("/"), F.lit(True), F.lit(""), F.lit(0))
-    return F.aggregate(F.split(full, "/"), init, step, finish)
+    Segments are pushed on a list: "." pushes nothing, ".." takes the last one off, and
+    either of them at the end leaves a trailing slash. Where ".." climbs past the root, an
+    empty segment right after it is dropped too, as the reference's URL library does.
+    """
+    def push(rooted: Column):
+        def step(acc: Column, seg: Column) -> Column:
+            n = F.size(acc["out"])
+            past = (n == 0) | ((n == 1) & ~rooted)
+            out = (F.when((seg == ".") | ((seg == "") & acc["past"]), acc["out"])
+                   .when(seg == "..", F.slice(acc["out"], F.lit(1), F.greatest(n - 1, F.lit(0))))
+                   .otherwise(F.concat(acc["out"], F.array(seg))))
+            return F.struct(out.alias("out"), F.when(seg == "..", past | acc["past"]).otherwise(F.lit(False)).alias("past"))
+        return step
+
+    def join(segments: Column) -> Column:
+        last = F.element_at(segments, -1)
+        # A leading "/" opens an empty first segment, which is the root and not part of the path.
+        rooted = F.get(segments, 0) == ""
+        inner = F.when(rooted, F.slice(segments, F.lit(2), F.size(segments))).otherwise(segments)
+        init = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("past"))
+        body = F.concat(F.lit("/"), F.array_join(F.aggregate(inner, init, push(rooted), lambda a: a["out"]), "/"))
+        return F.when(last.isin(".", "..") & ~F.endswith(body, F.lit("/")), F.concat(body, F.lit("/"))).otherwise(body)
+
+    return F.when(full == "", F.lit("")).otherwise(_let(F.split(full, "/"), join))
 
 
 def _merge(p: Column) -> Column:
@@ -204,15 +211,24 @@ def resolve_url(base: Column, href: Column) -> Column:
 
 
 def domain_key(url: Column) -> Column:
-    """Robots key: scheme://host[:port] (user info dropped); null if unparseable."""
-    return _let(parse_url(url), lambda u: F.when(u["ok"] & u["auth"], F.concat(u["scheme"], F.lit("://"), u["host"])))
+    """Robots key: scheme://host[:port] in lower case (user info dropped); null if unparseable."""
+    return _let(parse_url(url), lambda u: F.when(
+        u["ok"] & u["auth"], F.concat(u["scheme"], F.lit("://"), F.lower(u["host"]))))
+
+
+def _href_of(attributes: Column) -> Column:
+    """Value of the first attribute named href (null if there is none), unquoted and decoded."""
+    names = F.transform(F.regexp_extract_all(attributes, F.lit(_ATTRIBUTE), 1), F.lower)
+    values = F.regexp_extract_all(attributes, F.lit(_ATTRIBUTE), 2)
+    at = F.array_position(names, "href").cast("int")
+    return _let(F.when(at > 0, F.get(values, at - 1)), lambda v: decode_entities(
+        F.when(v.rlike(r"""(?s)^(".*"|'.*')$"""), F.substring(v, 2, F.length(v) - 2)).otherwise(v), attribute=True))
 
 
 def raw_hrefs(html: Column) -> Column:
-    """First href value of every <a> tag, unquoted and entity-decoded, in document order."""
-    raw = F.regexp_extract_all(strip_raw_text(html), F.lit(_A_HREF), 1)
-    return F.transform(raw, lambda v: decode_entities(
-        F.when(v.rlike(r"""^(".*"|'.*')$"""), F.substring(v, 2, F.length(v) - 2)).otherwise(v)))
+    """First href value of every <a> tag that has one, unquoted and entity-decoded, in document order."""
+    tags = F.filter(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(A_TAGS), 2), lambda t: t != "")
+    return F.filter(F.transform(tags, _href_of), lambda v: v.isNotNull())
 
 
 def extract_links(html: Column, page_url: Column) -> Column:

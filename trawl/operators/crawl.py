@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.html import trim_ws
-from trawl.session import ordered_head, spread
 from trawl.functions.urls import domain_key, extract_links, normalize_url
 
 # Crawl-log actions that count (fixed values); other actions count nothing.
@@ -21,10 +20,9 @@ def page_links(pages: DataFrame) -> DataFrame:
     """page_id, src_url, link_pos, dst_url: de-duplicated out-links in document order.
 
     Deduplication happens per page inside its row (array_distinct), before the explode,
-    so it never shuffles. HTML parsing is CPU-heavy, so a small input is first spread over
-    all cores (`session.spread`, a no-op when there are more splits than cores).
+    so it never shuffles.
     """
-    return spread(pages).select(
+    return pages.select(
         "page_id", F.col("url").alias("src_url"),
         F.posexplode(extract_links(F.col("html"), F.col("url"))).alias("link_pos", "dst_url"),
     ).select("page_id", "src_url", F.col("link_pos").cast("int").alias("link_pos"), "dst_url")
@@ -79,12 +77,20 @@ def _candidates(links: DataFrame, visited: DataFrame, in_progress: DataFrame | N
     if seeds is not None:
         cand = cand.unionByName(seed_urls(seeds))
     cand = cand.distinct()
-    seen = visited.select("url")
+    seen = visited.select(normalize_url(F.col("url")).alias("url"))
     if in_progress is not None:
-        seen = seen.unionByName(in_progress.select("url"))
+        seen = seen.unionByName(in_progress.select(normalize_url(F.col("url")).alias("url")))
     return cand.join(seen.distinct(), "url", "left_anti")
 
 
+def _policy_by_domain(policy: DataFrame) -> DataFrame:
+    """One row per domain key: a host counts in lower case, as in the candidate URLs; of
+    several rows any denial and the longest delay hold."""
+    key = F.coalesce(domain_key(F.col("domain")), F.col("domain"))
+    return policy.groupBy(key.alias("domain")).agg(F.bool_and("allowed").alias("allowed"),
+                                                  F.max("crawl_delay_s").alias("crawl_delay_s"))
+
+
 def frontier_allowed(links: DataFrame, visited: DataFrame, policy: DataFrame,
                      in_progress: DataFrame | None = None, seeds: DataFrame | None = None) -> DataFrame:
     """New URLs (not visited, not in progress) that robots allow: url, domain, crawl_delay_s.
@@ -93,7 +99,7 @@ def frontier_allowed(links: DataFrame, visited: DataFrame, policy: DataFrame,
     domains without a policy row are allowed with delay 0.
     """
     cand = _candidates(links, visited, in_progress, seeds).withColumn("domain", domain_key(F.col("url")))
-    j = cand.join(policy.select("domain", "allowed", "crawl_delay_s"), "domain", "left")
+    j = cand.join(_policy_by_domain(policy), "domain", "left")
     return (j.filter(F.coalesce(F.col("allowed"), F.lit(True)))
             .select("url", "domain", F.coalesce("crawl_delay_s", F.lit(0).cast("bigint")).alias("crawl_delay_s")))
 
@@ -103,12 +109,11 @@ def frontier_step(links: DataFrame, visited: DataFrame, policy: DataFrame, max_p
                   seeds: DataFrame | None = None) -> DataFrame:
     """One crawl round: the allowed new URLs within the page budget, in URL order.
 
-    The budget (max_pages - crawled) is the feature here: the first `budget` URLs in
-    order (`session.ordered_head`: a per-task top-k for small budgets, a range-
-    partitioned exact prefix when one merge task would be too big).
+    The budget (max_pages - crawled) is the feature here. Each task keeps its first
+    `budget` URLs and one task merges them, so that task reads budget rows of every other.
     """
     budget = max(max_pages - crawled, 0)
-    return ordered_head(frontier_allowed(links, visited, policy, in_progress, seeds), "url", budget)
+    return frontier_allowed(links, visited, policy, in_progress, seeds).orderBy("url").limit(budget)
 
 
 def frontier_sizes(links: DataFrame, visited: DataFrame, policy: DataFrame,

@@ -1,13 +1,14 @@
-"""Inverted index build: corpus -> docs + postings (+ term stats, doc terms).
+"""Inverted index build: corpus -> texts, docs, postings, term statistics, document terms.
 
 postings is long format, one row per (term, doc_id), never a nested map: a hot term
 is many rows spread over many tasks, not one giant row.
 
-The build shuffles exactly once: tokens are exploded per document and grouped by
-(term, doc_id). A document's tokens all sit in one input row, so the map-side partial
-aggregation already collapses them to one row per posting before the exchange; the
-shuffle moves postings, never tokens. Hashing on (term, doc_id) spreads a term that
-is in a third of all documents over every reducer.
+`postings_table` groups tokens by (term, doc_id); the tokens of a document sit in one
+input row, so the map-side partial aggregation already collapses them to one row per
+posting before its one exchange. The stored build (`sources.index_store`) deals tokens
+out by (term_bucket, slice of doc_id) instead and passes that as `deal`: the same single
+exchange then serves the aggregation and the bucketed write, and a term that is in a
+third of all documents is spread over all slices.
 """
 
 from __future__ import annotations
@@ -25,12 +26,14 @@ def docs_table(corpus: DataFrame) -> DataFrame:
     return corpus.select("doc_id", "url", "title", term_count(F.col("clean_text")).alias("length"), "clean_text")
 
 
-def postings_table(corpus: DataFrame) -> DataFrame:
+def postings_table(corpus: DataFrame, deal=None) -> DataFrame:
     """term, doc_id, frequency, first_pos, positions (ascending, 0-based), in_title.
 
     Positions are offsets in the kept-token list. in_title says whether the term is a
     substring of the lower-cased title; it is computed here, where title and tokens
     share a row, so ranked search needs no docs join before its top-k.
+    ``deal``: a function that partitions the token rows and adds the columns it
+    partitioned by (kept as leading columns); rows of one posting must stay together.
     """
     # Stemming never changes how many tokens are kept, so positions are taken from the
     # kept (unstemmed) words; each token is then stemmed by codegen'd scalar projections.
@@ -38,7 +41,12 @@ def postings_table(corpus: DataFrame) -> DataFrame:
                         F.posexplode(kept_words(F.col("clean_text"))).alias("pos", "word"))
     tok = with_stem(tok, "word", "term")
     tok = tok.select("doc_id", "pos", "term", (F.instr(F.col("title_lc"), F.col("term")) > 0).alias("in_title"))
-    return (tok.groupBy("term", "doc_id")
+    keys = []
+    if deal is not None:
+        before = set(tok.columns)
+        tok = deal(tok)
+        keys = [c for c in tok.columns if c not in before]
+    return (tok.groupBy(*keys, "term", "doc_id")
             .agg(F.count(F.lit(1)).cast("int").alias("frequency"),
                  F.min("pos").alias("first_pos"),
                  F.array_sort(F.collect_list("pos")).alias("positions"),
@@ -52,32 +60,37 @@ def term_stats(postings: DataFrame) -> DataFrame:
 
 
 # Stored indexes split postings and term_stats into hash buckets of the term (a Parquet
-# partition column), so joins on the term can prune whole buckets; docs are split the
-# same way by document, so the top-k documents of a batch are read from their buckets
-# only. Defaults; a stored index records the counts it was written with.
-TERM_BUCKETS = 64
-DOC_BUCKETS = 64
+# partition column), so joins on the term can prune whole buckets; docs and document terms
+# are split the same way by document. A stored index records the counts it was written with.
 BUCKET = "term_bucket"
 DOC_BUCKET = "doc_bucket"
+TEXT_PART = "text_part"
 
 
-def term_bucket(term, buckets: int = TERM_BUCKETS):
+def term_bucket(term, buckets: int):
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def doc_bucket(doc_id, buckets: int = DOC_BUCKETS):
+def doc_bucket(doc_id, buckets: int):
     return F.pmod(F.xxhash64(doc_id), F.lit(buckets)).cast("int")
 
 
 @dataclass
 class Index:
-    """An inverted index: document table + postings (+ derived term statistics)."""
+    """An inverted index: document table + postings (+ derived tables of a stored index).
+
+    `complete` says that every posting's document has a docs row (a build of this package
+    guarantees it); otherwise ranked search checks it before ranking.
+    """
 
     docs: DataFrame
     postings: DataFrame
     _term_stats: DataFrame | None = None
-    term_buckets: int = TERM_BUCKETS
-    doc_buckets: int = DOC_BUCKETS
+    term_buckets: int = 0
+    doc_buckets: int = 0
+    _texts: DataFrame | None = None
+    _doc_terms: DataFrame | None = None
+    complete: bool = False
 
     @property
     def term_stats(self) -> DataFrame:
@@ -95,28 +108,46 @@ class Index:
         """Add the bucket column to a small term-keyed frame when the index is bucketed."""
         return small.withColumn(BUCKET, term_bucket(F.col("term"), self.term_buckets)) if self.bucketed else small
 
-    def docs_for(self, small: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
-        """(docs columns, small frame, join keys) for looking up the docs of a small frame
-        keyed by doc_id; with bucketed docs the join also matches the bucket."""
-        if DOC_BUCKET in self.docs.columns:
-            return (self.docs.select("doc_id", DOC_BUCKET, *cols),
-                    small.withColumn(DOC_BUCKET, doc_bucket(F.col("doc_id"), self.doc_buckets)),
-                    ["doc_id", DOC_BUCKET])
-        return self.docs.select("doc_id", *cols), small, ["doc_id"]
+    def by_doc(self, table: DataFrame, small: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+        """(table, small frame, join keys) for a join on doc_id; where the table is split
+        by document, the join also matches the bucket."""
+        if DOC_BUCKET in table.columns:
+            return table, small.withColumn(DOC_BUCKET, doc_bucket(F.col("doc_id"), self.doc_buckets)), [
+                "doc_id", DOC_BUCKET]
+        return table, small, ["doc_id"]
 
     @property
     def doc_terms(self) -> DataFrame:
-        """(doc_id, term) pairs: postings without positions, for suggestions."""
-        return self.postings.select("doc_id", *self.term_keys)
+        """doc_id, terms (array of term and df), one row per document, for suggestions."""
+        if self._doc_terms is not None:
+            return self._doc_terms
+        return document_terms(self.postings.select("doc_id", "term"), self.term_stats.select("term", "doc_count"))
+
+    def with_text(self, ranked: DataFrame) -> DataFrame:
+        """Add clean_text to rows that hold doc columns; stored texts are joined on the
+        part they were written in, so only the parts of these documents are read."""
+        if self._texts is None:
+            return ranked.join(self.docs.select("doc_id", "clean_text"), "doc_id")
+        return ranked.join(self._texts.select("doc_id", TEXT_PART, "clean_text"), ["doc_id", TEXT_PART])
+
+    @property
+    def doc_columns(self) -> list[str]:
+        return ["url", "title", *([TEXT_PART] if self._texts is not None else [])]
 
     def doc_count(self):
         """N as a scalar subquery column (no driver round trip, no cross join)."""
         return self.docs.select(F.count(F.lit(1))).scalar()
 
 
+def document_terms(pairs: DataFrame, stats: DataFrame, keys: tuple[str, ...] = ("term",)) -> DataFrame:
+    """(doc_id, term) pairs -> one row per document with its distinct terms and their df."""
+    return (pairs.join(stats, list(keys)).groupBy("doc_id")
+            .agg(F.collect_list(F.struct("term", F.col("doc_count").alias("df"))).alias("terms")))
+
+
 def build_index(corpus: DataFrame) -> Index:
-    """Lazy index over a corpus; `write_index` + `read_index` materialise it once."""
-    return Index(docs=docs_table(corpus), postings=postings_table(corpus))
+    """Lazy index over a corpus; `build_and_write_index` + `read_index` materialise one."""
+    return Index(docs=docs_table(corpus), postings=postings_table(corpus), complete=True)
 
 
 def doc_lengths(index: Index) -> DataFrame:

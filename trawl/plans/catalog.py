@@ -18,13 +18,14 @@ from trawl.functions.urls import is_valid_url, normalize_url, raw_hrefs
 from trawl.operators import crawl as cr
 from trawl.operators import index as ix
 from trawl.operators import search as srch
-from trawl.plans.inputs import crawl_log, fetched_pages, queries_table, robots_table, visited_urls
+from trawl.plans.inputs import (crawl_log, fetched_pages, in_progress_urls, queries_table, robots_table,
+                                visited_urls)
 from trawl.session import scratch_path
 from trawl.sources import crawl_files as cf
-from trawl.sources.corpus import load_corpus, read_table
+from trawl.sources.corpus import load_corpus, read_spread, read_table
 from trawl.sources.index_store import build_and_write_index, read_index
-from trawl.streaming.ingest import read_streamed_index, stream_index
-from trawl.streaming.stats import stream_worker_stats
+from trawl.streaming.ingest import finish, read_streamed_index, stream_index, tick_stats
+from trawl.streaming.stats import read_worker_stats, stream_worker_stats
 
 _STORED: dict[tuple[str, str, str], str] = {}
 
@@ -79,15 +80,15 @@ def q_stopword_share(spark, sf):
 
 
 def q_clean_text(spark, sf):
-    return read_table(spark, sf, "pages").select("page_id", clean_text(F.col("html")).alias("clean_text"))
+    return read_spread(spark, sf, "pages").select("page_id", clean_text(F.col("html")).alias("clean_text"))
 
 
 def q_page_title(spark, sf):
-    return read_table(spark, sf, "pages").select("page_id", page_title(F.col("html")).alias("title"))
+    return read_spread(spark, sf, "pages").select("page_id", page_title(F.col("html")).alias("title"))
 
 
 def q_page_first_title(spark, sf):
-    return read_table(spark, sf, "pages").select("page_id", first_title(F.col("html")).alias("title"))
+    return read_spread(spark, sf, "pages").select("page_id", first_title(F.col("html")).alias("title"))
 
 
 def q_query_terms(spark, sf):
@@ -143,12 +144,12 @@ def q_search_response(spark, sf):
 
 
 def q_normalize_url(spark, sf):
-    return read_table(spark, sf, "pages").select("page_id", normalize_url(F.col("url")).alias("url"))
+    return read_spread(spark, sf, "pages").select("page_id", normalize_url(F.col("url")).alias("url"))
 
 
 def q_valid_url(spark, sf):
     """The predicate on every page URL (href_pos -1) and on every raw href as written."""
-    pages = read_table(spark, sf, "pages")
+    pages = read_spread(spark, sf, "pages")
     own = pages.select("page_id", F.lit(-1).alias("href_pos"), "url")
     hrefs = pages.select("page_id", F.posexplode(raw_hrefs(F.col("html"))).alias("href_pos", "url"))
     return own.unionByName(hrefs).select("page_id", F.col("href_pos").cast("int").alias("href_pos"), "url",
@@ -156,29 +157,40 @@ def q_valid_url(spark, sf):
 
 
 def q_page_links(spark, sf):
-    return cr.page_links(read_table(spark, sf, "pages"))
+    return cr.page_links(read_spread(spark, sf, "pages"))
 
 
 def q_pages_by_domain(spark, sf):
-    return cr.pages_by_domain(read_table(spark, sf, "pages"))
+    return cr.pages_by_domain(read_spread(spark, sf, "pages"))
 
 
 def q_robots_policy(spark, sf):
     return cr.robots_policy(robots_table(spark, sf))
 
 
+def stored_links(spark, sf):
+    """The links of all pages, extracted once and written, as a crawl round reads them several times."""
+    path = scratch_path(spark, "links")
+    cr.page_links(read_spread(spark, sf, "pages")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _crawl_round(spark, sf):
-    links = cr.page_links(read_table(spark, sf, "pages"))
+    links = stored_links(spark, sf)
     return links, visited_urls(links), cr.robots_policy(robots_table(spark, sf))
 
 
-# Page budget of the reference crawler and pages already crawled in this round.
+# Page budget of the reference crawler, and pages already crawled before this round: the
+# budget left cuts the frontier.
 MAX_PAGES = 12000
+CRAWLED = 11_900
 
 
 def q_frontier_step(spark, sf):
+    """A round with seeds (every page's own URL) and URLs being fetched (each page's second link)."""
     links, visited, policy = _crawl_round(spark, sf)
-    return cr.frontier_step(links, visited, policy, MAX_PAGES, crawled=0)
+    return cr.frontier_step(links, visited, policy, MAX_PAGES, CRAWLED, in_progress=in_progress_urls(links),
+                            seeds=read_table(spark, sf, "pages").select("url"))
 
 
 def q_frontier_allowed(spark, sf):
@@ -186,7 +198,8 @@ def q_frontier_allowed(spark, sf):
 
 
 def q_frontier_sizes(spark, sf):
-    return cr.frontier_sizes(*_crawl_round(spark, sf))
+    links, visited, policy = _crawl_round(spark, sf)
+    return cr.frontier_sizes(links, visited, policy, in_progress_urls(links))
 
 
 def q_crawl_stats(spark, sf):
@@ -202,13 +215,13 @@ def q_crawl_throughput(spark, sf):
 
 
 def q_to_crawl_output(spark, sf):
-    return cf.flatten(cf.crawl_envelope(fetched_pages(spark, sf)))
+    return cf.flatten(cf.crawl_envelope(fetched_pages(spark, sf), with_word_count=True))
 
 
 def q_scan_crawl_output(spark, sf):
     d = scratch_path(spark, "crawl-files")
-    cf.write_crawl_files(cf.crawl_envelope(fetched_pages(spark, sf)), d)
-    good, _ = cf.split_bad(cf.read_crawl_output(spark, d))
+    cf.write_crawl_output(cf.crawl_envelope(fetched_pages(spark, sf)), d)
+    good, _ = cf.split_bad(cf.read_crawl_output(spark, d, multiline=False, pattern="part-*"))
     return cf.flatten(good)
 
 
@@ -220,26 +233,44 @@ def q_index_roundtrip(spark, sf):
     return _postings_out(stored_index(spark, sf, "documents").postings)
 
 
-STREAM_TIMEOUT_S = 900
+# Files a micro-batch takes at most (small, so that every run has several batches).
+STREAM_FILES = 3
+STREAM_PARTS = 8
+
+
+def _streamed(spark, sf, name: str, **options) -> str:
+    """Pages staged as JSON Lines files, indexed by the streaming ingest; returns its folder."""
+    root = scratch_path(spark, name)
+    cf.write_crawl_output(cf.crawl_envelope(fetched_pages(spark, sf)).repartition(STREAM_PARTS, "url"), f"{root}/in")
+    finish(stream_index(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", max_files_per_trigger=STREAM_FILES,
+                        pattern="part-*", multiline=False, **options))
+    return root
 
 
 def q_stream_index(spark, sf):
-    """Pages dumped as raw_* files, indexed by the streaming ingest, read back."""
-    root = scratch_path(spark, "stream-index")
-    cf.write_crawl_files(cf.crawl_envelope(fetched_pages(spark, sf)), f"{root}/in")
-    q = stream_index(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt")
-    q.awaitTermination(STREAM_TIMEOUT_S)
-    idx = read_streamed_index(spark, f"{root}/out")
+    """Pages dumped as crawl files, indexed by the streaming ingest, read back."""
+    idx = read_streamed_index(spark, f"{_streamed(spark, sf, 'stream-index')}/out")
     return _postings_out(idx.postings).join(idx.docs.select("doc_id", "url"), "doc_id").drop("doc_id")
 
 
+def q_stream_tick_stats(spark, sf):
+    """Documents, terms and quarantined files after the last of the ingest's micro-batches."""
+    ticks = tick_stats(spark, f"{_streamed(spark, sf, 'stream-ticks')}/out")
+    return ticks.orderBy(F.desc("batch_id")).limit(1).drop("batch_id")
+
+
+def q_stream_clean_source(spark, sf):
+    """The ingest with processed files deleted behind it: every page is indexed all the same."""
+    idx = read_streamed_index(spark, f"{_streamed(spark, sf, 'stream-clean', clean_source='delete')}/out")
+    return idx.docs.select("url", "title", "length")
+
+
 def q_stream_worker_stats(spark, sf):
     """The crawl log written as JSON files, aggregated by a streaming query, read back."""
     root = scratch_path(spark, "stream-stats")
     crawl_log(spark, sf).write.json(f"{root}/log")
-    q = stream_worker_stats(spark, f"{root}/log", f"{root}/out", f"{root}/ckpt")
-    q.awaitTermination(STREAM_TIMEOUT_S)
-    return spark.read.parquet(f"{root}/out")
+    finish(stream_worker_stats(spark, f"{root}/log", f"{root}/out", f"{root}/ckpt"))
+    return read_worker_stats(spark, f"{root}/out")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -282,4 +313,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "header_counts": q_header_counts,
     "stream_index": q_stream_index,
     "stream_worker_stats": q_stream_worker_stats,
+    "stream_tick_stats": q_stream_tick_stats,
+    "stream_clean_source": q_stream_clean_source,
 }

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trawl.session import literal_rows
 from trawl.sources.corpus import read_table
 
 # Literal queries (fixed values): two hitting queries, a repeated term, a stop word
@@ -29,7 +30,7 @@ QUERY_ID_OFFSET = 1000
 
 def queries_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """query_id BIGINT, query STRING: the literal queries plus every benchmark passage."""
-    lits = spark.createDataFrame(list(LITERAL_QUERIES), "query_id bigint, query string")
+    lits = literal_rows(spark, list(LITERAL_QUERIES), "query_id bigint, query string")
     bench = read_table(spark, sf_dir, "benchmark").select(
         (F.lit(QUERY_ID_OFFSET) + F.col("item_id")).cast("bigint").alias("query_id"),
         F.col("text").alias("query"))
@@ -81,6 +82,11 @@ def visited_urls(links: DataFrame) -> DataFrame:
     return links.filter(F.col("link_pos") % 2 == 0).select(F.col("dst_url").alias("url"))
 
 
+def in_progress_urls(links: DataFrame) -> DataFrame:
+    """url: the second link of each page counts as being fetched just now."""
+    return links.filter(F.col("link_pos") == 1).select(F.col("dst_url").alias("url"))
+
+
 # Fetch metadata of the stand-in crawl (fixed values): every page answered 200 with HTML,
 # fetched one second apart from a fixed start, by worker page_id mod 80.
 FETCH_START = "2024-01-01 00:00:00"
@@ -97,19 +103,3 @@ def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.to_timestamp(F.lit(FETCH_START)) + F.make_dt_interval(secs=F.col("page_id").cast("decimal(18,6)")))
         .alias("fetch_time"),
         F.pmod(F.col("page_id"), F.lit(CRAWL_WORKERS)).cast("int").alias("worker_id"))
-
-
-# Seed URLs of the reference crawler (fixed values).
-SEED_URLS = (
-    "https://en.wikipedia.org/wiki/Web_crawler",
-    "https://en.wikipedia.org/wiki/World_War_II",
-    "https://en.wikipedia.org/wiki/Halogen",
-    "https://en.wikipedia.org/wiki/Taylor_Swift",
-    "https://en.wikipedia.org/wiki/Heartburn",
-    "https://en.wikipedia.org/wiki/Michael_Jackson",
-    "https://en.wikipedia.org/wiki/Michelangelo",
-    "https://en.wikipedia.org/wiki/Middle_East",
-    "https://en.wikipedia.org/wiki/Astronomy",
-    "https://www.reddit.com",
-    "https://store.steampowered.com/app/1262350/SIGNALIS/",
-)

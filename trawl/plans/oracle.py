@@ -1,34 +1,38 @@
 """DuckDB SQL for the correctness gate, written from the reference semantics.
 
-Independent of the Spark code path on purpose: tokens are unnested and numbered with
-a window, the stemmer is a CASE chain over CTE columns, and script/style/noscript are
-removed with three separate replaces (RE2 has no back-references). Every query reads
-the pre-registered driver views (pages, documents, benchmark, events, ...).
+Independent of the Spark code path on purpose: its own patterns, stop words and entity
+list; tokens are unnested and numbered with a window, the stemmer is a CASE chain over CTE
+columns, and markup is removed element by element. Every query reads the pre-registered
+driver views (pages, documents, benchmark, events, ...).
 """
 
 from __future__ import annotations
 
-from trawl.functions.html import NAMED_ENTITIES
-from trawl.functions.text import PUNCT_CUTSET, STOP_WORDS, WS
 from trawl.plans.inputs import CONTENT_TYPE, CRAWL_WORKERS, FETCH_START, LITERAL_QUERIES, QUERY_ID_OFFSET
 from trawl.plans.oracle_crawl import crawl_sql
 
-CUT = PUNCT_CUTSET.replace("'", "''")
+# Fixed values of the reference: white space, trimmed punctuation and stop words.
+WS = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+CUT = """.,!?()[]{}:;"''"""
+STOP_WORDS = """a all an and any are as at be both but by can did do does doing done down each few for from had has have he
+how in is it its more most no nor not of on only other own same so some such than that the they this to too up very was
+were what when where which who why will with""".split()
 STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
-TITLE_RE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
+TITLE_RE = r"(?is)<title(?:\s[^<>]*)?>([^<]*)"
+# Character references that the pages hold, also in the old form without a semicolon; "&amp" comes last.
+REFERENCES = (("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"))
 
 
 def _decode_named(x: str) -> str:
-    for name, ch in NAMED_ENTITIES.items():
-        if name.lower() != "amp":
-            x = f"replace({x}, '&{name};', '{ch.replace(chr(39), chr(39) * 2)}')"
-    return f"replace(replace({x}, '&amp;', '&'), '&AMP;', '&')"
+    for name, ch in REFERENCES:
+        x = f"regexp_replace({x}, '&{name};?', '{ch}', 'g')"
+    return f"regexp_replace({x}, '&amp;?', '&', 'g')"
 
 
 def _strip_raw(h: str) -> str:
     x = f"regexp_replace(coalesce({h}, ''), '(?s)<!--.*?-->', ' ', 'g')"
     for tag in ("script", "style", "noscript"):
-        x = f"regexp_replace({x}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', ' ', 'g')"
+        x = f"regexp_replace({x}, '(?is)<{tag}(?:\\s[^<>]*)?>.*?</{tag}[^<>]*>', ' ', 'g')"
     return x
 
 
@@ -54,7 +58,7 @@ pages_titled AS (
 corpus AS (
   SELECT doc_id, url,
          CASE WHEN coalesce(t, '') = '' THEN 'No Title' ELSE t END AS title,
-         trim(regexp_replace(regexp_replace({_decode_named("regexp_replace(h, '<!?/?[a-zA-Z][^>]*>|<[?!/][^>]*>', ' ', 'g')")},
+         trim(regexp_replace(regexp_replace({_decode_named("regexp_replace(h, '<[!/]?[a-zA-Z](?:\"[^\"]*\"|[^\">])*>', ' ', 'g')")},
                                             '&[a-zA-Z]+;', ' ', 'g'), '{WS}', ' ', 'g')) AS clean_text
   FROM pages_titled)""",
 }
@@ -143,7 +147,7 @@ def _with(*parts: str) -> str:
 def _search(kind: str, n: int = 5) -> str:
     return _with(CORPUS[kind], TOKENS, INDEX, _queries_cte(), SCORES) + f"""
 SELECT r.query_id, CAST(r.rnk AS INTEGER) AS rank, r.doc_id, d.url, d.title, r.score,
-       CAST(trunc(r.score * 1000) AS INTEGER) AS doc_score, '' AS snippet
+       CAST(trunc(r.score * 1000) AS BIGINT) AS doc_score, '' AS snippet
 FROM ranked r JOIN docs d USING (doc_id) WHERE r.rnk <= {n}"""
 
 
@@ -154,7 +158,7 @@ def _snippets(kind: str, n: int = 5) -> str:
   FROM ranked r JOIN docs d USING (doc_id) JOIN qwords w ON w.query_id = r.query_id
   WHERE r.rnk <= {n} GROUP BY r.query_id, r.doc_id)
 SELECT r.query_id, CAST(r.rnk AS INTEGER) AS rank, r.doc_id, d.url, d.title, r.score,
-       CAST(trunc(r.score * 1000) AS INTEGER) AS doc_score,
+       CAST(trunc(r.score * 1000) AS BIGINT) AS doc_score,
        CASE WHEN f.p IS NULL THEN '' ELSE substring(d.clean_text, greatest(f.p - 30, 1), 160) END AS snippet
 FROM ranked r JOIN docs d USING (doc_id) LEFT JOIN firsts f ON f.query_id = r.query_id AND f.doc_id = r.doc_id
 WHERE r.rnk <= {n}"""
@@ -248,7 +252,7 @@ SELECT query_id, CAST(wi - 1 AS INTEGER) AS term_pos, term FROM qwords""",
 SELECT q.query_id, q.term, q.qtf, s.doc_count, round(ln((SELECT count(*) FROM docs) / s.doc_count), 9) AS idf
 FROM qterms q JOIN term_stats s ON s.term = q.term""",
         "search_scores": _with(CORPUS["documents"], TOKENS, INDEX, _queries_cte(), SCORES) + """
-SELECT query_id, doc_id, score, CAST(trunc(score * 1000) AS INTEGER) AS doc_score FROM scores""",
+SELECT query_id, doc_id, score, CAST(trunc(score * 1000) AS BIGINT) AS doc_score FROM scores""",
         "search_topk": _search("documents"),
         "search_topk_pages": _search("pages"),
         "search_snippets": _snippets("pages"),
@@ -265,13 +269,18 @@ SELECT DISTINCT q.query_id, p.doc_id FROM qterms q JOIN postings p ON p.term = q
 SELECT p.term, p.frequency, p.first_pos, array_to_string(p.positions, ',') AS positions, c.url
 FROM postings p JOIN corpus c USING (doc_id)"""
     q["stream_worker_stats"] = q["worker_stats"]
-    q["to_crawl_output"] = q["scan_crawl_output"] = _crawl_output()
+    q["to_crawl_output"] = base_p + _crawl_output("(SELECT length FROM docs d WHERE d.doc_id = page_id)")
+    q["scan_crawl_output"] = _crawl_output("0")
+    q["stream_tick_stats"] = base_p + """
+SELECT (SELECT count(*) FROM docs) AS total_documents, (SELECT count(*) FROM term_stats) AS total_terms,
+       CAST(0 AS BIGINT) AS quarantined"""
+    q["stream_clean_source"] = base_p + "SELECT url, title, length FROM docs"
     q["header_counts"] = """
 SELECT 'Content-Type' AS header, count(*) AS pages, count(DISTINCT 1) AS distinct_values FROM pages"""
     return q
 
 
-def _crawl_output() -> str:
+def _crawl_output(word_count: str) -> str:
     ts = "strftime(TIMESTAMP '{start}' + to_seconds(page_id), '%Y%m%d_%H%M%S')".format(start=FETCH_START)
     w = f"CAST(page_id % {CRAWL_WORKERS} AS INTEGER)"
     return f"""
@@ -280,5 +289,5 @@ SELECT url, {ts} AS timestamp, {w} AS worker_id,
          AS file_path,
        false AS processed, CAST(200 AS INTEGER) AS status_code, '{CONTENT_TYPE}' AS content_type,
        CAST(strlen(html) AS INTEGER) AS content_length, md5(html) AS content_md5, true AS success,
-       {w} AS result_worker_id, 'pending' AS content_hash
+       {w} AS result_worker_id, CAST({word_count} AS INTEGER) AS word_count, 'pending' AS content_hash
 FROM pages"""

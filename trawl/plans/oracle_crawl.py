@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from trawl.plans.inputs import CRAWL_WORKERS, EVENT_ACTIONS, ROBOTS_BODIES
 
-A_HREF = r"""(?is)<a(?:\s[^>]*?)??[\s"']href\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""".replace("'", "''")
+# The pages' tags: every attribute is in double quotes.
+A_TAG = r"""(?i)<a(?:\s+[a-z-]+="[^"]*")*\s*>"""
+HREF = r'(?i)\shref="([^"]*)"'
 ORIGIN = "lower(regexp_extract({u}, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1))"
 DOMAIN = ("lower(regexp_extract({u}, '^([a-zA-Z][a-zA-Z0-9+.-]*)://', 1)) || '://' || "
-          "regexp_extract({u}, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)', 1)")
-QUOTED = r"""regexp_full_match(v, '"(.*)"|''(.*)''')"""
+          "lower(regexp_extract({u}, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)', 1))")
 PATH_VALID = r"[A-Za-z0-9\-_.~!$&''()*+,;=:@\[\]%/]*"
 PATH_KEEP = r"[A-Za-z0-9\-_.~$&+,/:;=@]"
 
@@ -24,12 +25,12 @@ def esc_path(p: str) -> str:
 
 
 def links_cte(strip_raw, decode_named) -> str:
-    href = decode_named(f"CASE WHEN {QUOTED} THEN substr(v, 2, length(v) - 2) ELSE v END")
+    href = decode_named(f"regexp_extract(v, '{HREF}', 1)")
     return f"""
 l_raw AS (SELECT page_id, url, {strip_raw('html')} AS h FROM pages),
 l_hrefs AS (
   SELECT page_id, url, unnest(v) AS v, generate_subscripts(v, 1) AS i
-  FROM (SELECT page_id, url, regexp_extract_all(h, '{A_HREF}', 1) AS v FROM l_raw)),
+  FROM (SELECT page_id, url, regexp_extract_all(h, '{A_TAG}') AS v FROM l_raw)),
 l_vals AS (SELECT page_id, url, i, {href} AS href FROM l_hrefs),
 l_res AS (
   SELECT page_id, url, i,
@@ -43,7 +44,8 @@ links AS (
   SELECT page_id, url AS src_url,
          CAST(row_number() OVER (PARTITION BY page_id ORDER BY fi) - 1 AS INTEGER) AS link_pos, dst_url
   FROM l_first),
-visited AS (SELECT dst_url AS url FROM links WHERE link_pos % 2 = 0)"""
+visited AS (SELECT dst_url AS url FROM links WHERE link_pos % 2 = 0),
+in_progress AS (SELECT dst_url AS url FROM links WHERE link_pos = 1)"""
 
 
 def robots_cte(trim_ws) -> str:
@@ -97,11 +99,11 @@ def crawl_sql(with_, strip_raw, decode_named, trim_ws) -> dict[str, str]:
     links = links_cte(strip_raw, decode_named)
     robots = robots_cte(trim_ws)
     path = esc_path("regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1)")
+    normal = (f"{ORIGIN.format(u='url')} || {path} || regexp_extract(url, '^[^?#]*(\\?[^#]*)?', 1) "
+              "|| regexp_extract(url, '^[^#]*(#.*)?', 1)")
+    normalized_pages = f"SELECT {normal} AS url FROM pages"
     return {
-        "normalize_url": f"""
-SELECT page_id, {ORIGIN.format(u='url')} || {path}
-       || regexp_extract(url, '^[^?#]*(\\?[^#]*)?', 1) || regexp_extract(url, '^[^#]*(#.*)?', 1) AS url
-FROM pages""",
+        "normalize_url": f"SELECT page_id, {normal} AS url FROM pages",
         "valid_url": with_(links) + """
 , v_all AS (SELECT page_id, -1 AS i, url FROM pages UNION ALL SELECT page_id, i - 1, href FROM l_vals)
 SELECT page_id, CAST(i AS INTEGER) AS href_pos, url,
@@ -110,11 +112,19 @@ SELECT page_id, CAST(i AS INTEGER) AS href_pos, url,
         "pages_by_domain": f"SELECT {DOMAIN.format(u='url')} AS domain, count(*) AS pages FROM pages GROUP BY 1",
         "robots_policy": with_(robots) + "SELECT domain, allowed, crawl_delay_s FROM policy",
         "frontier_allowed": with_(links, robots, FRONTIER) + "SELECT url, domain, crawl_delay_s FROM f_allowed",
-        "frontier_step": with_(links, robots, FRONTIER) + """
-SELECT url, domain, crawl_delay_s FROM f_allowed ORDER BY url LIMIT 12000""",
-        "frontier_sizes": with_(links, robots, FRONTIER) + """
-SELECT (SELECT count(*) FROM f_cand) AS frontier, (SELECT count(DISTINCT url) FROM visited) AS visited,
-       CAST(0 AS BIGINT) AS in_progress, (SELECT count(DISTINCT domain) FROM policy) AS robots_cached""",
+        "frontier_step": with_(links, robots) + f"""
+, s_cand AS (
+  SELECT DISTINCT url FROM (SELECT dst_url AS url FROM links UNION ALL {normalized_pages}) c
+  WHERE url NOT IN (SELECT url FROM visited) AND url NOT IN (SELECT url FROM in_progress))
+SELECT c.url, c.domain, CAST(coalesce(p.crawl_delay_s, 0) AS BIGINT) AS crawl_delay_s
+FROM (SELECT url, {DOMAIN.format(u='url')} AS domain FROM s_cand) c LEFT JOIN policy p ON p.domain = c.domain
+WHERE coalesce(p.allowed, true) ORDER BY url LIMIT 100""",
+        "frontier_sizes": with_(links, robots) + """
+SELECT (SELECT count(DISTINCT dst_url) FROM links WHERE dst_url NOT IN (SELECT url FROM visited)
+        AND dst_url NOT IN (SELECT url FROM in_progress)) AS frontier,
+       (SELECT count(DISTINCT url) FROM visited) AS visited,
+       (SELECT count(DISTINCT url) FROM in_progress) AS in_progress,
+       (SELECT count(DISTINCT domain) FROM policy) AS robots_cached""",
         "crawl_stats": with_(crawl_log_cte()) + """
 SELECT count(*) FILTER (WHERE action = 'crawled') AS pages_crawled,
        count(*) FILTER (WHERE action = 'indexed') AS pages_indexed,

@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Most rows and bytes (as JSON text, an upper bound of the in-memory size) a DataFrame may
-# have to be broadcast by `bounded_broadcast`.
-BROADCAST_MAX_ROWS = 2_000_000
-BROADCAST_MAX_BYTES = 256 << 20
-
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "trawl", driver_memory: str | None = None) -> SparkSession:
@@ -42,10 +36,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local tests) a temporary folder is set.
+    A temporary folder stands in only where driver and tasks share one machine (a local
+    master); on a cluster an unset folder is an error, because other machines could not
+    read what one of them wrote.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines share (master {master})")
         root = tempfile.mkdtemp(prefix="trawl-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -56,77 +55,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/trawl/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def fs_uri(path: str) -> str:
-    """A full URI for a path: plain paths and Hadoop-style "file:/x" become "file:///x"."""
-    if "://" in path:
-        return path
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-    return "file://" + os.path.abspath(path)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
-                      max_bytes: int | None = None) -> tuple[DataFrame, int | None]:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows and ``max_bytes`` bytes.
-
-    The check is one bounded job over ``limit(max_rows + 1)`` (it never reads more rows
-    than that) that counts rows and sums their serialised size. Beyond either bound the
-    frame is returned as is and the planner falls back to a shuffle join. Returns
-    ``(frame, rows)`` with rows None when the frame is not broadcast.
-    """
-    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
-    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))), F.lit(0))
-    n, nbytes = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
-    if n <= max_rows and nbytes <= max_bytes:
-        return F.broadcast(df), n
-    return df, None
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a CPU-heavy stage at least one task per core.
+def fs_uri(spark: SparkSession, path: str) -> str:
+    """The full URI of a path as Spark itself resolves it (a plain path belongs to the
+    cluster's default file system, not to the local disk)."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    uri = str(hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop))
+    return "file://" + uri[len("file:"):] if uri.startswith("file:/") and not uri.startswith("file://") else uri
 
-    Text cleaning and tokenising cost far more per byte than reading, and a small input
-    may come in fewer splits (Parquet row groups) than there are cores. Only then is the
-    input redistributed round-robin; large inputs already have more splits than cores
-    and are left as they are (no extra shuffle).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
-# Most rows the single merge task of a plain orderBy().limit() may receive
-# (partitions x limit); larger prefixes use `ordered_head`'s distributed path.
-SINGLE_TASK_TOPK_ROWS = 5_000_000
-
-
-def ordered_head(df: DataFrame, col: str, k: int, distributed: bool | None = None) -> DataFrame:
-    """The first k rows of df in ascending, unique `col` order - exact, for any k.
-
-    Small prefixes use orderBy().limit() (each task keeps its top k, one task merges
-    partitions x k rows). When that merge would exceed SINGLE_TASK_TOPK_ROWS, the frame is
-    range-partitioned and sorted by `col`, checkpointed to the shared checkpoint folder
-    (so both passes read one materialisation), its rows are counted per partition (one
-    row per partition), partition offsets are summed, and each row keeps its global
-    position from offset + position within its partition. No task sees more than its
-    own range.
-    """
-    if k <= 0:
-        return df.limit(0)
-    if distributed is None:
-        distributed = df.rdd.getNumPartitions() * k > SINGLE_TASK_TOPK_ROWS
-    if not distributed:
-        return df.orderBy(col).limit(k)
-    from pyspark.sql import Window
 
-    checkpoint_root(df.sparkSession)
-    ranged = df.repartitionByRange(col).sortWithinPartitions(col).checkpoint()
-    ided = ranged.select("*", F.spark_partition_id().alias("_pid"),
-                         (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).alias("_pos"))
-    counts = ided.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: a window over the whole (tiny) table is fine here.
-    offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
-    return (ided.join(F.broadcast(offsets), "_pid")
-            .filter(F.col("_off") + F.col("_pos") < k).drop("_pid", "_pos", "_off"))
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few constant rows as a plan of literals, whose size the planner knows."""
+    names = [c.strip().split(" ", 1) for c in schema.split(",")]
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, names)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

@@ -9,20 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawl.functions.html import NO_TITLE, clean_text, page_title
-from trawl.session import spread
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def pages_corpus(pages: DataFrame) -> DataFrame:
-    """Raw web pages (page_id, url, html): cleaned to text and titled.
+def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """`read_table` with at least one task per core, for CPU-heavy work on a small file.
 
-    HTML cleaning is the CPU-heavy part, so the raw rows are spread over all cores first
-    when they come in fewer splits than cores (`session.spread`; no-op on large inputs).
+    Only a scan of fewer splits (Parquet row groups) than cores is redistributed; a larger
+    one is left as it is. Looking at a plain scan's splits starts no job.
     """
-    return spread(pages).select(
+    table, cores = read_table(spark, sf_dir, name), spark.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
+def pages_corpus(pages: DataFrame) -> DataFrame:
+    """Raw web pages (page_id, url, html): cleaned to text and titled."""
+    return pages.select(
         F.col("page_id").cast("bigint").alias("doc_id"),
         F.col("url"),
         page_title(F.col("html")).alias("title"),
@@ -42,7 +47,7 @@ def documents_corpus(documents: DataFrame) -> DataFrame:
 
 def load_corpus(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     if kind == "pages":
-        return pages_corpus(read_table(spark, sf_dir, "pages"))
+        return pages_corpus(read_spread(spark, sf_dir, "pages"))
     if kind == "documents":
-        return documents_corpus(read_table(spark, sf_dir, "documents"))
+        return documents_corpus(read_spread(spark, sf_dir, "documents"))
     raise ValueError(f"unknown corpus {kind!r}")

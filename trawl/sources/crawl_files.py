@@ -88,6 +88,7 @@ def flatten(envelopes: DataFrame) -> DataFrame:
         F.md5(F.col("page_data.content")).alias("content_md5"),
         F.col("index_result.success").alias("success"),
         F.col("index_result.worker_id").alias("result_worker_id"),
+        F.col("index_result.word_count").alias("word_count"),
         F.col("index_result.content_hash").alias("content_hash"))
 
 
@@ -99,15 +100,19 @@ def write_crawl_output(envelopes: DataFrame, path: str, mode: str = "append") ->
 def write_crawl_files(envelopes: DataFrame, directory: str) -> int:
     """The crawler's layout: one pretty-printed JSON file per envelope, named raw_*.json.
 
-    Executors write each file under <dir>/_incoming (hidden from file sources) and then
-    rename it into <dir>, so a directory poll only ever sees whole files. Works on any
-    file system pyarrow can open (local, HDFS, S3, GCS). Returns the number of files.
+    For handing pages to programs that expect that layout; inside Spark use
+    `write_crawl_output`, which writes many pages per file. Executors write each file under
+    a name of their own attempt in <dir>/_incoming (hidden from file sources) and then rename
+    it into <dir>, so a directory poll only ever sees whole files and a repeated task leaves
+    the same files. Works on any file system pyarrow can open (local, HDFS, S3, GCS).
+    Returns the number of files.
     """
     body = envelopes.select("file_name", F.to_json(F.struct(*[c.name for c in CRAWL_OUTPUT.fields])).alias("json"))
-    uri = fs_uri(directory)
+    uri = fs_uri(envelopes.sparkSession, directory)
 
     def write(batches):
         import json
+        import uuid
 
         import pandas as pd
         import pyarrow.fs as pafs
@@ -116,19 +121,25 @@ def write_crawl_files(envelopes: DataFrame, directory: str) -> int:
         fs.create_dir(f"{root}/_incoming", recursive=True)
         for pdf in batches:
             for name, text in zip(pdf["file_name"], pdf["json"]):
-                tmp = f"{root}/_incoming/{name}"
+                tmp, final = f"{root}/_incoming/{uuid.uuid4().hex}", f"{root}/{name}"
                 with fs.open_output_stream(tmp) as out:
                     out.write((json.dumps(json.loads(text), indent=2) + "\n").encode("utf-8"))
-                fs.move(tmp, f"{root}/{name}")
+                try:
+                    fs.move(tmp, final)
+                except OSError:  # a store that does not rename onto a file an earlier attempt left
+                    if fs.get_file_info(final).type != pafs.FileType.File:
+                        raise
+                    fs.delete_file(tmp)
             yield pd.DataFrame({"n": [len(pdf)]})
 
     return int(body.mapInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0)
 
 
-def read_crawl_output(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Envelopes from raw_* files (explicit schema, corrupt rows kept in _corrupt_record)."""
+def read_crawl_output(spark: SparkSession, path: str, multiline: bool = True,
+                      pattern: str = f"{FILE_PREFIX}*") -> DataFrame:
+    """Envelopes from crawl files (explicit schema, corrupt rows kept in _corrupt_record)."""
     return (spark.read.schema(CRAWL_OUTPUT_READ).option("multiLine", multiline)
-            .option("pathGlobFilter", f"{FILE_PREFIX}*").option("mode", "PERMISSIVE")
+            .option("pathGlobFilter", pattern).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT).json(path))
 
 
@@ -142,8 +153,15 @@ def split_bad(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(good).drop(CORRUPT), df.filter(~good)
 
 
+def latest_fetches(envelopes: DataFrame) -> DataFrame:
+    """One envelope per url: the one fetched last (then of the greatest file path)."""
+    cols = [c for c in envelopes.columns if c != "url"]
+    last = F.max_by(F.struct(*cols), F.struct(F.col("page_data.fetch_time"), F.col("file_path")))
+    return envelopes.groupBy("url").agg(last.alias("e")).select("url", *[F.col(f"e.{c}").alias(c) for c in cols])
+
+
 def crawl_corpus(envelopes: DataFrame) -> DataFrame:
-    """Envelopes -> corpus rows; doc_id is a 64-bit hash of the url (no arrival order)."""
+    """Envelopes (one per url) -> corpus rows; doc_id is a 64-bit hash of the url (no arrival order)."""
     return envelopes.select(
         F.xxhash64("url").alias("doc_id"), F.col("url"),
         page_title(F.col("page_data.content")).alias("title"),

@@ -1,13 +1,20 @@
-"""Index sink and source: Parquet tables docs / postings / term_stats.
-
-postings and term_stats are partitioned by term_bucket = hash(term) mod B and sorted
-by term inside each file; docs are partitioned by doc_bucket = hash(doc_id) mod B' the
-same way, for top-k lookups. Search joins on (term, term_bucket), so dynamic partition
-pruning reads only the buckets of the batch's query terms, and Parquet row-group
-min/max statistics skip row groups inside them. Writing goes through a rebalance on
-the bucket: AQE splits a bucket that holds a hot term into several files. docs are sorted
-by doc_id. Writes replace the whole index directory (overwrite); the incremental path
-is the streaming ingest, which writes per micro-batch.
+"""Index sink and source: Parquet tables texts / docs / postings / term_stats / doc_terms.
+
+* texts (doc_id, url, title, length, indexed_at, clean_text) are written where they were
+  cleaned, one folder per task (text_part): text is never shuffled. docs holds the same
+  rows without the text, split by doc_bucket, and names each document's text_part, so a
+  snippet lookup reads only the parts of its documents.
+* postings and term_stats are split by term_bucket = hash(term) mod B and sorted by term
+  inside each file. Search joins on (term, term_bucket), so dynamic partition pruning
+  reads only the buckets of the batch's query terms, and Parquet row-group min/max
+  statistics skip row groups inside them. Tokens are dealt out by (term_bucket, slice)
+  once; that exchange serves the aggregation and the write.
+* doc_terms (doc_id, terms with their document frequency), split by doc_bucket, is the
+  document-to-terms direction that suggestions read.
+
+Bucket and slice counts follow from the number of indexed tokens, which the docs table
+gives before the postings are built. Writes replace the whole index directory; the
+incremental path is the streaming ingest, which writes per micro-batch.
 """
 
 from __future__ import annotations
@@ -15,63 +22,99 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.operators.index import (BUCKET, DOC_BUCKET, DOC_BUCKETS, TERM_BUCKETS, Index, doc_bucket, docs_table,
+from trawl.operators.index import (BUCKET, DOC_BUCKET, TEXT_PART, Index, doc_bucket, docs_table, document_terms,
                                   postings_table, term_bucket, term_stats)
-from trawl.session import spread
 
+TOKENS_PER_BUCKET = 50_000_000   # about 1 GB of postings
+TOKENS_PER_SLICE = 1_000_000     # about one task's share of a bucket
+MIN_BUCKETS = 16
+SLICE = "term_slice"
+TEXT_COLUMNS = ["doc_id", "url", "title", "length", "indexed_at", "clean_text"]
 
-def _bucketed_write(df: DataFrame, path: str, mode: str, order: list[str], buckets: int) -> None:
-    """Write partitioned by term bucket. The rebalance hint shuffles by bucket and lets
-    AQE split a bucket that holds a hot term into several files and merge small ones."""
-    (df.withColumn(BUCKET, term_bucket(F.col("term"), buckets)).hint("rebalance", BUCKET)
-     .sortWithinPartitions(BUCKET, *order).write.mode(mode).partitionBy(BUCKET).parquet(path))
 
+def bucket_counts(tokens: int) -> tuple[int, int]:
+    """(buckets, slices of a bucket) for so many indexed tokens."""
+    buckets = max(MIN_BUCKETS, -(-tokens // TOKENS_PER_BUCKET))
+    return buckets, max(1, -(-tokens // (buckets * TOKENS_PER_SLICE)))
 
-def _write_postings(postings: DataFrame, path: str, mode: str, buckets: int) -> None:
-    _bucketed_write(postings, f"{path}/postings", mode, ["term", "doc_id"], buckets)
-    stored = postings.sparkSession.read.parquet(f"{path}/postings").drop(BUCKET)
-    _bucketed_write(term_stats(stored), f"{path}/term_stats", mode, ["term"], buckets)
 
+def _split_write(df: DataFrame, path: str, mode: str, key: str, order: list[str]) -> None:
+    """Write split by ``key``. The rebalance hint shuffles by it and lets AQE cut a large
+    value into several files and merge small ones."""
+    df.hint("rebalance", key).sortWithinPartitions(key, *order).write.mode(mode).partitionBy(key).parquet(path)
 
-def _write_docs(docs: DataFrame, path: str, mode: str, buckets: int) -> None:
-    (docs.drop(DOC_BUCKET).withColumn(DOC_BUCKET, doc_bucket(F.col("doc_id"), buckets))
-     .hint("rebalance", DOC_BUCKET).sortWithinPartitions(DOC_BUCKET, "doc_id")
-     .write.mode(mode).partitionBy(DOC_BUCKET).parquet(f"{path}/docs"))
 
+def _dealt_by_bucket(buckets: int, slices: int):
+    """Token rows partitioned by (term_bucket, slice of doc_id): a posting's tokens share both."""
 
-def _write_layout(spark: SparkSession, path: str, term_buckets: int, doc_buckets: int) -> None:
-    (spark.createDataFrame([(term_buckets, doc_buckets)], "term_buckets int, doc_buckets int")
-     .coalesce(1).write.mode("overwrite").json(f"{path}/layout"))
+    def deal(tok: DataFrame) -> DataFrame:
+        return (tok.withColumn(BUCKET, term_bucket(F.col("term"), buckets))
+                .withColumn(SLICE, F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(slices)).cast("int"))
+                .repartition(BUCKET, SLICE))
 
+    return deal
 
-def write_index(index: Index, path: str, mode: str = "overwrite",
-                term_buckets: int = TERM_BUCKETS, doc_buckets: int = DOC_BUCKETS) -> None:
-    """Write an (already built) index: docs, postings, term_stats, layout.
 
-    Bucket counts are chosen here; a few hundred MB to a few GB of postings per bucket is
-    a good size (64 for tests, thousands at 100 TB)."""
-    path = path.rstrip("/")
-    _write_docs(index.docs, path, mode, doc_buckets)
-    _write_postings(index.postings.drop(BUCKET), path, mode, term_buckets)
-    _write_layout(index.docs.sparkSession, path, term_buckets, doc_buckets)
+def _write_derived(spark: SparkSession, path: str, mode: str, buckets: int, doc_buckets: int) -> None:
+    """term_stats and doc_terms from the stored postings."""
+    stored = spark.read.parquet(f"{path}/postings").select("term", BUCKET, "doc_id")
+    _split_write(term_stats(stored), f"{path}/term_stats", mode, BUCKET, ["term"])
+    stats = spark.read.parquet(f"{path}/term_stats")
+    terms = document_terms(stored, stats, ("term", BUCKET))
+    _split_write(terms.withColumn(DOC_BUCKET, doc_bucket(F.col("doc_id"), doc_buckets)), f"{path}/doc_terms", mode,
+                 DOC_BUCKET, ["doc_id"])
 
 
-def build_and_write_index(corpus: DataFrame, path: str, mode: str = "overwrite",
-                          term_buckets: int = TERM_BUCKETS, doc_buckets: int = DOC_BUCKETS) -> None:
-    """Index a corpus in two passes with the lineage cut between them: docs (with the
-    cleaned text) are written first, then postings are built from the stored docs, so
-    HTML is cleaned once."""
-    path = path.rstrip("/")
-    _write_docs(docs_table(spread(corpus)), path, mode, doc_buckets)
-    stored = spread(corpus.sparkSession.read.parquet(f"{path}/docs").select("doc_id", "title", "clean_text"))
-    _write_postings(postings_table(stored), path, mode, term_buckets)
-    _write_layout(corpus.sparkSession, path, term_buckets, doc_buckets)
+def _write_layout(spark: SparkSession, path: str, buckets: int, doc_buckets: int) -> None:
+    (spark.createDataFrame([(buckets, doc_buckets)], "term_buckets int, doc_buckets int")
+     .coalesce(1).write.mode("overwrite").json(f"{path}/layout"))
+
+
+def _write_texts_and_docs(docs: DataFrame, path: str, mode: str, doc_buckets: int | None) -> tuple[int, int]:
+    """texts and docs; returns (indexed tokens, doc buckets)."""
+    spark = docs.sparkSession
+    rows = docs.withColumn("indexed_at", F.current_timestamp()) if "indexed_at" not in docs.columns else docs
+    (rows.select(*TEXT_COLUMNS, F.spark_partition_id().alias(TEXT_PART))
+     .write.mode(mode).partitionBy(TEXT_PART).parquet(f"{path}/texts"))
+    meta = spark.read.parquet(f"{path}/texts").drop("clean_text")
+    tokens = int(meta.agg(F.sum("length")).first()[0] or 0)
+    doc_buckets = doc_buckets or bucket_counts(tokens)[0]
+    _split_write(meta.withColumn(DOC_BUCKET, doc_bucket(F.col("doc_id"), doc_buckets)), f"{path}/docs", mode,
+                 DOC_BUCKET, ["doc_id"])
+    return tokens, doc_buckets
+
+
+def build_and_write_index(corpus: DataFrame, path: str, mode: str = "overwrite", term_buckets: int | None = None,
+                          doc_buckets: int | None = None) -> None:
+    """Index a corpus: the cleaned texts are written first, then postings are built from
+    the stored texts, so HTML is cleaned once."""
+    path, spark = path.rstrip("/"), corpus.sparkSession
+    tokens, doc_buckets = _write_texts_and_docs(docs_table(corpus), path, mode, doc_buckets)
+    buckets, slices = bucket_counts(tokens)
+    buckets = term_buckets or buckets
+    texts = spark.read.parquet(f"{path}/texts").select("doc_id", "title", "clean_text")
+    (postings_table(texts, _dealt_by_bucket(buckets, slices)).drop(SLICE)
+     .sortWithinPartitions(BUCKET, "term", "doc_id").write.mode(mode).partitionBy(BUCKET).parquet(f"{path}/postings"))
+    _write_derived(spark, path, mode, buckets, doc_buckets)
+    _write_layout(spark, path, buckets, doc_buckets)
+
+
+def write_index(index: Index, path: str, mode: str = "overwrite", term_buckets: int | None = None,
+                doc_buckets: int | None = None) -> None:
+    """Write an (already built) index in the stored layout."""
+    path, spark = path.rstrip("/"), index.docs.sparkSession
+    tokens, doc_buckets = _write_texts_and_docs(index.docs, path, mode, doc_buckets)
+    buckets = term_buckets or bucket_counts(tokens)[0]
+    _split_write(index.postings.drop(BUCKET).withColumn(BUCKET, term_bucket(F.col("term"), buckets)),
+                 f"{path}/postings", mode, BUCKET, ["term", "doc_id"])
+    _write_derived(spark, path, mode, buckets, doc_buckets)
+    _write_layout(spark, path, buckets, doc_buckets)
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
     path = path.rstrip("/")
     layout = spark.read.schema("term_buckets int, doc_buckets int").json(f"{path}/layout").first()
-    return Index(docs=spark.read.parquet(f"{path}/docs"),
-                 postings=spark.read.parquet(f"{path}/postings"),
-                 _term_stats=spark.read.parquet(f"{path}/term_stats"),
-                 term_buckets=layout.term_buckets, doc_buckets=layout.doc_buckets)
+    table = lambda name: spark.read.parquet(f"{path}/{name}")
+    return Index(docs=table("docs"), postings=table("postings"), _term_stats=table("term_stats"),
+                 term_buckets=layout.term_buckets, doc_buckets=layout.doc_buckets, _texts=table("texts"),
+                 _doc_terms=table("doc_terms"), complete=True)
