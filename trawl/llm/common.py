@@ -26,3 +26,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
+
+
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """``names`` with underscores put before them until none is a column (in any case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        out.append(n)
+    return out

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.common import text_or_empty
+from trawl.llm.common import fresh, text_or_empty
 
 MASKS = ((0, 1, 3, 5, 6, 7), (0, 3, 4, 5, 7, 8), (0, 1, 2, 3, 4, 7), (0, 1, 2, 6, 9, 10))
 SPAN = 1 + max(m[-1] for m in MASKS)
@@ -135,7 +135,8 @@ def _whole(masks: list[tuple[int, ...]]) -> Column:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without a verified overlap, all columns; null ids and texts stay."""
+    bad_id, bad_hash = fresh(docs.columns, "bad_id", "bad_hash")
     bad = overlaps(docs, benchmark, id_col, text_col).select(
-        F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
-    same = docs[id_col].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("_bad_hash"))
+        F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct()
+    same = docs[id_col].eqNullSafe(F.col(bad_id)) & (F.xxhash64(text_or_empty(text_col)) == F.col(bad_hash))
     return docs.join(bad, same, "left_anti")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.common import text_or_empty
+from trawl.llm.common import fresh, text_or_empty
 
 # The base patterns; a match failing its length is dropped after matching.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -193,6 +193,6 @@ def masked(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
 
 def mask_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with the secrets in its texts masked; null texts stay null, all columns are kept."""
-    found = scan(docs, text_col, "_secret_")
-    return found.withColumn(text_col, masked(F.col(text_col), F.col("_secret_spans"), mask)).select(
-        *docs.columns)
+    (prefix,) = {n[:-len("base")] for n in fresh([c.replace("spans", "base") for c in docs.columns], "secret_base")}
+    found = scan(docs, text_col, prefix)
+    return found.withColumn(text_col, masked(F.col(text_col), F.col(f"{prefix}spans"), mask)).select(*docs.columns)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trawl.llm.common import stored, text_or_empty
+from trawl.llm.common import fresh, stored, text_or_empty
 from trawl.llm.components import components
 
 BITS = 64
@@ -306,10 +306,12 @@ def groups(docs: DataFrame, distance: int = 3, shingle: int = 3, id_col: str = "
 def drop_near_copies(docs: DataFrame, distance: int = 3, shingle: int = 3, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that represent their group: one per group (its least doc_id), all columns."""
+    key, text_hash, nth = fresh(docs.columns, "keep_key", "keep_hash", "keep_nth")
+    as_key = lambda c: F.to_json(F.struct(F.col(c).alias("k")))  # noqa: E731  a null id has a key, too
     kept = groups(docs, distance, shingle, id_col, text_col).select(
-        F.col("keep_id").alias("_keep_id"), F.col("keep_hash").alias("_keep_hash")).distinct()
-    text_hash = F.xxhash64(text_or_empty(text_col))
-    same = F.col(id_col).eqNullSafe(F.col("_keep_id")) & (text_hash == F.col("_keep_hash"))
-    met = docs.join(kept, same)
-    once = Window.partitionBy("_keep_id", "_keep_hash").orderBy("_keep_hash")
-    return met.withColumn("_nth", F.row_number().over(once)).where("_nth = 1").select(*[docs[c] for c in docs.columns])
+        as_key("keep_id").alias(key), F.col("keep_hash").alias(text_hash)).distinct()
+    named = docs.withColumns({key: as_key(id_col), text_hash: F.xxhash64(text_or_empty(text_col))})
+    # The join and the choice among repeated rows use the same keys, so texts are shuffled once.
+    once = Window.partitionBy(key, text_hash).orderBy(text_hash)
+    met = named.join(kept, [key, text_hash]).withColumn(nth, F.row_number().over(once))
+    return met.where(F.col(nth) == 1).select(*docs.columns)
