@@ -77,10 +77,10 @@ def _candidates(links: DataFrame, visited: DataFrame, in_progress: DataFrame | N
     if seeds is not None:
         cand = cand.unionByName(seed_urls(seeds))
     cand = cand.distinct()
-    seen = visited.select(normalize_url(F.col("url")).alias("url"))
+    seen = visited.select("url")
     if in_progress is not None:
-        seen = seen.unionByName(in_progress.select(normalize_url(F.col("url")).alias("url")))
-    return cand.join(seen.distinct(), "url", "left_anti")
+        seen = seen.unionByName(in_progress.select("url"))
+    return cand.join(seen.select(normalize_url(F.col("url")).alias("url")).distinct(), "url", "left_anti")
 
 
 def _policy_by_domain(policy: DataFrame) -> DataFrame:
