@@ -109,3 +109,20 @@ def test_query_finds_whole_passages(spark, sf):
     long = {(d, i) for d, t in docs for i, u in items if any(
         f" {' '.join(x)} " in f" {t} " for x in zip(*(u.split()[k:] for k in range(8))))}
     assert got <= long
+
+
+def test_sql_equals_the_operator(spark):
+    import duckdb
+    import pandas as pd
+
+    from trawl.llm.queries import ORACLE_SQL
+
+    docs, items = data()
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(docs, columns=["doc_id", "text"]))
+    con.register("benchmark", pd.DataFrame(items, columns=["item_id", "text"]))
+    want = sorted(r[:5] for r in con.execute(ORACLE_SQL["op3_decontamination"]).fetchall())
+    got = dc.overlaps(d, b).select("doc_id", "item_id", "matched", "aligned", "doc_start").collect()
+    assert sorted(map(tuple, got)) == want

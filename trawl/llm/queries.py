@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import chat_format, decontamination, licence_scan, order_minhash, packing, secrets, sharding, simhash, token_counts, toxicity
+from trawl.llm import (chat_format, decontamination, licence_scan, order_minhash, packing, secrets, sharding, simhash,
+                       token_counts, toxicity)
 from trawl.llm.common import table
 from trawl.llm.licence_texts import NOTICES, TEXTS
 from trawl.llm.tokenizers_io import public_path
@@ -21,24 +22,6 @@ def op1_token_counts(spark, sf):
                                                                "n_pretokens")
 
 
-def op9_secret_scan(spark, sf):
-    """Secrets in every text: base patterns and high-entropy strings."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    base, spans = F.col("secret_base"), F.col("secret_spans")
-    kinds = [secrets.count_kind(base, k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
-    return secrets.scan(docs).select(
-        "doc_id", *kinds, F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
-        secrets.span_text(spans).alias("spans"), secrets.count_kind(spans, "entropy").alias("n_entropy"))
-
-
-def op10_sharding(spark, sf):
-    """Shards 0 to 39 of near-equal bytes (law `bytes`) by fixed virtual slots."""
-    placed = sharding.shard(table(spark, sf, "documents"), N_SHARDS)
-    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-                         F.col("position").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
-                         "vslot", F.col("version").alias("map_version"))
-
-
 def op2_toxicity(spark, sf):
     """Toxicity of every whole text; learnt from labelled rows that are not held out."""
     docs = table(spark, sf, "documents")
@@ -52,6 +35,54 @@ def op3_decontamination(spark, sf):
                         (F.col("matched") / F.col("aligned")).alias("share"))
 
 
+def _op3_keys(words: str, rows: str, at: str) -> str:
+    """SQL: the exact masked words of every window, one row per window and mask."""
+    parts = []
+    for k, mask in enumerate([*decontamination.MASKS, *(tuple(range(n)) for n in range(
+            decontamination.SHORTEST, decontamination.SPAN))]):
+        key = " || ' ' || ".join(f"{words}[i + {o + 1}]" for o in mask)
+        parts.append(f"SELECT *, {k} AS m, i AS {at}, {key} AS k FROM {rows} WHERE i + {mask[-1]} < len({words})")
+    return " UNION ALL ".join(parts)
+
+
+OP3_SQL = rf"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'),
+                                      lambda x: x <> '') AS dw FROM documents),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'),
+                                  lambda x: x <> '') AS bw FROM benchmark),
+dp AS (SELECT doc_id, dw, unnest(range(len(dw))) AS i FROM d),
+bp AS (SELECT item_id, bw, unnest(range(len(bw))) AS i FROM b WHERE len(bw) >= {decontamination.SHORTEST}),
+dk AS ({_op3_keys("dw", "dp", "di")}),
+bk AS (SELECT * FROM ({_op3_keys("bw", "bp", "bi")}) x
+       WHERE CASE WHEN len(bw) >= {decontamination.SPAN} THEN m < {len(decontamination.MASKS)}
+                  ELSE m = {len(decontamination.MASKS)} + len(bw) - {decontamination.SHORTEST} END),
+hits AS (SELECT DISTINCT dk.doc_id, bk.item_id, di - bi AS shift FROM dk JOIN bk USING (m, k)),
+cells AS (
+  SELECT doc_id, item_id, shift, len(bw) AS n, dw, bw,
+         unnest(range(greatest(0, -shift), least(len(bw), len(dw) - shift))) AS p
+  FROM hits JOIN d USING (doc_id) JOIN b USING (item_id)),
+sums AS (
+  SELECT doc_id, item_id, shift, n, p, sum(CASE WHEN dw[p + shift + 1] = bw[p + 1] THEN 1 ELSE -4 END) OVER w AS s,
+         min(p) OVER w AS p0
+  FROM cells WINDOW w AS (PARTITION BY doc_id, item_id, shift ORDER BY p)),
+lows AS (
+  SELECT *, least(0, coalesce(min(s) OVER w, 0)) AS low FROM sums
+  WINDOW w AS (PARTITION BY doc_id, item_id, shift ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+runs AS (
+  SELECT *, s - low AS run,
+         coalesce(max(CASE WHEN s <= low THEN p END) OVER w + 1, p0) AS since
+  FROM lows
+  WINDOW w AS (PARTITION BY doc_id, item_id, shift ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+best AS (
+  SELECT doc_id, item_id, n, p - since + 1 AS aligned, (run + 4 * (p - since + 1)) / 5 AS matched, shift + since AS doc_start
+  FROM runs WHERE run > 0 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY run DESC, p) = 1)
+SELECT doc_id, item_id, CAST(matched AS INTEGER) AS matched, CAST(aligned AS INTEGER) AS aligned,
+       CAST(doc_start AS INTEGER) AS doc_start, matched / aligned AS share
+FROM best WHERE aligned >= least({decontamination.OVERLAP}, n)
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, aligned, doc_start) = 1
+"""
+
+
 def op4_simhash_groups(spark, sf):
     """Components of 64-bit SimHash fingerprints within 3 bits."""
     return simhash.groups(table(spark, sf, "documents"), SIMHASH_BITS, SIMHASH_SHINGLE).select(
@@ -138,5 +169,25 @@ def packing_digest(pieces):
                          "offset", "padded")
 
 
-QUERIES = {"op1_token_counts": op1_token_counts, "op2_toxicity": op2_toxicity, "op3_decontamination": op3_decontamination, "op4_simhash_groups": op4_simhash_groups, "op5_chat_format": op5_chat_format, "op6_order_minhash": op6_order_minhash, "op7_licence_scan": op7_licence_scan, "op8_packing": op8_packing, "op9_secret_scan": op9_secret_scan, "op10_sharding": op10_sharding}
-ORACLE_SQL: dict[str, str] = {"op5_chat_format": OP5_SQL, "op7_licence_scan": OP7_SQL}
+def op9_secret_scan(spark, sf):
+    """Secrets in every text: base patterns and high-entropy strings."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    base, spans = F.col("secret_base"), F.col("secret_spans")
+    kinds = [secrets.count_kind(base, k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return secrets.scan(docs).select(
+        "doc_id", *kinds, F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(spans).alias("spans"), secrets.count_kind(spans, "entropy").alias("n_entropy"))
+
+
+def op10_sharding(spark, sf):
+    """Shards 0 to 39 of near-equal bytes (law `bytes`) by fixed virtual slots."""
+    placed = sharding.shard(table(spark, sf, "documents"), N_SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+                         F.col("position").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+                         "vslot", F.col("version").alias("map_version"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_counts, op2_toxicity, op3_decontamination, op4_simhash_groups, op5_chat_format, op6_order_minhash,
+    op7_licence_scan, op8_packing, op9_secret_scan, op10_sharding)}
+ORACLE_SQL: dict[str, str] = {"op3_decontamination": OP3_SQL, "op5_chat_format": OP5_SQL, "op7_licence_scan": OP7_SQL}

@@ -27,7 +27,7 @@ from trawl.llm.common import stored
 from trawl.llm.tokenizers_io import load_tokenizer, special_strings
 
 BLOCK_CHARS = 24 << 20  # a block closes once its texts reach this many characters
-FLAT = 4_000_000        # pre-tokens held unpacked at a time
+FLAT = 1_000_000        # words held unpacked at a time
 BLOCK_SCHEMA = ("block long, pretoken string, word int, doc_id array<long>, n_bytes array<long>, n_words binary, "
                 "words binary, freqs binary")
 
