@@ -11,16 +11,18 @@ def tok(t):
     return re.findall(r"[^\W_]+", (t or "").lower())
 
 
-def stretch(a, b):
-    best = (0.0, 0, 0, 0)
-    run, since, same = 0.0, 0, 0
-    for i, (x, y) in enumerate(zip(a, b)):
-        if run <= 0:
-            run, since, same = 0.0, i, 0
-        run += 1 if x == y else -dc.SHARE / (1 - dc.SHARE)
-        same += x == y
-        if run > best[0]:
-            best = (run, i - since + 1, same, since)
+def stretch(a, b, need):
+    """Every stretch that is the best one to its end: (score, length, same, start)."""
+    best = (-1, 0, 0, 0)
+    for end in range(min(len(a), len(b))):
+        score, same, top = 0, 0, (-99, 0, 0, 0)
+        for i in range(end, -1, -1):
+            score += 1 if a[i] == b[i] else -dc.MISS
+            same += a[i] == b[i]
+            if score >= top[0]:
+                top = (score, end - i + 1, same, i)
+        if top[1] >= need and top[0] >= 0 and top[:2] > best[:2]:
+            best = top
     return best
 
 
@@ -43,8 +45,8 @@ def brute(docs, items):
         for shift in range(-len(w) + 1, len(d)):
             if seeded(d, w, shift):
                 b = max(0, -shift)
-                _, n, same, since = stretch(d[shift + b:], w[b:])
-                if n >= min(dc.OVERLAP, len(w)):
+                _, n, same, since = stretch(d[shift + b:], w[b:], min(dc.OVERLAP, len(w)))
+                if n:
                     key = (same, -n, -(shift + b + since))
                     out[did, iid] = max(out.get((did, iid), key), key)
     return {k: (s, -n, -f) for k, (s, n, f) in out.items()}
@@ -84,6 +86,14 @@ def test_overlaps_equal_brute_force(spark):
     assert len(want) > 20
 
 
+def test_every_fifth_word_replaced_is_found(spark):
+    words = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen".split()
+    d = spark.createDataFrame([(p, " ".join("swap" if k % p == p - 1 else w for k, w in enumerate(words))) for p in (4, 5, 6)],
+                              "doc_id long, text string")
+    b = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    assert {r["doc_id"] for r in dc.overlaps(d, b).collect()} == {5, 6}
+
+
 def test_edge_rows(spark):
     text = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
     rows = [(1, None, 0), (2, "", 0), (None, "x " + text, 0), (3, text, 0), (3, text, 0), (4, "clean words only", 0),

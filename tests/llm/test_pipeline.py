@@ -24,8 +24,10 @@ def contaminated(text, items):
         shifts = {i - j for j in range(len(w)) for i in range(len(d)) if d[i] == w[j]}
         for s in shifts:
             b = max(0, -s)
-            _, n, _, _ = stretch(d[s + b:], w[b:])
-            if n >= min(dc.OVERLAP, len(w)) and seeded(d, w, s):
+            if sum(x == y for x, y in zip(d[s + b:s + len(w)], w[b:])) < 5:
+                continue
+            _, n, _, _ = stretch(d[s + b:s + len(w)], w[b:], min(dc.OVERLAP, len(w)))
+            if n and seeded(d, w, s):
                 return True
     return False
 

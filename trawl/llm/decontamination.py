@@ -17,7 +17,8 @@ from trawl.llm.common import fresh, text_or_empty
 MASKS = ((0, 1, 3, 5, 6, 7), (0, 3, 4, 5, 7, 8), (0, 1, 2, 3, 4, 7), (0, 1, 2, 6, 9, 10))
 SPAN = 1 + max(m[-1] for m in MASKS)
 OVERLAP = 13      # aligned tokens a stretch needs (or the whole item, if that is shorter)
-SHARE = 0.8
+MISS = 4          # equal tokens that one replaced token outweighs
+SHARE = MISS / (MISS + 1)  # 0.8: the share of equal tokens that a stretch needs
 SHORTEST = 5      # items of fewer tokens are no evidence and are not searched
 SEED_LIMIT = 500_000  # seeds broadcast at once (16 bytes each in the hash table); more go in several passes
 
@@ -43,32 +44,34 @@ def _windows(rows: DataFrame, masks: list[tuple[int, ...]]) -> DataFrame:
     return placed.select("*", F.explode(seeds).alias("seed")).where("seed IS NOT NULL")
 
 
-def best_stretch(doc: Column, item: Column) -> Column:
-    """(length, same, start) of the stretch of two aligned arrays with the highest score.
+def best_stretch(doc: Column, item: Column, need: Column) -> Column:
+    """(length, same, start) of the best stretch of two aligned arrays; length 0 if none qualifies.
 
-    An equal token scores 1, another -SHARE / (1 - SHARE), so a stretch of positive score has a share of
-    equal tokens above SHARE. Ties go to the earlier, longer stretch.
+    An equal token scores 1, another -MISS, so a stretch that scores 0 or more has a share of at least SHARE. At
+    every token the stretch of highest score that ends there counts (the longer one, if two score the same), if
+    it has ``need`` tokens. The best has the highest score, then the greatest length, and comes first.
     """
-    miss = -SHARE / (1 - SHARE)
-    int_ = lambda c: c.cast("int")
-    init = F.struct(F.lit(0.0).alias("run"), F.lit(0).alias("since"), F.lit(0).alias("eq"), F.lit(0.0).alias("best"),
-                    F.lit(0).alias("length"), F.lit(0).alias("same"), F.lit(0).alias("start"))
+    names = ("run", "since", "eq", "best", "length", "same", "start")
+    init = F.struct(*[F.lit(0).alias(n) for n in names])
 
     def step(acc, i):
         equal = F.get(doc, i) == F.get(item, i)
-        fresh = acc["run"] <= 0
-        run = F.when(fresh, F.lit(0.0)).otherwise(acc["run"]) + F.when(equal, F.lit(1.0)).otherwise(F.lit(miss))
+        fresh = acc["run"] < 0
+        run = F.when(fresh, F.lit(0)).otherwise(acc["run"]) + F.when(equal, F.lit(1)).otherwise(F.lit(-MISS))
         since = F.when(fresh, i).otherwise(acc["since"])
-        same = F.when(fresh, F.lit(0)).otherwise(acc["eq"]) + int_(equal)
-        better = run > acc["best"]
-        pick = lambda new, old: F.when(better, new).otherwise(acc[old])
-        return F.struct(run.alias("run"), int_(since).alias("since"), int_(same).alias("eq"), pick(run, "best").alias("best"),
-                        int_(pick(i - since + 1, "length")).alias("length"), int_(pick(same, "same")).alias("same"),
-                        int_(pick(since, "start")).alias("start"))
+        same = F.when(fresh, F.lit(0)).otherwise(acc["eq"]) + equal.cast("int")
+        return F.get(F.transform(F.array(F.struct(run.alias("run"), since.alias("since"), same.alias("eq"),
+                                                  (i - since + 1).alias("n"))), lambda x: pick(acc, x)), 0)
+
+    def pick(acc, x):
+        better = (x["n"] >= need) & (x["run"] >= 0) & (
+            (x["run"] > acc["best"]) | ((x["run"] == acc["best"]) & (x["n"] > acc["length"])))
+        now = {"best": x["run"], "length": x["n"], "same": x["eq"], "start": x["since"]}
+        return F.struct(x["run"].alias("run"), x["since"].alias("since"), x["eq"].alias("eq"),
+                        *[F.when(better, v).otherwise(acc[k]).alias(k) for k, v in now.items()])
 
     steps = F.sequence(F.lit(0), F.least(F.size(doc), F.size(item)) - 1)
-    return F.aggregate(steps, init, step, lambda a: F.struct(a["length"].alias("length"), a["same"].alias("same"),
-                                                            a["start"].alias("start")))
+    return F.aggregate(steps, init, step, lambda a: F.struct(*[a[n].alias(n) for n in ("length", "same", "start")]))
 
 
 def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -114,8 +117,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     once = hits.groupBy("doc_id", "text_hash", "item_id", "from", "n").agg(
         F.first("doc").alias("doc"), F.first("own").alias("own"))
     judged = once.select("doc_id", "text_hash", "item_id", "n", "from",
-                         F.explode(F.array(best_stretch(F.col("doc"), F.col("own")))).alias("b"))
-    kept = judged.where(F.col("b.length") >= F.least(F.lit(OVERLAP), F.col("n")))
+                         F.explode(F.array(best_stretch(F.col("doc"), F.col("own"), F.least(F.lit(OVERLAP), F.col("n"))))
+                                   ).alias("b"))
+    kept = judged.where("b.length > 0")
     best = F.max(F.struct(F.col("b.same").alias("same"), (-F.col("b.length")).alias("length"),
                           (-(F.col("from") + F.col("b.start"))).alias("start"))).alias("best")
     return kept.groupBy("doc_id", "text_hash", "item_id").agg(best).select(

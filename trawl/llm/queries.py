@@ -62,7 +62,7 @@ cells AS (
          unnest(range(greatest(0, -shift), least(len(bw), len(dw) - shift))) AS p
   FROM hits JOIN d USING (doc_id) JOIN b USING (item_id)),
 sums AS (
-  SELECT doc_id, item_id, shift, n, p, sum(CASE WHEN dw[p + shift + 1] = bw[p + 1] THEN 1 ELSE -4 END) OVER w AS s,
+  SELECT doc_id, item_id, shift, n, p, sum(CASE WHEN dw[p + shift + 1] = bw[p + 1] THEN 1 ELSE -{decontamination.MISS} END) OVER w AS s,
          min(p) OVER w AS p0
   FROM cells WINDOW w AS (PARTITION BY doc_id, item_id, shift ORDER BY p)),
 lows AS (
@@ -70,16 +70,17 @@ lows AS (
   WINDOW w AS (PARTITION BY doc_id, item_id, shift ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 runs AS (
   SELECT *, s - low AS run,
-         coalesce(max(CASE WHEN s <= low THEN p END) OVER w + 1, p0) AS since
+         coalesce(max(CASE WHEN s < low THEN p END) OVER w + 1, p0) AS since
   FROM lows
   WINDOW w AS (PARTITION BY doc_id, item_id, shift ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 best AS (
-  SELECT doc_id, item_id, n, p - since + 1 AS aligned, (run + 4 * (p - since + 1)) / 5 AS matched, shift + since AS doc_start
-  FROM runs WHERE run > 0 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY run DESC, p) = 1)
+  SELECT doc_id, item_id, p - since + 1 AS aligned, shift + since AS doc_start,
+         (run + {decontamination.MISS} * (p - since + 1)) / ({decontamination.MISS} + 1) AS matched
+  FROM runs WHERE run >= 0 AND p - since + 1 >= least({decontamination.OVERLAP}, n)
+  QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY run DESC, aligned DESC, p) = 1)
 SELECT doc_id, item_id, CAST(matched AS INTEGER) AS matched, CAST(aligned AS INTEGER) AS aligned,
        CAST(doc_start AS INTEGER) AS doc_start, matched / aligned AS share
-FROM best WHERE aligned >= least({decontamination.OVERLAP}, n)
-QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, aligned, doc_start) = 1
+FROM best QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, aligned, doc_start) = 1
 """
 
 

@@ -348,8 +348,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col: str
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row.
 
-    Null and empty texts have no clause and get the score of a clean text; null ids count as held out like the
-    empty string; repeated rows are scored each; an empty table gives no rows; other columns are not read.
+    Null and empty texts have no clause and get the score of a clean text; null ids hash like the empty string
+    (not held out); repeated rows are scored each; an empty table gives no rows; other columns are not read.
     """
     out = docs.select(F.col(id_col).alias("doc_id"), (remainder(F.col(id_col)) == HELD_OUT).alias("held_out"),
                       score_column(model, F.col(text_col)).alias("score"))
