@@ -29,6 +29,7 @@ TOKENS_PER_BUCKET = 50_000_000   # about 1 GB of postings
 TOKENS_PER_SLICE = 1_000_000     # about one task's share of a bucket
 MIN_BUCKETS = 16
 SLICE = "term_slice"
+DENSE = "zstd"  # of the wide tables, texts and document terms (a third and a fifth smaller than with snappy)
 TEXT_COLUMNS = ["doc_id", "url", "title", "length", "indexed_at", "clean_text"]
 
 
@@ -38,10 +39,11 @@ def bucket_counts(tokens: int) -> tuple[int, int]:
     return buckets, max(1, -(-tokens // (buckets * TOKENS_PER_SLICE)))
 
 
-def _split_write(df: DataFrame, path: str, mode: str, key: str, order: list[str]) -> None:
+def _split_write(df: DataFrame, path: str, mode: str, key: str, order: list[str], codec: str = "snappy") -> None:
     """Write split by ``key``. The rebalance hint shuffles by it and lets AQE cut a large
     value into several files and merge small ones."""
-    df.hint("rebalance", key).sortWithinPartitions(key, *order).write.mode(mode).partitionBy(key).parquet(path)
+    (df.hint("rebalance", key).sortWithinPartitions(key, *order)
+     .write.mode(mode).option("compression", codec).partitionBy(key).parquet(path))
 
 
 def _dealt_by_bucket(buckets: int, slices: int):
@@ -62,7 +64,7 @@ def _write_derived(spark: SparkSession, path: str, mode: str, buckets: int, doc_
     stats = spark.read.parquet(f"{path}/term_stats")
     terms = document_terms(stored, stats, ("term", BUCKET))
     _split_write(terms.withColumn(DOC_BUCKET, doc_bucket(F.col("doc_id"), doc_buckets)), f"{path}/doc_terms", mode,
-                 DOC_BUCKET, ["doc_id"])
+                 DOC_BUCKET, ["doc_id"], DENSE)
 
 
 def _write_layout(spark: SparkSession, path: str, buckets: int, doc_buckets: int) -> None:
@@ -75,7 +77,7 @@ def _write_texts_and_docs(docs: DataFrame, path: str, mode: str, doc_buckets: in
     spark = docs.sparkSession
     rows = docs.withColumn("indexed_at", F.current_timestamp()) if "indexed_at" not in docs.columns else docs
     (rows.select(*TEXT_COLUMNS, F.spark_partition_id().alias(TEXT_PART))
-     .write.mode(mode).partitionBy(TEXT_PART).parquet(f"{path}/texts"))
+     .write.mode(mode).option("compression", DENSE).partitionBy(TEXT_PART).parquet(f"{path}/texts"))
     meta = spark.read.parquet(f"{path}/texts").drop("clean_text")
     tokens = int(meta.agg(F.sum("length")).first()[0] or 0)
     doc_buckets = doc_buckets or bucket_counts(tokens)[0]
