@@ -94,6 +94,18 @@ def test_every_fifth_word_replaced_is_found(spark):
     assert {r["doc_id"] for r in dc.overlaps(d, b).collect()} == {5, 6}
 
 
+def test_document_that_starts_inside_an_item_with_a_repeated_phrase(spark):
+    say = lambda c, n: [f"{c}{k}" for k in range(n)]
+    phrase, a, y, z = say("p", 8), say("a", 5), say("y", 6), say("z", 10)
+    items = [(1, " ".join(a + phrase + y + phrase + z)), (2, " ".join(phrase + phrase + phrase + z))]
+    docs = [(1, phrase + z), (2, phrase + y + phrase + z), (3, a + phrase + y), (4, phrase + phrase + z), (5, a + phrase + y + phrase + z)]
+    docs = [(i, " ".join([*w, "end"])) for i, w in docs]
+    got = {(r["doc_id"], r["item_id"]): (r["matched"], r["aligned"], r["doc_start"]) for r in dc.overlaps(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == brute(docs, items)
+    assert {(1, 1), (2, 1), (3, 1), (5, 1), (1, 2), (4, 2)} <= set(got)
+
+
 def test_edge_rows(spark):
     text = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
     rows = [(1, None, 0), (2, "", 0), (None, "x " + text, 0), (3, text, 0), (3, text, 0), (4, "clean words only", 0),

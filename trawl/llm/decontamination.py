@@ -110,11 +110,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
         begin = F.greatest(F.lit(0), -F.col("shift"))
         doc = F.slice("tokens", F.col("shift") + begin + 1, F.size("item") - begin)
         own = F.slice("item", begin + 1, F.size("item") - begin)
-        aligned = full.select("doc_id", "text_hash", "item_id", F.size("item").alias("n"),
+        aligned = full.select("doc_id", "text_hash", "item_id", F.size("item").alias("n"), "shift",
                               (F.col("shift") + begin).alias("from"), doc.alias("doc"), own.alias("own"))
         hits = aligned if hits is None else hits.unionByName(aligned)
-    # Every seed of an overlap gives the same alignment: each is judged once (collapsed before the shuffle).
-    once = hits.groupBy("doc_id", "text_hash", "item_id", "from", "n").agg(
+    # Every seed of an overlap gives the same alignment: each is judged once (collapsed before the shuffle). The
+    # shift names it; ``from`` is 0 for every item that starts before the document.
+    once = hits.groupBy("doc_id", "text_hash", "item_id", "shift", "from", "n").agg(
         F.first("doc").alias("doc"), F.first("own").alias("own"))
     judged = once.select("doc_id", "text_hash", "item_id", "n", "from",
                          F.explode(F.array(best_stretch(F.col("doc"), F.col("own"), F.least(F.lit(OVERLAP), F.col("n"))))
