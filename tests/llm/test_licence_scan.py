@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 
 import duckdb
 
@@ -38,6 +39,24 @@ def test_scan_equals_plain(spark):
     assert ls.scan(docs.limit(0)).count() == 0
 
 
+def test_form_does_not_depend_on_wrapping(spark):
+    rows = [(f"{k} {n} {w}", textwrap.fill(" ".join(t.split()), w, break_long_words=False, break_on_hyphens=False))
+            for k, (n, t) in enumerate(TEXTS) for w in (1, 20, 34, 47, 60, 72, 78, 79, 80, 100, 120)]
+    statements = ["Copyright (c) 2024 Jane Doe", "copyright 1999 jane doe", "Copyright © Jane", "© 2020 me", "(c) 2011-2014 Jane", "// Copyright 2015 X",
+                  "Copyright Jane Doe. All of it", "Copyright The Foo Authors", " * Copyright: Jane Doe", "Copyright [yyyy] [name]", "(C) Jane Doe and Joe Bloggs",
+                  "Copyright by Jane", "Copyright (C) <year>  <name of author>", "COPYRIGHT (C) 1999 JANE DOE"]
+    prose = ["copyright notice, this list of", "COPYRIGHT HOLDERS BE LIABLE", "Copyright Holder, and derivatives", "copyright owner", "Copyright License. Subject to",
+             "copyright law: that", "copyrighted by Jane", "(c) You must retain, in the", "(c) the licenses granted", "(c)    Representations.", "copyright", "(c) of the",
+             "copyright on the Program", "COPYRIGHT AND PERMISSION NOTICE", "copyright the software, and"]
+    mit = dict(TEXTS)["MIT"]
+    rows += [(f"{99 + k} MIT x", f"{s}\n\n{mit}") for k, s in enumerate(statements)] + [(f"{199 + k} None x", f"{s}\n\n{mit}") for k, s in enumerate(prose)]
+    got = {r["doc_id"]: r["licence"] for r in ls.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert {i: n for i, n in got.items() if str(n) != i.split()[1]} == {} and len(got) == len(rows)
+    split = spark.createDataFrame([(1, "the copyright owner may sub-license ten per cent"), (2, "the copyright\nowner may sub-\nlicense ten per\ncent")],
+                                  "doc_id long, text string")
+    assert ls.scan(split).select("digest").distinct().count() == 1
+
+
 def test_query_matches_sql(spark, sf):
     from trawl.llm.queries import ORACLE_SQL, op7_licence_scan
 

@@ -1,7 +1,7 @@
 """License scans by canonical digest lookup.
 
-A text is brought to a canonical form - lower case, copyright lines out, equivalent spellings made one,
-punctuation and white space as single blanks - and its SHA-256 is joined to the digests of known licence
+A text is brought to a canonical form - copyright statements out, lower case, equivalent spellings made one,
+punctuation and white space as single blanks, however the running text is wrapped - and its SHA-256 is joined to the digests of known licence
 texts in the same form. Beside whole texts, each single line is looked up among known one-line notices.
 
 The known digests are one row per listed text, so they are broadcast; lines whose canonical length is that
@@ -17,7 +17,20 @@ from pyspark.sql import functions as F
 from trawl.llm.common import text_or_empty
 from trawl.llm.licence_texts import NOTICES, TEXTS
 
-COPYRIGHT_LINE = r"(?m)^[\s#*/;-]*(copyright|©|\(c\))[^\n]*$"
+# Words that follow "copyright" in running text, so that a line wrapped before it is no statement.
+PROSE = ("notices?|holders?|owners?|ownership|licen[cs]es?|laws?|acts?|statements?|disclaimers?|permissions?|interests?|"
+         "protections?|rights?|treaty|treaties|infringements?|assignments?|claims?|materials?|works?|status|information|"
+         "and|or|in|on|is|of|to|for|as|if|from|may|with|that|which|are|was|has|have|by\\s+(?:the|a|an)|under|over|"
+         "does|do|shall|will|can|other|its|such|any|this|these|not|when|where|who|at|be|been|than|then|but|so")
+# A copyright statement, in the case it was written: the word, the sign or (c) before a year, a sign or a holder's
+# name. A bare (c) may number a list item: before names it counts only when two or more of them fill its line.
+_YEAR = r"(?:\d{4}|(?i:19yy|year)\b|[<\[{](?i:y))"
+_NAME = r"(?!(?:The|You|Your|Any|All|If|In|No)\b)\p{Lu}\p{Ll}[\p{L}'-]*[.,]?"
+COPYRIGHT_LINE = (
+    r"(?m)^[\s#*/;-]*(?:©|(?i:copyright)[: \t]*(?:(?i:\(c\)|©)|[<\[{]|" + _YEAR + ")"
+    r"|C(?i:opyright):?[ \t]+(?!(?i:" + PROSE + r")\b)(?:(?:by|the)[ \t]+)*\p{Lu}"
+    r"|(?i:\(c\))[ \t,]*(?i:copyright[ \t]+)?(?:" + _YEAR + "|(?i:©)|(?:(?i:by|the)[ \\t]+)?" + _NAME
+    + r"(?:[ \t]+(?:and|of|&|the|" + _NAME + r"))*[ \t]+" + _NAME + r"[ \t]*$))[^\n]*$")
 # Spellings that licence matching treats as one.
 SPELLINGS = (("licence", "license"), ("sub-license", "sublicense"), ("sub license", "sublicense"),
              ("non-commercial", "noncommercial"), ("organisation", "organization"), ("favour", "favor"),
@@ -27,7 +40,7 @@ SPELLINGS = (("licence", "license"), ("sub-license", "sublicense"), ("sub licens
 
 def canonical_lines(text: Column) -> Column:
     """The canonical form with its line feeds (and blanks around them)."""
-    low = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
+    low = F.lower(F.regexp_replace(text, COPYRIGHT_LINE, ""))
     one = low
     for old, new in SPELLINGS:
         one = F.replace(one, F.lit(old), F.lit(new))
@@ -35,8 +48,12 @@ def canonical_lines(text: Column) -> Column:
 
 
 def canonical(lines: Column) -> Column:
-    """The canonical form as one line."""
-    return F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
+    """The canonical form as one line, with the spellings of two words that a line feed kept apart."""
+    one = F.regexp_replace(lines, r"[ \n]+", " ")
+    for old, new in SPELLINGS:
+        if " " in old:
+            one = F.replace(one, F.lit(old), F.lit(new))
+    return F.trim(one)
 
 
 def known_digests(spark: SparkSession, entries=(*((n, t, "text") for n, t in TEXTS),
