@@ -7,7 +7,7 @@ import textwrap
 import duckdb
 
 from trawl.llm import licence_scan as ls
-from trawl.llm.licence_texts import NOTICES, TEXTS
+from trawl.llm.licence_texts import NOTICES, TEXTS, published
 
 
 def plain(text):
@@ -46,7 +46,7 @@ def test_form_does_not_depend_on_wrapping(spark):
                   "Copyright Jane Doe. All of it", "Copyright The Foo Authors", " * Copyright: Jane Doe", "Copyright [yyyy] [name]", "(C) Jane Doe and Joe Bloggs",
                   "Copyright by Jane", "Copyright (C) <year>  <name of author>", "COPYRIGHT (C) 1999 JANE DOE"]
     prose = ["copyright notice, this list of", "COPYRIGHT HOLDERS BE LIABLE", "Copyright Holder, and derivatives", "copyright owner", "Copyright License. Subject to",
-             "copyright law: that", "copyrighted by Jane", "(c) You must retain, in the", "(c) the licenses granted", "(c)    Representations.", "copyright", "(c) of the",
+             "copyright law: that", "copyrighted by Jane", "(c) You must retain, in the", "(c) the licenses granted", "(c)    Representations.", "(c) Representations. Contributor", "copyright", "(c) of the",
              "copyright on the Program", "COPYRIGHT AND PERMISSION NOTICE", "copyright the software, and"]
     mit = dict(TEXTS)["MIT"]
     rows += [(f"{99 + k} MIT x", f"{s}\n\n{mit}") for k, s in enumerate(statements)] + [(f"{199 + k} None x", f"{s}\n\n{mit}") for k, s in enumerate(prose)]
@@ -57,6 +57,22 @@ def test_form_does_not_depend_on_wrapping(spark):
     assert ls.scan(split).select("digest").distinct().count() == 1
 
 
+def test_published_texts_are_known_in_any_wrapping(spark):
+    texts = published()
+    assert {"Apache-2.0", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense", "BSL-1.0"} <= {n for n, _ in texts}
+
+    def wrapped(text, w):  # paragraphs with a statement, or a sample of one within a line, stay as they are
+        return "\n\n".join(p if re.search(r"copyright\s+(\(c\)|©|\[|\d)", p, re.I) else
+                           textwrap.fill(" ".join(p.split()), w, break_long_words=False, break_on_hyphens=False)
+                           for p in text.split("\n\n"))
+
+    rows = [(f"{n}|{k} {w}", wrapped(t, w) if w else t) for k, (n, t) in enumerate(texts) for w in (0, 33, 61, 77, 100)]
+    got = {r["doc_id"]: r["licence"] for r in ls.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert {i: n for i, n in got.items() if n != i.split("|")[0]} == {} and len(got) == len(rows)
+    forms = ls.known_digests(spark).where("kind = 'text'")
+    assert forms.select("digest").distinct().count() == forms.count()
+
+
 def test_query_matches_sql(spark, sf):
     from trawl.llm.queries import ORACLE_SQL, op7_licence_scan
 

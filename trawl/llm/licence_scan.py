@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawl.llm.common import text_or_empty
-from trawl.llm.licence_texts import NOTICES, TEXTS
+from trawl.llm.licence_texts import NOTICES, TEXTS, published
 
 # Words that follow "copyright" in running text, so that a line wrapped before it is no statement.
 PROSE = ("notices?|holders?|owners?|ownership|licen[cs]es?|laws?|acts?|statements?|disclaimers?|permissions?|interests?|"
@@ -25,12 +25,12 @@ PROSE = ("notices?|holders?|owners?|ownership|licen[cs]es?|laws?|acts?|statement
 # A copyright statement, in the case it was written: the word, the sign or (c) before a year, a sign or a holder's
 # name. A bare (c) may number a list item: before names it counts only when two or more of them fill its line.
 _YEAR = r"(?:\d{4}|(?i:19yy|year)\b|[<\[{](?i:y))"
-_NAME = r"(?!(?:The|You|Your|Any|All|If|In|No)\b)\p{Lu}\p{Ll}[\p{L}'-]*[.,]?"
+_NAME = r"(?!(?:The|You|Your|Any|All|If|In|No)\b)\p{Lu}\p{Ll}[\p{L}'-]*(?:(?<=Inc|Ltd|Corp|Co)\.)?,?"
 COPYRIGHT_LINE = (
     r"(?m)^[\s#*/;-]*(?:©|(?i:copyright)[: \t]*(?:(?i:\(c\)|©)|[<\[{]|" + _YEAR + ")"
     r"|C(?i:opyright):?[ \t]+(?!(?i:" + PROSE + r")\b)(?:(?:by|the)[ \t]+)*\p{Lu}"
     r"|(?i:\(c\))[ \t,]*(?i:copyright[ \t]+)?(?:" + _YEAR + "|(?i:©)|(?:(?i:by|the)[ \\t]+)?" + _NAME
-    + r"(?:[ \t]+(?:and|of|&|the|" + _NAME + r"))*[ \t]+" + _NAME + r"[ \t]*$))[^\n]*$")
+    + r"(?:[ \t]+(?:and|of|&|the|" + _NAME + r"))*[ \t]+" + _NAME + r"\.?[ \t]*$))[^\n]*$")
 # Spellings that licence matching treats as one.
 SPELLINGS = (("licence", "license"), ("sub-license", "sublicense"), ("sub license", "sublicense"),
              ("non-commercial", "noncommercial"), ("organisation", "organization"), ("favour", "favor"),
@@ -56,9 +56,10 @@ def canonical(lines: Column) -> Column:
     return F.trim(one)
 
 
-def known_digests(spark: SparkSession, entries=(*((n, t, "text") for n, t in TEXTS),
-                                                *((n, t, "notice") for n, t in NOTICES))) -> DataFrame:
-    """(kind, digest, licence, size) of the known texts, in canonical form; one row each."""
+def known_digests(spark: SparkSession, entries=None) -> DataFrame:
+    """(kind, digest, licence, size) of the known texts (all, if none are given), in canonical form; one row each."""
+    if entries is None:
+        entries = [*((n, t, "text") for n, t in (*TEXTS, *published())), *((n, t, "notice") for n, t in NOTICES)]
     rows = spark.createDataFrame(list(entries), "licence string, text string, kind string")
     form = canonical(canonical_lines(F.col("text")))
     return rows.select("kind", F.sha2(form, 256).alias("digest"), "licence", F.char_length(form).alias("size")).groupBy(

@@ -1,4 +1,9 @@
-"""Known licence texts and one-line notices (fixed values: published texts)."""
+"""Known licence texts and one-line notices (fixed values: published texts).
+
+The short texts are below; ``licences`` beside this file holds longer published texts, named by SPDX identifier.
+"""
+
+from importlib.resources import files
 
 _MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
 associated documentation files (the "Software"), to deal in the Software without restriction, including without
@@ -87,6 +92,21 @@ TEXTS = (
     ("Zlib", _ZLIB),
 )
 
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+
+
+def published() -> list[tuple[str, str]]:
+    """(licence, text) of the files in ``licences``; also without what follows the end of the terms, unless that is
+    an exception to them."""
+    out = []
+    for f in sorted(files(__package__).joinpath("licences").iterdir(), key=lambda f: f.name):
+        if f.name.endswith(".txt"):
+            name, text = f.name.removesuffix(".txt"), f.read_text("utf-8")
+            terms = text if " WITH " in name else text.split(END_OF_TERMS)[0]
+            out += [(name, t) for t in dict.fromkeys((text, terms, terms + END_OF_TERMS if terms != text else text))]
+    return out
+
+
 #: (licence, text) of one-line notices.
 NOTICES = (
     ("MIT", "Released under the MIT License."),
