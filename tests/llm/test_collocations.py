@@ -1,0 +1,76 @@
+"""Collocations against a plain count, with chunks cut inside pieces, and on edge rows."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+from trawl.llm.collocations import collocations
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain(rows, longest, least, covered, per_lang):
+    counts, totals = defaultdict(Counter), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\n-\r]", (text or "").translate(LOWER)):
+            w = re.findall(r"[^ \t]+", piece)
+            totals[lang] += len(w)
+            for k in range(1, longest + 1):
+                for i in range(len(w) - k + 1):
+                    counts[lang][tuple(w[i:i + k])] += 1
+    out = []
+    for lang, f in counts.items():
+        frequent = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        found = []
+        for p, a in frequent.items():
+            if any(len(q) > len(p) and b * 100 >= covered * a and any(
+                    q[i:i + len(p)] == p for i in range(len(q) - len(p) + 1)) for q, b in frequent.items()):
+                continue
+            score, k = min((10**6 * a * a // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+            found.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (s, a, phrase, left, right) in enumerate(sorted(found)[:per_lang], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, totals[lang], -s))
+    return sorted(out)
+
+
+def check(spark, rows, longest=3, least=3, covered=50, per_lang=2000, chunk=1_000_000):
+    docs = spark.createDataFrame([(t, g, 1) for t, g in rows], "text string, lang string, n int").repartition(3)
+    got = sorted(tuple(r) for r in collocations(docs, longest, least, covered, per_lang, chunk=chunk).collect())
+    assert got == plain(rows, longest, least, covered, per_lang)
+    return got
+
+
+def texts(seed, n, words=12):
+    rng = random.Random(seed)
+    vocabulary = ["Ab", "ab", "é", "ß x", "cd", "\x0bq", "it's", "x-y", "🙂", "ÀB", "zz", "w1"]
+    ends = [" ", " ", " ", "  ", "\t", ", ", ". ", "\n", "!?", " \x0c"]
+    return [("".join(rng.choice(vocabulary) + rng.choice(ends) for _ in range(rng.randint(0, words))),
+             rng.choice(["en", "en", "de", None])) for _ in range(n)]
+
+
+def test_equals_plain_count(spark):
+    assert len(check(spark, texts(1, 400))) > 20
+
+
+def test_chunks_cut_inside_pieces(spark):
+    rows = texts(2, 60, 60) + [("a b c d " * 300, "en"), ("a b c d", "de")]
+    for chunk, longest in ((7, 3), (50, 4), (1, 2)):
+        check(spark, rows, longest=longest, chunk=chunk)
+
+
+def test_edges(spark):
+    rows = [(None, "en"), ("", None), (" \t ", "en"), (".,;", "en"), ("one", "fr")] + [("x y", None)] * 12
+    got = check(spark, rows, least=10)
+    assert got == [("und", 1, "x y", 12, 12, 12, 24, 10**6)]
+    check(spark, texts(3, 300), per_lang=3)
+    check(spark, [("tie tie tie tie", "en")] * 5, least=1)
+    assert check(spark, [(None, None)]) == []
+    empty = spark.createDataFrame([], "text string, lang string")
+    assert collocations(empty).collect() == []
+    clashing = spark.createDataFrame([("p q", "en", 1, 2, "z")] * 10, "text string, lang string, n int, f int, word string")
+    assert [r["phrase"] for r in collocations(clashing).collect()] == ["p q"]
+
+
+def test_long_text(spark):
+    check(spark, [("alpha beta gamma " * 60_000, "en"), ("alpha beta, gamma", "en")], least=10)

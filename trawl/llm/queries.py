@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import (chat_format, decontamination, licence_scan, order_minhash, packing, secrets, sharding, simhash,
-                       token_counts, toxicity)
+from trawl.llm import (chat_format, collocations, decontamination, licence_scan, order_minhash, packing, secrets, sharding,
+                       simhash, token_counts, toxicity)
 from trawl.llm.common import table
 from trawl.llm.licence_texts import NOTICES, TEXTS
 from trawl.llm.tokenizers_io import public_path
@@ -188,7 +188,45 @@ def op10_sharding(spark, sf):
                          "vslot", F.col("version").alias("map_version"))
 
 
+LONGEST_PHRASE, LEAST_COUNT, COVERED_PERCENT, PHRASES_PER_LANG = 3, 10, 50, 2000
+
+
+def op13_collocations(spark, sf):
+    """Each language's first 2000 phrases of 2 or 3 words, mined over all documents."""
+    return collocations.collocations(table(spark, sf, "documents"), LONGEST_PHRASE, LEAST_COUNT, COVERED_PERCENT,
+                                     PHRASES_PER_LANG)
+
+
+OP13_SQL = rf"""
+WITH docs AS (SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?
+-]')) AS piece FROM docs),
+spoken AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM spoken GROUP BY lang),
+grams AS (SELECT lang, k, unnest(list_transform(range(1, greatest(len(w) - k + 2, 1)),
+                                                lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+          FROM spoken, (VALUES (1), (2), (3)) sizes(k)),
+counts AS (SELECT lang, k, phrase, count(*) AS f, string_split(phrase, ' ') AS w FROM grams GROUP BY ALL),
+candidates AS (SELECT * FROM counts WHERE k > 1 AND f >= {LEAST_COUNT}),
+cuts AS (SELECT c.lang, c.phrase, c.f, i, x.f AS l, y.f AS r,
+                (c.f::HUGEINT * c.f * 1000000) // (x.f::HUGEINT * y.f) AS score
+         FROM (SELECT *, unnest(range(1, k)) AS i FROM candidates) c
+         JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:i], ' ')
+         JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[i + 1:], ' ')),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+covered AS (SELECT DISTINCT s.lang, s.phrase FROM candidates s JOIN counts x ON x.lang = s.lang AND x.k = s.k + 1
+            AND (array_to_string(x.w[1:s.k], ' ') = s.phrase OR array_to_string(x.w[2:], ' ') = s.phrase)
+            WHERE 100 * x.f >= {COVERED_PERCENT} * s.f AND x.f >= {LEAST_COUNT}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, encode(phrase)) AS rank
+           FROM weakest ANTI JOIN covered USING (lang, phrase))
+SELECT lang, rank, phrase, f AS a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang)
+WHERE rank <= {PHRASES_PER_LANG}
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_toxicity, op3_decontamination, op4_simhash_groups, op5_chat_format, op6_order_minhash,
-    op7_licence_scan, op8_packing, op9_secret_scan, op10_sharding)}
-ORACLE_SQL: dict[str, str] = {"op3_decontamination": OP3_SQL, "op5_chat_format": OP5_SQL, "op7_licence_scan": OP7_SQL}
+    op7_licence_scan, op8_packing, op9_secret_scan, op10_sharding, op13_collocations)}
+ORACLE_SQL: dict[str, str] = {"op3_decontamination": OP3_SQL, "op5_chat_format": OP5_SQL, "op7_licence_scan": OP7_SQL,
+                              "op13_collocations": OP13_SQL}
