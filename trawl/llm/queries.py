@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trawl.llm import (chat_format, collocations, decontamination, licence_scan, order_minhash, packing, secrets, sharding,
-                       simhash, token_counts, toxicity)
+                       simhash, token_counts, toxicity, warc)
 from trawl.llm.common import table
 from trawl.llm.licence_texts import NOTICES, TEXTS
 from trawl.llm.tokenizers_io import public_path
+from trawl.session import scratch_path
 
 N_SHARDS = 40
 TOKEN_LIMIT = 2048
@@ -188,6 +189,22 @@ def op10_sharding(spark, sf):
                          "vslot", F.col("version").alias("map_version"))
 
 
+def op12_warc(spark, sf):
+    """All pages written as WARC records and read back from the archives."""
+    path = scratch_path(spark, "warc")
+    warc.write_archive(table(spark, sf, "pages"), path)
+    return warc.page_rows(warc.read_archive(spark, path))
+
+
+OP12_SQL = f"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS size, sha1(coalesce(html, '')) AS digest FROM pages),
+k AS (SELECT *, CASE WHEN size >= {warc.LEAST_SHARED} THEN max(page_id) OVER (PARTITION BY digest) ELSE page_id END AS keep
+      FROM p)
+SELECT page_id, size::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN keep = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN keep <> page_id THEN keep END AS refers_to FROM k
+"""
+
 LONGEST_PHRASE, LEAST_COUNT, COVERED_PERCENT, PHRASES_PER_LANG = 3, 10, 50, 2000
 
 
@@ -201,7 +218,8 @@ OP13_SQL = rf"""
 WITH docs AS (SELECT coalesce(lang, 'und') AS lang,
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?
--]')) AS piece FROM docs),
+-
+]')) AS piece FROM docs),
 spoken AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), lambda x: x <> '') AS w FROM pieces),
 totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM spoken GROUP BY lang),
 grams AS (SELECT lang, k, unnest(list_transform(range(1, greatest(len(w) - k + 2, 1)),
@@ -227,6 +245,6 @@ WHERE rank <= {PHRASES_PER_LANG}
 
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_toxicity, op3_decontamination, op4_simhash_groups, op5_chat_format, op6_order_minhash,
-    op7_licence_scan, op8_packing, op9_secret_scan, op10_sharding, op13_collocations)}
+    op7_licence_scan, op8_packing, op9_secret_scan, op10_sharding, op12_warc, op13_collocations)}
 ORACLE_SQL: dict[str, str] = {"op3_decontamination": OP3_SQL, "op5_chat_format": OP5_SQL, "op7_licence_scan": OP7_SQL,
-                              "op13_collocations": OP13_SQL}
+                              "op12_warc": OP12_SQL, "op13_collocations": OP13_SQL}
