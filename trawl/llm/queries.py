@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trawl.llm import (chat_format, collocations, decontamination, licence_scan, order_minhash, packing, secrets, sharding,
-                       simhash, token_counts, toxicity, warc)
-from trawl.llm.common import table
+from trawl.llm import (chat_format, collocations, decontamination, licence_scan, order_minhash, packing, prefix_trie,
+                       secrets, sharding, simhash, token_counts, toxicity, warc)
+from trawl.llm.common import stored, table
 from trawl.llm.licence_texts import NOTICES, TEXTS
 from trawl.llm.tokenizers_io import public_path
 from trawl.session import scratch_path
@@ -189,6 +189,58 @@ def op10_sharding(spark, sf):
                          "vslot", F.col("version").alias("map_version"))
 
 
+LENT, FAMILY = 9, 5
+
+
+def rebuilt(turns):
+    """Every conversation c anew: the first crc32(c) % 9 turns of the conversation c - c % 5, then c's own after as many.
+
+    ``turns`` are those of `prefix_trie.turns`; a row with a null key marks each conversation, also one without turns.
+    """
+    lent = lambda c: F.crc32(c.cast("string").cast("binary")) % LENT
+    ids = turns.select("conv_id").distinct()
+    own = turns.where(F.col("pos") > lent(F.col("conv_id")))
+    first = turns.where((F.pmod("conv_id", F.lit(FAMILY)) == 0) & (F.col("pos") < LENT)).withColumn(
+        "conv_id", F.explode(F.sequence("conv_id", F.col("conv_id") + FAMILY - 1))).where(
+            F.col("pos") <= lent(F.col("conv_id"))).join(ids, "conv_id", "left_semi")
+    marks = ids.select("conv_id", F.lit(0).alias("pos"), F.lit(None).cast("binary").alias("key"),
+                       F.lit(0).cast("long").alias("size"))
+    return own.unionByName(first).unionByName(marks)
+
+
+def op11_prefix_trie(spark, sf):
+    """The trie of all rebuilt conversations."""
+    turns = stored(prefix_trie.turns(table(spark, sf, "conversations")), "turns")
+    return prefix_trie.prefix_trie(rebuilt(turns)).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda e, z: CASE WHEN e % 2 = 1 THEN xor(e >> 1, 3988292384) ELSE e >> 1 END)), 4294967295)"""
+OP11_SQL = f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS said,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT *, {_CRC32} % {LENT} AS h FROM (
+  SELECT conv_id, list(struct_pack(role := role, said := said) ORDER BY pos) AS own FROM t GROUP BY conv_id)),
+r AS (SELECT c.conv_id, list_concat(coalesce(b.own[1:c.h], []), c.own[c.h + 1:]) AS seq
+  FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % {FAMILY}),
+p AS (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS depth FROM r),
+n AS (SELECT depth, seq[1:depth] AS k, min(conv_id) AS conv_id, count(*) AS n_convs,
+    any_value(CASE WHEN depth = 0 THEN 0 ELSE octet_length(encode(seq[depth].said)) END) AS size,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(seq) = depth), '')) AS ends_sha256
+  FROM p GROUP BY depth, seq[1:depth]),
+kids AS (SELECT depth - 1 AS depth, k[1:depth - 1] AS k, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+full_n AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (depth, k)),
+over AS (SELECT *, unnest(range(0, depth + 1)) AS above FROM full_n),
+sums AS (SELECT above AS depth, k[1:above] AS k, count(*) FILTER (n_children = 0) AS n_leaves,
+    sum((n_convs - 1) * size)::BIGINT AS saved_tokens FROM over GROUP BY above, k[1:above])
+SELECT f.conv_id, f.depth, u.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+FROM full_n f JOIN sums USING (depth, k) LEFT JOIN full_n u ON u.depth = f.depth - 1 AND u.k = f.k[1:f.depth - 1]
+"""
+
+
 def op12_warc(spark, sf):
     """All pages written as WARC records and read back from the archives."""
     path = scratch_path(spark, "warc")
@@ -245,6 +297,7 @@ WHERE rank <= {PHRASES_PER_LANG}
 
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_toxicity, op3_decontamination, op4_simhash_groups, op5_chat_format, op6_order_minhash,
-    op7_licence_scan, op8_packing, op9_secret_scan, op10_sharding, op12_warc, op13_collocations)}
+    op7_licence_scan, op8_packing, op9_secret_scan, op10_sharding, op11_prefix_trie, op12_warc,
+    op13_collocations)}
 ORACLE_SQL: dict[str, str] = {"op3_decontamination": OP3_SQL, "op5_chat_format": OP5_SQL, "op7_licence_scan": OP7_SQL,
-                              "op12_warc": OP12_SQL, "op13_collocations": OP13_SQL}
+                              "op11_prefix_trie": OP11_SQL, "op12_warc": OP12_SQL, "op13_collocations": OP13_SQL}
