@@ -31,6 +31,7 @@ from trawl.llm.common import stored
 CHUNK = 1_000_000          # words of a chunk
 BUFFER_BYTES = 7 << 20     # text that a task cuts into words at a time (and one document more)
 BLOCK = 1 << 18            # words of a stored row
+PART = 1_000_000           # rows that a task counts at a time, about
 LOCAL = 24                 # bits of a local number
 GAP = -1                   # between pieces; a tail word w is stored as -2 - w
 SCALE = 1_000_000
@@ -105,11 +106,17 @@ def _cut(batches: Iterator[pa.RecordBatch], longest: int, size_of_chunk: int) ->
             number += 1
 
     for batch in batches:
-        held.append(batch)
-        size += batch.nbytes
-        if size >= BUFFER_BYTES:
-            yield from relation(held)
-            held, size = [], 0
+        ends = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        lo = 0
+        while lo < batch.num_rows:
+            upto = (ends[lo - 1] if lo else 0) + BUFFER_BYTES - size
+            hi = max(lo + 1, int(np.searchsorted(ends, upto, "right")))
+            held.append(batch.slice(lo, hi - lo))
+            size += int(ends[hi - 1] - (ends[lo - 1] if lo else 0))
+            lo = hi
+            if size >= BUFFER_BYTES or lo < batch.num_rows:
+                yield from relation(held)
+                held, size = [], 0
     if held:
         yield from relation(held)
 
@@ -124,11 +131,41 @@ def occurrences(docs: DataFrame, longest: int, text_col: str = "text", lang_col:
 
 # ---------------------------------------------------------------- levels
 
-def _frequent(groups: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """The rows of phrases with at least ``least`` occurrences, with their total f and id; stored."""
-    w = Window.partitionBy(*keys)
-    held = groups.select(*keys, "own", F.sum("n").over(w).alias("f"), F.min("own").over(w).alias("id"))
-    return stored(held.where(F.col("f") >= least), "frequent")
+def _counted(batches: Iterator[pa.RecordBatch], least: int, ids_only: bool) -> Iterator[pa.RecordBatch]:
+    """Group count of the phrases of a partition; the rows of frequent ones, their keys only on the row of the id."""
+    parts = [b for b in batches if b.num_rows]
+    if not parts:
+        return
+    table = pa.Table.from_batches(parts)
+    keys = table.column_names[:2]
+    sides = [table[k].combine_chunks().dictionary_encode() for k in keys]
+    codes = [s.indices.to_numpy(zero_copy_only=False).astype(np.int64) for s in sides]
+    order = np.lexsort((table["own"].to_numpy(), codes[0] * len(sides[1].dictionary) + codes[1]))
+    pair = (codes[0] * len(sides[1].dictionary) + codes[1])[order]
+    own, n = table["own"].to_numpy()[order], table["n"].to_numpy()[order]
+    begins = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
+    sizes = np.diff(np.append(begins, len(pair)))
+    total, id_ = np.add.reduceat(n, begins), own[begins]
+    kept = np.repeat(total >= least, sizes)
+    total, id_ = np.repeat(total, sizes)[kept], np.repeat(id_, sizes)[kept]
+    own, taken = own[kept], pa.array(order[kept])
+    if ids_only:
+        first = own == id_
+        own, id_, total, taken = own[first], id_[first], total[first], taken.filter(pa.array(first))
+    named = [pc.if_else(pa.array(own == id_), table[k].combine_chunks().take(taken), None) for k in keys]
+    for batch in pa.table([*named, own, id_, total], names=[*keys, "own", "id", "f"]).to_batches(1 << 18):
+        yield batch
+
+
+def _frequent(groups: DataFrame, keys: str, least: int, parts: int, ids_only: bool = False) -> DataFrame:
+    """The rows (own, id, f) of phrases with at least ``least`` occurrences; stored.
+
+    The groups are dealt into ``parts`` by phrase; a task counts a part of about ``PART`` rows at a time.
+    """
+    names = [k.split()[0] for k in keys.split(", ")]
+    dealt = groups.select(*names, "own", "n").repartition(parts, *names)
+    return stored(dealt.mapInArrow(partial(_counted, least=least, ids_only=ids_only), f"{keys}, own long, id long, f long"),
+                  "frequent")
 
 
 def _run(table: pa.Table) -> np.ndarray:
@@ -138,76 +175,42 @@ def _run(table: pa.Table) -> np.ndarray:
     return np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
 
 
-class _Level:
-    """A chunk's occurrences of the frequent phrases of one length.
-
-    ``at[p]`` numbers the phrase that starts at p among the kept ones (-1: none); ``own``, ``ids`` and ``f`` are theirs.
-    """
-
-    def __init__(self, local: np.ndarray, kept: pa.Table, n_local: int):
-        own = kept["own"].to_numpy()
-        order = np.argsort(own)
-        self.own, self.ids, self.f = own[order], kept["id"].to_numpy()[order], kept["f"].to_numpy()[order]
-        number = np.full(n_local + 1, -1, np.int64)
-        number[self.own & ((1 << LOCAL) - 1)] = np.arange(len(own))
-        self.at = np.where(local >= 0, number[local], -1)
-
-
-def _climb(runs: pa.Table, kept: pa.Table, upto: int):
-    """(starts, words, levels 1 to ``upto``, local numbers of the phrases one longer, their first positions)."""
+def _extend(key, runs: pa.Table, kept: pa.Table, level: int) -> pa.Table:
+    """(a, b, own, n): the chunk's phrases of ``level`` + 1 words whose first and last ``level`` words are frequent."""
+    names = ["a", "b", "own", "n"]
+    if not runs.num_rows or not kept.num_rows:
+        return pa.table([pa.array([], pa.int64())] * 4, names=names)
     run = _run(runs)
-    words = np.where(run <= -2, -2 - run, run)
-    local, levels = words, []
+    starts, local = run >= 0, np.where(run <= -2, -2 - run, run)
     n_local = int(local.max(initial=-1)) + 1
-    for level in range(1, upto + 1):
-        levels.append(_Level(local, kept.filter(pc.equal(kept["level"], level)), n_local))
-        at = levels[-1].at
+    for step in range(1, level + 1):
+        # Semi-join: occurrences of frequent phrases only, as their place among the chunk's frequent ones.
+        held = kept.filter(pc.equal(kept["level"], step))
+        ids = held["id"].to_numpy()
+        place = np.full(n_local + 1, -1, np.int64)
+        place[held["local"].to_numpy()] = np.arange(len(ids))
+        at = np.where(local >= 0, place[local], -1)
         # Merge of the relation with itself at the next position: both sides are sorted by position.
         both = np.flatnonzero((at[:-1] >= 0) & (at[1:] >= 0))
-        pair = at[both] * max(1, len(levels[-1].ids)) + at[both + 1]
-        distinct, first, inverse = np.unique(pair, return_index=True, return_inverse=True)
-        if len(distinct) >= 1 << LOCAL:
+        distinct, inverse = np.unique(at[both] * max(1, len(ids)) + at[both + 1], return_inverse=True)
+        n_local = len(distinct)
+        if n_local >= 1 << LOCAL:
             raise ValueError("a chunk has too many distinct phrases for its local numbers")
         local = np.full(len(run), -1, np.int64)
         local[both] = inverse
-        n_local = len(distinct)
-    return run >= 0, words, levels, local, distinct, both[first] if len(distinct) else first
+    n = np.bincount(inverse[starts[both]], minlength=n_local)
+    own = (runs["chunk"][0].as_py() << LOCAL) + np.arange(n_local)
+    width = max(1, len(ids))
+    return pa.table([ids[distinct // width], ids[distinct % width], own, n.astype(np.int64)], names=names)
 
 
-def _extend(key, runs: pa.Table, kept: pa.Table, level: int) -> pa.Table:
-    """(a, b, own, n): the chunk's phrases of ``level`` + 1 words whose first and last ``level`` words are frequent."""
-    names = ["a", "b", "own", "n"]
-    if not runs.num_rows or not kept.num_rows:
-        return pa.table([pa.array([], pa.int64())] * 4, names=names)
-    starts, _, levels, local, distinct, _ = _climb(runs, kept, level)
-    ids = levels[-1].ids
-    n = np.bincount(local[starts & (local >= 0)], minlength=len(distinct))
-    chunk = runs["chunk"][0].as_py()
-    return pa.table([ids[distinct // max(1, len(ids))], ids[distinct % max(1, len(ids))],
-                     (chunk << LOCAL) + np.arange(len(distinct)), n.astype(np.int64)], names=names)
-
-
-def _named(key, runs: pa.Table, kept: pa.Table, longest: int) -> pa.Table:
-    """The phrases whose id lies in this chunk: lang, words, f, and f of their first and of their last words."""
-    out = {c: [] for c in ("lang", "words", "f", "firsts", "lasts")}
-    if runs.num_rows and kept.num_rows:
-        _, words, levels, _, _, _ = _climb(runs, kept, longest)
-        names = kept.filter(pc.equal(kept["level"], 1))
-        by_local = {o & ((1 << LOCAL) - 1): (g, w) for o, g, w in zip(
-            names["own"].to_pylist(), names["lang"].to_pylist(), names["word"].to_pylist())}
-        for size, level in enumerate(levels[1:], 2):
-            number, first = np.unique(level.at, return_index=True)
-            for k, p in zip(number.tolist(), first.tolist()):
-                if k < 0 or level.own[k] != level.ids[k]:
-                    continue
-                said = [by_local[w] for w in words[p:p + size].tolist()]
-                out["lang"].append(said[0][0])
-                out["words"].append([w for _, w in said])
-                out["f"].append(int(level.f[k]))
-                out["firsts"].append([int(levels[m - 1].f[levels[m - 1].at[p]]) for m in range(1, size)])
-                out["lasts"].append([int(levels[m - 1].f[levels[m - 1].at[p + size - m]]) for m in range(1, size)])
-    types = (pa.string(), pa.list_(pa.string()), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-    return pa.table([pa.array(v, t) for v, t in zip(out.values(), types)], names=list(out))
+def _named(found: DataFrame, shorter: DataFrame) -> DataFrame:
+    """(id, f, lang, words, firsts, lasts) of phrases (id, f, a, b) from those of their first and last words."""
+    first = shorter.select(F.col("id").alias("a"), "lang", "words", "firsts", F.col("f").alias("first"))
+    last = shorter.select(F.col("id").alias("b"), F.element_at("words", -1).alias("word"), "lasts", F.col("f").alias("last"))
+    return found.join(first, "a").join(last, "b").select(
+        "id", "f", "lang", F.array_append("words", F.col("word")).alias("words"),
+        F.array_append("firsts", F.col("first")).alias("firsts"), F.array_append("lasts", F.col("last")).alias("lasts"))
 
 
 def phrases(relation: DataFrame, longest: int = 3, least: int = 10) -> DataFrame:
@@ -216,20 +219,25 @@ def phrases(relation: DataFrame, longest: int = 3, least: int = 10) -> DataFrame
     ``firsts[i]`` and ``lasts[i]`` are the counts of its first and last i + 1 words.
     """
     runs = relation.where("run IS NOT NULL").select("chunk", "at", "run")
+    words = relation.where("word IS NOT NULL")
+    rows, total = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     own = F.shiftleft(F.col("chunk"), LOCAL) + F.col("local")
-    words = relation.where("word IS NOT NULL").select("lang", "word", own.alias("own"), "n")
-    kept = _frequent(words, ["lang", "word"], least).withColumn("level", F.lit(1))
-    no_word = F.lit(None).cast("string")
+    found = _frequent(words.select("lang", "word", own.alias("own"), "n"), "lang string, word string", least,
+                      1 + rows // PART)
+    none = F.array().cast("array<long>")
+    named = found.where("own = id").select("id", "f", "lang", F.array("word").alias("words"), none.alias("firsts"),
+                                           none.alias("lasts"))
+    kept, out = None, None
     for level in range(1, longest):
-        by_chunk = kept.select("level", "own", "id", "f", F.shiftright("own", LOCAL).alias("chunk"))
-        groups = runs.groupBy("chunk").cogroup(by_chunk.groupBy("chunk")).applyInArrow(
-            partial(_extend, level=level), GROUPS)
-        kept = kept.unionByName(_frequent(groups, ["a", "b"], least).select(
-            no_word.alias("lang"), no_word.alias("word"), "own", "f", "id", F.lit(level + 1).alias("level")))
-    by_chunk = kept.withColumn("chunk", F.shiftright("own", LOCAL))
-    return runs.groupBy("chunk").cogroup(by_chunk.groupBy("chunk")).applyInArrow(
-        partial(_named, longest=longest),
-        "lang string, words array<string>, f long, firsts array<long>, lasts array<long>")
+        held = found.select(F.lit(level).alias("level"), F.shiftright("own", LOCAL).alias("chunk"),
+                            F.col("own").bitwiseAND((1 << LOCAL) - 1).cast("int").alias("local"), "id")
+        kept = held if kept is None else kept.unionByName(held)
+        groups = runs.groupBy("chunk").cogroup(kept.groupBy("chunk")).applyInArrow(partial(_extend, level=level), GROUPS)
+        found = _frequent(groups, "a long, b long", least, 1 + total // PART, ids_only=level + 1 == longest)
+        named = _named(found.where("own = id").select("id", "f", "a", "b"), named)
+        longer = named.select("lang", "words", "f", "firsts", "lasts")
+        out = longer if out is None else out.unionByName(longer)
+    return out
 
 
 # ---------------------------------------------------------------- scores
