@@ -9,7 +9,7 @@ stretch may be a record, whose header names where its successor begins. A task e
 offsets, and follows them by pointer jumping to where they leave its range. Ranges are placed by sums of their
 lengths, and pointer jumping over ranges, from the start of each file, tells at which offset the true chain enters
 each one. Only records on this chain are read; a magic inside a payload is on no chain. A record that ends in
-another range is read by the task of the range in which it begins: stretches before the entry of a range belong
+another range is read by the task of the range in which it begins: what stands before the entry of a range belongs
 to the range that the chain came from. Offsets of records are those of the byte after their magic. (Blank lines would
 not do as separators: runs of line breaks are cut differently from different starts.)
 """
@@ -31,6 +31,8 @@ LEAST_SHARED = 1000                    # bytes of a payload that may be revisite
 DATE = "1970-01-01T00:00:00Z"          # pages carry no fetch time
 FREQUENT = 1000                        # a payload with more than this part (1/n) of all records is frequent
 BATCH_BYTES = 8 << 20
+PACK_BYTES = 128 << 10                 # bytes of an archive that are moved as one row, about
+HEADER_BYTES = 1 << 20
 
 # Fixed values of the format.
 MAGIC = b"WARC/1.0\r\n"
@@ -210,13 +212,21 @@ def entries(spark: SparkSession, path: str) -> DataFrame:
 
 # ---------------------------------------------------------------- records
 
-def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each stretch with its offset within its range."""
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of each range in compressed rows of about ``PACK_BYTES``: (file, block, size, at, upto, packed)."""
+    schema = pa.schema([("file", pa.string()), ("block", pa.int64()), ("size", pa.int64()), ("at", pa.int64()),
+                        ("upto", pa.int64()), ("packed", pa.binary())])
     size = 0
-    for _, _, part, begins in _by_range(batches):
+    for file, block, part, begins in _by_range(batches):
         at = _offsets(part["value"], 0 if begins else size)
-        size = int(at[-1])
-        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(at[:-1])], [*part.schema.names, "at"])
+        size, rows, lo = int(at[-1]), [], 0
+        while lo < part.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(at, at[lo] + PACK_BYTES)))
+            raw = MAGIC.join([*part["value"][lo:hi].to_pylist(), b""])
+            rows.append((file, block, part["size"][lo].as_py(), int(at[lo]), int(at[min(hi, part.num_rows)]),
+                         len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)))
+            lo = hi
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
 
 def parsed_headers(value: bytes) -> dict[str, str]:
@@ -248,36 +258,63 @@ def _record(file: str, offset: int, head: bytes, block: bytes) -> tuple:
             warc.get("warc-payload-digest"), own[1], own[0])
 
 
+def _next_record(data: bytearray, at: int, begin: int, size: int):
+    """The record after the magic that ends at ``at``: (end of header, end), "more" if ``data`` ends before it, or
+    None where no record is. ``data`` begins at ``begin`` in a file of ``size`` bytes."""
+    if at >= len(MAGIC) and data[at - len(MAGIC):at] != MAGIC:
+        return None
+    upto = data.find(END.encode(), at)
+    if upto < 0:
+        return "more" if len(data) - at < HEADER_BYTES else None
+    length = _LENGTH.search(data, at, upto)
+    if not length or data.find(MAGIC, at, upto) >= 0:
+        return None
+    end = upto + len(END) + int(length[1])
+    if begin + end > size:
+        return None
+    return (upto, end) if end <= len(data) else "more"
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records of the stretches, which come in order for each (file, owner); one record is held at a time."""
-    rows, held, key = [], 0, None
+    """Records of the packed rows, which come in order for each (file, owner); one record is held at a time."""
+    rows, held, key, want, begin = [], 0, None, 0, 0
+    data = bytearray()
     names = [c.split()[0] for c in RECORDS.split(", ")]
 
     def flush():
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _RECORD_TYPES)], names)
 
-    want = end = 0
-    head, body = b"", None
     for batch in batches:
-        for file, owner, a, value, entry, size in zip(*[batch[c].to_pylist() for c in (
-                "file", "owner", "offset", "value", "entry", "size")]):
+        for file, owner, a, packed, first, stop, size in zip(*[batch[c].to_pylist() for c in (
+                "file", "owner", "offset", "packed", "first", "stop", "size")]):
             if (file, owner) != key:
-                key, want, body = (file, owner), entry, None
-            if body is not None:
-                body.append((value + MAGIC)[:end - a])
-            elif a == want and (found := header_of(value)) and a + sum(found) <= size:
-                head, end = value[:found[0]], a + sum(found)
-                body = [(value + MAGIC)[found[0]:end - a]]
-            else:
-                continue  # past the chain's end: no record, or one that the file cuts off
-            if a + len(value) + len(MAGIC) < end:
+                key, want, begin, data = (file, owner), first, a, bytearray()
+            if want is None:
                 continue
-            rows.append(_record(file, want, head, b"".join(body)))
-            held += len(rows[-1][-1] or b"") + len(head)
-            want, body = end + _AFTER, None
-            if held >= BATCH_BYTES:
-                yield flush()
-                rows, held = [], 0
+            data += pa.decompress(packed[8:], decompressed_size=int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
+            while True:
+                if stop is not None and want >= stop:
+                    want = None  # the next range reads on
+                    break
+                if want - begin > len(data):
+                    break
+                found = _next_record(data, want - begin, begin, size)
+                if found == "more":
+                    break
+                if found is None:
+                    want = None  # the chain ends
+                    break
+                upto, end = found
+                rows.append(_record(file, want, bytes(data[want - begin:upto]), bytes(data[upto + len(END):end])))
+                held += end + len(END) - (want - begin)
+                want = begin + end + _AFTER
+                if held >= BATCH_BYTES:
+                    yield flush()
+                    rows, held = [], 0
+            if want is not None:  # keep what the next record begins with, and the magic before it
+                drop = min(len(data), max(0, want - len(MAGIC) - begin))
+                del data[:drop]
+                begin += drop
     if rows:
         yield flush()
 
@@ -285,17 +322,22 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """The records on the chain from the start of each file under ``path`` (rows of ``RECORDS``).
 
-    A file whose chain breaks (a cut-off record, bytes that are no record) gives the records before the break. A
-    task holds the possible records of a byte range, and one record whole.
+    A file whose chain breaks (a cut-off record, bytes that are no record, a header over ``HEADER_BYTES``) gives the
+    records before the break. A task holds the possible records of a byte range, and one record whole. The bytes
+    are moved once, compressed, to the task of their range; a row that holds the entry of its range goes also to
+    the task of the range before it.
     """
-    placed = _stretches(spark, path).mapInArrow(_placed, "value binary, file string, block long, size long, at long")
-    met = placed.join(entries(spark, path), ["file", "block"])
-    offset = F.col("base") + F.col("at")
-    own = offset >= F.col("entry")
-    owned = met.select("file", F.when(own, F.col("block")).otherwise(F.col("before")).alias("owner"), "value", "size",
-                       offset.alias("offset"), "entry").where("owner IS NOT NULL")
-    dealt = owned.repartition("file", "owner").sortWithinPartitions("file", "owner", "offset")
-    return dealt.mapInArrow(_read, RECORDS)
+    packed = _stretches(spark, path).mapInArrow(
+        _packed, "file string, block long, size long, at long, upto long, packed binary")
+    met = packed.join(entries(spark, path), ["file", "block"])
+    begins, ends = F.col("base") + F.col("at"), F.col("base") + F.col("upto")
+    none = F.lit(None).cast("long")
+    to_own = F.when(ends > F.col("entry"), F.struct(F.col("block").alias("owner"), F.col("entry").alias("first"), none.alias("stop")))
+    to_before = F.when(F.col("before").isNotNull() & (F.col("entry").isNull() | (begins < F.col("entry"))), F.struct(
+        F.col("before").alias("owner"), none.alias("first"), F.col("entry").alias("stop")))
+    owned = met.select("file", "size", begins.alias("offset"), "packed", F.explode(F.array_compact(F.array(
+        to_own, to_before))).alias("to")).select("file", "to.*", "offset", "packed", "size")
+    return owned.repartition("file", "owner").sortWithinPartitions("file", "owner", "offset").mapInArrow(_read, RECORDS)
 
 
 def page_rows(records: DataFrame) -> DataFrame:
