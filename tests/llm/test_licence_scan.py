@@ -3,6 +3,7 @@
 import hashlib
 import re
 import textwrap
+import time
 
 import duckdb
 
@@ -83,3 +84,24 @@ def test_query_matches_sql(spark, sf):
     assert [d[0] for d in want.description] == got.columns
     rows = sorted(map(tuple, got.collect()))
     assert rows == sorted(want.fetchall()) and any(r[3] for r in rows)
+
+
+def test_long_lines_end_in_time(spark):
+    texts = ["(c) " + "Foo " * 250_000 + "Bar", "(c) " + "Foo and " * 100_000 + "bar", "\n" * 100_000 + "x",
+             "Copyright " + "by the " * 100_000 + "Someone", "# \n" * 100_000 + "Copyright 2001 X", "a-" * 500_000]
+    began = time.time()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r["digest"] for r in ls.scan(docs).collect()}
+    assert time.time() - began < 60
+    empty = hashlib.sha256(b"").hexdigest()
+    assert out[0] == empty and out[4] == empty and out[1] != empty
+    assert out[2] == hashlib.sha256(b"x").hexdigest()
+
+
+def test_names_after_c_in_brackets(spark):
+    lines = ["(c) Ann Lee", "(c) Ann and Bob Lee", "(c) Ann of the Lee Inc.", "(c) Ann", "(c) Ann and", "(c) The Work Here",
+             "(c) Ann Lee writes", "(c) Ann & Bob, Cyd."]
+    docs = spark.createDataFrame([(i, x + "\nrest") for i, x in enumerate(lines)], "doc_id long, text string")
+    rest = hashlib.sha256(b"rest").hexdigest()
+    dropped = [r["doc_id"] for r in ls.scan(docs).orderBy("doc_id").collect() if r["digest"] == rest]
+    assert dropped == [0, 1, 2, 5, 7]

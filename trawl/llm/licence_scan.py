@@ -23,14 +23,15 @@ PROSE = ("notices?|holders?|owners?|ownership|licen[cs]es?|laws?|acts?|statement
          "and|or|in|on|is|of|to|for|as|if|from|may|with|that|which|are|was|has|have|by\\s+(?:the|a|an)|under|over|"
          "does|do|shall|will|can|other|its|such|any|this|these|not|when|where|who|at|be|been|than|then|but|so")
 # A copyright statement, in the case it was written: the word, the sign or (c) before a year, a sign or a holder's
-# name. A bare (c) may number a list item: before names it counts only when two or more of them fill its line.
+# name. A bare (c) may number a list item: before names it counts only when two or more of them fill its line. Groups
+# repeat possessively, as others are matched by recursion, which a long line would exhaust.
 _YEAR = r"(?:\d{4}|(?i:19yy|year)\b|[<\[{](?i:y))"
 _NAME = r"(?!(?:The|You|Your|Any|All|If|In|No)\b)\p{Lu}\p{Ll}[\p{L}'-]*(?:(?<=Inc|Ltd|Corp|Co)\.)?,?"
 COPYRIGHT_LINE = (
-    r"(?m)^[\s#*/;-]*(?:©|(?i:copyright)[: \t]*(?:(?i:\(c\)|©)|[<\[{]|" + _YEAR + ")"
-    r"|C(?i:opyright):?[ \t]+(?!(?i:" + PROSE + r")\b)(?:(?:by|the)[ \t]+)*\p{Lu}"
+    r"(?m)^[ \t\r\f#*/;-]*+(?:©|(?i:copyright)[: \t]*(?:(?i:\(c\)|©)|[<\[{]|" + _YEAR + ")"
+    r"|C(?i:opyright):?[ \t]+(?!(?i:" + PROSE + r")\b)(?:(?:by|the)[ \t]+)*+\p{Lu}"
     r"|(?i:\(c\))[ \t,]*(?i:copyright[ \t]+)?(?:" + _YEAR + "|(?i:©)|(?:(?i:by|the)[ \\t]+)?" + _NAME
-    + r"(?:[ \t]+(?:and|of|&|the|" + _NAME + r"))*[ \t]+" + _NAME + r"\.?[ \t]*$))[^\n]*$")
+    + r"(?:(?:[ \t]+(?:and|of|&|the))*+[ \t]+" + _NAME + r")++\.?[ \t]*$))[^\n]*$")
 # Spellings that licence matching treats as one.
 SPELLINGS = (("licence", "license"), ("sub-license", "sublicense"), ("sub license", "sublicense"),
              ("non-commercial", "noncommercial"), ("organisation", "organization"), ("favour", "favor"),
