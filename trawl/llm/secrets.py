@@ -3,7 +3,8 @@
 Everything is column expressions on the row of the document: no shuffle, no Python in tasks.
 
 Positions come from the text between the matches (`split` by the pattern) and the matches themselves
-(`regexp_extract_all` of it), summed in code points.
+(`regexp_extract_all` of it), summed in code points. Patterns repeat groups possessively only, as others are matched
+by recursion, which a long text would exhaust.
 
 Entropy: candidate strings are runs of at least ``WINDOW`` base64-like characters that no allow-list
 pattern matches. A window of that many characters slides over a candidate with a count per character;
@@ -16,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trawl.functions.expr import let as _let
 from trawl.llm.common import fresh, text_or_empty
 
 # The base patterns; a match failing its length is dropped after matching.
@@ -35,9 +37,9 @@ ALLOW = (
     r"^[^0-9]*$",                                                                  # words, rules, identifiers
     r"^[0-9+/_=-]*$",                                                              # numbers, dates, phone numbers
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUIDs
-    r"(?i)example|sample|dummy|placeholder|changeme",
-    r"^([A-Za-z]+[0-9]{0,4}[/_=-]+)+[A-Za-z]*[0-9]{0,4}$",                         # paths and slugs
+    r"^(?:[A-Za-z]++[0-9]{0,4}[/_=-]++)++[A-Za-z]*+[0-9]{0,4}$",                   # paths and slugs
 )
+ALLOW_WORDS = r"(?i)example|sample|dummy|placeholder|changeme"
 
 _SPAN = "struct<start:int,kind:int,end:int>"
 
@@ -46,39 +48,77 @@ def _none() -> Column:
     return F.array().cast(f"array<{_SPAN}>")
 
 
-def _located(text: Column, pattern: str, keep, kind: int) -> Column:
-    """(start, kind, end) of the matches of ``pattern`` that ``keep`` accepts (a function of their number)."""
+BLOCK = 128  # elements that `prefixes` goes through at a time
+
+
+def prefixes(values: Column, combine) -> Column:
+    """At each place of an array of numbers, ``combine`` (associative, 0 neutral) of all up to it.
+
+    Blocks are combined first, then gone through one by one, so no array grows by one element at a time
+    over the whole length.
+    """
+    zero = F.lit(0).cast("long")
+    steps = lambda v: F.aggregate(v, F.array(zero), lambda acc, x: F.concat(
+        acc, F.array(combine(F.element_at(acc, -1), x.cast("long")))))
+
+    def placed(v):
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int")),
+                             lambda b: F.slice(v, b * BLOCK + 1, BLOCK))
+        return _let(blocks, lambda parts: _let(
+            steps(F.transform(parts, lambda p: F.aggregate(p, zero, lambda acc, x: combine(acc, x.cast("long"))))),
+            lambda before: F.flatten(F.transform(parts, lambda p, i: F.transform(
+                F.slice(steps(p), 2, BLOCK), lambda x: combine(F.get(before, i), x))))))
+
+    return _let(values, lambda v: F.when(F.size(v) > 0, placed(v)).otherwise(F.array().cast("array<long>")))
+
+
+def _located(text: Column, pattern: str, kind: int, least: int = 0) -> Column:
+    """(start, kind, end) of the matches of ``pattern``, in order; with ``least``, of those whose second group is as long."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
+    counted = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if least else found
+    sizes = lambda texts: F.transform(texts, lambda x: F.char_length(x))
 
-    def step(acc, i):
-        start = acc["pos"] + F.char_length(F.get(acc["between"], i))
-        end = start + F.char_length(F.get(acc["found"], i))
-        span = F.struct(start.cast("int").alias("start"), F.lit(kind).alias("kind"), end.cast("int").alias("end"))
-        more = F.when(keep(acc, i), F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
-        return F.struct(end.cast("int").alias("pos"), acc["between"].alias("between"), acc["found"].alias("found"),
-                        acc["extra"].alias("extra"), more.alias("out"))
+    def spans(between, own, said):
+        ends = prefixes(F.zip_with(F.slice(between, 1, F.size(own)), own, lambda x, y: x + y), lambda x, y: x + y)
+        every = F.zip_with(ends, F.zip_with(own, said, lambda x, y: F.struct(x.alias("own"), y.alias("said"))),
+                           lambda e, z: F.struct((e.cast("int") - z["own"]).alias("start"), F.lit(kind).alias("kind"),
+                                                 e.cast("int").alias("end"), z["said"].alias("said")))
+        kept = F.filter(every, lambda x: x["said"] >= least) if least else every
+        return F.transform(kept, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
+
+    located = _let(sizes(F.split(text, pattern, -1)), lambda between: _let(
+        sizes(found), lambda own: spans(between, own, sizes(counted))))
+    return F.when(text.rlike(pattern), located).otherwise(_none())
+
+
+# A text as four bytes a code point: a stretch of it is cut out without walking from its beginning.
+_MARK = "0000FEFF"  # byte order mark, which decoding takes off again
 
-    extra = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if "(" in pattern else F.array(F.lit(""))
-    init = F.struct(F.lit(0).alias("pos"), between.alias("between"), found.alias("found"), extra.alias("extra"),
-                    _none().alias("out"))
-    steps = F.sequence(F.lit(0), F.size(found) - 1)
-    return F.when(text.rlike(pattern), F.aggregate(steps, init, step, lambda a: a["out"])).otherwise(_none())
+
+def wide(text: Column) -> Column:
+    return F.encode(text, "UTF-32")
+
+
+def cut(points: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to before ``end`` of a `wide` text."""
+    return F.decode(F.concat(F.unhex(F.lit(_MARK)), F.substring(points, start * 4 + 1, (end - start) * 4)), "UTF-32")
 
 
 def base_spans(text: Column) -> list[Column]:
     """Spans of the three base kinds, each an array in order of start."""
-    long_enough = lambda acc, i: F.char_length(F.get(acc["extra"], i)) >= ASSIGN_MIN
-    always = lambda acc, i: F.lit(True)
-    return [_located(text, ASSIGN, long_enough, 0),
-            F.when(F.contains(text, F.lit("AKIA")), _located(text, ACCESS, always, 1)).otherwise(_none()),
-            _located(text, HEX, always, 2)]
+    return [_located(text, ASSIGN, 0, ASSIGN_MIN),
+            F.when(F.contains(text, F.lit("AKIA")), _located(text, ACCESS, 1)).otherwise(_none()),
+            _located(text, HEX, 2)]
 
 
 def entropy_span(word: Column) -> Column:
     """(start, end) in ``word`` from the first to past the last window over its class's threshold, or null."""
-    symbol = F.transform(F.sequence(F.lit(1), F.char_length(word)),
-                         lambda i: F.instr(F.lit(ALPHABET), F.substr(word, i, F.lit(1))) - 1)
+    return _let(F.transform(F.split(word, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1),
+                lambda symbol: _window_span(symbol, F.char_length(word)))
+
+
+def _window_span(symbol: Column, length: Column) -> Column:
+    # The symbols stay out of the state, which is copied at every step.
     n = len(ALPHABET)
     size = float(WINDOW)
 
@@ -86,8 +126,8 @@ def entropy_span(word: Column) -> Column:
         return F.when(c > 1, c * F.log2(c.cast("double"))).otherwise(F.lit(0.0))
 
     def step(acc, i):
-        code = F.get(acc["symbol"], i)
-        out = F.when(i >= WINDOW, F.get(acc["symbol"], i - WINDOW)).otherwise(F.lit(-1))
+        code = F.get(symbol, i)
+        out = F.when(i >= WINDOW, F.get(symbol, i - WINDOW)).otherwise(F.lit(-1))
         into, left = F.get(acc["counts"], code), F.coalesce(F.get(acc["counts"], out), F.lit(0))
         same = code == out
         total = F.when(same, acc["total"]).otherwise(
@@ -100,7 +140,7 @@ def entropy_span(word: Column) -> Column:
             inside = lambda x: ((x >= lo) & (x < hi)).cast("int")
             return (acc[name] + inside(code) - inside(out)).alias(name)
 
-        return F.struct(acc["symbol"].alias("symbol"), counts.alias("counts"), total.alias("total"),
+        return F.struct(counts.alias("counts"), total.alias("total"),
                         among("digit", 0, 10), among("hex", 0, 16), among("lower", 10, 36), among("upper", 36, 62),
                         acc["first"].alias("first"), acc["last"].alias("last"), i.alias("i"))
 
@@ -111,7 +151,7 @@ def entropy_span(word: Column) -> Column:
                  .otherwise(THRESHOLDS["mixed"]))
         hit = (acc["i"] >= WINDOW - 1) & (acc["digit"] >= MIN_DIGITS) & (entropy >= limit)
         begin, end = acc["i"] - (WINDOW - 1), acc["i"] + 1
-        return F.struct(acc["symbol"].alias("symbol"), acc["counts"].alias("counts"), acc["total"].alias("total"),
+        return F.struct(acc["counts"].alias("counts"), acc["total"].alias("total"),
                         *[acc[c].alias(c) for c in ("digit", "hex", "lower", "upper")],
                         F.when(hit & (acc["first"] < 0), begin).otherwise(acc["first"]).alias("first"),
                         F.when(hit, end).otherwise(acc["last"]).alias("last"), acc["i"].alias("i"))
@@ -120,26 +160,39 @@ def entropy_span(word: Column) -> Column:
         return F.get(F.transform(F.array(step(acc, i)), judge), 0)
 
     zero = F.lit(0)
-    init = F.struct(symbol.alias("symbol"), F.array_repeat(zero, n).alias("counts"), F.lit(0.0).alias("total"),
+    init = F.struct(F.array_repeat(zero, n).alias("counts"), F.lit(0.0).alias("total"),
                     *[zero.alias(c) for c in ("digit", "hex", "lower", "upper")], F.lit(-1).alias("first"),
                     F.lit(-1).alias("last"), F.lit(-1).alias("i"))
-    return F.aggregate(F.sequence(zero, F.char_length(word) - 1), init, both,
+    return F.aggregate(F.sequence(zero, length - 1), init, both,
                        lambda a: F.when(a["first"] >= 0, F.struct(a["first"].alias("start"), a["last"].alias("end"))))
 
 
 def entropy_spans(text: Column, located: Column, base: Column) -> Column:
-    """Entropy spans of the located candidates, without those that lie in a base span."""
-    suppressed = lambda w: F.expr("false") if not ALLOW else _any([w.rlike(p) for p in ALLOW])
+    """Entropy spans of the located candidates, without those that lie in a base span.
 
-    def judged(c):
-        word = F.substr(text, c["start"] + 1, c["end"] - c["start"])
-        at = F.when(~suppressed(word), entropy_span(word))
-        return F.struct((c["start"] + at["start"]).alias("start"), F.lit(3).alias("kind"),
-                        (c["start"] + at["end"]).alias("end"))
+    The allow-listed words count only in the part of a candidate, between ``/`` and ``=``, that its windows touch.
+    """
+    def judged(points, c):
+        def span(word, at):
+            around = F.concat(F.regexp_extract(F.left(word, at["start"]), "[^/=]*$", 0),
+                              F.substring(word, at["start"] + 1, at["end"] - at["start"]),
+                              F.regexp_extract(F.substring(word, at["end"] + 1, F.char_length(word)), "^[^/=]*", 0))
+            return F.when(~around.rlike(ALLOW_WORDS), F.struct(
+                (c["start"] + at["start"]).alias("start"), F.lit(3).alias("kind"), (c["start"] + at["end"]).alias("end")))
 
-    spans = F.transform(located, judged)
-    return F.filter(spans, lambda s: s["start"].isNotNull() & ~F.exists(
-        base, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])))
+        return _let(cut(points, c["start"], c["end"]), lambda word: _let(
+            F.when(~_any([word.rlike(p) for p in ALLOW]), entropy_span(word)), lambda at: F.when(
+                at.isNotNull(), span(word, at))))
+
+    spans = _let(wide(text), lambda points: F.filter(F.transform(located, lambda c: judged(points, c)), lambda s: s.isNotNull()))
+
+    def outside(every):
+        """A span lies in a base span if one that begins no later ends no earlier: base spans stand first on ties."""
+        reach = prefixes(F.transform(every, lambda s: F.when(s["kind"] < 3, s["end"]).otherwise(0)), F.greatest)
+        free = F.zip_with(every, reach, lambda s, r: F.when((s["kind"] == 3) & (r < s["end"]), s))
+        return F.filter(free, lambda s: s.isNotNull())
+
+    return _let(F.array_sort(F.concat(base, spans)), outside)
 
 
 def _any(tests: list[Column]) -> Column:
@@ -157,10 +210,9 @@ def scan(docs: DataFrame, text_col: str = "text", prefix: str = "secret_") -> Da
     no rows; other columns are kept (a column already named so is replaced).
     """
     text = text_or_empty(text_col)
-    always = lambda acc, i: F.lit(True)
     assign, access, hexes = base_spans(text)
     found = docs.withColumns({f"{prefix}base": F.array_sort(F.concat(assign, access, hexes)),
-                              f"{prefix}spans": _located(text, CANDIDATE, always, 3)})
+                              f"{prefix}spans": _located(text, CANDIDATE, 3)})
     base, located = F.col(f"{prefix}base"), F.col(f"{prefix}spans")
     return found.withColumn(f"{prefix}spans", F.when(
         F.size(located) == 0, base).otherwise(F.array_sort(F.concat(base, entropy_spans(text, located, base)))))
@@ -179,16 +231,15 @@ def count_kind(spans: Column, kind: str) -> Column:
 
 def masked(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
     """``text`` with every span (overlapping ones together) replaced by ``mask``."""
-    init = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
-
-    def step(acc, s):
-        gap = F.concat(acc["out"], F.substr(text, acc["pos"] + 1, s["start"] - acc["pos"]), F.lit(mask))
-        return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"),
-                        F.when(s["start"] >= acc["pos"], gap).otherwise(acc["out"]).alias("out"))
-
-    done = F.aggregate(spans, init, step, lambda a: F.concat(a["out"], F.substr(
-        text, a["pos"] + 1, F.char_length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    def done(points, found, reach):
+        before = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(reach, i - 1).cast("int"))
+        gaps = F.transform(found, lambda s, i: F.when(s["start"] >= before(i), F.concat(
+            cut(points, before(i), s["start"]), F.lit(mask))))
+        rest = cut(points, F.element_at(reach, -1).cast("int"), F.char_length(text))
+        return F.concat(F.array_join(gaps, ""), rest)
+
+    return F.when(F.size(spans) > 0, _let(wide(text), lambda points: _let(spans, lambda found: _let(
+        prefixes(F.transform(found, lambda s: s["end"]), F.greatest), lambda reach: done(points, found, reach))))).otherwise(text)
 
 
 def mask_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
