@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from trawl.llm.common import stored
 
 HOT_NODES = 50_000
-LEAST_HOT = 1_000
+LEAST_HOT = 64
 SHARD_ROWS = 500_000       # rows of a shard, about
 IDS_PER_TEXT = 1 << 16     # ids joined into one text before they are hashed
 ROOT = bytes(16)
