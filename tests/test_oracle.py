@@ -11,7 +11,7 @@ from trawl.plans.catalog import QUERIES
 TABLES = "events documents pages benchmark conversations labels".split()
 FAST = ["tokenize", "postings", "postings_pages", "term_doc_count", "doc_lengths", "index_stats", "index_stats_ext",
         "stopword_share", "clean_text", "page_title", "page_first_title", "query_terms", "query_term_idf",
-        "search_scores", "search_topk", "search_topk_pages", "search_snippets", "matching_docs", "suggestions",
+        "search_scores", "search_topk", "search_topk_blocks", "search_topk_pages", "search_snippets", "matching_docs", "suggestions",
         "suggestions_pages", "search_tf", "normalize_url", "valid_url", "page_links", "pages_by_domain",
         "robots_policy", "frontier_step", "frontier_allowed", "frontier_sizes", "crawl_stats", "worker_stats",
         "crawl_throughput", "to_crawl_output", "scan_crawl_output", "index_roundtrip", "header_counts",

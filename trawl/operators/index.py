@@ -65,6 +65,9 @@ def term_stats(postings: DataFrame) -> DataFrame:
 BUCKET = "term_bucket"
 DOC_BUCKET = "doc_bucket"
 TEXT_PART = "text_part"
+# Documents are dealt into blocks by hash; a stored index holds, per term and block, the greatest weight of a
+# posting (its contribution to a score but for idf), so ranked search can leave out blocks that cannot matter.
+DOC_BLOCK = "doc_block"
 
 
 def term_bucket(term, buckets: int):
@@ -75,6 +78,29 @@ def doc_bucket(doc_id, buckets: int):
     return F.pmod(F.xxhash64(doc_id), F.lit(buckets)).cast("int")
 
 
+def doc_block(doc_id, blocks: int):
+    return F.pmod(F.xxhash64(doc_id, F.lit(5)), F.lit(blocks)).cast("int")
+
+
+# Boosts of the ranking formula (fixed values).
+POSITION_BOOST = 1.2      # first occurrence before this position ...
+POSITION_LIMIT = 100      # ... gets the boost
+TITLE_BOOST = 1.5         # term is a substring of the lower-cased title
+
+
+def posting_weight():
+    """What a posting adds to the score of its document per unit of idf."""
+    return (F.col("frequency") * F.when(F.col("first_pos") < POSITION_LIMIT, POSITION_BOOST).otherwise(1.0)
+            * F.when(F.col("in_title"), TITLE_BOOST).otherwise(1.0))
+
+
+def block_stats(postings: DataFrame, blocks: int) -> DataFrame:
+    """Per term and document block: term, doc_block, doc_count, best (greatest `posting_weight`)."""
+    keys = ["term", BUCKET] if BUCKET in postings.columns else ["term"]
+    return (postings.withColumn(DOC_BLOCK, doc_block(F.col("doc_id"), blocks)).groupBy(*keys, DOC_BLOCK)
+            .agg(F.count(F.lit(1)).alias("doc_count"), F.max(posting_weight()).alias("best")))
+
+
 @dataclass
 class Index:
     """An inverted index: document table + postings (+ derived tables of a stored index).
@@ -91,6 +117,12 @@ class Index:
     _texts: DataFrame | None = None
     _doc_terms: DataFrame | None = None
     complete: bool = False
+    doc_blocks: int = 0
+    _block_stats: DataFrame | None = None
+
+    @property
+    def block_stats(self) -> DataFrame:
+        return self._block_stats if self._block_stats is not None else block_stats(self.postings, self.doc_blocks)
 
     @property
     def term_stats(self) -> DataFrame:

@@ -113,6 +113,11 @@ def q_search_topk_pages(spark, sf):
     return srch.search_topk(stored_index(spark, sf, "pages"), queries_table(spark, sf), 5)
 
 
+def q_search_topk_blocks(spark, sf):
+    """Ranked search with the early stop: only document blocks that can hold a result are scored."""
+    return srch.search_topk(stored_index(spark, sf, "documents"), queries_table(spark, sf), 5, early_stop=True)
+
+
 def q_search_snippets(spark, sf):
     return srch.search_snippets(stored_index(spark, sf, "pages"), queries_table(spark, sf), 5)
 
@@ -290,6 +295,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_scores": q_search_scores,
     "search_topk": q_search_topk,
     "search_topk_pages": q_search_topk_pages,
+    "search_topk_blocks": q_search_topk_blocks,
     "search_snippets": q_search_snippets,
     "matching_docs": q_matching_docs,
     "suggestions": q_suggestions,

@@ -254,6 +254,7 @@ FROM qterms q JOIN term_stats s ON s.term = q.term""",
         "search_scores": _with(CORPUS["documents"], TOKENS, INDEX, _queries_cte(), SCORES) + """
 SELECT query_id, doc_id, score, CAST(trunc(score * 1000) AS BIGINT) AS doc_score FROM scores""",
         "search_topk": _search("documents"),
+        "search_topk_blocks": _search("documents"),
         "search_topk_pages": _search("pages"),
         "search_snippets": _snippets("pages"),
         "matching_docs": _with(CORPUS["documents"], TOKENS, INDEX, _queries_cte()) + """

@@ -9,6 +9,8 @@
   reads only the buckets of the batch's query terms, and Parquet row-group min/max
   statistics skip row groups inside them. Tokens are dealt out by (term_bucket, slice)
   once; that exchange serves the aggregation and the write.
+* block_stats (term, doc_block, doc_count, best), split by term_bucket, bounds what a block of
+  documents can score for a term; term_stats sums it.
 * doc_terms (doc_id, terms with their document frequency), split by doc_bucket, is the
   document-to-terms direction that suggestions read.
 
@@ -22,14 +24,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.operators.index import (BUCKET, DOC_BUCKET, TEXT_PART, Index, doc_bucket, docs_table, document_terms,
-                                  postings_table, term_bucket, term_stats)
+from trawl.operators.index import (BUCKET, DOC_BLOCK, DOC_BUCKET, TEXT_PART, Index, block_stats, doc_bucket, docs_table,
+                                   document_terms, postings_table, term_bucket)
 
 TOKENS_PER_BUCKET = 50_000_000   # about 1 GB of postings
 TOKENS_PER_SLICE = 1_000_000     # about one task's share of a bucket
 MIN_BUCKETS = 16
+DOCS_PER_BLOCK = 10_000
+MIN_BLOCKS = 64
 SLICE = "term_slice"
 DENSE = "zstd"  # of the wide tables, texts and document terms (a third and a fifth smaller than with snappy)
+LAYOUT = "term_buckets int, doc_buckets int, doc_blocks int"
 TEXT_COLUMNS = ["doc_id", "url", "title", "length", "indexed_at", "clean_text"]
 
 
@@ -57,33 +62,34 @@ def _dealt_by_bucket(buckets: int, slices: int):
     return deal
 
 
-def _write_derived(spark: SparkSession, path: str, mode: str, buckets: int, doc_buckets: int) -> None:
-    """term_stats and doc_terms from the stored postings."""
-    stored = spark.read.parquet(f"{path}/postings").select("term", BUCKET, "doc_id")
-    _split_write(term_stats(stored), f"{path}/term_stats", mode, BUCKET, ["term"])
-    stats = spark.read.parquet(f"{path}/term_stats")
-    terms = document_terms(stored, stats, ("term", BUCKET))
+def _write_derived(spark: SparkSession, path: str, mode: str, doc_buckets: int, doc_blocks: int) -> None:
+    """block_stats, term_stats and doc_terms from the stored postings."""
+    stored = spark.read.parquet(f"{path}/postings")
+    _split_write(block_stats(stored, doc_blocks), f"{path}/block_stats", mode, BUCKET, ["term", DOC_BLOCK])
+    by_term = spark.read.parquet(f"{path}/block_stats").groupBy("term", BUCKET).agg(F.sum("doc_count").alias("doc_count"))
+    _split_write(by_term, f"{path}/term_stats", mode, BUCKET, ["term"])
+    terms = document_terms(stored.select("term", BUCKET, "doc_id"), spark.read.parquet(f"{path}/term_stats"), ("term", BUCKET))
     _split_write(terms.withColumn(DOC_BUCKET, doc_bucket(F.col("doc_id"), doc_buckets)), f"{path}/doc_terms", mode,
                  DOC_BUCKET, ["doc_id"], DENSE)
 
 
-def _write_layout(spark: SparkSession, path: str, buckets: int, doc_buckets: int) -> None:
-    (spark.createDataFrame([(buckets, doc_buckets)], "term_buckets int, doc_buckets int")
+def _write_layout(spark: SparkSession, path: str, buckets: int, doc_buckets: int, doc_blocks: int) -> None:
+    (spark.createDataFrame([(buckets, doc_buckets, doc_blocks)], LAYOUT)
      .coalesce(1).write.mode("overwrite").json(f"{path}/layout"))
 
 
-def _write_texts_and_docs(docs: DataFrame, path: str, mode: str, doc_buckets: int | None) -> tuple[int, int]:
-    """texts and docs; returns (indexed tokens, doc buckets)."""
+def _write_texts_and_docs(docs: DataFrame, path: str, mode: str, doc_buckets: int | None) -> tuple[int, int, int]:
+    """texts and docs; returns (indexed tokens, doc buckets, doc blocks)."""
     spark = docs.sparkSession
     rows = docs.withColumn("indexed_at", F.current_timestamp()) if "indexed_at" not in docs.columns else docs
     (rows.select(*TEXT_COLUMNS, F.spark_partition_id().alias(TEXT_PART))
      .write.mode(mode).option("compression", DENSE).partitionBy(TEXT_PART).parquet(f"{path}/texts"))
     meta = spark.read.parquet(f"{path}/texts").drop("clean_text")
-    tokens = int(meta.agg(F.sum("length")).first()[0] or 0)
+    tokens, n_docs = meta.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count(F.lit(1))).first()
     doc_buckets = doc_buckets or bucket_counts(tokens)[0]
     _split_write(meta.withColumn(DOC_BUCKET, doc_bucket(F.col("doc_id"), doc_buckets)), f"{path}/docs", mode,
                  DOC_BUCKET, ["doc_id"])
-    return tokens, doc_buckets
+    return tokens, doc_buckets, max(MIN_BLOCKS, n_docs // DOCS_PER_BLOCK)
 
 
 def build_and_write_index(corpus: DataFrame, path: str, mode: str = "overwrite", term_buckets: int | None = None,
@@ -91,32 +97,33 @@ def build_and_write_index(corpus: DataFrame, path: str, mode: str = "overwrite",
     """Index a corpus: the cleaned texts are written first, then postings are built from
     the stored texts, so HTML is cleaned once."""
     path, spark = path.rstrip("/"), corpus.sparkSession
-    tokens, doc_buckets = _write_texts_and_docs(docs_table(corpus), path, mode, doc_buckets)
+    tokens, doc_buckets, doc_blocks = _write_texts_and_docs(docs_table(corpus), path, mode, doc_buckets)
     buckets, slices = bucket_counts(tokens)
     buckets = term_buckets or buckets
     texts = spark.read.parquet(f"{path}/texts").select("doc_id", "title", "clean_text")
     (postings_table(texts, _dealt_by_bucket(buckets, slices)).drop(SLICE)
      .sortWithinPartitions(BUCKET, "term", "doc_id").write.mode(mode).partitionBy(BUCKET).parquet(f"{path}/postings"))
-    _write_derived(spark, path, mode, buckets, doc_buckets)
-    _write_layout(spark, path, buckets, doc_buckets)
+    _write_derived(spark, path, mode, doc_buckets, doc_blocks)
+    _write_layout(spark, path, buckets, doc_buckets, doc_blocks)
 
 
 def write_index(index: Index, path: str, mode: str = "overwrite", term_buckets: int | None = None,
                 doc_buckets: int | None = None) -> None:
     """Write an (already built) index in the stored layout."""
     path, spark = path.rstrip("/"), index.docs.sparkSession
-    tokens, doc_buckets = _write_texts_and_docs(index.docs, path, mode, doc_buckets)
+    tokens, doc_buckets, doc_blocks = _write_texts_and_docs(index.docs, path, mode, doc_buckets)
     buckets = term_buckets or bucket_counts(tokens)[0]
     _split_write(index.postings.drop(BUCKET).withColumn(BUCKET, term_bucket(F.col("term"), buckets)),
                  f"{path}/postings", mode, BUCKET, ["term", "doc_id"])
-    _write_derived(spark, path, mode, buckets, doc_buckets)
-    _write_layout(spark, path, buckets, doc_buckets)
+    _write_derived(spark, path, mode, doc_buckets, doc_blocks)
+    _write_layout(spark, path, buckets, doc_buckets, doc_blocks)
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
     path = path.rstrip("/")
-    layout = spark.read.schema("term_buckets int, doc_buckets int").json(f"{path}/layout").first()
+    layout = spark.read.schema(LAYOUT).json(f"{path}/layout").first()
     table = lambda name: spark.read.parquet(f"{path}/{name}")
     return Index(docs=table("docs"), postings=table("postings"), _term_stats=table("term_stats"),
                  term_buckets=layout.term_buckets, doc_buckets=layout.doc_buckets, _texts=table("texts"),
-                 _doc_terms=table("doc_terms"), complete=True)
+                 _doc_terms=table("doc_terms"), complete=True, doc_blocks=layout.doc_blocks,
+                 _block_stats=table("block_stats"))
