@@ -15,7 +15,7 @@ FAST = ["tokenize", "postings", "postings_pages", "term_doc_count", "doc_lengths
         "suggestions_pages", "search_tf", "normalize_url", "valid_url", "page_links", "pages_by_domain",
         "robots_policy", "frontier_step", "frontier_allowed", "frontier_sizes", "crawl_stats", "worker_stats",
         "crawl_throughput", "to_crawl_output", "scan_crawl_output", "index_roundtrip", "header_counts",
-        "search_response"]
+        "search_response", "import_legacy_index"]
 
 
 def _rows(pdf):

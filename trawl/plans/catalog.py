@@ -24,6 +24,7 @@ from trawl.session import scratch_path
 from trawl.sources import crawl_files as cf
 from trawl.sources.corpus import load_corpus, read_spread, read_table
 from trawl.sources.index_store import build_and_write_index, read_index
+from trawl.sources.legacy_index import export_legacy_index, import_legacy_index
 from trawl.streaming.ingest import finish, read_streamed_index, stream_index, tick_stats
 from trawl.streaming.stats import read_worker_stats, stream_worker_stats
 
@@ -238,6 +239,13 @@ def q_index_roundtrip(spark, sf):
     return _postings_out(stored_index(spark, sf, "documents").postings)
 
 
+def q_import_legacy_index(spark, sf):
+    """The index of all documents written as indented JSON objects and imported again."""
+    path = scratch_path(spark, "legacy-index")
+    export_legacy_index(stored_index(spark, sf, "documents"), path, spark.sparkContext.defaultParallelism)
+    return _postings_out(import_legacy_index(spark, path).postings)
+
+
 # Files a micro-batch takes at most (small, so that every run has several batches).
 STREAM_FILES = 3
 STREAM_PARTS = 8
@@ -316,6 +324,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "to_crawl_output": q_to_crawl_output,
     "scan_crawl_output": q_scan_crawl_output,
     "index_roundtrip": q_index_roundtrip,
+    "import_legacy_index": q_import_legacy_index,
     "header_counts": q_header_counts,
     "stream_index": q_stream_index,
     "stream_worker_stats": q_stream_worker_stats,

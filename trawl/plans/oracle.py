@@ -265,7 +265,7 @@ SELECT DISTINCT q.query_id, p.doc_id FROM qterms q JOIN postings p ON p.term = q
         "search_response": _response("pages"),
     }
     q.update(crawl_sql(_with, _strip_raw, _decode_named, _trim_ws))
-    q["index_roundtrip"] = q["postings"]
+    q["index_roundtrip"] = q["import_legacy_index"] = q["postings"]
     q["stream_index"] = base_p + """
 SELECT p.term, p.frequency, p.first_pos, array_to_string(p.positions, ',') AS positions, c.url
 FROM postings p JOIN corpus c USING (doc_id)"""
