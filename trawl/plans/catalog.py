@@ -119,6 +119,15 @@ def q_search_topk_blocks(spark, sf):
     return srch.search_topk(stored_index(spark, sf, "documents"), queries_table(spark, sf), 5, early_stop=True)
 
 
+def q_search_missing_docs(spark, sf):
+    """Ranked search where the document table lacks every seventh document that the postings name."""
+    whole = stored_index(spark, sf, "documents")
+    partial = ix.Index(docs=whole.docs.where(F.col("doc_id") % 7 != 0), postings=whole.postings,
+                       _term_stats=whole.term_stats, term_buckets=whole.term_buckets, doc_buckets=whole.doc_buckets,
+                       _texts=whole._texts)
+    return srch.search_topk(partial, queries_table(spark, sf), 5)
+
+
 def q_search_snippets(spark, sf):
     return srch.search_snippets(stored_index(spark, sf, "pages"), queries_table(spark, sf), 5)
 
@@ -273,9 +282,21 @@ def q_stream_tick_stats(spark, sf):
 
 
 def q_stream_clean_source(spark, sf):
-    """The ingest with processed files deleted behind it: every page is indexed all the same."""
-    idx = read_streamed_index(spark, f"{_streamed(spark, sf, 'stream-clean', clean_source='delete')}/out")
-    return idx.docs.select("url", "title", "length")
+    """The ingest with processed files deleted behind it: every page is indexed all the same, and only the files of
+    the last batch are left."""
+    root = _streamed(spark, sf, "stream-clean", clean_source="delete")
+    left = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{root}/in")
+    return read_streamed_index(spark, f"{root}/out").docs.select(
+        "url", "title", "length", left.select(F.count("path")).scalar().alias("files_left"))
+
+
+def q_stream_replay(spark, sf):
+    """Every micro-batch run again from the start, as after the loss of the checkpoint: the same index."""
+    root = _streamed(spark, sf, "stream-replay")
+    finish(stream_index(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt-again", max_files_per_trigger=STREAM_FILES,
+                        pattern="part-*", multiline=False))
+    idx = read_streamed_index(spark, f"{root}/out")
+    return _postings_out(idx.postings).join(idx.docs.select("doc_id", "url"), "doc_id").drop("doc_id")
 
 
 def q_stream_worker_stats(spark, sf):
@@ -304,6 +325,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_topk": q_search_topk,
     "search_topk_pages": q_search_topk_pages,
     "search_topk_blocks": q_search_topk_blocks,
+    "search_missing_docs": q_search_missing_docs,
     "search_snippets": q_search_snippets,
     "matching_docs": q_matching_docs,
     "suggestions": q_suggestions,
@@ -330,4 +352,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_worker_stats": q_stream_worker_stats,
     "stream_tick_stats": q_stream_tick_stats,
     "stream_clean_source": q_stream_clean_source,
+    "stream_replay": q_stream_replay,
 }

@@ -144,8 +144,8 @@ def _with(*parts: str) -> str:
     return "WITH " + ",".join(p.strip("\n") for p in parts) + "\n"
 
 
-def _search(kind: str, n: int = 5) -> str:
-    return _with(CORPUS[kind], TOKENS, INDEX, _queries_cte(), SCORES) + f"""
+def _search(kind: str, n: int = 5, index: str = INDEX) -> str:
+    return _with(CORPUS[kind], TOKENS, index, _queries_cte(), SCORES) + f"""
 SELECT r.query_id, CAST(r.rnk AS INTEGER) AS rank, r.doc_id, d.url, d.title, r.score,
        CAST(trunc(r.score * 1000) AS BIGINT) AS doc_score, '' AS snippet
 FROM ranked r JOIN docs d USING (doc_id) WHERE r.rnk <= {n}"""
@@ -255,6 +255,8 @@ FROM qterms q JOIN term_stats s ON s.term = q.term""",
 SELECT query_id, doc_id, score, CAST(trunc(score * 1000) AS BIGINT) AS doc_score FROM scores""",
         "search_topk": _search("documents"),
         "search_topk_blocks": _search("documents"),
+        "search_missing_docs": _search("documents", index=INDEX.replace("docs AS (", "all_docs AS (")
+                                       + ",\ndocs AS (SELECT * FROM all_docs WHERE doc_id % 7 <> 0)"),
         "search_topk_pages": _search("pages"),
         "search_snippets": _snippets("pages"),
         "matching_docs": _with(CORPUS["documents"], TOKENS, INDEX, _queries_cte()) + """
@@ -275,7 +277,9 @@ FROM postings p JOIN corpus c USING (doc_id)"""
     q["stream_tick_stats"] = base_p + """
 SELECT (SELECT count(*) FROM docs) AS total_documents, (SELECT count(*) FROM term_stats) AS total_terms,
        CAST(0 AS BIGINT) AS quarantined"""
-    q["stream_clean_source"] = base_p + "SELECT url, title, length FROM docs"
+    # Eight files, three a batch: the source deletes a batch's files once the next one is committed.
+    q["stream_clean_source"] = base_p + "SELECT url, title, length, CAST(2 AS BIGINT) AS files_left FROM docs"
+    q["stream_replay"] = q["stream_index"]
     q["header_counts"] = """
 SELECT 'Content-Type' AS header, count(*) AS pages, count(DISTINCT 1) AS distinct_values FROM pages"""
     return q
