@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from trawl.functions.html import trim_ws
 from trawl.functions.urls import domain_key, extract_links, normalize_url
+from trawl.session import scratch_path
+from trawl.sources.seen_urls import SeenUrls
 
 # Crawl-log actions that count (fixed values); other actions count nothing.
 CRAWLED, INDEXED, FAILED = "crawled", "indexed", "failed"
@@ -71,11 +73,15 @@ def seed_urls(seeds: DataFrame) -> DataFrame:
     return seeds.select(normalize_url(F.col("url")).alias("url")).filter(F.col("url").isNotNull())
 
 
-def _candidates(links: DataFrame, visited: DataFrame, in_progress: DataFrame | None,
+def _candidates(links: DataFrame, visited: DataFrame | SeenUrls, in_progress: DataFrame | None,
                 seeds: DataFrame | None = None) -> DataFrame:
     cand = links.select(F.col("dst_url").alias("url"))
     if seeds is not None:
         cand = cand.unionByName(seed_urls(seeds))
+    if isinstance(visited, SeenUrls):
+        new = visited.new(cand)
+        return new if in_progress is None else new.join(in_progress.select(
+            normalize_url(F.col("url")).alias("url")).distinct(), "url", "left_anti")
     cand = cand.distinct()
     seen = visited.select("url")
     if in_progress is not None:
@@ -91,11 +97,12 @@ def _policy_by_domain(policy: DataFrame) -> DataFrame:
                                                   F.max("crawl_delay_s").alias("crawl_delay_s"))
 
 
-def frontier_allowed(links: DataFrame, visited: DataFrame, policy: DataFrame,
+def frontier_allowed(links: DataFrame, visited: DataFrame | SeenUrls, policy: DataFrame,
                      in_progress: DataFrame | None = None, seeds: DataFrame | None = None) -> DataFrame:
     """New URLs (not visited, not in progress) that robots allow: url, domain, crawl_delay_s.
 
-    Candidates are the link targets plus the normalised seed URLs, if given. URLs of
+    Candidates are the link targets plus the normalised seed URLs, if given. A `SeenUrls` set as ``visited`` is
+    joined in place, bucket by bucket; any other table is normalised and shuffled. URLs of
     domains without a policy row are allowed with delay 0.
     """
     cand = _candidates(links, visited, in_progress, seeds).withColumn("domain", domain_key(F.col("url")))
@@ -104,7 +111,7 @@ def frontier_allowed(links: DataFrame, visited: DataFrame, policy: DataFrame,
             .select("url", "domain", F.coalesce("crawl_delay_s", F.lit(0).cast("bigint")).alias("crawl_delay_s")))
 
 
-def frontier_step(links: DataFrame, visited: DataFrame, policy: DataFrame, max_pages: int,
+def frontier_step(links: DataFrame, visited: DataFrame | SeenUrls, policy: DataFrame, max_pages: int,
                   crawled: int = 0, in_progress: DataFrame | None = None,
                   seeds: DataFrame | None = None) -> DataFrame:
     """One crawl round: the allowed new URLs within the page budget, in URL order.
@@ -116,6 +123,59 @@ def frontier_step(links: DataFrame, visited: DataFrame, policy: DataFrame, max_p
     return frontier_allowed(links, visited, policy, in_progress, seeds).orderBy("url").limit(budget)
 
 
+# Cut points tried at a time, rows taken to choose them, and rows of a range that is small enough to be sorted.
+CUT_POINTS = 63
+CUT_SAMPLE = 1_000
+SMALL_RANGE = 100_000
+
+
+def nth_smallest(urls: DataFrame, n: int) -> str | None:
+    """The n-th smallest (from 1) of distinct non-null strings in the column url, or None if there are fewer.
+
+    The range that holds it is cut at up to CUT_POINTS of its own values, the rows of each part are counted where they
+    are, and the part that holds it is the next range, until one is small. The driver sees counts and cut points.
+    Each count reads ``urls`` once, so it should be a stored table.
+    """
+    inside, before = urls.select("url"), 0
+    size = inside.count()
+    if n < 1 or size < n:
+        return None
+    while size > SMALL_RANGE:
+        some = [r["url"] for r in inside.orderBy(F.xxhash64("url")).limit(CUT_SAMPLE).collect()]
+        points = sorted(some)[::-(-len(some) // CUT_POINTS)]
+        # The part of a row: how many cut points are not above it.
+        cuts = F.array(*[F.lit(p) for p in points])
+        parts = dict(inside.groupBy(F.size(F.filter(cuts, lambda p: p <= F.col("url"))).alias("part")).count().collect())
+        for part in range(len(points) + 1):
+            held = parts.get(part, 0)
+            if before + held >= n:
+                break
+            before += held
+        if part:
+            inside = inside.where(F.col("url") >= points[part - 1])
+        if part < len(points):
+            inside = inside.where(F.col("url") < points[part])
+        size = held
+    return inside.orderBy("url").offset(n - before - 1).limit(1).first()["url"]
+
+
+def frontier_round(links: DataFrame, seen: SeenUrls, policy: DataFrame, max_pages: int, crawled: int = 0,
+                   in_progress: DataFrame | None = None, seeds: DataFrame | None = None) -> DataFrame:
+    """`frontier_step` against a kept set, to which its URLs are added; run at once, the result stored.
+
+    The budget is taken by a filter up to the cut-off URL (`nth_smallest`), so no task merges the others' rows.
+    """
+    spark = links.sparkSession
+    path = scratch_path(spark, "frontier")
+    frontier_allowed(links, seen, policy, in_progress, seeds).write.parquet(path)
+    allowed = spark.read.parquet(path)
+    budget = max(max_pages - crawled, 0)
+    last = nth_smallest(allowed, budget)
+    taken = allowed.where(F.col("url") <= last) if last is not None else allowed.limit(0) if not budget else allowed
+    seen.add(taken)
+    return taken
+
+
 def frontier_sizes(links: DataFrame, visited: DataFrame, policy: DataFrame,
                    in_progress: DataFrame | None = None) -> DataFrame:
     """frontier (new distinct URLs), visited, in_progress, robots_cached: one row."""

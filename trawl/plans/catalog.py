@@ -8,6 +8,7 @@ search never re-cleans or re-tokenises the corpus).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from trawl.sources import crawl_files as cf
 from trawl.sources.corpus import load_corpus, read_spread, read_table
 from trawl.sources.index_store import build_and_write_index, read_index
 from trawl.sources.legacy_index import export_legacy_index, import_legacy_index
+from trawl.sources.seen_urls import SeenUrls
 from trawl.streaming.ingest import finish, read_streamed_index, stream_index, tick_stats
 from trawl.streaming.stats import read_worker_stats, stream_worker_stats
 
@@ -208,6 +210,19 @@ def q_frontier_step(spark, sf):
                             seeds=read_table(spark, sf, "pages").select("url"))
 
 
+ROUNDS, ROUND_PAGES = 3, 100
+
+
+def q_frontier_rounds(spark, sf):
+    """Three rounds over the same links, each against the kept set of URLs that the earlier ones left."""
+    links, visited, policy = _crawl_round(spark, sf)
+    seen = SeenUrls(spark, scratch_path(spark, "seen-urls"), spark.sparkContext.defaultParallelism)
+    seen.add(visited)
+    rounds = [cr.frontier_round(links, seen, policy, ROUND_PAGES).withColumn("round", F.lit(k + 1)) for k in range(ROUNDS)]
+    seen.close()
+    return reduce(DataFrame.unionByName, rounds)
+
+
 def q_frontier_allowed(spark, sf):
     return cr.frontier_allowed(*_crawl_round(spark, sf))
 
@@ -338,6 +353,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pages_by_domain": q_pages_by_domain,
     "robots_policy": q_robots_policy,
     "frontier_step": q_frontier_step,
+    "frontier_rounds": q_frontier_rounds,
     "frontier_allowed": q_frontier_allowed,
     "frontier_sizes": q_frontier_sizes,
     "crawl_stats": q_crawl_stats,

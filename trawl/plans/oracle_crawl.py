@@ -119,6 +119,9 @@ SELECT page_id, CAST(i AS INTEGER) AS href_pos, url,
 SELECT c.url, c.domain, CAST(coalesce(p.crawl_delay_s, 0) AS BIGINT) AS crawl_delay_s
 FROM (SELECT url, {DOMAIN.format(u='url')} AS domain FROM s_cand) c LEFT JOIN policy p ON p.domain = c.domain
 WHERE coalesce(p.allowed, true) ORDER BY url LIMIT 100""",
+        "frontier_rounds": with_(links, robots, FRONTIER) + """
+SELECT url, domain, crawl_delay_s, CAST((nth + 99) // 100 AS INTEGER) AS round
+FROM (SELECT *, row_number() OVER (ORDER BY url) AS nth FROM f_allowed) WHERE nth <= 300""",
         "frontier_sizes": with_(links, robots) + """
 SELECT (SELECT count(DISTINCT dst_url) FROM links WHERE dst_url NOT IN (SELECT url FROM visited)
         AND dst_url NOT IN (SELECT url FROM in_progress)) AS frontier,
