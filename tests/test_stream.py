@@ -149,6 +149,24 @@ def test_crawl_file_writer_accepts_path_forms(spark, sf, tmp_path):
         assert cf.read_crawl_output(spark, form).count() == 3
 
 
+def test_failed_page_file_write_leaves_nothing(spark, sf, tmp_path):
+    import os
+
+    import pytest
+
+    env = cf.crawl_envelope(fetched_pages(spark, sf)).limit(20).repartition(4)
+    bad = env.withColumn("url", F.when(F.pmod(F.xxhash64("file_name"), F.lit(7)) == 0, F.raise_error(F.lit("lost"))).otherwise(
+        F.col("url")))
+    with pytest.raises(Exception, match="lost"):
+        cf.write_crawl_files(bad, str(tmp_path / "d"))
+    left = [f for _, _, files in os.walk(tmp_path / "d") for f in files]
+    assert left == []
+    assert cf.write_crawl_files(env, str(tmp_path / "d")) == 20
+    assert cf.write_crawl_files(env, str(tmp_path / "d")) == 20  # a repeated write replaces its files
+    left = [f for _, _, files in os.walk(tmp_path / "d") for f in files if f.endswith(".json")]
+    assert len(left) == 20 and all(f.startswith("raw_") for f in left)
+
+
 def test_clean_source_archive(spark, sf):
     import os
 

@@ -255,6 +255,14 @@ def q_scan_crawl_output(spark, sf):
     return cf.flatten(good)
 
 
+def q_page_files(spark, sf):
+    """Every page written as a file of its own (raw_*.json) and read back by that pattern."""
+    d = scratch_path(spark, "page-files")
+    cf.write_crawl_files(cf.crawl_envelope(fetched_pages(spark, sf)), d)
+    good, _ = cf.split_bad(cf.read_crawl_output(spark, d))
+    return cf.flatten(good)
+
+
 def q_header_counts(spark, sf):
     return cf.header_counts(cf.crawl_envelope(fetched_pages(spark, sf)))
 
@@ -363,6 +371,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_crawl_output": q_scan_crawl_output,
     "index_roundtrip": q_index_roundtrip,
     "import_legacy_index": q_import_legacy_index,
+    "page_files": q_page_files,
     "header_counts": q_header_counts,
     "stream_index": q_stream_index,
     "stream_worker_stats": q_stream_worker_stats,

@@ -273,7 +273,7 @@ SELECT p.term, p.frequency, p.first_pos, array_to_string(p.positions, ',') AS po
 FROM postings p JOIN corpus c USING (doc_id)"""
     q["stream_worker_stats"] = q["worker_stats"]
     q["to_crawl_output"] = base_p + _crawl_output("(SELECT length FROM docs d WHERE d.doc_id = page_id)")
-    q["scan_crawl_output"] = _crawl_output("0")
+    q["scan_crawl_output"] = q["page_files"] = _crawl_output("0")
     q["stream_tick_stats"] = base_p + """
 SELECT (SELECT count(*) FROM docs) AS total_documents, (SELECT count(*) FROM term_stats) AS total_terms,
        CAST(0 AS BIGINT) AS quarantined"""

@@ -13,13 +13,15 @@ returned separately by `split_bad`, never retried forever.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trawl.functions.html import clean_text, page_title
 from trawl.functions.text import term_count
-from trawl.session import fs_uri
+from trawl.session import fs_uri, scratch_path
 
 PAGE_DATA = T.StructType([
     T.StructField("url", T.StringType()),
@@ -100,17 +102,18 @@ def write_crawl_output(envelopes: DataFrame, path: str, mode: str = "append") ->
 def write_crawl_files(envelopes: DataFrame, directory: str) -> int:
     """The crawler's layout: one pretty-printed JSON file per envelope, named raw_*.json.
 
-    For handing pages to programs that expect that layout; inside Spark use
-    `write_crawl_output`, which writes many pages per file. Executors write each file under
-    a name of their own attempt in <dir>/_incoming (hidden from file sources) and then rename
-    it into <dir>, so a directory poll only ever sees whole files and a repeated task leaves
-    the same files. Works on any file system pyarrow can open (local, HDFS, S3, GCS).
-    Returns the number of files.
+    For handing pages to programs that expect that layout; inside Spark use `write_crawl_output`, which writes
+    many pages per file. The write is committed in two steps. Tasks stage their files in a folder of their attempt
+    under <dir>/_incoming (hidden from file sources) and list them in a table, which Spark's own commit protocol
+    keeps to the attempts that count; only when all tasks have ended are the listed files renamed into <dir>, so
+    a poll sees whole files only, and a failed job or lost attempt leaves nothing. Renaming again is harmless. Works
+    on any file system pyarrow can open (local, HDFS, S3, GCS). Returns the number of files.
     """
+    spark = envelopes.sparkSession
     body = envelopes.select("file_name", F.to_json(F.struct(*[c.name for c in CRAWL_OUTPUT.fields])).alias("json"))
-    uri = fs_uri(envelopes.sparkSession, directory)
+    uri, run = fs_uri(spark, directory), uuid.uuid4().hex
 
-    def write(batches):
+    def stage(batches):
         import json
         import uuid
 
@@ -118,21 +121,55 @@ def write_crawl_files(envelopes: DataFrame, directory: str) -> int:
         import pyarrow.fs as pafs
 
         fs, root = pafs.FileSystem.from_uri(uri)
-        fs.create_dir(f"{root}/_incoming", recursive=True)
+        folder = f"_incoming/{run}/{uuid.uuid4().hex}"
+        fs.create_dir(f"{root}/{folder}", recursive=True)
         for pdf in batches:
             for name, text in zip(pdf["file_name"], pdf["json"]):
-                tmp, final = f"{root}/_incoming/{uuid.uuid4().hex}", f"{root}/{name}"
-                with fs.open_output_stream(tmp) as out:
+                with fs.open_output_stream(f"{root}/{folder}/{name}") as out:
                     out.write((json.dumps(json.loads(text), indent=2) + "\n").encode("utf-8"))
+            yield pd.DataFrame({"folder": folder, "name": pdf["file_name"]})
+
+    def publish(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        fs, root = pafs.FileSystem.from_uri(uri)
+        for pdf in batches:
+            for folder, name in zip(pdf["folder"], pdf["name"]):
+                staged, final = f"{root}/{folder}/{name}", f"{root}/{name}"
+                if fs.get_file_info(staged).type != pafs.FileType.File:
+                    continue  # an earlier attempt of this task renamed it
                 try:
-                    fs.move(tmp, final)
-                except OSError:  # a store that does not rename onto a file an earlier attempt left
-                    if fs.get_file_info(final).type != pafs.FileType.File:
-                        raise
-                    fs.delete_file(tmp)
+                    fs.move(staged, final)
+                except OSError:  # a store that does not rename onto a file of that name
+                    fs.copy_file(staged, final)
             yield pd.DataFrame({"n": [len(pdf)]})
 
-    return int(body.mapInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0)
+    listed = scratch_path(spark, "crawl-files-listed")
+    try:
+        body.mapInPandas(stage, "folder string, name string").write.parquet(listed)
+        files = spark.read.parquet(listed)
+        return int(files.mapInPandas(publish, "n long").agg(F.sum("n")).first()[0] or 0)
+    finally:
+        _remove_staged(uri, run)
+
+
+def _remove_staged(uri: str, run: str, quiet_checks: int = 3) -> None:
+    """Delete the staged files of a run. Tasks of a failed job may write on for a moment until they are
+    stopped, so the folder must stay away for a few checks."""
+    import time
+
+    import pyarrow.fs as pafs
+
+    fs, root = pafs.FileSystem.from_uri(uri)
+    folder, gone = f"{root}/_incoming/{run}", 0
+    while gone < quiet_checks:
+        if fs.get_file_info(folder).type == pafs.FileType.Directory:
+            fs.delete_dir(folder)
+            gone = 0
+        else:
+            gone += 1
+        time.sleep(0.2)
 
 
 def read_crawl_output(spark: SparkSession, path: str, multiline: bool = True,
