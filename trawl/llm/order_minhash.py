@@ -1,10 +1,10 @@
 """Document fingerprints by order min-hash.
 
 A text's k-mers are numbered by occurrence (the second copy of a k-mer is another element), and each
-element is hashed to a point of a ring. The ring has ``SIZE`` fixed starts; from each start the next
-``TUPLE`` elements are taken, put back into text order, and their k-mers are hashed as a tuple. Two texts
-share a component when the same elements are minimal there and stand in the same order, so the share of
-equal components falls with edit distance, also when pieces only change places.
+element is hashed under ``SIZE`` seeds. Under each seed the ``TUPLE`` least elements are taken, put back into text
+order, and their k-mers are hashed as a tuple. Two texts share a component when the same elements are minimal
+under its seed and stand in the same order, so the share of equal components falls with edit distance, also when
+pieces only change places.
 
 `with_next` pairs every document with the one of the next id: documents are dealt into id ranges, each
 range also receives the first document of the following range, and a task walks its ranges in order.
@@ -29,8 +29,8 @@ TUPLE = 3      # elements of a component
 RANGES_PER_TASK = 4
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_STARTS = (np.arange(SIZE, dtype=np.uint64) << np.uint64(64 - SIZE.bit_length() + 1))
-_STRIDE = 1 << (64 - SIZE.bit_length() + 1)
+LIKELY = 24           # elements of a long text that are looked at per seed
+BLOCK = 1 << 14       # elements hashed at a time
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -73,29 +73,45 @@ def occurrence(h: np.ndarray) -> np.ndarray:
     return out
 
 
+_SEEDS = _mix(np.arange(1, 2 * SIZE + 1, dtype=np.uint64) * _M1).reshape(2, SIZE, 1)
+
+
+def _ordered(elements: np.ndarray) -> np.ndarray:
+    """The elements' ranks under every seed (rows): a bijection of 64 bits for each."""
+    return (elements ^ _SEEDS[0]) * (_SEEDS[1] | np.uint64(1))
+
+
+def _least(elements: np.ndarray, take: int) -> np.ndarray:
+    """Positions of the ``take`` least elements under each seed, (SIZE, take)."""
+    n = len(elements)
+    for limit in ((int((LIKELY << 64) / n),) if n > 4 * LIKELY else ()) + ((1 << 64) - 1,):
+        # Of a long text only elements under a limit that leaves about LIKELY of them; all, if a seed has too few.
+        seeds, places, ranks = [], [], []
+        for i in range(0, n, BLOCK):
+            block = _ordered(elements[i:i + BLOCK])
+            seed, place = np.nonzero(block <= np.uint64(limit))
+            seeds.append(seed)
+            places.append(place + i)
+            ranks.append(block[seed, place])
+        seed, place, rank = np.concatenate(seeds), np.concatenate(places), np.concatenate(ranks)
+        if (np.bincount(seed, minlength=SIZE) >= take).all():
+            break
+    order = np.lexsort((place, rank, seed))
+    first = np.searchsorted(seed[order], np.arange(SIZE))
+    return place[order][first[:, None] + np.arange(take)]
+
+
 def fingerprint(points: np.ndarray) -> np.ndarray:
     """``SIZE`` components (unsigned 32-bit); all zero for an empty text."""
     h = kmer_hashes(points)
-    n = len(h)
-    if not n:
+    if not len(h):
         return np.zeros(SIZE, np.uint32)
-    ring = h.copy()
+    elements = h.copy()
     distinct = np.sort(h)
     if (distinct[1:] == distinct[:-1]).any():
-        ring ^= occurrence(h).astype(np.uint64) * _M1
-    ring = _mix(ring)
-    near = None
-    if n > 40 * SIZE:
-        # Only elements shortly past a start can be taken; all of them are looked at if a start has too few.
-        near = np.flatnonzero((ring & np.uint64(_STRIDE - 1)) < np.uint64(int(_STRIDE * 16 * SIZE / n)))
-        if (np.bincount((ring[near] // np.uint64(_STRIDE)).astype(np.int64), minlength=SIZE) < TUPLE).any():
-            near = None
-    if near is None:
-        near = np.arange(n)
-    near = near[np.argsort(ring[near], kind="stable")]
-    take = min(TUPLE, n)
-    at = np.searchsorted(ring[near], _STARTS)
-    chosen = np.sort(near[(at[:, None] + np.arange(take)) % len(near)], axis=1)  # text order
+        elements ^= occurrence(h).astype(np.uint64) * _M1
+    take = min(TUPLE, len(h))
+    chosen = np.sort(_least(_mix(elements), take), axis=1)  # text order
     out = np.full(SIZE, take, np.uint64)
     for j in range(take):
         out = _mix(out * _M1 + h[chosen[:, j]])
