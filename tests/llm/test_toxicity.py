@@ -45,6 +45,9 @@ def test_matched_clauses_not_words():
     assert read("You are an IDIOT.")["insult_targeted"] == 2
     assert read("what an idiot! ok")["insult"] == 2
     assert read("He is not an idiot.")["insult_negated"] == 2
+    assert read("You aren't an idiot, it isn’t so.")["insult_negated"] == 2
+    assert read("you're an idiot")["insult_targeted"] == 2
+    assert read("quel temps, l'idiot")["insult"] == 2
     assert read('Fine. Someone said idiot.')["insult_reported"] == 2
     assert read('the word "idiot" here')["insult_reported"] == 2
     assert read("ein loweiung, und loweien")["insult"] == 2

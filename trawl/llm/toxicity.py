@@ -43,7 +43,8 @@ INSULTS = ("idiot", "idiots", "stupid", "moron", "morons", "imbecile", "scumbag"
 THREATS = ("kill", "murder", "strangle", "stab", "töten", "umbringen", "tuer", "égorger", "matar", "matarte")
 TARGETS = ("you", "your", "youre", "he", "she", "they", "him", "them", "du", "dich", "dir", "ihr", "euch", "tu", "toi",
            "vous", "ils", "usted", "ustedes", "ellos", "te")
-NEGATIONS = ("not", "never", "isnt", "arent", "nobody", "nicht", "kein", "keine", "nie", "jamais", "nunca")
+NEGATIONS = ("not", "never", "isnt", "arent", "wasnt", "werent", "dont", "doesnt", "didnt", "cant", "wont", "aint",
+             "nobody", "nicht", "kein", "keine", "nie", "jamais", "nunca")
 REPORTS = ("said", "says", "wrote", "claimed", "quoted", "called", "sagte", "schrieb", "nannte", "disait", "dijo",
            "escribió")
 NEGATION_REACH = 3
@@ -164,6 +165,8 @@ class Model:
         return {w: ("H", SEED_WEIGHT) for w in THREATS} | {w: ("I", x) for w, x in self.insults.items()}
 
 
+# English contractions count as one word without the apostrophe ("aren't", "you're"); an elided article does not.
+_CONTRACTED = re.compile(r"(?<=n)['’](?=t\b)|(?<=[^\W\d_])['’](?=(?:re|ve|ll)\b)")
 _WORD = re.compile(r"[^\W\d_]+|[\"“”«»„]")
 _EDGE = re.compile(r"[.!?;\n]")
 _KIND = {w: s for s, words in (("Y", TARGETS), ("N", NEGATIONS), ("R", REPORTS)) for w in words}
@@ -192,7 +195,7 @@ class Reader:
         return _KIND.get(word, "x"), 0.0
 
     def features(self, text: str) -> np.ndarray:
-        low, done = text.lower(), -1
+        low, done = _CONTRACTED.sub("", text.lower()), -1
         total = np.zeros(1 + len(OUTCOMES))
         total[0] = len(text) / 100
         for end, n in self.automaton.iter(low):
