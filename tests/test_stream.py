@@ -149,6 +149,28 @@ def test_crawl_file_writer_accepts_path_forms(spark, sf, tmp_path):
         assert cf.read_crawl_output(spark, form).count() == 3
 
 
+def test_first_seen_counts_each_key_once(spark):
+    from trawl.session import scratch_path
+    from trawl.streaming.first_seen import FirstSeen
+
+    path = scratch_path(spark, "first-seen")
+    keys = lambda *k: spark.createDataFrame([(x,) for x in k], "key string")
+    table = FirstSeen(spark, path, 4)
+    assert table.merge(keys("a", "b", "b", None), 0) == 2
+    assert table.merge(keys("b", "c"), 1) == 1
+    assert table.merge(keys("b", "c"), 1) == 1  # replayed
+    assert table.merge(keys("a", "c"), 2) == 0 and table.merge(keys(), 3) == 0
+    assert sorted(map(tuple, FirstSeen(spark, path, 4).rows().collect())) == [("a", 0), ("b", 0), ("c", 1)]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:  # only the batch's keys are dealt out
+        asked = keys("a").repartition(4, "key").distinct().join(table.rows().select("key"), "key", "left_anti")
+        plan = asked._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_failed_page_file_write_leaves_nothing(spark, sf, tmp_path):
     import os
 

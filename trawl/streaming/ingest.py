@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from trawl.operators.index import Index, docs_table, postings_table
 from trawl.sources.crawl_files import (CORRUPT, CRAWL_OUTPUT_READ, FILE_PREFIX, crawl_corpus, is_good, latest_fetches,
                                        split_bad)
+from trawl.streaming.first_seen import FirstSeen
 
 MAX_FILES_PER_TRIGGER = 100
 SOURCE_FILE = "source_file"
@@ -43,15 +44,22 @@ def index_batch(out_dir: str):
             _write(docs_table(corpus), f"{out}/docs", batch_id)
             _write(postings_table(corpus), f"{out}/postings", batch_id)
             _write(bad.select("url", "file_path", CORRUPT, SOURCE_FILE), f"{out}/quarantine", batch_id)
-            # Running index stats per tick: one row per micro-batch, from this batch's files.
-            written = batch.sparkSession.read.parquet(f"{out}/postings/batch_id={batch_id}")
+            # Running index stats per tick: one row per micro-batch, from this batch's files and the
+            # tables of keys that earlier batches brought.
+            spark = batch.sparkSession
+            written = spark.read.parquet(f"{out}/postings/batch_id={batch_id}").select("term").persist()
+            new_docs = FirstSeen(spark, f"{out}/first_docs").merge(corpus.select(F.col("doc_id").alias("key")), batch_id)
+            new_terms = FirstSeen(spark, f"{out}/first_terms").merge(written.select(F.col("term").alias("key")), batch_id)
             counts = batch.agg(F.count_if(is_good(batch)).alias("envelopes"),
                                F.count_if(~is_good(batch)).alias("quarantined"))
             _write(counts.select("envelopes", "quarantined",
                                  corpus.select(F.count(F.lit(1))).scalar().alias("docs"),
                                  written.select(F.count(F.lit(1))).scalar().alias("postings"),
-                                 written.select(F.count_distinct("term")).scalar().alias("terms")),
+                                 written.select(F.count_distinct("term")).scalar().alias("terms"),
+                                 F.lit(new_docs).cast("bigint").alias("new_docs"),
+                                 F.lit(new_terms).cast("bigint").alias("new_terms")),
                    f"{out}/batch_stats", batch_id)
+            written.unpersist()
         finally:
             corpus.unpersist()
             batch.unpersist()
@@ -95,23 +103,18 @@ def finish(query: StreamingQuery, timeout_s: float | None = None) -> None:
 
 
 def batch_stats(spark: SparkSession, out_dir: str) -> DataFrame:
-    """batch_id, envelopes, quarantined, docs, postings, terms (distinct within the batch)."""
+    """batch_id, envelopes, quarantined, docs, postings, terms (distinct within the batch), new_docs, new_terms (that
+    no earlier batch brought)."""
     return spark.read.parquet(f"{out_dir.rstrip('/')}/batch_stats")
 
 
 def tick_stats(spark: SparkSession, out_dir: str) -> DataFrame:
     """batch_id, total_documents, total_terms, quarantined after each micro-batch, counted from the start.
 
-    A document or term counts from the batch that first brought it; there is one row per
-    batch, so the running sums are over a small table.
+    A document or term counts from the batch that first brought it, which `FirstSeen` decided when the batch was
+    written; there is one row per batch, so the running sums are over a small table.
     """
-    out = out_dir.rstrip("/")
-    first = lambda name, key, as_: (
-        spark.read.parquet(f"{out}/{name}").groupBy(key).agg(F.min("batch_id").alias("batch_id"))
-        .groupBy("batch_id").agg(F.count(F.lit(1)).alias(as_)))
-    ticks = (batch_stats(spark, out).select("batch_id", "quarantined")
-             .join(first("docs", "doc_id", "new_docs"), "batch_id", "left")
-             .join(first("postings", "term", "new_terms"), "batch_id", "left"))
+    ticks = batch_stats(spark, out_dir)
     upto = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
     total = lambda c: F.coalesce(F.sum(c).over(upto), F.lit(0)).cast("long")
     return ticks.select("batch_id", total("new_docs").alias("total_documents"), total("new_terms").alias("total_terms"),
