@@ -35,6 +35,25 @@ def test_null_html(spark):
     assert tuple(r) == ("No Title", "")
 
 
+# Elements that hold text only: (html, index title, clean text).
+TEXT_ONLY = [
+    ("<title>a<b>c</b></title>d", "a<b>c</b>", "a<b>c</b> d"),
+    ("x<textarea rows=2><b>t</b> &lt;i&gt; &amp;amp;</textarea>y", "No Title", "x <b>t</b> <i> y"),
+    ("x<iframe src='a>b'><p>k &eacute; &amp; m</p></iframe>y", "No Title", "x <p>k m</p> y"),
+    ("<!-- <textarea> --><b>u</b><textarea>open <b>", "No Title", "u open <b>"),
+    ("<script><textarea><b>s</b></textarea></script><p>v</p>", "No Title", "v"),
+    ("<TITLE>T</title ><TextArea></textarea><i>w</i> a < b", "T", "T w a < b"),
+    ("<xmp></xm></xmp>z<noembed><a href=q></noembed>", "No Title", "</xm> z <a href=q>"),
+    ("<title>plain</title><textarea>none</textarea>", "plain", "plain none"),
+]
+
+
+def test_text_only_elements(spark):
+    df = spark.createDataFrame([(h,) for h, _, _ in TEXT_ONLY], "html string")
+    got = df.select(page_title(F.col("html")).alias("t"), clean_text(F.col("html")).alias("c")).collect()
+    assert [(r.t, r.c) for r in got] == [(t, c) for _, t, c in TEXT_ONLY]
+
+
 # Rows derived by hand from the HTML rules: (html, clean text, resolved links against http://h/p).
 PROBES = [
     ("Canci&oacute;n &Uuml;ber", "Canción Über", []),

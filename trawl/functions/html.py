@@ -18,8 +18,11 @@ Title (index title): the last <title> element that has any content, decoded and
 trimmed; an empty result (or no title at all) is "No Title". So a blank title after a
 real one yields "No Title", while <title></title> is skipped.
 
-Known limits against a full HTML5 tree builder: tags inside textarea / title / iframe raw
-text and foster-parented table text.
+Elements that hold text only keep what looks like tags in them: title and textarea (their
+references are decoded), iframe, xmp, noembed and noframes (they are not).
+
+Known limits against a full HTML5 tree builder: foster-parented table text, and titles in SVG
+that hold tags.
 """
 
 from __future__ import annotations
@@ -57,6 +60,15 @@ _TITLE = (f"(?is){_COMMENT}|{_RAW_TEXT}|<title{_NAME_END}{ATTRS}>(.*?)(?:</title
 # Group 2 holds the attributes of an <a> tag that is closed.
 A_TAGS = f"(?is){_COMMENT}|{_RAW_TEXT}|<a{_NAME_END}({ATTRS})>|{_TAG}|{_DECLARATION}"
 
+# Elements of text only: group 2 is the name, group 3 the content.
+_TEXT_ONLY = (r"<(title|textarea|iframe|xmp|noembed|noframes)" + _NAME_END + ATTRS
+              + r">(.*?)(?:</\2" + _NAME_END + r"[^>]*+(?:>|\z)|\z)")
+_PIECE = f"(?is){_COMMENT}|{_RAW_TEXT}|{_TEXT_ONLY}|{_TAG}|{_DECLARATION}|[^<]++|<"
+_DECODED = r"(?is)^<(?:title|textarea)" + _NAME_END
+_HAS_TEXT_ONLY = (r"(?is)<(?:title|textarea)\b[^>]*+>[^<]*+<(?!/(?:title|textarea))|<(?:iframe|xmp|noembed|noframes)" + _NAME_END)
+# Noncharacters that stand for "<" and "&" of such text while markup and references are read.
+_KEPT_LT, _KEPT_AMP = "\ufdd0", "\ufdd1"
+
 _LEFTOVER_REF = r"&[a-zA-Z]+;"
 _REF_TOKEN = r"&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[a-zA-Z][a-zA-Z0-9]*[;=]?|[^&]+|&"
 _TRIM_WS = f"^{WS}|{WS}$"
@@ -119,11 +131,28 @@ def trim_ws(c: Column) -> Column:
     return F.regexp_replace(c, _TRIM_WS, "")
 
 
+def _unmarked(html: Column) -> Column:
+    """``html`` with every piece of markup as a blank, the text of text-only elements kept under noncharacters."""
+    def one(piece: Column) -> Column:
+        def kept(inner: Column) -> Column:
+            text = F.replace(inner, F.lit("<"), F.lit(_KEPT_LT))
+            return F.concat(F.lit(" "), F.when(piece.rlike(_DECODED), text).otherwise(
+                F.replace(text, F.lit("&"), F.lit(_KEPT_AMP))), F.lit(" "))
+
+        whole = f"(?is)^{_RAW_TEXT}$|^{_TEXT_ONLY}$"
+        return (F.when((piece == "<") | ~F.startswith(piece, F.lit("<")), piece)
+                .when(F.regexp_extract(piece, whole, 2) != "", kept(F.regexp_extract(piece, whole, 3)))
+                .otherwise(F.lit(" ")))
+
+    pieces = F.array_join(F.transform(F.regexp_extract_all(html, F.lit(_PIECE), F.lit(0)), one), "")
+    return F.when(html.rlike(_HAS_TEXT_ONLY), pieces).otherwise(F.regexp_replace(html, MARKUP, " "))
+
+
 def clean_text(html: Column) -> Column:
     """Visible text of a page, title included, white space collapsed."""
-    t = F.regexp_replace(F.coalesce(html, F.lit("")), MARKUP, " ")
-    t = F.regexp_replace(decode_entities(t), _LEFTOVER_REF, " ")
-    return collapse_ws(t)
+    t = decode_entities(_unmarked(F.coalesce(html, F.lit(""))))
+    t = F.translate(t, _KEPT_LT + _KEPT_AMP, "<&")
+    return collapse_ws(F.regexp_replace(t, _LEFTOVER_REF, " "))
 
 
 def _titles(html: Column) -> Column:
