@@ -24,6 +24,36 @@ def test_shard_edge_rows(spark):
     assert sharding.shard(docs.limit(0), 8, slots=16).count() == 0
 
 
+def test_repeated_rows_keep_the_law(spark):
+    rows = [(i, "t" * (i % 40)) for i in range(2000)] + [(None, "same row")] * 900 + [(7, None)] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = sharding.shard(docs, 8, slots=512).collect()
+    assert Counter((r["doc_id"], r["size"]) for r in out) == Counter((i, len(t or "") + 16) for i, t in rows)
+    places, load = defaultdict(list), Counter()
+    for r in out:
+        places[r["shard"]].append(r["position"])
+        load[r["shard"]] += r["size"]
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert max(load.values()) <= 1.03 * sum(load.values()) / 8
+
+
+def test_query_equals_brute_force(spark, sf):
+    from trawl.llm.queries import N_SHARDS, op10_sharding
+
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    out = op10_sharding(spark, sf).collect()
+    assert {(r["doc_id"], r["size"], r["text_crc32"]) for r in out} == {
+        (i, len(t.encode()) + 16, zlib.crc32(t.encode())) for i, t in docs.items()} and len(out) == len(docs)
+    places, load = defaultdict(list), Counter()
+    for r in out:
+        assert r["law"] == "bytes" and r["grown_shard"] is None and 0 <= r["shard"] < N_SHARDS
+        places[r["shard"]].append(r["slot"])
+        load[r["shard"]] += r["size"]
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    # Whole documents can even out no better than the largest of them allows.
+    assert max(load.values()) <= sum(load.values()) / N_SHARDS + max(r["size"] for r in out)
+
+
 def test_rebalance_moves_only_what_it_must(spark):
     docs = spark.createDataFrame([(i, "y" * (i % 97)) for i in range(3000)], "doc_id long, text string")
     root, sizes = tempfile.mkdtemp(), sharding.slot_sizes(sharding.records(docs, 512))

@@ -14,7 +14,7 @@ import heapq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trawl.llm.common import text_or_empty
+from trawl.llm.common import stored, text_or_empty
 from trawl.session import scratch_path
 
 SLOTS = 8192
@@ -23,20 +23,36 @@ MAP_SCHEMA = "version int, vslot int, shard int, bytes long, n_rows long, base l
 
 
 def records(docs: DataFrame, slots: int = SLOTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, size, text_crc32, vslot) of every row.
+    """(doc_id, size, text_crc32, vslot, record) of every row; record is the hash that decides the slot.
 
     Null text: no bytes. The slot hashes the id and the text, so rows with a null or repeated id are
-    spread as long as their texts differ; rows equal in both share a slot.
+    spread as long as their texts differ; rows equal in both share a slot (see `spread`).
     """
     text = text_or_empty(text_col)
+    record = F.xxhash64(F.col(id_col), F.xxhash64(text))
     return docs.select(
         F.col(id_col).alias("doc_id"),
         (F.octet_length(text).cast("long") + RECORD_OVERHEAD).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.pmod(F.xxhash64(F.col(id_col), F.xxhash64(text)), F.lit(slots)).cast("int").alias("vslot"),
+        F.pmod(record, F.lit(slots)).cast("int").alias("vslot"),
+        record.alias("record"),
     )
 
 
+def spread(recs: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """``recs`` with the rows of one record that repeats more often than a slot has rows dealt out over all slots.
+
+    There are fewer such records than slots, so they are broadcast. Which slot a repeated row gets depends on its
+    place in the input, so the rows are stored before they are counted. All others keep their slot.
+    """
+    total = recs.select(F.count(F.lit(1))).scalar()
+    often = recs.groupBy("record").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) & (F.col("n") * slots > total))
+    met = recs.join(F.broadcast(often.select("record", F.lit(True).alias("often"))), "record", "left")
+    dealt = F.pmod(F.xxhash64("record", F.monotonically_increasing_id()), F.lit(slots)).cast("int")
+    return stored(met.withColumn("vslot", F.when(F.col("often"), dealt).otherwise(F.col("vslot"))).select(
+        "doc_id", "size", "text_crc32", "vslot"), "records")
+
+
 def slot_sizes(recs: DataFrame) -> DataFrame:
     """(vslot, bytes, n_rows): at most one row per slot, pre-aggregated on the map side."""
     return recs.groupBy("vslot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n_rows"))
@@ -117,10 +133,10 @@ def shard(docs: DataFrame, n_shards: int, slots: int = SLOTS, root: str | None =
     """Put every row of ``docs`` into shards 0..n_shards-1 of near-equal bytes.
 
     Null and empty texts count ``RECORD_OVERHEAD`` bytes; null ids are kept; repeated rows are all
-    placed; an empty table gives no rows; other columns of ``docs`` are not read.
+    placed, and those of a very frequent one spread over the shards; an empty table gives no rows; other columns of ``docs`` are not read.
     """
     spark = docs.sparkSession
-    recs = records(docs, slots)
+    recs = spread(records(docs, slots), slots)
     root = root or scratch_path(spark, "slot-map")
     slot_map = write_slot_map(spark, slot_sizes(recs), n_shards, root, 1, slots)
     return place(recs, slot_map)
