@@ -19,8 +19,8 @@ def plain_fingerprint(text):
         elements.append(int(om._mix(np.array([x ^ (occ * int(om._M1) % 2**64)], np.uint64))[0]))
     out = []
     for k in range(om.SIZE):
-        flip, factor = int(om._SEEDS[0, k, 0]), int(om._SEEDS[1, k, 0]) | 1
-        least = sorted(((e ^ flip) * factor % 2**64, pos) for pos, e in enumerate(elements))[:om.TUPLE]
+        factor = int(om._FACTORS[k, 0])
+        least = sorted(((e >> 32) * factor % 2**32, pos) for pos, e in enumerate(elements))[:om.TUPLE]
         acc = np.array([len(least)], np.uint64)
         for pos in sorted(p for _, p in least):
             acc = om._mix(acc * om._M1 + h[pos:pos + 1])

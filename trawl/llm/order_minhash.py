@@ -29,8 +29,8 @@ TUPLE = 3      # elements of a component
 RANGES_PER_TASK = 4
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-LIKELY = 24           # elements of a long text that are looked at per seed
-BLOCK = 1 << 14       # elements hashed at a time
+LIKELY = 16           # elements of a long text that are looked at per seed
+BLOCK = 1 << 13       # elements hashed at a time
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -73,26 +73,22 @@ def occurrence(h: np.ndarray) -> np.ndarray:
     return out
 
 
-_SEEDS = _mix(np.arange(1, 2 * SIZE + 1, dtype=np.uint64) * _M1).reshape(2, SIZE, 1)
-
-
-def _ordered(elements: np.ndarray) -> np.ndarray:
-    """The elements' ranks under every seed (rows): a bijection of 64 bits for each."""
-    return (elements ^ _SEEDS[0]) * (_SEEDS[1] | np.uint64(1))
+# An odd factor per seed: multiplying by it is a bijection of 32 bits.
+_FACTORS = (_mix(np.arange(1, SIZE + 1, dtype=np.uint64) * _M1) >> np.uint64(32)).astype(np.uint32)[:, None] | np.uint32(1)
 
 
 def _least(elements: np.ndarray, take: int) -> np.ndarray:
-    """Positions of the ``take`` least elements under each seed, (SIZE, take)."""
+    """Positions of the ``take`` least elements (32 bits) under each seed, (SIZE, take); of equal ones the first."""
     n = len(elements)
-    for limit in ((int((LIKELY << 64) / n),) if n > 4 * LIKELY else ()) + ((1 << 64) - 1,):
+    for limit in ((int((LIKELY << 32) / n),) if n > 4 * LIKELY else ()) + ((1 << 32) - 1,):
         # Of a long text only elements under a limit that leaves about LIKELY of them; all, if a seed has too few.
         seeds, places, ranks = [], [], []
         for i in range(0, n, BLOCK):
-            block = _ordered(elements[i:i + BLOCK])
-            seed, place = np.nonzero(block <= np.uint64(limit))
-            seeds.append(seed)
-            places.append(place + i)
-            ranks.append(block[seed, place])
+            block = elements[i:i + BLOCK] * _FACTORS
+            found = np.flatnonzero(block <= np.uint32(limit))
+            seeds.append(found // block.shape[1])
+            places.append(found % block.shape[1] + i)
+            ranks.append(block.ravel()[found])
         seed, place, rank = np.concatenate(seeds), np.concatenate(places), np.concatenate(ranks)
         if (np.bincount(seed, minlength=SIZE) >= take).all():
             break
@@ -111,7 +107,7 @@ def fingerprint(points: np.ndarray) -> np.ndarray:
     if (distinct[1:] == distinct[:-1]).any():
         elements ^= occurrence(h).astype(np.uint64) * _M1
     take = min(TUPLE, len(h))
-    chosen = np.sort(_least(_mix(elements), take), axis=1)  # text order
+    chosen = np.sort(_least((_mix(elements) >> np.uint64(32)).astype(np.uint32), take), axis=1)  # text order
     out = np.full(SIZE, take, np.uint64)
     for j in range(take):
         out = _mix(out * _M1 + h[chosen[:, j]])
