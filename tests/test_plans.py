@@ -75,4 +75,5 @@ def test_no_cartesian_or_nested_loop_joins(spark, sf):
         plan = _plan(fn(spark, sf))
         assert "CartesianProduct" not in plan, key
         assert "BroadcastNestedLoopJoin" not in plan, key
-        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, key
+        for python in ("BatchEvalPython", "ArrowEvalPython", "MapInArrow", "MapInPandas", "FlatMapGroups"):
+            assert python not in plan, (key, python)
