@@ -4,6 +4,10 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+
+from trawl.llm import collocations as co
 from trawl.llm.collocations import collocations
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -74,3 +78,25 @@ def test_edges(spark):
 
 def test_long_text(spark):
     check(spark, [("alpha beta gamma " * 60_000, "en"), ("alpha beta, gamma", "en")], least=10)
+
+
+def test_numbers_of_a_level_do_not_follow_the_order_of_arrival():
+    """A shuffle gives the frequent phrases of a chunk in any order, and each level in another one."""
+    words = ["a b c d a c b d a b c a b d c b a b c d"] * 3
+    lang = pa.array(["en"] * 3)
+    relation = pa.Table.from_batches(co._cut(iter([pa.record_batch([lang, pa.array(words)], names=["lang", "text"])]), 3, 1000))
+    runs, named = relation.filter(pa.compute.is_valid(relation["run"])), relation.filter(pa.compute.is_valid(relation["word"]))
+    one = pa.table({"level": pa.array([1] * len(named), pa.int32()), "local": named["local"],
+                    "id": pa.array(range(100, 100 + len(named)), pa.int64())})
+    pairs = co._extend(None, runs, one, 1)
+    two = pa.table({"level": pa.array([2] * len(pairs), pa.int32()), "id": pairs["own"],
+                    "local": pa.array([o & ((1 << co.LOCAL) - 1) for o in pairs["own"].to_pylist()], pa.int32())})
+    kept = pa.concat_tables([one, two.select(one.column_names)])
+    want = sorted(co._extend(None, runs, kept, 2).to_pylist(), key=str)
+    for seed in range(5):
+        order = list(range(len(kept)))
+        random.Random(seed).shuffle(order)
+        mixed = kept.take(order)
+        assert sorted(co._extend(None, runs, mixed.filter(pa.compute.equal(mixed["level"], 1)), 1).to_pylist(),
+                      key=str) == sorted(pairs.to_pylist(), key=str)
+        assert sorted(co._extend(None, runs, mixed, 2).to_pylist(), key=str) == want

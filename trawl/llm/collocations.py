@@ -185,7 +185,8 @@ def _extend(key, runs: pa.Table, kept: pa.Table, level: int) -> pa.Table:
     n_local = int(local.max(initial=-1)) + 1
     for step in range(1, level + 1):
         # Semi-join: occurrences of frequent phrases only, as their place among the chunk's frequent ones.
-        held = kept.filter(pc.equal(kept["level"], step))
+        # Each level numbers the phrases of the levels below anew: in an order of their own, not of arrival.
+        held = kept.filter(pc.equal(kept["level"], step)).sort_by("local")
         ids = held["id"].to_numpy()
         place = np.full(n_local + 1, -1, np.int64)
         place[held["local"].to_numpy()] = np.arange(len(ids))
