@@ -77,3 +77,35 @@ def test_no_cartesian_or_nested_loop_joins(spark, sf):
         assert "BroadcastNestedLoopJoin" not in plan, key
         for python in ("BatchEvalPython", "ArrowEvalPython", "MapInArrow", "MapInPandas", "FlatMapGroups"):
             assert python not in plan, (key, python)
+
+
+def test_tokenize_analyses_each_text_once(spark, sf):
+    from trawl.plans.catalog import q_tokenize
+
+    plan = _plan(q_tokenize(spark, sf))
+    assert "Filter (size(" not in plan
+    assert sum("split(" in line for line in plan.splitlines()) == 1
+
+
+def test_the_stored_build_bounds_the_rows_of_a_task(spark):
+    """The number of tasks follows from the number of tokens, not from spark.sql.shuffle.partitions."""
+    from trawl.sources.index_store import TOKENS_PER_TASK, _dealt_by_bucket, bucket_counts
+
+    tokens = 1_000 * TOKENS_PER_TASK
+    tok = spark.range(10).selectExpr("cast(id as string) AS term", "id AS doc_id")
+    dealt = _dealt_by_bucket(*bucket_counts(tokens), tokens)(tok)
+    assert dealt.rdd.getNumPartitions() >= 1_000
+    assert _dealt_by_bucket(*bucket_counts(10), 10)(tok).rdd.getNumPartitions() == 1
+
+
+def test_derived_tables_of_an_index_shuffle_their_rows_once(spark, sf, idx):
+    from trawl.operators.index import BUCKET, DOC_BLOCK, block_stats, document_terms
+    from trawl.sources.index_store import _deal
+
+    plan = _plan(block_stats(idx.postings, 64, lambda p: _deal(p, BUCKET, p[DOC_BLOCK], 2, 10_000_000)))
+    assert plan.count("Exchange hashpartitioning") == 1
+    plan = _plan(document_terms(idx.postings.select("term", BUCKET, "doc_id"), idx.term_stats, ("term", BUCKET),
+                                lambda p: _deal(p.withColumn("doc_bucket", p["doc_id"] % 4), "doc_bucket", p["doc_id"], 2,
+                                                10_000_000)))
+    assert plan.count("doc_bucket#") and plan.count("REPARTITION_BY_NUM") == 1
+    assert "Exchange hashpartitioning(doc_id" not in plan
