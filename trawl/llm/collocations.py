@@ -8,7 +8,8 @@ only their occurrences are extended by the following level.
 A chunk is a run of about ``CHUNK`` words of the texts that one task read. Inside a chunk, words and phrases
 have local numbers, and a chunk tells the rest only (phrase, local number, count), one row per distinct phrase.
 These rows are dealt out by phrase, so a phrase that is everywhere has one row per chunk; the frequent ones go
-back to their chunks as (local number, phrase id). No text is shuffled and no phrase is hashed: the id of a
+back to their chunks as (local number, phrase id). Rows of numbers cross the network packed, those of a chunk for a
+task (or of a task for a chunk) in one compressed row. No text is shuffled and no phrase is hashed: the id of a
 phrase is the least (chunk, local number) that holds it, and a longer phrase is the pair of ids of its
 first and its last words.
 
@@ -37,7 +38,7 @@ GAP = -1                   # between pieces; a tail word w is stored as -2 - w
 SCALE = 1_000_000
 
 RELATION = "chunk long, at int, run binary, local int, lang string, word string, n long"
-GROUPS = "a long, b long, own long, n long"
+GROUPS = "part int, rows int, packed binary"
 
 
 # ---------------------------------------------------------------- the occurrence relation
@@ -131,9 +132,48 @@ def occurrences(docs: DataFrame, longest: int, text_col: str = "text", lang_col:
 
 # ---------------------------------------------------------------- levels
 
-def _counted(batches: Iterator[pa.RecordBatch], least: int, ids_only: bool) -> Iterator[pa.RecordBatch]:
-    """Group count of the phrases of a partition; the rows of frequent ones, their keys only on the row of the id."""
-    parts = [b for b in batches if b.num_rows]
+def _pack(columns: list[np.ndarray]) -> bytes:
+    """Columns of whole numbers as compressed bytes: the first bytes of all values, then the second ones, and so on."""
+    planes = [np.ascontiguousarray(c, "<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns]
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, rows: int, columns: int) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.decompress(packed, decompressed_size=8 * rows * columns, codec="zstd", asbytes=True), np.uint8)
+    return [np.ascontiguousarray(c.T).view("<i8").ravel().astype(np.int64) for c in raw.reshape(columns, 8, rows)]
+
+
+def _runs_of(values: np.ndarray) -> list[tuple[int, int]]:
+    """(begin, end) of the runs of equal values of a sorted column."""
+    cuts = (np.flatnonzero(values[1:] != values[:-1]) + 1).tolist()
+    return list(zip([0, *cuts], [*cuts, len(values)])) if len(values) else []
+
+
+def _packed_groups(groups: pa.Table, parts: int) -> pa.Table:
+    """A chunk's groups (a, b, own, n) by the part that counts the phrase (a, b): part, rows, packed."""
+    a, b, own, n = (groups[c].to_numpy() for c in ("a", "b", "own", "n"))
+    mixed = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.astype(np.uint64)
+    mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    part = ((mixed ^ (mixed >> np.uint64(29))) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    a, b, own, n, part = a[order], b[order], own[order], n[order], part[order]
+    spans = _runs_of(part)
+    return pa.table([pa.array([part[i] for i, _ in spans], pa.int32()), pa.array([j - i for i, j in spans], pa.int32()),
+                     pa.array([_pack([a[i:j], b[i:j], np.diff(own[i:j], prepend=0), n[i:j]]) for i, j in spans], pa.binary())],
+                    names=["part", "rows", "packed"])
+
+
+def _unpacked_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for rows, packed in zip(batch["rows"].to_pylist(), batch["packed"].to_pylist()):
+            a, b, own, n = _unpack(packed, rows, 4)
+            yield pa.record_batch([pa.array(a), pa.array(b), pa.array(np.cumsum(own)), pa.array(n)], names=["a", "b", "own", "n"])
+
+
+def _counted(batches: Iterator[pa.RecordBatch], least: int, ids_only: bool, packed: bool) -> Iterator[pa.RecordBatch]:
+    """Group count of the phrases of a partition: a row (keys, id, f) per frequent phrase, and, packed per chunk, the
+    (local, id) of its occurrences there."""
+    parts = [b for b in (_unpacked_groups(batches) if packed else batches) if b.num_rows]
     if not parts:
         return
     table = pa.Table.from_batches(parts)
@@ -148,24 +188,47 @@ def _counted(batches: Iterator[pa.RecordBatch], least: int, ids_only: bool) -> I
     total, id_ = np.add.reduceat(n, begins), own[begins]
     kept = np.repeat(total >= least, sizes)
     total, id_ = np.repeat(total, sizes)[kept], np.repeat(id_, sizes)[kept]
-    own, taken = own[kept], pa.array(order[kept])
+    own, taken = own[kept], order[kept]
+    first = own == id_
+    named = [table[k].combine_chunks().take(pa.array(taken[first])) for k in keys]
+    rows = int(first.sum())
+    schema = pa.schema([*((k, table.schema.field(k).type) for k in keys), ("id", pa.int64()), ("f", pa.int64()),
+                        ("chunk", pa.int64()), ("rows", pa.int32()), ("packed", pa.binary())])
+    yield from pa.table([*named, id_[first], total[first], pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int32()),
+                         pa.nulls(rows, pa.binary())], schema=schema).to_batches(1 << 18)
     if ids_only:
-        first = own == id_
-        own, id_, total, taken = own[first], id_[first], total[first], taken.filter(pa.array(first))
-    named = [pc.if_else(pa.array(own == id_), table[k].combine_chunks().take(taken), None) for k in keys]
-    for batch in pa.table([*named, own, id_, total], names=[*keys, "own", "id", "f"]).to_batches(1 << 18):
-        yield batch
-
+        return
+    order = np.argsort(own)
+    own, id_ = own[order], id_[order]
+    chunk, local = own >> LOCAL, own & ((1 << LOCAL) - 1)
+    spans = _runs_of(chunk)
+    for at in range(0, len(spans), 64):
+        some = spans[at:at + 64]
+        k = len(some)
+        yield pa.record_batch([*(pa.nulls(k, schema.field(c).type) for c in keys), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
+                               pa.array([int(chunk[i]) for i, _ in some], pa.int64()),
+                               pa.array([j - i for i, j in some], pa.int32()),
+                               pa.array([_pack([np.diff(local[i:j], prepend=0), id_[i:j]]) for i, j in some], pa.binary())],
+                              schema=schema)
+
+
+def _frequent(dealt: DataFrame, keys: str, least: int, ids_only: bool = False, packed: bool = True) -> DataFrame:
+    """Of groups dealt out by phrase, the phrases of at least ``least`` occurrences; stored.
+
+    Rows (keys, id, f) name the phrases; rows (chunk, rows, packed) say where they are. A task counts a part of about
+    ``PART`` rows at a time.
+    """
+    return stored(dealt.mapInArrow(partial(_counted, least=least, ids_only=ids_only, packed=packed),
+                                   f"{keys}, id long, f long, chunk long, rows int, packed binary"), "frequent", True)
 
-def _frequent(groups: DataFrame, keys: str, least: int, parts: int, ids_only: bool = False) -> DataFrame:
-    """The rows (own, id, f) of phrases with at least ``least`` occurrences; stored.
 
-    The groups are dealt into ``parts`` by phrase; a task counts a part of about ``PART`` rows at a time.
-    """
-    names = [k.split()[0] for k in keys.split(", ")]
-    dealt = groups.select(*names, "own", "n").repartition(parts, *names)
-    return stored(dealt.mapInArrow(partial(_counted, least=least, ids_only=ids_only), f"{keys}, own long, id long, f long"),
-                  "frequent")
+def _extended(key, runs: pa.Table, kept: pa.Table, level: int, parts: int) -> pa.Table:
+    """`_extend` of a chunk whose frequent phrases come packed; its groups packed by part."""
+    some = [(lv, *_unpack(p, n, 2)) for lv, n, p in zip(*(kept[c].to_pylist() for c in ("level", "rows", "packed")))]
+    column = lambda arrays: np.concatenate([np.zeros(0, np.int64), *arrays])
+    plain = pa.table([column([np.full(len(i), lv) for lv, _, i in some]), column([np.cumsum(d) for _, d, _ in some]),
+                      column([i for _, _, i in some])], names=["level", "local", "id"])
+    return _packed_groups(_extend(key, runs, plain, level), parts)
 
 
 def _run(table: pa.Table) -> np.ndarray:
@@ -223,19 +286,21 @@ def phrases(relation: DataFrame, longest: int = 3, least: int = 10) -> DataFrame
     words = relation.where("word IS NOT NULL")
     rows, total = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     own = F.shiftleft(F.col("chunk"), LOCAL) + F.col("local")
-    found = _frequent(words.select("lang", "word", own.alias("own"), "n"), "lang string, word string", least,
-                      1 + rows // PART)
+    found = _frequent(words.select("lang", "word", own.alias("own"), "n").repartition(1 + rows // PART, "lang", "word"),
+                      "lang string, word string", least, packed=False)
     none = F.array().cast("array<long>")
-    named = found.where("own = id").select("id", "f", "lang", F.array("word").alias("words"), none.alias("firsts"),
-                                           none.alias("lasts"))
+    named = found.where("id IS NOT NULL").select("id", "f", "lang", F.array("word").alias("words"), none.alias("firsts"),
+                                                 none.alias("lasts"))
     kept, out = None, None
+    parts = 1 + total // PART
     for level in range(1, longest):
-        held = found.select(F.lit(level).alias("level"), F.shiftright("own", LOCAL).alias("chunk"),
-                            F.col("own").bitwiseAND((1 << LOCAL) - 1).cast("int").alias("local"), "id")
+        held = found.where("packed IS NOT NULL").select(F.lit(level).alias("level"), "chunk", "rows", "packed")
         kept = held if kept is None else kept.unionByName(held)
-        groups = runs.groupBy("chunk").cogroup(kept.groupBy("chunk")).applyInArrow(partial(_extend, level=level), GROUPS)
-        found = _frequent(groups, "a long, b long", least, 1 + total // PART, ids_only=level + 1 == longest)
-        named = _named(found.where("own = id").select("id", "f", "a", "b"), named)
+        groups = runs.groupBy("chunk").cogroup(kept.groupBy("chunk")).applyInArrow(
+            partial(_extended, level=level, parts=parts), GROUPS)
+        found = _frequent(groups.repartitionById(parts, F.col("part")), "a long, b long", least,
+                          ids_only=level + 1 == longest)
+        named = _named(found.where("id IS NOT NULL").select("id", "f", "a", "b"), named)
         longer = named.select("lang", "words", "f", "firsts", "lasts")
         out = longer if out is None else out.unionByName(longer)
     return out
