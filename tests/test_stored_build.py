@@ -47,3 +47,18 @@ def test_stored_tables_equal_plain_ones(spark, corpus):
     terms = idx.doc_terms.select("doc_id", F.explode("terms").alias("t")).select("doc_id", "t.term", "t.df")
     assert stats(terms, "doc_id", "term", "df") == stats(
         plain.join(term_stats(plain), "term").select("doc_id", "term", F.col("doc_count").alias("df")), "doc_id", "term", "df")
+
+
+def test_postings_are_not_shuffled_to_meet_few_queries(spark, sf):
+    from trawl.operators import search as srch
+    from trawl.plans.catalog import stored_index
+    from trawl.plans.inputs import queries_table
+
+    idx, queries = stored_index(spark, sf, "pages"), queries_table(spark, sf)
+    for df in (srch.search_topk(idx, queries, 5), srch.search_topk(idx, queries, 5, early_stop=True), srch.matching_docs(idx, queries)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(term#" not in plan and "term_slice" not in plan
+    # A table whose size the planner does not know is joined as before, and gives the same rows.
+    rows = spark.createDataFrame([tuple(r) for r in queries.collect()], "query_id long, query string").repartition(2)
+    assert sorted(srch.search_topk(idx, rows, 5).collect()) == sorted(srch.search_topk(idx, queries, 5).collect())
+    assert sorted(srch.search_topk(idx, rows, 5, early_stop=True).collect()) == sorted(srch.search_topk(idx, queries, 5).collect())
