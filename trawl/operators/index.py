@@ -6,10 +6,10 @@ is many rows spread over many tasks, not one giant row.
 `postings_table` groups tokens by (term, doc_id); the tokens of a document sit in one
 input row, so the map-side partial aggregation already collapses them to one row per
 posting before its one exchange. The stored build (`sources.index_store`) groups the tokens
-inside their row (`document_postings`), deals the postings out by (term_bucket, slice of
-doc_id) and passes that as `deal`: the same single exchange and one sort then serve the
-merge of repeated documents and the bucketed write, and a term that is in a third of all
-documents is spread over all slices.
+inside their row, ships them as one text per document and bucket (`bucket_postings`), deals these out by
+(term_bucket, slice of doc_id) and passes that as `deal`: the same single exchange and one
+sort then serve the merge of repeated documents and the bucketed write, and a term that is in
+a third of all documents is spread over all slices.
 """
 
 from __future__ import annotations
@@ -34,11 +34,12 @@ def postings_table(corpus: DataFrame, deal=None) -> DataFrame:
     Positions are offsets in the kept-token list. in_title says whether the term is a
     substring of the lower-cased title; it is computed here, where title and tokens
     share a row, so ranked search needs no docs join before its top-k.
-    ``deal``: a function that partitions the rows of postings and adds the columns it
+    ``deal``: partitions rows of (doc_id, term_bucket) for its ``buckets`` and adds the columns it
     partitioned by (kept as leading columns); rows of one posting must stay together.
     """
     if deal is not None:
-        return _merged(*_packed(document_postings(corpus), deal))
+        rows, added = _dealt(bucket_postings(corpus, deal.buckets), deal)
+        return _merged(_unpacked(rows, [BUCKET, *added]), [BUCKET, *added])
     # Stemming never changes how many tokens are kept, so positions are taken from the
     # kept (unstemmed) words; each token is then stemmed by codegen'd scalar projections.
     tok = corpus.select("doc_id", go_lower(F.col("title")).alias("title_lc"),
@@ -52,44 +53,65 @@ def postings_table(corpus: DataFrame, deal=None) -> DataFrame:
                  F.bool_or("in_title").alias("in_title")))
 
 
+def _runs(a, key: str, out):
+    """Array ``a`` of structs, sorted by field ``key``: ``out(first, run)`` of each run of equal keys."""
+    starts = F.filter(F.transform(a, lambda x, i: i),
+                      lambda i: (i == 0) | (F.get(a, i)[key] != F.get(a, i - 1)[key]))
+    return let(starts, lambda s: F.transform(s, lambda b, k: out(
+        F.get(a, b), F.slice(a, b + 1, F.coalesce(F.get(s, k + 1), F.size(a)) - b))))
+
+
+def _term_runs(tokens):
+    """Tokens (structs of term and pos, and fields that follow from the term) sorted by term: structs of term,
+    positions (joined by blanks) and these fields."""
+    return let(tokens, lambda a: _runs(a, "term", lambda first, run: first.dropFields("pos").withField(
+        "positions", F.array_join(F.transform(run, lambda x: x["pos"].cast("string")), " "))))
+
+
 def document_postings(corpus: DataFrame) -> DataFrame:
     """doc_id, term, positions (joined by blanks), in_title: a row per input row and term; nothing is shuffled.
 
     The tokens of a text are sorted by (term, position); each run of a term is a slice of them.
     """
     tokens = F.array_sort(F.transform(analyze(F.col("clean_text")), lambda t, i: F.struct(t.alias("term"), i.alias("pos"))))
+    rows = corpus.select("doc_id", go_lower(F.col("title")).alias("title_lc"), F.inline(_term_runs(tokens)))
+    return rows.select("doc_id", "term", "positions", (F.instr("title_lc", F.col("term")) > 0).alias("in_title"))
 
-    def runs(a):
-        starts = F.filter(F.transform(a, lambda x, i: i),
-                          lambda i: (i == 0) | (F.get(a, i)["term"] != F.get(a, i - 1)["term"]))
-        return let(starts, lambda s: F.transform(s, lambda b, k: F.struct(
-            F.get(a, b)["term"].alias("term"),
-            F.array_join(F.transform(F.slice(a, b + 1, F.coalesce(F.get(s, k + 1), F.size(a)) - b),
-                                     lambda x: x["pos"].cast("string")), " ").alias("positions"))))
 
-    rows = corpus.select("doc_id", go_lower(F.col("title")).alias("title_lc"), F.inline(let(tokens, runs)))
-    return rows.select("doc_id", "term", "positions", (F.instr("title_lc", F.col("term")) > 0).alias("in_title"))
+def bucket_postings(corpus: DataFrame, buckets: int) -> DataFrame:
+    """doc_id, term_bucket, packed: the rows of `document_postings` as one short text per input row and bucket.
+
+    A line is a term, a blank and its positions, then "+" where the term is in the title and "?" where there is no title;
+    a term holds no white space."""
+    tokens = F.array_sort(F.transform(analyze(F.col("clean_text")), lambda t, i: F.struct(
+        term_bucket(t, buckets).alias(BUCKET), t.alias("term"), i.alias("pos"))))
+
+    def line(x):
+        at = F.instr("title_lc", x["term"])
+        return F.concat(x["term"], F.lit(" "), x["positions"], F.when(at > 0, "+").when(at.isNull(), "?").otherwise(""))
 
+    by_bucket = let(_term_runs(tokens), lambda a: _runs(a, BUCKET, lambda first, run: F.struct(
+        first[BUCKET].alias(BUCKET), F.array_join(F.transform(run, line), "\n").alias("packed"))))
+    return corpus.select("doc_id", "clean_text", go_lower(F.col("title")).alias("title_lc")).select(
+        "doc_id", F.inline(by_bucket))
 
-def _packed(rows: DataFrame, deal) -> tuple[DataFrame, list[str]]:
-    """Rows of `document_postings` as ``deal`` partitions them, and the columns it adds.
 
-    They cross the network as one short text each ("+term 3 17", the sign says in_title), as a term holds no blank."""
-    sign = F.when(F.col("in_title"), "+").when(F.col("in_title").isNull(), "?").otherwise("-")
-    packed, keys = _dealt(rows.withColumn("packed", F.concat(sign, "term", F.lit(" "), "positions")), deal)
-    text = packed.select(*keys, "doc_id", "packed")
-    head = F.substring_index("packed", " ", 1)
-    return text.select(*keys, "doc_id", F.substr(head, F.lit(2)).alias("term"),
-                       F.substr("packed", F.length(head) + 2).alias("positions"),
-                       F.when(~F.startswith("packed", F.lit("?")), F.startswith("packed", F.lit("+"))).alias("in_title")), keys
+def _unpacked(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of `document_postings` (and ``keys``) from those of `bucket_postings`."""
+    lines = rows.select(*keys, "doc_id", F.explode(F.split("packed", "\n")).alias("line"))
+    term = F.substring_index("line", " ", 1)
+    return lines.select(*keys, "doc_id", term.alias("term"),
+                        F.rtrim(F.substr("line", F.length(term) + 2), F.lit("+?")).alias("positions"),
+                        F.when(~F.endswith("line", F.lit("?")), F.endswith("line", F.lit("+"))).alias("in_title"))
 
 
 def _merged(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Postings of rows of `document_postings`: the rows of a repeated document become one, whatever their number.
 
-    The window needs the rows sorted by term and document, as the bucketed write does: one sort serves both.
+    The window needs the rows sorted by bucket, term, the other keys and document, as the bucketed write and
+    `with_block_stats` do: one sort serves all.
     """
-    same = Window.partitionBy(*keys[:1], "term", "doc_id", *keys[1:]).orderBy("positions")
+    same = Window.partitionBy(*keys[:1], "term", *keys[1:], "doc_id").orderBy("positions")
     all_rows = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     merged = rows.select(
         *keys, "term", "doc_id", "positions", F.row_number().over(same).alias("nth"),
@@ -118,6 +140,7 @@ TEXT_PART = "text_part"
 # Documents are dealt into blocks by hash; a stored index holds, per term and block, the greatest weight of a
 # posting (its contribution to a score but for idf), so ranked search can leave out blocks that cannot matter.
 DOC_BLOCK = "doc_block"
+SLICE = "term_slice"
 
 
 def term_bucket(term, buckets: int):
@@ -162,6 +185,31 @@ def block_stats(postings: DataFrame, blocks: int, deal=None) -> DataFrame:
     return rows.groupBy(*added, *keys, DOC_BLOCK).agg(F.count(F.lit(1)).alias("doc_count"), F.max("weight").alias("best"))
 
 
+# Columns of stored postings: on the first posting of a term in a document block its block_stats, else null.
+BLOCK_DOCS, BLOCK_BEST = "block_doc_count", "block_best"
+
+
+def with_block_stats(postings: DataFrame) -> DataFrame:
+    """Dealt postings with the columns of block_stats on the first posting of each term and block.
+
+    A deal by document blocks has all postings of a term in a block in one task, sorted by term and block."""
+    block = Window.partitionBy(BUCKET, "term", SLICE, DOC_BLOCK).orderBy("doc_id")
+    rows = block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = F.col("nth") == 1
+    return (postings.withColumn("weight", posting_weight())
+            .select("*", F.row_number().over(block).alias("nth"), F.count(F.lit(1)).over(rows).alias("n"),
+                    F.max("weight").over(rows).alias("best"))
+            .withColumns({BLOCK_DOCS: F.when(first, F.col("n")), BLOCK_BEST: F.when(first, F.col("best"))})
+            .drop("weight", "nth", "n", "best"))
+
+
+def stored_block_stats(postings: DataFrame, blocks: int) -> DataFrame:
+    """`block_stats` of postings that `with_block_stats` wrote: a filter, nothing is shuffled."""
+    return postings.where(F.col(BLOCK_DOCS).isNotNull()).select(
+        "term", BUCKET, doc_block(F.col("doc_id"), blocks).alias(DOC_BLOCK), F.col(BLOCK_DOCS).alias("doc_count"),
+        F.col(BLOCK_BEST).alias("best"))
+
+
 @dataclass
 class Index:
     """An inverted index: document table + postings (+ derived tables of a stored index).

@@ -21,11 +21,15 @@ incremental path is the streaming ingest, which writes per micro-batch.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.operators.index import (BUCKET, DOC_BLOCK, DOC_BUCKET, TEXT_PART, Index, block_stats, doc_block, doc_bucket,
-                                   docs_table, document_terms, postings_table, term_bucket)
+from trawl.operators.index import (BLOCK_BEST, BLOCK_DOCS, BUCKET, DOC_BLOCK, DOC_BUCKET, SLICE, TEXT_PART, Index,
+                                   block_stats, doc_block, doc_bucket, docs_table, document_terms, postings_table,
+                                   stored_block_stats, term_bucket, with_block_stats)
 
 TOKENS_PER_BUCKET = 50_000_000   # about 1 GB of postings
 TOKENS_PER_SLICE = 500_000       # about one file's share of a bucket
@@ -34,7 +38,8 @@ DERIVED_SLICES = 2               # slices of the postings in a slice of the tabl
 MIN_BUCKETS = 16
 DOCS_PER_BLOCK = 10_000
 MIN_BLOCKS = 64
-SLICE = "term_slice"
+SPLIT_BYTES = 32 << 20           # a map task of the build reads at most this much, so its shuffle output fits in memory
+TEXT_GROUP_BYTES = 16 << 20      # row groups of texts, which cannot be split further
 DENSE = "zstd"  # of the wide tables: texts, postings and document terms
 LAYOUT = "term_buckets int, doc_buckets int, doc_blocks int"
 TEXT_COLUMNS = ["doc_id", "url", "title", "length", "indexed_at", "clean_text"]
@@ -46,6 +51,22 @@ def bucket_counts(tokens: int) -> tuple[int, int]:
     return buckets, max(1, -(-tokens // (buckets * TOKENS_PER_SLICE)))
 
 
+@contextmanager
+def _small_splits(spark: SparkSession):
+    """Scans read at most SPLIT_BYTES a task, or less if the session says so; its own setting is put back."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key, None)
+    own = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before) if before else SPLIT_BYTES
+    spark.conf.set(key, str(min(own, SPLIT_BYTES)))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def _split_write(df: DataFrame, path: str, mode: str, key: str, order: list[str], codec: str = "snappy") -> None:
     """Write split by ``key``. The rebalance hint shuffles by it and lets AQE cut a large
     value into several files and merge small ones."""
@@ -53,43 +74,66 @@ def _split_write(df: DataFrame, path: str, mode: str, key: str, order: list[str]
      .write.mode(mode).option("compression", codec).partitionBy(key).parquet(path))
 
 
+def _tasks(tokens: int) -> int:
+    return max(1, -(-tokens // TOKENS_PER_TASK))
+
+
 def _deal(df: DataFrame, key: str, by, slices: int, tokens: int) -> DataFrame:
     """Rows partitioned by (``key``, slice of ``by``). The number of tasks follows from the number of tokens, so a
     task's share of rows is bounded at any size of the corpus."""
     return df.withColumn(SLICE, F.pmod(F.xxhash64(by, F.lit(3)), F.lit(slices)).cast("int")).repartition(
-        max(1, -(-tokens // TOKENS_PER_TASK)), key, SLICE)
+        _tasks(tokens), key, SLICE)
 
 
-def _dealt_by_bucket(buckets: int, slices: int, tokens: int | None = None, doc_blocks: int = 0):
+@dataclass(frozen=True)
+class _DealtByBucket:
     """Rows partitioned by (term_bucket, slice of doc_id): the rows of a posting share both.
 
-    With ``doc_blocks`` a slice holds whole document blocks, so a file holds all postings of a term in a block."""
-    if tokens is None:
-        tokens = buckets * slices * TOKENS_PER_SLICE
-    by = doc_block(F.col("doc_id"), doc_blocks) if doc_blocks else F.col("doc_id")
+    With ``doc_blocks`` a slice holds whole document blocks, so a task holds all postings of a term in a block; blocks
+    are dealt to the slices in turn, and the block is a further column (added behind the exchange)."""
 
-    def deal(rows: DataFrame) -> DataFrame:
-        return _deal(rows.withColumn(BUCKET, term_bucket(F.col("term"), buckets)), BUCKET, by, slices, tokens)
+    buckets: int
+    slices: int
+    tokens: int | None = None
+    doc_blocks: int = 0
 
-    return deal
+    def __call__(self, rows: DataFrame) -> DataFrame:
+        if BUCKET not in rows.columns:
+            rows = rows.withColumn(BUCKET, term_bucket(F.col("term"), self.buckets))
+        tokens = self.buckets * self.slices * TOKENS_PER_SLICE if self.tokens is None else self.tokens
+        if not self.doc_blocks:
+            return _deal(rows, BUCKET, F.col("doc_id"), self.slices, tokens)
+        block = doc_block(F.col("doc_id"), self.doc_blocks)
+        return rows.withColumn(SLICE, block % self.slices).repartition(_tasks(tokens), BUCKET, SLICE).withColumn(
+            DOC_BLOCK, block)
+
+
+_dealt_by_bucket = _DealtByBucket
 
 
 def _write_derived(spark: SparkSession, path: str, mode: str, doc_buckets: int, doc_blocks: int, tokens: int) -> None:
     """block_stats, term_stats and doc_terms from the stored postings.
 
-    The postings of a term in a block are in few files, so block_stats are combined before they are shuffled. The rows
-    of doc_terms are dealt out once, by the split it is written in, and grouped and sorted where they arrive."""
+    Postings dealt by document blocks hold their block_stats; others are combined before they are shuffled. The pairs of
+    doc_terms meet term_stats in tasks whose number follows from the number of tokens, by hash (nothing is sorted), and are
+    dealt out once, by the split doc_terms is written in, and grouped and sorted where they arrive."""
     stored = spark.read.parquet(f"{path}/postings")
     slices = -(-bucket_counts(tokens)[1] // DERIVED_SLICES)
 
-    _split_write(block_stats(stored, doc_blocks), f"{path}/block_stats", mode, BUCKET, ["term", DOC_BLOCK], DENSE)
+    blocks = stored_block_stats(stored, doc_blocks) if BLOCK_DOCS in stored.columns else block_stats(stored, doc_blocks)
+    _split_write(blocks, f"{path}/block_stats", mode, BUCKET, ["term", DOC_BLOCK], DENSE)
     by_term = spark.read.parquet(f"{path}/block_stats").groupBy("term", BUCKET).agg(F.sum("doc_count").alias("doc_count"))
     _split_write(by_term, f"{path}/term_stats", mode, BUCKET, ["term"], DENSE)
-    terms = document_terms(
-        stored.select("term", BUCKET, "doc_id"), spark.read.parquet(f"{path}/term_stats"), ("term", BUCKET),
-        lambda p: _deal(p.withColumn(DOC_BUCKET, doc_bucket(F.col("doc_id"), doc_buckets)), DOC_BUCKET, F.col("doc_id"),
-                        slices, tokens))
-    (terms.drop(SLICE).sortWithinPartitions(DOC_BUCKET, "doc_id").write.mode(mode).option("compression", DENSE)
+
+    def by_doc(rows: DataFrame) -> DataFrame:
+        part = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(slices)).cast("int")
+        return rows.withColumn(SLICE, doc_bucket(F.col("doc_id"), doc_buckets) * slices + part).repartitionById(
+            doc_buckets * slices, F.col(SLICE))
+
+    stats = spark.read.parquet(f"{path}/term_stats").select("term", "doc_count").hint("shuffle_hash")
+    terms = document_terms(stored.select("term", "doc_id").repartition(_tasks(tokens), "term"), stats, deal=by_doc)
+    (terms.drop(SLICE).withColumn(DOC_BUCKET, doc_bucket(F.col("doc_id"), doc_buckets))
+     .sortWithinPartitions(DOC_BUCKET, "doc_id").write.mode(mode).option("compression", DENSE)
      .partitionBy(DOC_BUCKET).parquet(f"{path}/doc_terms"))
 
 
@@ -103,7 +147,8 @@ def _write_texts_and_docs(docs: DataFrame, path: str, mode: str, doc_buckets: in
     spark = docs.sparkSession
     rows = docs.withColumn("indexed_at", F.current_timestamp()) if "indexed_at" not in docs.columns else docs
     (rows.select(*TEXT_COLUMNS, F.spark_partition_id().alias(TEXT_PART))
-     .write.mode(mode).option("compression", DENSE).partitionBy(TEXT_PART).parquet(f"{path}/texts"))
+     .write.mode(mode).option("compression", DENSE).option("parquet.block.size", TEXT_GROUP_BYTES)
+     .partitionBy(TEXT_PART).parquet(f"{path}/texts"))
     meta = spark.read.parquet(f"{path}/texts").drop("clean_text")
     tokens, n_docs = meta.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count(F.lit(1))).first()
     doc_buckets = doc_buckets or bucket_counts(tokens)[0]
@@ -121,10 +166,11 @@ def build_and_write_index(corpus: DataFrame, path: str, mode: str = "overwrite",
     buckets, slices = bucket_counts(tokens)
     buckets = term_buckets or buckets
     texts = spark.read.parquet(f"{path}/texts").select("doc_id", "title", "clean_text")
-    (postings_table(texts, _dealt_by_bucket(buckets, slices, tokens, doc_blocks)).drop(SLICE)
-     .sortWithinPartitions(BUCKET, "term", "doc_id").write.mode(mode).option("compression", DENSE).partitionBy(BUCKET)
-     .parquet(f"{path}/postings"))
-    _write_derived(spark, path, mode, doc_buckets, doc_blocks, tokens)
+    with _small_splits(spark):
+        (with_block_stats(postings_table(texts, _dealt_by_bucket(buckets, slices, tokens, doc_blocks)))
+         .sortWithinPartitions(BUCKET, "term", SLICE, DOC_BLOCK, "doc_id").drop(SLICE, DOC_BLOCK)
+         .write.mode(mode).option("compression", DENSE).partitionBy(BUCKET).parquet(f"{path}/postings"))
+        _write_derived(spark, path, mode, doc_buckets, doc_blocks, tokens)
     _write_layout(spark, path, buckets, doc_buckets, doc_blocks)
 
 
@@ -136,7 +182,8 @@ def write_index(index: Index, path: str, mode: str = "overwrite", term_buckets:
     buckets = term_buckets or bucket_counts(tokens)[0]
     _split_write(index.postings.drop(BUCKET).withColumn(BUCKET, term_bucket(F.col("term"), buckets)),
                  f"{path}/postings", mode, BUCKET, ["term", "doc_id"])
-    _write_derived(spark, path, mode, doc_buckets, doc_blocks, tokens)
+    with _small_splits(spark):
+        _write_derived(spark, path, mode, doc_buckets, doc_blocks, tokens)
     _write_layout(spark, path, buckets, doc_buckets, doc_blocks)
 
 
@@ -144,7 +191,7 @@ def read_index(spark: SparkSession, path: str) -> Index:
     path = path.rstrip("/")
     layout = spark.read.schema(LAYOUT).json(f"{path}/layout").first()
     table = lambda name: spark.read.parquet(f"{path}/{name}")
-    return Index(docs=table("docs"), postings=table("postings"), _term_stats=table("term_stats"),
+    return Index(docs=table("docs"), postings=table("postings").drop(BLOCK_DOCS, BLOCK_BEST), _term_stats=table("term_stats"),
                  term_buckets=layout.term_buckets, doc_buckets=layout.doc_buckets, _texts=table("texts"),
                  _doc_terms=table("doc_terms"), complete=True, doc_blocks=layout.doc_blocks,
                  _block_stats=table("block_stats"))
