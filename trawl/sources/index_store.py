@@ -10,7 +10,8 @@
   statistics skip row groups inside them. Postings are dealt out by (term_bucket, slice)
   once; that exchange and one sort serve the merge of repeated documents and the write.
 * block_stats (term, doc_block, doc_count, best), split by term_bucket, bounds what a block of
-  documents can score for a term; term_stats sums it.
+  documents can score for a term; term_stats sums it. A build writes its rows as two columns of
+  postings (block_doc_count, block_best), which readers leave out.
 * doc_terms (doc_id, terms with their document frequency), split by doc_bucket, is the
   document-to-terms direction that suggestions read.
 
