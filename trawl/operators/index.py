@@ -14,13 +14,17 @@ a third of all documents is spread over all slices.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.functions.expr import let
-from trawl.functions.text import analyze, go_lower, kept_words, term_count, with_stem
+from trawl.functions.text import analyze, go_lower, kept_words, lower_text, python_term, python_words, term_count, with_stem
 
 
 def docs_table(corpus: DataFrame) -> DataFrame:
@@ -28,18 +32,19 @@ def docs_table(corpus: DataFrame) -> DataFrame:
     return corpus.select("doc_id", "url", "title", term_count(F.col("clean_text")).alias("length"), "clean_text")
 
 
-def postings_table(corpus: DataFrame, deal=None) -> DataFrame:
+def postings_table(corpus: DataFrame, deal=None, unique: bool = False) -> DataFrame:
     """term, doc_id, frequency, first_pos, positions (ascending, 0-based), in_title.
 
     Positions are offsets in the kept-token list. in_title says whether the term is a
     substring of the lower-cased title; it is computed here, where title and tokens
     share a row, so ranked search needs no docs join before its top-k.
     ``deal``: partitions rows of (doc_id, term_bucket) for its ``buckets`` and adds the columns it
-    partitioned by (kept as leading columns); rows of one posting must stay together.
+    partitioned by (kept as leading columns); rows of one posting must stay together. ``unique``: no doc_id (null is one)
+    is in two rows, as the caller has found out, so no rows need to be merged.
     """
     if deal is not None:
         rows, added = _dealt(bucket_postings(corpus, deal.buckets), deal)
-        return _merged(_unpacked(rows, [BUCKET, *added]), [BUCKET, *added])
+        return (_parsed if unique else _merged)(_unpacked(rows, [BUCKET, *added]), [BUCKET, *added])
     # Stemming never changes how many tokens are kept, so positions are taken from the
     # kept (unstemmed) words; each token is then stemmed by codegen'd scalar projections.
     tok = corpus.select("doc_id", go_lower(F.col("title")).alias("title_lc"),
@@ -78,22 +83,74 @@ def document_postings(corpus: DataFrame) -> DataFrame:
     return rows.select("doc_id", "term", "positions", (F.instr("title_lc", F.col("term")) > 0).alias("in_title"))
 
 
+# Words whose terms a task of `bucket_postings` remembers, and characters of text in a batch of its rows.
+KNOWN_WORDS = 500_000
+BATCH_CHARS = 4 << 20
+
+
+class _Terms(dict):
+    """Word -> (bucket, term), or None where the word is not kept."""
+
+    def __init__(self, buckets: int):
+        self.buckets = buckets
+
+    def __missing__(self, word: str) -> tuple[int, str] | None:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        term = python_term(word)
+        if term is not None:
+            n = xxhash.xxh64_intdigest(term.encode(), seed=42)
+            term = ((n - (1 << 64) if n >> 63 else n) % self.buckets, term)
+        self[word] = term
+        return term
+
+
+def _bucket_lines(text: str, title: str | None, known: _Terms) -> dict[int, list[str]]:
+    """Bucket -> lines of a text's terms (see `bucket_postings`)."""
+    positions: dict[tuple[int, str], str] = {}
+    at = 0
+    for key in map(known.__getitem__, python_words(text)):
+        if key is not None:
+            positions[key] = f"{positions[key]} {at}" if key in positions else str(at)
+            at += 1
+    lines: dict[int, list[str]] = {}
+    for (bucket, term), numbers in positions.items():
+        line = f"{term} {numbers}" if title is not None and term not in title else f"{term} {numbers}{'?' if title is None else '+'}"
+        lines.setdefault(bucket, []).append(line)
+    return lines
+
+
+def _packed_rows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Batches of (doc_id, lower-cased text, lower-cased title) as (doc_id, array of bucket and packed lines)."""
+    known = _Terms(buckets)
+    for batch in batches:
+        begun, chars, ends, numbers, packed = 0, 0, [0], [], []
+        last = batch.num_rows - 1
+        for row, (text, title) in enumerate(zip(batch.column(1), batch.column(2))):
+            text = text.as_py() or ""
+            for bucket, lines in _bucket_lines(text, title.as_py(), known).items():
+                numbers.append(bucket)
+                packed.append("\n".join(lines))
+            ends.append(len(numbers))
+            chars += len(text)
+            if chars >= BATCH_CHARS or row == last:
+                rows = pa.StructArray.from_arrays([pa.array(numbers, pa.int32()), pa.array(packed, pa.string())],
+                                                  names=[BUCKET, "packed"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begun, row + 1 - begun),
+                                                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)], names=["doc_id", "rows"])
+                begun, chars, ends, numbers, packed = row + 1, 0, [0], [], []
+
+
 def bucket_postings(corpus: DataFrame, buckets: int) -> DataFrame:
     """doc_id, term_bucket, packed: the rows of `document_postings` as one short text per input row and bucket.
 
     A line is a term, a blank and its positions, then "+" where the term is in the title and "?" where there is no title;
-    a term holds no white space."""
-    tokens = F.array_sort(F.transform(analyze(F.col("clean_text")), lambda t, i: F.struct(
-        term_bucket(t, buckets).alias(BUCKET), t.alias("term"), i.alias("pos"))))
-
-    def line(x):
-        at = F.instr("title_lc", x["term"])
-        return F.concat(x["term"], F.lit(" "), x["positions"], F.when(at > 0, "+").when(at.isNull(), "?").otherwise(""))
-
-    by_bucket = let(_term_runs(tokens), lambda a: _runs(a, BUCKET, lambda first, run: F.struct(
-        first[BUCKET].alias(BUCKET), F.array_join(F.transform(run, line), "\n").alias("packed"))))
-    return corpus.select("doc_id", "clean_text", go_lower(F.col("title")).alias("title_lc")).select(
-        "doc_id", F.inline(by_bucket))
+    a term holds no white space. Words are analysed in Arrow tasks, as arrays of structs cost six times as much; Spark
+    lower-cases the texts."""
+    read = corpus.select("doc_id", lower_text(F.col("clean_text")).alias("lowered"), F.make_valid_utf8(
+        go_lower(F.col("title"))).alias("title_lc"))
+    schema = f"doc_id {corpus.schema['doc_id'].dataType.simpleString()}, rows array<struct<{BUCKET}: int, packed: string>>"
+    return read.mapInArrow(partial(_packed_rows, buckets=buckets), schema).select("doc_id", F.inline("rows"))
 
 
 def _unpacked(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -117,12 +174,23 @@ def _merged(rows: DataFrame, keys: list[str]) -> DataFrame:
         *keys, "term", "doc_id", "positions", F.row_number().over(same).alias("nth"),
         F.collect_list("positions").over(all_rows).alias("rows"),
         F.max("in_title").over(all_rows).alias("in_title")).where("nth = 1")
-    numbers = lambda text: F.split(text, " ").cast("array<int>")
-    positions = F.when(F.size("rows") == 1, numbers("positions")).otherwise(
-        F.array_sort(numbers(F.array_join("rows", " "))))
-    return merged.select(*keys, "term", "doc_id", positions.alias("positions"), "in_title").select(
-        *keys, "term", "doc_id", F.size("positions").alias("frequency"), F.get("positions", F.lit(0)).alias("first_pos"),
-        "positions", "in_title")
+    positions = F.when(F.size("rows") == 1, _numbers("positions")).otherwise(
+        F.array_sort(_numbers(F.array_join("rows", " "))))
+    return _with_frequency(merged.select(*keys, "term", "doc_id", positions.alias("positions"), "in_title"), keys)
+
+
+def _parsed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Postings of rows of `document_postings` where no document is repeated."""
+    return _with_frequency(rows.withColumn("positions", _numbers("positions")), keys)
+
+
+def _numbers(text) -> Column:
+    return F.split(text, " ").cast("array<int>")
+
+
+def _with_frequency(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.select(*keys, "term", "doc_id", F.size("positions").alias("frequency"),
+                       F.get("positions", F.lit(0)).alias("first_pos"), "positions", "in_title")
 
 
 def term_stats(postings: DataFrame) -> DataFrame:

@@ -143,6 +143,12 @@ def _write_layout(spark: SparkSession, path: str, buckets: int, doc_buckets: int
      .coalesce(1).write.mode("overwrite").json(f"{path}/layout"))
 
 
+def _unique_ids(spark: SparkSession, path: str) -> bool:
+    """Whether no doc_id of the stored docs (null is one) is in two rows."""
+    ids = spark.read.parquet(f"{path}/docs").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    return ids.where("n > 1").limit(1).count() == 0
+
+
 def _write_texts_and_docs(docs: DataFrame, path: str, mode: str, doc_buckets: int | None) -> tuple[int, int, int]:
     """texts and docs; returns (indexed tokens, doc buckets, doc blocks)."""
     spark = docs.sparkSession
@@ -168,7 +174,7 @@ def build_and_write_index(corpus: DataFrame, path: str, mode: str = "overwrite",
     buckets = term_buckets or buckets
     texts = spark.read.parquet(f"{path}/texts").select("doc_id", "title", "clean_text")
     with _small_splits(spark):
-        (with_block_stats(postings_table(texts, _dealt_by_bucket(buckets, slices, tokens, doc_blocks)))
+        (with_block_stats(postings_table(texts, _dealt_by_bucket(buckets, slices, tokens, doc_blocks), _unique_ids(spark, path)))
          .sortWithinPartitions(BUCKET, "term", SLICE, DOC_BLOCK, "doc_id").drop(SLICE, DOC_BLOCK)
          .write.mode(mode).option("compression", DENSE).partitionBy(BUCKET).parquet(f"{path}/postings"))
         _write_derived(spark, path, mode, doc_buckets, doc_blocks, tokens)
