@@ -65,3 +65,13 @@ def test_rows_are_merged_only_where_a_document_is_repeated(spark, monkeypatch):
     assert asked[0] == (True, 0) and [u for u, _ in asked] == [True, False, False] and asked[1][1] > 0
     corpus = spark.createDataFrame(once, SCHEMA)
     assert _rows(postings_table(corpus, _dealt_by_bucket(3, 2), unique=True)) == _rows(postings_table(corpus))
+
+
+def test_a_long_text_of_one_word(spark):
+    """Positions are appended, not copied per token: the time stays in proportion to the text."""
+    corpus = spark.range(1).select(F.col("id").alias("doc_id"), F.lit("u").alias("url"), F.lit("t").alias("title"),
+                                   F.repeat(F.lit("word x"), 150_000).alias("clean_text"))
+    (row,) = postings_table(corpus, _dealt_by_bucket(1, 1)).where("term = 'word'").select("frequency", "first_pos").collect()
+    assert tuple(row) == (1, 0)
+    (row,) = postings_table(corpus, _dealt_by_bucket(1, 1)).where("term = 'xword'").select("frequency", F.col("positions")[70_000]).collect()
+    assert tuple(row) == (149_999, 70_001)
