@@ -1,10 +1,16 @@
 """The stored build analyses words in Arrow tasks, and merges rows only where a document is repeated."""
 
+import os
 import random
+import subprocess
+import sys
+from functools import partial
 
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from trawl.functions.text import STOP_WORDS, analyze
+from trawl.functions.words import packed_rows
 from trawl.operators.index import bucket_postings, document_postings, postings_table, term_bucket
 from trawl.session import scratch_path
 from trawl.sources import index_store
@@ -75,3 +81,12 @@ def test_a_long_text_of_one_word(spark):
     assert tuple(row) == (1, 0)
     (row,) = postings_table(corpus, _dealt_by_bucket(1, 1)).where("term = 'xword'").select("frequency", F.col("positions")[70_000]).collect()
     assert tuple(row) == (149_999, 70_001)
+
+
+def test_workers_need_no_package(tmp_path):
+    """An index is built where only the driver can import this package, as before."""
+    code = "import pickle, sys; f = pickle.loads(sys.stdin.buffer.read()); assert list(f(iter([]))) == [] and 'trawl' not in sys.modules"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(partial(packed_rows, buckets=3)), cwd=tmp_path,
+                         env=env, capture_output=True, timeout=120)
+    assert run.returncode == 0, run.stderr

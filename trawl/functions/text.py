@@ -10,8 +10,6 @@ Query side of ranked search and suggestions: lower-case + split only (`query_wor
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,7 +64,7 @@ def _is_ascii(c: Column) -> Column:
 
 
 def lower_text(c: Column) -> Column:
-    """The text as `_split_lower` splits it, for `python_words`: valid UTF-8, lower-cased."""
+    """The text as `_split_lower` splits it, for `words.python_words`: valid UTF-8, lower-cased."""
     return F.make_valid_utf8(F.when(_is_ascii(c), F.lower(c)).otherwise(go_lower(c)))
 
 
@@ -197,43 +195,3 @@ def analyze(text: Column) -> Column:
 def term_count(text: Column) -> Column:
     """Number of index terms of a text; stemming never changes it, so it is skipped."""
     return F.coalesce(F.size(kept_words(text)), F.lit(0)).cast("int")
-
-
-# The same analysis of a lower-cased text inside an Arrow task, where many words are looked up in a dict.
-# str.split() knows four separators more than WS.
-_MORE_SEPARATORS = re.compile("[\x1c-\x1f]")
-_FIELD = re.compile(re.sub(r"\\x\{(\w+)\}", lambda m: f"\\u{m[1]:0>4}", WS).replace("[", "[^", 1))
-_STOP_SET = frozenset(STOP_WORDS)
-
-
-def python_words(lowered: str) -> list[str]:
-    """Words of a text of `lower_text`, not yet trimmed."""
-    return _FIELD.findall(lowered) if _MORE_SEPARATORS.search(lowered) else lowered.split()
-
-
-def python_term(word: str) -> str | None:
-    """The index term of a lower-cased word; None where the word is not kept."""
-    w = word.strip(PUNCT_CUTSET)
-    if not w or w in _STOP_SET:
-        return None
-    if not w.endswith(STEM_ENDINGS) or len(w.encode()) < STEM_MIN_BYTES:
-        return w
-    if w.endswith(("sses", "ies")):
-        w = w[:-2]
-    elif w.endswith("s") and not w.endswith("ss"):
-        w = w[:-1]
-    if w.endswith("eed"):
-        w = w[:-1]
-    elif w.endswith("ed"):
-        w = w[:-2]
-    elif w.endswith("ing"):
-        w = w[:-3]
-    if w.endswith("ization"):
-        w = w[:-5] + "ize"
-    elif w.endswith("ational"):
-        w = w[:-5] + "ate"
-    elif w.endswith(("fulness", "ousness", "iveness")):
-        w = w[:-4]
-    if w.endswith(("ize", "ate")):
-        return w[:-3]
-    return w[:-2] if w.endswith("al") else w

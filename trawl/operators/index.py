@@ -14,19 +14,15 @@ a third of all documents is spread over all slices.
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
-from itertools import chain, count
 
-import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.functions.expr import let
-from trawl.functions.text import analyze, go_lower, kept_words, lower_text, python_term, python_words, term_count, with_stem
+from trawl.functions.text import analyze, go_lower, kept_words, lower_text, term_count, with_stem
+from trawl.functions.words import packed_rows
 
 
 def docs_table(corpus: DataFrame) -> DataFrame:
@@ -85,63 +81,6 @@ def document_postings(corpus: DataFrame) -> DataFrame:
     return rows.select("doc_id", "term", "positions", (F.instr("title_lc", F.col("term")) > 0).alias("in_title"))
 
 
-# Words whose terms a task of `bucket_postings` remembers, and characters of text in a batch of its rows.
-KNOWN_WORDS = 500_000
-BATCH_CHARS = 4 << 20
-SMALL_NUMBERS = [str(i) for i in range(1 << 16)]
-
-
-class _Terms(dict):
-    """Word -> (bucket, term), or None where the word is not kept."""
-
-    def __init__(self, buckets: int):
-        self.buckets = buckets
-
-    def __missing__(self, word: str) -> tuple[int, str] | None:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        term = python_term(word)
-        if term is not None:
-            n = xxhash.xxh64_intdigest(term.encode(), seed=42)
-            term = ((n - (1 << 64) if n >> 63 else n) % self.buckets, term)
-        self[word] = term
-        return term
-
-
-def _bucket_lines(text: str, title: str | None, known: _Terms) -> dict[int, list[str]]:
-    """Bucket -> lines of a text's terms (see `bucket_postings`)."""
-    positions: dict[tuple[int, str], list[str]] = defaultdict(list)
-    kept = [key for key in map(known.__getitem__, python_words(text)) if key is not None]
-    for key, at in zip(kept, chain(SMALL_NUMBERS, map(str, count(len(SMALL_NUMBERS))))):
-        positions[key].append(at)
-    lines: dict[int, list[str]] = defaultdict(list)
-    for (bucket, term), numbers in positions.items():
-        line = f"{term} {' '.join(numbers)}"
-        lines[bucket].append(f"{line}?" if title is None else f"{line}+" if term in title else line)
-    return lines
-
-
-def _packed_rows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Batches of (doc_id, lower-cased text, lower-cased title) as (doc_id, array of bucket and packed lines)."""
-    known = _Terms(buckets)
-    for batch in batches:
-        begun, chars, ends, numbers, packed = 0, 0, [0], [], []
-        last = batch.num_rows - 1
-        for row, (text, title) in enumerate(zip(batch.column(1), batch.column(2))):
-            text = text.as_py() or ""
-            for bucket, lines in _bucket_lines(text, title.as_py(), known).items():
-                numbers.append(bucket)
-                packed.append("\n".join(lines))
-            ends.append(len(numbers))
-            chars += len(text)
-            if chars >= BATCH_CHARS or row == last:
-                rows = pa.StructArray.from_arrays([pa.array(numbers, pa.int32()), pa.array(packed, pa.string())],
-                                                  names=[BUCKET, "packed"])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begun, row + 1 - begun),
-                                                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)], names=["doc_id", "rows"])
-                begun, chars, ends, numbers, packed = row + 1, 0, [0], [], []
-
-
 def bucket_postings(corpus: DataFrame, buckets: int) -> DataFrame:
     """doc_id, term_bucket, packed: the rows of `document_postings` as one short text per input row and bucket.
 
@@ -151,7 +90,7 @@ def bucket_postings(corpus: DataFrame, buckets: int) -> DataFrame:
     read = corpus.select("doc_id", lower_text(F.col("clean_text")).alias("lowered"), F.make_valid_utf8(
         go_lower(F.col("title"))).alias("title_lc"))
     schema = f"doc_id {corpus.schema['doc_id'].dataType.simpleString()}, rows array<struct<{BUCKET}: int, packed: string>>"
-    return read.mapInArrow(partial(_packed_rows, buckets=buckets), schema).select("doc_id", F.inline("rows"))
+    return read.mapInArrow(partial(packed_rows, buckets=buckets), schema).select("doc_id", F.inline("rows"))
 
 
 def _unpacked(rows: DataFrame, keys: list[str]) -> DataFrame:
